@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import media, mixing, quality, sharding
+from starloom.llm import langid, media, mixing, piece_codec, quality, sharding, toxicity
 from starloom.llm.common import load
 
 
+def piece_model() -> str:
+    """The vocabulary file; STARLOOM_PIECE_MODEL names another."""
+    import public_tokenizers
+
+    return os.environ.get("STARLOOM_PIECE_MODEL") or public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.encode_texts(load(spark, sf_dir, "documents"), piece_model())
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(load(spark, sf_dir, "documents"))
+
+
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(load(spark, sf_dir, "documents"))
 
@@ -24,13 +40,17 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row_number")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.quality_rules(load(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_media_columns, op6_mix_sources, op8_shards, op10_host_rules)}
+    return {f.__name__: f for f in (op2_sentencepiece, op3_language_id, op4_media_columns, op6_mix_sources, op8_shards, op9_toxicity, op10_host_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -51,15 +51,36 @@ def feistel(x: Column, a: int, b: int, seed: int) -> Column:
     return F.aggregate(F.array(both), F.lit(0).cast("long"), lambda _, s: s["l"] * b + s["r"])
 
 
-def walks(spark: SparkSession, n: int, seed: int) -> int:
-    """Passes that bring every number of [0, n) back inside: one more than the longest chain of the few numbers outside."""
+def feistel_of(x: int, a: int, b: int, seed: int) -> int:
+    """The same network on one number, for looking up the place of a single row."""
+    left, right = divmod(x, b)
+    for i, (m, c) in enumerate(ROUNDS):
+        c = (c + 7919 * seed) % PRIME
+        y = ((right if i % 2 == 0 else left) + c) % PRIME
+        y = (y * y + m) % PRIME
+        y = (y * m + c) % PRIME
+        y = y * y % PRIME
+        if i % 2 == 0:
+            left = (left + y) % a
+        else:
+            right = (right + y) % b
+    return left * b + right
+
+
+def walks(n: int, seed: int) -> int:
+    """Passes that bring every number of [0, n) back inside: one more than the longest chain of numbers outside.
+
+    Only the numbers outside are looked at, fewer than the root of n; those on cycles that never come inside are
+    never met from inside."""
     a, b = domain(n)
-    outside = spark.range(n, a * b).select(F.col("id").alias("x"))
-    steps = 1
-    while not outside.isEmpty():
-        outside = durable(outside.select(feistel(F.col("x"), a, b, seed).alias("x")).where(F.col("x") >= n))
-        steps += 1
-    return steps
+    after = {x: feistel_of(x, a, b, seed) for x in range(n, a * b)}
+    starts, longest = set(after) - set(after.values()), 0
+    for x in starts:
+        steps = 0
+        while x >= n:
+            x, steps = after[x], steps + 1
+        longest = max(longest, steps)
+    return longest + 1
 
 
 def permuted(x: Column, n: int, seed: int, steps: int) -> Column:
@@ -81,5 +102,5 @@ def shard_rows(docs: DataFrame, shards: int = 8, seed: int = 5, buckets: int = 4
     n = rows.count()
     inside = W.partitionBy("bucket").orderBy("doc_id", "size", "text_crc32")
     numbered = rows.withColumn("k", F.row_number().over(inside)).join(F.broadcast(firsts), "bucket").withColumn("row_number", F.col("first") + F.col("k") - 1)
-    out = numbered.withColumn("_y", permuted(F.col("row_number"), n, seed, walks(rows.sparkSession, n, seed)))
+    out = numbered.withColumn("_y", permuted(F.col("row_number"), n, seed, walks(n, seed)))
     return out.select("doc_id", "size", "text_crc32", "row_number", (F.col("_y") % shards).cast("int").alias("shard"), F.floor(F.col("_y") / shards).cast("long").alias("slot"))
