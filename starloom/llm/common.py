@@ -143,3 +143,11 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE) -
     after[ends] = False
     end = np.flatnonzero(inside & ~after) + 1
     return start, end, np.searchsorted(start, offsets)
+
+
+def cut(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The byte spans as an Arrow string array; spans must be whole UTF-8."""
+    lens = end - start
+    offsets = np.concatenate(([0], np.cumsum(lens)))
+    body = data[np.repeat(start - offsets[:-1], lens) + np.arange(offsets[-1])]
+    return pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(body))]).cast(pa.string())

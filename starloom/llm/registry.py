@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import langid, media, mixing, piece_codec, quality, sharding, toxicity
+from starloom.llm import hmm, langid, media, mixing, piece_codec, quality, sharding, toxicity
 from starloom.llm.common import load
 
 
@@ -35,6 +35,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op7_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_language(load(spark, sf_dir, "documents"))
+
+
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_rows(load(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row_number")
@@ -50,7 +54,7 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sentencepiece, op3_language_id, op4_media_columns, op6_mix_sources, op8_shards, op9_toxicity, op10_host_rules)}
+    return {f.__name__: f for f in (op2_sentencepiece, op3_language_id, op4_media_columns, op6_mix_sources, op7_hmm_score, op8_shards, op9_toxicity, op10_host_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
