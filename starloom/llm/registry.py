@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import hmm, langid, media, mixing, piece_codec, quality, sharding, toxicity
+from starloom.llm import hmm, langid, media, minhash, mixing, piece_codec, quality, sharding, toxicity
 from starloom.llm.common import load
 
 
@@ -31,6 +31,10 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(load(spark, sf_dir, "documents"))
 
 
+def op5_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_classes(load(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
@@ -54,7 +58,7 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sentencepiece, op3_language_id, op4_media_columns, op6_mix_sources, op7_hmm_score, op8_shards, op9_toxicity, op10_host_rules)}
+    return {f.__name__: f for f in (op2_sentencepiece, op3_language_id, op4_media_columns, op5_near_copies, op6_mix_sources, op7_hmm_score, op8_shards, op9_toxicity, op10_host_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
