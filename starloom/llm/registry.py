@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import hmm, langid, media, minhash, mixing, piece_codec, quality, sharding, toxicity
+from starloom.llm import hmm, langid, media, minhash, mixing, piece_codec, quality, sharding, suffix_dedup, toxicity
 from starloom.llm.common import load
 
 
@@ -19,6 +19,10 @@ def piece_model() -> str:
     return os.environ.get("STARLOOM_PIECE_MODEL") or public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(load(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_texts(load(spark, sf_dir, "documents"), piece_model())
 
@@ -58,7 +62,7 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sentencepiece, op3_language_id, op4_media_columns, op5_near_copies, op6_mix_sources, op7_hmm_score, op8_shards, op9_toxicity, op10_host_rules)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_sentencepiece, op3_language_id, op4_media_columns, op5_near_copies, op6_mix_sources, op7_hmm_score, op8_shards, op9_toxicity, op10_host_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
