@@ -85,7 +85,7 @@ def round_copies(base: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
     rows = rows.select(
         "skey", F.floor(F.log2(F.col("size") + 1.0) * BANDS_PER_DOUBLING).cast("int").alias("band"),
         (-F.col("size")).alias("neg"), F.xxhash64("doc_id", "th").alias("tie"), "doc_id", "size",
-        (F.floor("rate").cast("long") + F.when(parts >= UNIT, 1).otherwise(0)).alias("copies"), "source_size", "target",
+        F.when(F.col("size") == 0, 0).otherwise(F.floor("rate").cast("long") + F.when(parts >= UNIT, 1).otherwise(0)).alias("copies"), "source_size", "target",
         F.when((parts >= UNIT) | (F.col("size") == 0), F.lit(0).cast("long")).otherwise(parts).alias("p"),
     )
     rows = durable(rows)
@@ -116,5 +116,6 @@ def round_copies(base: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
 
 def expand_copies(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The mixed corpus itself: each document as often as it is taken. doc_id must be unique."""
-    times = mixed.where((F.col("copies") > 0) & (F.col("size") > 0)).select("doc_id", F.col("copies").alias("_copies"))
-    return docs.join(times, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies", "_copy")
+    times = mixed.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies"))
+    rows = docs.join(times, docs["doc_id"].eqNullSafe(times["_id"]))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_id", "_copies", "_copy")
