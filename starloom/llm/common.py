@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,44 +10,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.storage import durable, shared_dir  # noqa: F401
+
 WORD = r"[^\x20\x09-\x0D]+"
 """A word is a run of anything but the six ASCII white-space characters."""
 
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if known.isDefined():
-            found = known.get()
-        else:
-            found = tempfile.mkdtemp(prefix="spark-starloom-")
-            spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def durable(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage and survives lost executors.
-
-    The table is deleted when the driver's JVM ends. As the table replaces them, the shuffle files of the job that
-    writes it are removed at its end."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/starloom-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

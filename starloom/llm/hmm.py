@@ -4,7 +4,7 @@ Tokens are words (A-Z lower-cased) and one end for each text. Word counts cover
 words (at most HEAD, by whole steps of a logarithmic histogram of counts, so the bound holds) are emission classes of
 their own; all other words share the class `rest`, inside which a word's probability comes from its corpus count, with
 half a count for each word and for all unseen words together. So the states' emission table is bounded whatever the
-vocabulary, the likelihood is exact and sums to 1 over texts, and with one state it is the base score.
+vocabulary, the likelihood is exact and sums to 1 over texts, and with one state it is the base score but for the smoothing.
 
 Texts are encoded once: class ids as a binary column, words of `rest` as (word, n). The sums over `rest` words come from
 a join with the count table by word. Each Baum-Welch pass computes expected counts in the partitions and adds them up by
