@@ -1,0 +1,227 @@
+"""Queries: inventory, association, as-of lookups, header aggregates."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from starloom.fixtures import table, with_
+from starloom.functions import text
+from starloom.operators import inventory
+from starloom.plans.registry import query
+
+EX = with_("exposures")
+D = "CAST(nightdate AS VARCHAR) AS nightdate"
+
+
+def _d(c="nightdate"):
+    return F.col(c).cast("string").alias(c)
+
+
+@query(EX + " SELECT image_id, unit FROM exposures WHERE nightdate BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' AND unit IN ('7DT01', '7DT03') AND filt = 'r' AND kind = 'science' AND obj ILIKE '%0001%' AND exptime BETWEEN 80 AND 120")
+def f9_f11_frame_query(spark, sf):
+    return inventory.frame_query(table(spark, sf, "exposures"), start="2024-01-05", end="2024-01-12", units=["7DT01", "7DT03"], filters="r", kinds="science", name_like="0001", exptime=(80, 120)).select("image_id", "unit")
+
+
+@query(EX + ", u AS (SELECT DISTINCT unit, 1 AS known FROM exposures WHERE unit <> '7DT05'), f AS (SELECT DISTINCT filt, 'band ' || filt AS band FROM exposures WHERE filt <> 'i') SELECT image_id, unit, band FROM exposures JOIN u USING (unit) LEFT JOIN f USING (filt)")
+def j9_star_join(spark, sf):
+    e = table(spark, sf, "exposures")
+    u = e.where("unit <> '7DT05'").select("unit").distinct()
+    f = e.where("filt <> 'i'").select("filt").distinct().withColumn("band", F.concat(F.lit("band "), "filt"))
+    return e.join(u, "unit").join(f, "filt", "left").select("image_id", "unit", "band")
+
+
+@query(EX + " SELECT unit, kind, filt, count(*) AS n, list_sort(list(image_id))[1] AS first, list_sort(list(image_id))[-1] AS last FROM exposures GROUP BY unit, kind, filt")
+def a1_groups(spark, sf):
+    g = inventory.groups(table(spark, sf, "exposures"), ["unit", "kind", "filt"])
+    return g.select("unit", "kind", "filt", "n", F.element_at("files", 1).alias("first"), F.element_at("files", -1).alias("last"))
+
+
+GROUPS = EX + """, s AS (SELECT DISTINCT nightdate, unit, gain, n_binning, camera, exptime, filt FROM exposures WHERE kind = 'science'),
+ b AS (SELECT nightdate, unit, nullif(gain, 0) AS gain, n_binning, camera, count(*) AS n FROM exposures WHERE kind = 'bias' GROUP BY ALL)"""
+
+
+@query(GROUPS + " SELECT CAST(s.nightdate AS VARCHAR) AS nightdate, s.unit, s.exptime, s.filt, s.n_binning, s.gain, b.n FROM s JOIN b ON s.nightdate = b.nightdate AND s.unit = b.unit AND nullif(s.gain, 0) IS NOT DISTINCT FROM b.gain AND s.n_binning = b.n_binning AND s.camera = b.camera")
+def j10_calibration_association(spark, sf):
+    e = table(spark, sf, "exposures").withColumn("gain", F.nullif(F.col("gain"), F.lit(0)))
+    keys = inventory.KEYS["bias"]
+    s = e.where("kind = 'science'").select(*keys, "exptime", "filt").distinct().withColumn("group", F.struct(*keys, "exptime", "filt"))
+    b = e.where("kind = 'bias'").groupBy(*keys).agg(F.count("*").alias("n")).withColumn("group", F.struct("n"))
+    j = inventory.associate(s, b, "bias")
+    return j.select(F.col("science.nightdate").cast("string").alias("nightdate"), "science.unit", "science.exptime", "science.filt", "science.n_binning", F.coalesce("science.gain", F.lit(0)).alias("gain"), "calib.n")
+
+
+@query(EX + ", s AS (SELECT DISTINCT nightdate, unit, exptime FROM exposures WHERE kind = 'science' AND image_id % 48 = 3), d AS (SELECT nightdate, unit, exptime, count(*) AS n FROM exposures WHERE kind = 'dark' GROUP BY ALL) SELECT CAST(d.nightdate AS VARCHAR) AS nightdate, unit, exptime, n FROM d ANTI JOIN s USING (nightdate, unit, exptime)")
+def j11_unused_calibration(spark, sf):
+    e = table(spark, sf, "exposures")
+    s = e.where("kind = 'science' AND image_id % 48 = 3").select("nightdate", "unit", "exptime").distinct()
+    d = e.where("kind = 'dark'").groupBy("nightdate", "unit", "exptime").agg(F.count("*").alias("n"))
+    return d.join(s, ["nightdate", "unit", "exptime"], "left_anti").select(_d(), "unit", "exptime", "n")
+
+
+@query(EX + ", g AS (SELECT nightdate, unit, count(*) FILTER (WHERE kind = 'science') AS n_sci, count(*) FILTER (WHERE kind = 'bias') AS n_bias FROM exposures GROUP BY ALL) SELECT CAST(nightdate AS VARCHAR) AS nightdate, unit, n_sci, CASE WHEN n_bias >= 5 THEN n_bias ELSE 0 END AS n_bias, row_number() OVER (ORDER BY n_sci DESC, nightdate, unit) AS place FROM g")
+def a2_preprocess_plan(spark, sf):
+    from pyspark.sql import Window as W
+
+    g = table(spark, sf, "exposures").groupBy("nightdate", "unit").agg(F.count_if(F.col("kind") == "science").alias("n_sci"), F.count_if(F.col("kind") == "bias").alias("n_bias"))
+    place = F.row_number().over(W.orderBy(F.desc("n_sci"), "nightdate", "unit"))  # a row per night and unit
+    return g.select(_d(), "unit", "n_sci", F.when(F.col("n_bias") >= inventory.NUM_MIN_CALIB, F.col("n_bias")).otherwise(0).alias("n_bias"), place.alias("place"))
+
+
+@query(EX + " SELECT obj, filt, count(DISTINCT unit) AS units, count(*) AS n, count(DISTINCT unit) > 1 AS multi FROM exposures WHERE kind = 'science' GROUP BY obj, filt")
+def a3_science_groups(spark, sf):
+    g = table(spark, sf, "exposures").where("kind = 'science'").groupBy("obj", "filt").agg(F.count_distinct("unit").alias("units"), F.count("*").alias("n"))
+    return g.withColumn("multi", F.col("units") > 1)
+
+
+@query(EX + " SELECT CAST(nightdate AS VARCHAR) AS nightdate, count(*) AS n FROM exposures WHERE unit = '7DT02' GROUP BY nightdate")
+def a25_nights(spark, sf):
+    return inventory.frame_query(table(spark, sf, "exposures"), units="7DT02").groupBy("nightdate").agg(F.count("*").alias("n")).select(_d(), "n")
+
+
+LOG = with_("instrument_log", "exposures")
+
+
+@query(LOG + " SELECT unit, CAST(nightdate AS VARCHAR) AS nightdate, CAST(lead(nightdate) OVER (PARTITION BY unit ORDER BY nightdate) - 1 AS VARCHAR) AS until FROM instrument_log")
+def j14_validity(spark, sf):
+    v = inventory.validity(table(spark, sf, "instrument_log"), ["unit"])
+    return v.select("unit", _d(), _d("until"))
+
+
+@query(LOG + " SELECT image_id, coalesce((SELECT arg_max(l.camera, l.nightdate) FROM instrument_log l WHERE l.unit = e.unit AND l.nightdate <= e.nightdate), 30000 + CAST(right(e.unit, 2) AS INT)) AS camera FROM exposures e")
+def j15_camera_as_of(spark, sf):
+    e = table(spark, sf, "exposures").select("image_id", "unit", "nightdate")
+    found = inventory.as_of(e, table(spark, sf, "instrument_log"), ["unit"], "nightdate", "nightdate", "camera", 30000 + F.right("unit", F.lit(2)).cast("long"))
+    return found.select("image_id", "camera")
+
+
+MASTERS = EX + """, m AS (SELECT image_id AS master, unit, filt, n_binning, nightdate, exptime + (image_id % 7) AS exptime, image_id % 3 <> 0 AS sane, image_id % 4 = 0 AS lenient FROM exposures WHERE kind = 'flat' AND image_id % 5 = 0),
+ d AS (SELECT unit, filt, n_binning, lenient, nightdate, min(exptime) AS exptime, arg_min(master, (exptime, master)) AS master, arg_min(sane, (exptime, master)) AS sane FROM m GROUP BY unit, filt, n_binning, lenient, nightdate),
+ q AS (SELECT image_id AS req, unit, filt, n_binning, nightdate, DATE '2024-01-08' AS wall_from FROM exposures WHERE kind = 'science' AND image_id % 10 = 4)"""
+
+
+def _masters(spark, sf):
+    e = table(spark, sf, "exposures")
+    m = e.where("kind = 'flat' AND image_id % 5 = 0").select(F.col("image_id").alias("master"), "unit", "filt", "n_binning", "nightdate", (F.col("exptime") + F.col("image_id") % 7).alias("exptime"), (F.col("image_id") % 3 != 0).alias("sane"), (F.col("image_id") % 4 == 0).alias("lenient"))
+    q = e.where("kind = 'science' AND image_id % 10 = 4").select(F.col("image_id").alias("req"), "unit", "filt", "n_binning", "nightdate", F.lit("2024-01-08").cast("date").alias("wall_from"), F.lit(None).cast("date").alias("wall_to"))
+    return m, q
+
+
+@query(MASTERS + """, j AS (SELECT req, d.master, d.nightdate - q.nightdate AS days, d.nightdate < wall_from AS wall, lenient, NOT sane AS insane, d.n_binning <> q.n_binning AS bin FROM q JOIN d USING (unit, filt) WHERE d.nightdate - q.nightdate BETWEEN -30 AND 30),
+ r AS (SELECT *, row_number() OVER (PARTITION BY req ORDER BY wall, lenient, insane, bin, abs(days), days > 0, master) AS k FROM j)
+ SELECT req, master, CAST(days AS INT) AS days, CASE WHEN days <> 0 THEN 1 ELSE 0 END + CASE WHEN insane THEN 4 ELSE 0 END + CASE WHEN lenient THEN 8 ELSE 0 END + CASE WHEN wall THEN 16 ELSE 0 END AS ppflag FROM r WHERE k = 1""")
+def j12_j13_relaxed_master_search(spark, sf):
+    m, q = _masters(spark, sf)
+    return inventory.relaxed_search(q, m, 30, future=True)
+
+
+@query(MASTERS + ", j AS (SELECT req, master, abs(d.nightdate - q.nightdate) AS far, d.exptime FROM q JOIN d USING (unit, filt)), n AS (SELECT req, min((far, exptime, master)) AS b FROM j GROUP BY req) SELECT req, coalesce(CASE WHEN req % 40 = 4 THEN -1 END, b[3]) AS flatdark FROM q LEFT JOIN n USING (req)")
+def j26_flatdark_choice(spark, sf):
+    m, q = _masters(spark, sf)
+    day = m.groupBy("unit", "filt", "n_binning", "lenient", "nightdate").agg(F.min(F.struct("exptime", "master")).alias("m"))
+    j = q.join(day.select("unit", "filt", F.col("nightdate").alias("mn"), "m.exptime", "m.master"), ["unit", "filt"])
+    best = j.groupBy("req").agg(F.min(F.struct(F.abs(F.datediff("mn", "nightdate")).alias("far"), "exptime", "master")).alias("b"))
+    return q.join(best, "req", "left").select("req", F.coalesce(F.when(F.col("req") % 40 == 4, -1), F.col("b.master")).alias("flatdark"))
+
+
+TOO = with_("too", "exposures")
+
+
+@query(TOO + ", j AS (SELECT image_id, id, trigger_time, CAST(trigger_time AS DATE) = CAST(ts AS DATE) AS same FROM exposures JOIN too ON objname = obj WHERE image_id % 20 = 3 AND (CAST(trigger_time AS DATE) = CAST(ts AS DATE) OR trigger_time <= ts)) SELECT image_id, arg_max(id, (same, trigger_time, id)) AS too_id FROM j GROUP BY image_id")
+def j16_too_as_of(spark, sf):
+    return inventory.too_match(table(spark, sf, "exposures").where("image_id % 20 = 3"), table(spark, sf, "too"))
+
+
+@query(TOO + " SELECT id, EXISTS (SELECT 1 FROM exposures e WHERE e.obj = too.objname AND e.kind = 'science' AND CAST(e.ts AS DATE) = CAST(trigger_time AS DATE)) AS observed FROM too")
+def j24_too_observed(spark, sf):
+    e = table(spark, sf, "exposures").where("kind = 'science'").select(F.col("obj").alias("objname"), F.to_date("ts").alias("day"), F.lit(True).alias("hit")).distinct()
+    return table(spark, sf, "too").withColumn("day", F.to_date("trigger_time")).join(e, ["objname", "day"], "left").select("id", F.coalesce("hit", F.lit(False)).alias("observed"))
+
+
+@query(EX + ", s AS (SELECT DISTINCT obj, filt, nightdate FROM exposures WHERE kind = 'science'), p AS (SELECT a.obj, a.filt, a.nightdate, arg_max(b.nightdate, (abs(b.nightdate - a.nightdate), b.nightdate)) AS ref FROM s a JOIN s b ON a.obj = b.obj AND a.filt = b.filt AND a.nightdate <> b.nightdate WHERE a.nightdate < DATE '2024-01-04' GROUP BY ALL) SELECT obj, filt, CAST(nightdate AS VARCHAR) AS nightdate, CAST(ref AS VARCHAR) AS ref FROM p")
+def j23_reference_image(spark, sf):
+    s = table(spark, sf, "exposures").where("kind = 'science'").select("obj", "filt", "nightdate").distinct()
+    # the farthest other night is the first or the last of the group, so no pairs are needed
+    ends = s.groupBy("obj", "filt").agg(F.min("nightdate").alias("lo"), F.max("nightdate").alias("hi"))
+    j = s.where(F.col("nightdate") < F.lit("2024-01-04").cast("date")).join(ends, ["obj", "filt"])
+    ref = F.when(F.datediff("hi", "nightdate") >= F.datediff("nightdate", "lo"), F.col("hi")).otherwise(F.col("lo"))
+    return j.where("lo <> hi").select("obj", "filt", _d(), ref.cast("string").alias("ref"))
+
+
+@query(EX + ", f AS (SELECT image_id, concat('/d/', image_id, '.fits') AS path, image_id AS name FROM exposures UNION ALL SELECT image_id, concat('/e/', image_id, '.fits'), -image_id FROM exposures WHERE kind = 'bias'), w AS (SELECT event_id AS pos, CASE WHEN event_id % 3 = 0 THEN concat('/x/', event_id, '.gone') ELSE concat('/y/', event_id, '.fits') END AS path FROM events WHERE event_id % 4 = 0) SELECT pos, (SELECT arg_max(name, f.path) FROM f WHERE split_part(f.path, '/', 3) = split_part(w.path, '/', 3)) AS name FROM w")
+def j25_names_of_paths(spark, sf):
+    e = table(spark, sf, "exposures")
+    file = F.concat("image_id", F.lit(".fits"))
+    f = e.select(F.concat(F.lit("/d/"), file).alias("path"), F.col("image_id").alias("name")).unionByName(e.where("kind = 'bias'").select(F.concat(F.lit("/e/"), file).alias("path"), (-F.col("image_id")).alias("name")))
+    last = f.groupBy(F.substring_index("path", "/", -1).alias("base")).agg(F.max_by("name", "path").alias("name"))
+    w = e.where("image_id % 4 = 0").select(F.col("image_id").alias("pos"), F.when(F.col("image_id") % 3 == 0, F.concat("image_id", F.lit(".gone"))).otherwise(file).alias("base"))
+    return w.join(last, "base", "left").select("pos", "name")
+
+
+@query(with_("headers") + """ SELECT stack, CASE WHEN count(DISTINCT exptime) = 1 THEN min(exptime) WHEN count(exptime) = count(*) THEN 'MIXED' END AS exptime, CASE WHEN count(DISTINCT seeing) = 1 THEN CAST(min(seeing) AS VARCHAR) ELSE 'mean' END AS seeing,
+ CASE WHEN count(DISTINCT object) = 1 THEN min(object) ELSE 'MIXED' END AS object FROM headers GROUP BY stack""")
+def a4_header_aggregate(spark, sf):
+    h = inventory.header_aggregate(table(spark, sf, "headers"), ["stack"], ["exptime", "seeing", "object"], "image_id")
+    return h.withColumn("seeing", F.when(F.col("seeing").isNotNull(), "mean"))
+
+
+@query(with_("headers") + """ SELECT stack, sum(CAST(exptime AS BIGINT)) AS exptime, round(avg(coalesce(CAST(mjd AS DOUBLE), CAST(jd AS DOUBLE) - 2400000.5)), 6) AS mjd, CASE WHEN count(saturate) = count(*) THEN round(min(saturate * flxscale), 6) END AS saturate, round(sum(2.5e0 / flxscale), 6) AS egain,
+ bit_or(ppflag) AS ppflag, max(seeing) AS worst, CASE WHEN length(string_agg(DISTINCT telescop, ',' ORDER BY telescop)) > 68 THEN 'long' ELSE string_agg(DISTINCT telescop, ',' ORDER BY telescop) END AS units FROM headers GROUP BY stack""")
+def a5_coadd_header(spark, sf):
+    h = table(spark, sf, "headers")
+    mjd = text.mjd_or_fallback(F.col("mjd").cast("double"), F.lit(None).cast("double"), F.col("jd").cast("double"), F.lit(None).cast("timestamp"))
+    units = F.array_join(F.sort_array(F.collect_set("telescop")), ",")
+    sat = F.when(F.count("saturate") == F.count("*"), F.round(F.min(F.col("saturate") * F.col("flxscale")), 6))
+    return h.groupBy("stack").agg(F.sum(F.col("exptime").cast("long")).alias("exptime"), F.round(F.avg(mjd), 6).alias("mjd"), sat.alias("saturate"), F.round(F.sum(2.5 / F.col("flxscale")), 6).alias("egain"), F.bit_or("ppflag").alias("ppflag"), F.max("seeing").alias("worst"), F.when(F.length(units) > 68, F.concat(F.substring(units, 1, 65), F.lit("..."))).otherwise(units).alias("units"))
+
+
+@query(EX + " SELECT CAST(nightdate AS VARCHAR) AS nightdate, left(CAST(make_timestamp(CAST(floor(avg(epoch_us(ts))) AS BIGINT)) AS VARCHAR), 19) AS mean_time FROM exposures GROUP BY nightdate")
+def a28_mean_time(spark, sf):
+    m = table(spark, sf, "exposures").groupBy("nightdate").agg(F.floor(F.avg(F.unix_micros(F.col("ts").cast("timestamp")))).alias("us"))
+    return m.select(_d(), F.substring(F.timestamp_micros("us").cast("string"), 1, 19).alias("mean_time"))
+
+
+@query(EX + " SELECT min(strftime(ts, '%Y%m%d_%H%M%S')) AS first, arg_min(image_id, (exptime, image_id)) AS shortest, obj FROM exposures GROUP BY obj")
+def k4_first_time(spark, sf):
+    return table(spark, sf, "exposures").groupBy("obj").agg(F.min(text.compact_time(F.col("ts"))).alias("first"), F.min_by("image_id", F.struct("exptime", "image_id")).alias("shortest"))
+
+
+QA = with_("image_qa")
+
+
+@query(QA + " SELECT id, image_name, CAST(nightdate AS VARCHAR) AS nightdate FROM image_qa WHERE unit = '7DT02' AND filt IN ('g', 'r') AND nightdate >= DATE '1996-01-01' ORDER BY image_name LIMIT 500")
+def s9_table_export(spark, sf):
+    q = table(spark, sf, "image_qa").where((F.col("unit") == "7DT02") & F.col("filt").isin("g", "r") & (F.col("nightdate") >= F.lit("1996-01-01").cast("date")))
+    return q.select("id", "image_name", _d()).orderBy("image_name").limit(500)
+
+
+@query(QA + ", n AS (SELECT id, CASE WHEN id % 4 = 0 THEN NULL ELSE 9e0 END AS seeing, CASE WHEN id % 8 = 1 THEN 'None' WHEN id % 8 = 2 THEN NULL ELSE 'new' END AS unit FROM image_qa WHERE id % 3 = 0 UNION ALL SELECT id + 1000000, 1e0, 'x' FROM image_qa WHERE id < 50) SELECT coalesce(q.id, n.id) AS id, coalesce(n.seeing, q.seeing) AS seeing, nullif(coalesce(n.unit, q.unit), 'None') AS unit FROM image_qa q FULL JOIN n ON q.id = n.id")
+def s8_upsert(spark, sf):
+    q = table(spark, sf, "image_qa").select("id", "seeing", "unit").withColumn("ver", F.lit(0))
+    n = q.where("id % 3 = 0").select("id", F.when(F.col("id") % 4 != 0, 9.0).alias("seeing"), F.when(F.col("id") % 8 == 1, "None").when(F.col("id") % 8 != 2, "new").alias("unit"), F.lit(1).alias("ver"))
+    extra = q.where("id < 50").select((F.col("id") + 1_000_000).alias("id"), F.lit(1.0).alias("seeing"), F.lit("x").alias("unit"), F.lit(1).alias("ver"))
+    return inventory.upsert(q, n.unionByName(extra), "id", "ver").drop("ver")
+
+
+@query(QA + " SELECT id, coalesce(skyval, CASE WHEN id % 2 = 0 THEN 7e0 END) AS skyval FROM image_qa")
+def s13_backfill(spark, sf):
+    q = table(spark, sf, "image_qa").select("id", "skyval")
+    return inventory.backfill(q, q.where("id % 2 = 0").select("id", F.lit(7.0).alias("skyval")), "id", "skyval")
+
+
+@query("SELECT name, n FROM (SELECT regexp_extract(line, '^ERR (\\S+)', 1) AS name, count(*) AS n FROM (SELECT CASE WHEN event_id % 9 = 0 THEN concat('ERR f', user_id, ' bad') ELSE 'ok' END AS line FROM events) WHERE starts_with(line, 'ERR ') GROUP BY 1)")
+def s14_log_scan(spark, sf):
+    from starloom.sources.files import error_names
+
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    lines = e.select(F.when(F.col("event_id") % 9 == 0, F.concat(F.lit("ERR f"), "user_id", F.lit(" bad"))).otherwise("ok").alias("value"), F.col("event_id").alias("pos"))
+    return error_names(lines, "ERR ").select("name", "n")
+
+
+@query(with_("headers") + " SELECT image_id, coalesce(CAST(exptime AS DOUBLE), 60) AS exptime, CASE WHEN mjd IS NULL THEN CAST(jd AS DOUBLE) - 2400000.5 ELSE CAST(mjd AS DOUBLE) END AS mjd, coalesce(saturate, 60000) AS saturate, round(1 / (1 - seeing / 10), 6) AS elong, 0.505e0 * (1 + image_id % 2) AS pixscale FROM headers")
+def s15_typed_header(spark, sf):
+    from starloom.sources.files import typed_header
+
+    h = table(spark, sf, "headers")
+    cards = F.map_filter(F.create_map(*[x for k, c in (("EXPTIME", "exptime"), ("MJD", "mjd"), ("JD", "jd"), ("SATURATE", "saturate")) for x in (F.lit(k), F.col(c).cast("string"))], F.lit("ELLIP"), (F.col("seeing") / 10).cast("string"), F.lit("XBINNING"), (1 + F.col("image_id") % 2).cast("string")), lambda k, v: v.isNotNull())
+    t = typed_header(h.select("image_id", cards.alias("headers")))
+    return t.select("image_id", "exptime", "mjd", "saturate", F.round("elong", 6).alias("elong"), "pixscale")

@@ -1,0 +1,175 @@
+"""Queries: the derivation graph."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from starloom.fixtures import table, with_
+from starloom.operators import lineage
+from starloom.plans.registry import query
+
+BASE = with_("edges", "image_qa", "process_status").replace("WITH ", "WITH RECURSIVE ", 1)
+CLOSURE = BASE + """, c(id, depth) AS (SELECT CAST(0 AS BIGINT), 0 UNION SELECT e.derived, c.depth + 1 FROM c JOIN edges e ON e.source = c.id WHERE c.depth < 12), m AS (SELECT id, min(depth) AS depth FROM c GROUP BY id)"""
+
+
+def _all(spark, sf):
+    return (table(spark, sf, n) for n in ("edges", "image_qa", "process_status"))
+
+
+def _seed(spark, k=0):
+    return spark.range(k, k + 1)
+
+
+@query(CLOSURE + " SELECT id, depth FROM m")
+def t1_downstream(spark, sf):
+    return lineage.downstream(table(spark, sf, "edges"), _seed(spark))
+
+
+@query(BASE + ", c(id, depth) AS (SELECT CAST(1234 AS BIGINT), 0 UNION SELECT e.source, c.depth + 1 FROM c JOIN edges e ON e.derived = c.id WHERE c.depth < 12) SELECT id, min(depth) AS depth FROM c GROUP BY id")
+def t1_upstream(spark, sf):
+    return lineage.upstream(table(spark, sf, "edges"), _seed(spark, 1234))
+
+
+@query(BASE + " SELECT e.derived, i.image_name AS source_name, role FROM edges e JOIN image_qa i ON i.id = e.source WHERE e.derived % 50 = 5")
+def j17_ingredients(spark, sf):
+    e, i, _ = _all(spark, sf)
+    return e.where("derived % 50 = 5").join(i.select(F.col("id").alias("source"), F.col("image_name").alias("source_name")), "source").select("derived", "source_name", "role")
+
+
+@query(BASE + " SELECT e.derived % 100 AS grp, i.unit, count(*) AS n FROM edges e JOIN image_qa i ON i.id = e.source WHERE right(i.image_name, 1) = '7' GROUP BY ALL")
+def j17_units(spark, sf):
+    e, i, _ = _all(spark, sf)
+    return e.join(i.where(F.right("image_name", F.lit(1)) == "7").select(F.col("id").alias("source"), "unit"), "source").groupBy((F.col("derived") % 100).alias("grp"), "unit").agg(F.count("*").alias("n"))
+
+
+@query(BASE + " SELECT e.derived, e.source, source_imageid, i.imageid AS current FROM edges e JOIN image_qa i ON i.id = e.source WHERE source_imageid IS NOT NULL AND source_imageid <> i.imageid")
+def j18_stale_edges(spark, sf):
+    e, i, _ = _all(spark, sf)
+    return lineage.stale_edges(e, i).select("derived", "source", "source_imageid", "current")
+
+
+@query(BASE + " SELECT p.id FROM process_status p WHERE progress > 50 AND NOT EXISTS (SELECT 1 FROM image_qa i WHERE i.process_status_id = p.id AND image_type = 'science')")
+def j19_configs_without_products(spark, sf):
+    _, i, p = _all(spark, sf)
+    return p.where("progress > 50").join(i.where("image_type = 'science'").select(F.col("process_status_id").alias("id")), "id", "left_anti").select("id")
+
+
+@query(BASE + " SELECT DISTINCT process_status_id AS id FROM image_qa i WHERE EXISTS (SELECT 1 FROM process_status p WHERE p.id = i.process_status_id) AND NOT EXISTS (SELECT 1 FROM edges e WHERE e.derived = i.id AND role = 'secondary')")
+def j19_configs_without_lineage(spark, sf):
+    e, i, p = _all(spark, sf)
+    alone = i.join(e.where("role = 'secondary'").select(F.col("derived").alias("id")), "id", "left_anti")
+    return alone.select(F.col("process_status_id").alias("id")).join(p, "id", "left_semi").distinct()
+
+
+ROLL = BASE + ", r AS (SELECT DISTINCT d.process_status_id AS derived_config, s.process_status_id AS source_config FROM edges e JOIN image_qa d ON d.id = e.derived JOIN image_qa s ON s.id = e.source WHERE d.process_status_id <> s.process_status_id)"
+
+
+@query(ROLL + " SELECT * FROM r")
+def a22_config_rollup(spark, sf):
+    e, i, _ = _all(spark, sf)
+    return lineage.config_edges(e, i)
+
+
+@query(ROLL + ", s AS (SELECT derived_config, source_config FROM r WHERE derived_config % 2 = 0), o AS (SELECT derived_config AS derived, source_config AS source, 'old' AS role FROM r), n AS (SELECT derived_config AS derived, source_config AS source, CASE WHEN source_config % 3 = 0 THEN 'product' ELSE 'scheduled' END AS role FROM s) SELECT * FROM n UNION ALL SELECT * FROM o WHERE derived NOT IN (SELECT derived FROM n)")
+def a23_replace_dependencies(spark, sf):
+    e, i, _ = _all(spark, sf)
+    r = lineage.durable(lineage.config_edges(e, i).select(F.col("derived_config").alias("derived"), F.col("source_config").alias("source")))
+    s = r.where("derived % 2 = 0")
+    return lineage.replace_dependencies(s.where("source % 3 = 0").withColumn("role", F.lit("product")), s.withColumn("role", F.lit("scheduled")), r.withColumn("role", F.lit("old")))
+
+
+@query(CLOSURE + " SELECT process_status_id AS config, min(depth) AS depth, count(*) AS images, image_type FROM m JOIN image_qa USING (id) WHERE depth > 0 GROUP BY ALL")
+def a24_impact_summary(spark, sf):
+    e, i, _ = _all(spark, sf)
+    return lineage.downstream(e, _seed(spark)).where("depth > 0").join(i, "id").groupBy(F.col("process_status_id").alias("config"), "image_type").agg(F.min("depth").alias("depth"), F.count("*").alias("images"))
+
+
+@query(BASE + " SELECT name, count(*) AS n FROM process_status GROUP BY name HAVING count(*) > 1")
+def a26_duplicate_configs(spark, sf):
+    return table(spark, sf, "process_status").groupBy("name").agg(F.count("*").alias("n")).where("n > 1")
+
+
+@query(CLOSURE + """, h AS (SELECT process_status_id, min(depth) AS depth, count(*) AS images, bool_or(image_type <> 'science') AS master FROM m JOIN image_qa USING (id) WHERE depth > 0 GROUP BY 1)
+ SELECT process_status_id AS config, CASE WHEN config_exists IS NULL THEN 'skip: no config row' WHEN NOT config_exists THEN 'skip: config file is missing' WHEN master THEN 'master' ELSE config_type END AS action, depth, images FROM h LEFT JOIN process_status p ON p.id = process_status_id""")
+def t2_cascade_plan(spark, sf):
+    e, i, p = _all(spark, sf)
+    return lineage.cascade_plan(e, i, p, _seed(spark))
+
+
+@query(BASE + """ SELECT derived, CASE WHEN bool_or(source % 40 = 0) THEN 'designated' WHEN bool_or(source_imageid <> imageid) THEN 'regenerated' WHEN bool_or(sanity = false) THEN 'sanity' WHEN derived % 6 = 0 THEN 'better-match' ELSE 'none' END AS reason FROM edges JOIN image_qa i ON i.id = source GROUP BY derived""")
+def t3_rebuild_reason(spark, sf):
+    e, i, _ = _all(spark, sf)
+    return lineage.rebuild_reason(e, i, i.where("id % 40 = 0").select(F.col("id").alias("source")), i.where("id % 6 = 0").select(F.col("id").alias("derived")))
+
+
+@query(BASE + """, r AS (SELECT derived, CASE WHEN bool_or(source_imageid <> imageid) THEN 'regenerated' WHEN bool_or(sanity = false) THEN 'sanity' END AS reason FROM edges JOIN image_qa i ON i.id = source GROUP BY derived)
+ SELECT id, CASE WHEN id % 9 = 0 THEN 'adopt' WHEN id % 2 = 0 AND (image_path IS NULL OR reason IS NOT NULL) THEN 'generate' ELSE 'fetch' END AS action FROM image_qa LEFT JOIN r ON derived = id WHERE image_type <> 'science'""")
+def t10_master_decision(spark, sf):
+    e, i, _ = _all(spark, sf)
+    none = i.limit(0)
+    r = lineage.rebuild_reason(e, i, none.select(F.col("id").alias("source")), none.select(F.col("id").alias("derived"))).withColumnRenamed("derived", "id")
+    action = F.when(F.col("id") % 9 == 0, "adopt").when((F.col("id") % 2 == 0) & (F.col("image_path").isNull() | (F.coalesce("reason", F.lit("none")) != "none")), "generate").otherwise("fetch")
+    return i.where("image_type <> 'science'").join(r, "id", "left").select("id", action.alias("action"))
+
+
+@query(BASE + " SELECT DISTINCT id AS image, concat('m', CAST(id % 7 + n AS VARCHAR)) AS imageid, CASE n WHEN 1 THEN 'bias' WHEN 2 THEN 'dark' ELSE 'input' END AS role FROM image_qa CROSS JOIN (SELECT unnest([1, 2, 3]) AS n) WHERE id % 10 = 0")
+def t4_parse_ingredients(spark, sf):
+    i = table(spark, sf, "image_qa").where("id % 10 = 0")
+    cards = []
+    for n, name in ((1, "bias_x"), (2, "dark_x"), (3, "sci_x"), (4, "7DT01_raw")):
+        prefix = ("IMCMB", "IMCID") if n < 3 else ("IMG", "IID")
+        number = f"{n:03d}" if n < 3 else f"{n:05d}"
+        cards += [F.lit(prefix[0] + number), F.lit(name), F.lit(prefix[1] + number), F.concat(F.lit("m"), (F.col("id") % 7 + n).cast("string"))]
+    return lineage.parse_ingredients(i.select(F.col("id").alias("image"), F.create_map(*cards).alias("headers"))).select("image", "imageid", "role")
+
+
+@query(BASE + ", k AS (SELECT concat('k', id % 5000) AS imageid, arg_min(id, (image_path IS NULL, id)) AS source FROM image_qa GROUP BY 1) SELECT DISTINCT derived, k.source, role FROM edges e JOIN k ON k.imageid = concat('k', e.source % 5000) WHERE derived % 3 = 0")
+def t5_sync_edges(spark, sf):
+    e, i, _ = _all(spark, sf)
+    wanted = e.where("derived % 3 = 0").select("derived", F.concat(F.lit("k"), F.col("source") % 5000).alias("imageid"), "role")
+    return lineage.sync_edges(wanted, i.withColumn("imageid", F.concat(F.lit("k"), F.col("id") % 5000)))
+
+
+@query(ROLL + " SELECT derived_config AS config, count(*) AS parents, count(*) FILTER (WHERE status IN ('done', 'failed')) AS finished, count(*) = count(*) FILTER (WHERE status IN ('done', 'failed')) AS ready FROM r LEFT JOIN process_status p ON p.id = source_config GROUP BY 1")
+def t6_readiness(spark, sf):
+    e, i, p = _all(spark, sf)
+    return lineage.readiness(lineage.config_edges(e, i), p)
+
+
+@query("SELECT DISTINCT b.user_id AS derived, a.user_id AS source, 'scheduled' AS origin FROM events a JOIN events b ON b.event_id IN (a.event_id + 1, a.event_id * 2) WHERE a.user_id <> b.user_id")
+def t7_task_edges(spark, sf):
+    t = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_id").alias("idx"), F.col("user_id").alias("config"), F.array_distinct(F.array(F.col("event_id") + 1, F.col("event_id") * 2)).alias("dependents"))
+    return lineage.task_edges(t)
+
+
+LEVELS = BASE + """, f0 AS (SELECT id, 0 AS ppflag FROM image_qa WHERE image_type = 'bias'),
+ f1 AS (SELECT i.id, coalesce(bit_or(f.ppflag), 0) AS ppflag FROM image_qa i LEFT JOIN edges e ON e.derived = i.id LEFT JOIN f0 f ON f.id = e.source WHERE image_type = 'dark' GROUP BY i.id), g1 AS (SELECT * FROM f0 UNION ALL SELECT * FROM f1),
+ f2 AS (SELECT i.id, coalesce(bit_or(f.ppflag), 0) AS ppflag FROM image_qa i LEFT JOIN edges e ON e.derived = i.id LEFT JOIN g1 f ON f.id = e.source WHERE image_type = 'flat' GROUP BY i.id), g2 AS (SELECT * FROM g1 UNION ALL SELECT * FROM f2),
+ f3 AS (SELECT i.id, coalesce(bit_or(f.ppflag), 0) | CASE WHEN bool_or(s.nightdate <> i.nightdate) THEN 1 ELSE 0 END | CASE WHEN bool_or(s.sanity = false) THEN 4 ELSE 0 END AS ppflag FROM image_qa i LEFT JOIN (edges e JOIN g2 f ON f.id = e.source JOIN image_qa s ON s.id = e.source) ON e.derived = i.id WHERE i.image_type = 'science' GROUP BY i.id)"""
+
+
+@query(LEVELS + " SELECT id, CAST(ppflag AS INT) AS ppflag FROM g2 UNION ALL SELECT id, CAST(ppflag AS INT) FROM f3")
+def t8_flags_over_lineage(spark, sf):
+    e, i, _ = _all(spark, sf)
+    return lineage.flags_up(e, i)
+
+
+@query(BASE + " SELECT id FROM image_qa WHERE image_type = 'science' AND NOT EXISTS (SELECT 1 FROM edges e WHERE e.derived = image_qa.id AND e.role = 'secondary') AND nightdate >= DATE '1995-06-01'")
+def t9_backfill_targets(spark, sf):
+    e, i, _ = _all(spark, sf)
+    return i.where((F.col("image_type") == "science") & (F.col("nightdate") >= F.lit("1995-06-01").cast("date"))).join(e.where("role = 'secondary'").select(F.col("derived").alias("id")), "id", "left_anti").select("id")
+
+
+@query(BASE + ", m AS (SELECT id % 500 AS sci, max(CASE WHEN id % 3 = 0 THEN id % 11 END) AS b, max(CASE WHEN id % 3 = 1 THEN id % 7 END) AS d, max(CASE WHEN id % 3 = 2 THEN id % 5 END) AS f FROM image_qa WHERE id < 2000 GROUP BY 1) SELECT b, d, f, count(*) AS n, min(sci) AS first FROM m GROUP BY ALL")
+def a31_groups_by_masters(spark, sf):
+    i = table(spark, sf, "image_qa").where("id < 2000").select((F.col("id") % 500).alias("sci"), F.element_at(F.array(*map(F.lit, "bdf")), (F.col("id") % 3 + 1).cast("int")).alias("role"), F.when(F.col("id") % 3 == 0, F.col("id") % 11).when(F.col("id") % 3 == 1, F.col("id") % 7).otherwise(F.col("id") % 5).alias("m"))
+    wide = i.groupBy("sci").pivot("role", ["b", "d", "f"]).agg(F.max("m"))
+    return wide.groupBy("b", "d", "f").agg(F.count("*").alias("n"), F.min("sci").alias("first"))
+
+
+@query("""WITH e AS (SELECT user_id AS config, event_id AS pos, CASE WHEN event_id % 97 = 0 THEN 999 WHEN event_id % 31 = 0 THEN 100 * (event_id % 4 + 1) ELSE 100 * (event_id % 4 + 1) + event_id % 9 + 1 END AS code FROM events),
+ l AS (SELECT a.* FROM e a WHERE code <> 999 AND code % 100 <> 0 AND NOT EXISTS (SELECT 1 FROM e b WHERE b.config = a.config AND b.pos > a.pos AND (b.code = 999 OR b.code % 100 = 0 AND b.code // 100 = a.code // 100)))
+ SELECT config, string_agg(DISTINCT CAST(code AS VARCHAR), ',' ORDER BY CAST(code AS VARCHAR)) AS codes, arg_min(code, pos) FILTER (WHERE pos % 5 = 0) AS first_error FROM l GROUP BY config""")
+def a34_warning_codes(spark, sf):
+    e = spark.read.parquet(f"{sf}/events.parquet").selectExpr("user_id AS config", "event_id AS pos", "event_id % 5 = 0 AS error", "CASE WHEN event_id % 97 = 0 THEN 999 WHEN event_id % 31 = 0 THEN 100 * (event_id % 4 + 1) ELSE 100 * (event_id % 4 + 1) + event_id % 9 + 1 END AS code")
+    return lineage.latest_codes(e).select("config", F.array_join(F.transform("codes", lambda c: c.cast("string")), ",").alias("codes"), "first_error")
