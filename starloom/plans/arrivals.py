@@ -1,0 +1,72 @@
+"""Queries: arrivals in their batch form, and the streams run to the end over the same events."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from starloom.fixtures import table, with_
+from starloom.plans.registry import query
+from starloom.storage import durable
+from starloom.streaming import arrivals
+
+ARR = with_("exposures") + """, a AS (SELECT CAST(nightdate AS VARCHAR) AS nightdate, concat('b', image_id % 4) AS batch_key, image_id % 50 = 7 AS is_too, ts, concat('/7DT01/', image_id, '.fits') AS path FROM exposures WHERE image_id % 3 = 0),
+ m AS (SELECT DISTINCT nightdate, batch_key FROM a WHERE NOT is_too AND nightdate <> '2024-01-10' UNION ALL SELECT '2024-01-12', 'never'),
+ ready AS (SELECT nightdate, CASE WHEN count(m.batch_key) = 0 THEN min(b) WHEN count(t) = count(m.batch_key) THEN max(t) END AS ready FROM (SELECT nightdate, min(ts) AS b FROM a GROUP BY 1) n LEFT JOIN m USING (nightdate)
+ LEFT JOIN (SELECT nightdate, batch_key, min(ts) AS t FROM a WHERE NOT is_too GROUP BY 1, 2) f USING (nightdate, batch_key) GROUP BY 1),
+ r AS (SELECT nightdate, greatest(ts, ready) AS rt, count(*) AS k FROM a JOIN ready USING (nightdate) WHERE ready IS NOT NULL GROUP BY 1, 2), o AS (SELECT nightdate, rt, row_number() OVER w AS release_no, sum(k) OVER w AS n_files FROM r WINDOW w AS (PARTITION BY nightdate ORDER BY rt))"""
+LAST = " SELECT nightdate, max(release_no) AS releases, CAST(max(n_files) AS BIGINT) AS n_files, CAST(min(n_files) AS BIGINT) AS first_files FROM o GROUP BY nightdate"
+
+
+def _sides(spark, sf):
+    a = table(spark, sf, "exposures").where("image_id % 3 = 0").select(F.concat(F.lit("/7DT01/"), "image_id", F.lit(".fits")).alias("path"), "unit", F.col("nightdate").cast("string").alias("nightdate"), F.concat(F.lit("b"), F.col("image_id") % 4).alias("batch_key"), (F.col("image_id") % 50 == 7).alias("is_too"), F.col("ts").cast("timestamp").alias("ts"))
+    m = a.where("NOT is_too AND nightdate <> '2024-01-10'").select("nightdate", "batch_key").distinct()
+    return a, m.unionByName(m.limit(1).select(F.lit("2024-01-12").alias("nightdate"), F.lit("never").alias("batch_key")))
+
+
+def _summary(releases):
+    return releases.groupBy("nightdate").agg(F.max("release_no").alias("releases"), F.max("n_files").alias("n_files"), F.min("n_files").alias("first_files"))
+
+
+@query(ARR + LAST)
+def r3_r4_gate_batch(spark, sf):
+    return _summary(arrivals.gate_batch(*_sides(spark, sf)))
+
+
+@query(ARR + LAST)
+def r3_r4_gate_stream(spark, sf):
+    a, m = _sides(spark, sf)
+    a = durable(a.repartition(1).sortWithinPartitions("ts"))
+    source = spark.readStream.schema(a.schema).parquet(a.inputFiles()[0].rsplit("/", 1)[0])
+    name = f"gate_{uuid.uuid4().hex}"
+    q = arrivals.gate_stream(source, durable(m)).writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return _summary(spark.table(name))
+
+
+@query(ARR + " SELECT m.* FROM m ANTI JOIN (SELECT * FROM a WHERE NOT is_too) b USING (nightdate, batch_key)")
+def u4_missing_batches(spark, sf):
+    return arrivals.missing_batches(*_sides(spark, sf))
+
+
+@query(ARR + """, g AS (SELECT ts, path, CASE WHEN ts - lag(ts) OVER (ORDER BY ts) < INTERVAL 600 SECONDS THEN 0 ELSE 1 END AS n FROM a), s AS (SELECT *, sum(n) OVER (ORDER BY ts) AS s FROM g) SELECT strftime(min(ts), '%Y%m%d_%H%M%S') AS start, count(*) AS n FROM s GROUP BY s""")
+def r2_debounce(spark, sf):
+    a, _ = _sides(spark, sf)
+    return arrivals.debounce(a, "600 seconds").select(F.date_format("start", "yyyyMMdd_HHmmss").alias("start"), "n")
+
+
+@query(ARR + " SELECT unit, count(*) AS n FROM (SELECT unit FROM exposures WHERE kind = 'bias' UNION ALL SELECT unit FROM exposures WHERE kind = 'flat' UNION ALL SELECT unit FROM exposures WHERE kind = 'science' AND image_id % 4 = 3) GROUP BY unit")
+def u5_union_of_types(spark, sf):
+    e = table(spark, sf, "exposures")
+    return e.where("kind = 'bias'").select("unit").unionByName(e.where("kind = 'flat'").select("unit")).unionByName(e.where("kind = 'science' AND image_id % 4 = 3").select("unit")).groupBy("unit").agg(F.count("*").alias("n"))
+
+
+@query(with_("ref") + " SELECT source_id, arg_min(ra, src) AS ra, arg_min(mag, src) AS mag FROM (SELECT source_id, ra, mag, 1 AS src FROM ref WHERE source_id % 3 <> 0 UNION ALL SELECT source_id, ra + 1, NULL, 2 FROM ref WHERE source_id % 2 = 0) GROUP BY source_id")
+def s6_u1_stack_unique(spark, sf):
+    from starloom.sources.files import stack_catalogs
+
+    r = table(spark, sf, "ref").select("source_id", "ra", "mag")
+    a = r.where("source_id % 3 <> 0").withColumn("src", F.lit(1))
+    b = r.where("source_id % 2 = 0").select("source_id", (F.col("ra") + 1).alias("ra"), F.lit(2).alias("src"))
+    return stack_catalogs(a, b, key="source_id", order="src").select("source_id", "ra", F.when(F.col("src") == 1, F.col("mag")).alias("mag"))

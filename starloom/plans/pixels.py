@@ -1,0 +1,217 @@
+"""Queries: pixel stacks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from starloom.fixtures import table, with_
+from starloom.operators import pixels
+from starloom.plans.registry import query
+
+PX = with_("pixels")
+H, WD = 25, 40
+FW = PX + ", p AS (SELECT *, 1 + frame * 0.01e0 AS f FROM pixels), ok AS (SELECT *, f * v AS fv, w / (f * f) AS ww FROM p WHERE v <> 0)"
+
+
+def _px(spark, sf):
+    return table(spark, sf, "pixels")
+
+
+def _fw(spark, sf):
+    return _px(spark, sf).withColumn("f", 1 + F.col("frame") * 0.01)
+
+
+def _r(df, *names, digits=6):
+    return df.withColumns({n: F.round(n, digits) for n in names})
+
+
+@query(PX + ", md AS (SELECT frame, median(v) AS m FROM pixels GROUP BY frame) SELECT y, x, round(median(v / m), 6) AS v, round(stddev_samp(v / m), 6) AS sd FROM pixels JOIN md USING (frame) GROUP BY y, x")
+def p1_master_combine(spark, sf):
+    return _r(pixels.master_combine(_px(spark, sf), normalise=True), "v", "sd")
+
+
+@query(PX + ", b AS (SELECT y, x, 3e0 + x % 5 AS m FROM pixels WHERE frame = 0) SELECT y, x, round(avg(v - m), 6) AS v, round(stddev_samp(v - m), 6) AS sd FROM pixels JOIN b USING (y, x) GROUP BY y, x")
+def p1_master_subtract_mean(spark, sf):
+    d = _px(spark, sf)
+    return _r(pixels.master_combine(d, d.where("frame = 0").selectExpr("y", "x", "3e0 + x % 5 AS m"), method="mean"), "v", "sd")
+
+
+CL = ", ".join(f"c{i} AS (SELECT c{i - 1}.* FROM c{i - 1} JOIN (SELECT {{k}}, avg(v) AS c, stddev_samp(v) AS s FROM c{i - 1} GROUP BY {{k}}) USING ({{k}}) WHERE abs(v - c) < 3.0 * s)" for i in range(1, 6))
+
+
+@query(PX + ", c0 AS (SELECT 1 AS k, y, x, v FROM pixels WHERE frame = 3), " + CL.format(k="k") + ", s AS (SELECT median(v) AS m, stddev_pop(v) AS s FROM c5) SELECT y, x, abs(v - m) > 0.8 * s AS bad FROM c0, s")
+def p2_outlier_mask(spark, sf):
+    return pixels.outlier_mask(_px(spark, sf).where("frame = 3"), 0.8).select("y", "x", "bad")
+
+
+@query(PX + ", m AS (SELECT a.y, a.x, a.v AS b, d.v AS d, f.v AS f FROM pixels a JOIN pixels d USING (y, x) JOIN pixels f USING (y, x) WHERE a.frame = 0 AND d.frame = 1 AND f.frame = 2) SELECT frame, p.y, p.x, round((v - b - d) / nullif(f, 0), 6) AS v FROM pixels p JOIN m USING (y, x) WHERE frame > 2")
+def p3_science_reduction(spark, sf):
+    d = _px(spark, sf)
+    return _r(pixels.reduce_science(d.where("frame > 2"), *(d.where(f"frame = {k}") for k in range(3))), "v")
+
+
+@query(FW + " SELECT y, x, round(sum(ww * fv) / sum(ww), 6) AS v, round(sum(ww), 6) AS weight, count(*) AS n FROM ok GROUP BY y, x")
+def p4_weighted_coadd(spark, sf):
+    return _r(pixels.mean_coadd(_fw(spark, sf)), "v", "weight")
+
+
+PEN = "CASE WHEN n <= 2 THEN 1e0 WHEN n <= 3 THEN 1 + 0.3463e0 * (1e0 / n - 1e0 / 2) / (1e0 / 3 - 1e0 / 2) WHEN n <= 5 THEN 1.3463e0 + (1.4341e0 - 1.3463e0) * (1e0 / n - 1e0 / 3) / (1e0 / 5 - 1e0 / 3) ELSE 1.4341e0 + (1.5088e0 - 1.4341e0) * (1e0 / n - 1e0 / 5) / (1e0 / 11 - 1e0 / 5) END"
+
+
+@query(FW + f", g AS (SELECT y, x, median(fv) AS v, sum(1 / ww) AS s, count(*) AS n FROM ok GROUP BY y, x) SELECT y, x, round(v, 6) AS v, round(n * n / s / ({PEN}), 6) AS weight, n FROM g")
+def p5_p7_median_coadd(spark, sf):
+    f = _fw(spark, sf).withColumn("w", F.col("w"))
+    return _r(pixels.median_coadd(f), "v", "weight")
+
+
+@query(FW + ", c AS (SELECT y, x, median(fv) AS c FROM ok GROUP BY y, x) SELECT y, x, round(sum(ww * fv) / sum(ww), 6) AS v, round(sum(ww), 6) AS weight, count(*) AS n FROM ok JOIN c USING (y, x) WHERE abs(fv - c) <= 3 * f / sqrt(w) + 0.1 * abs(c) GROUP BY y, x")
+def p6_clipped_coadd(spark, sf):
+    return _r(pixels.clipped_coadd(_fw(spark, sf)), "v", "weight").where("n > 0")
+
+
+@query(PX + ", g AS (SELECT sum(w) * sum(w) / sum(w * w / (1 + frame * 0.1e0)) AS g FROM pixels WHERE v <> 0 GROUP BY y, x) SELECT round(median(g), 6) AS gain FROM g")
+def p7_effective_gain(spark, sf):
+    return _r(pixels.effective_gain(_px(spark, sf).withColumn("gain", 1 + F.col("frame") * 0.1)), "gain")
+
+
+@query(PX + " SELECT frame, y + frame - 3 AS y, x - frame AS x, v FROM pixels WHERE y + frame - 3 BETWEEN 0 AND 19 AND x - frame BETWEEN 0 AND 29")
+def p8_registration(spark, sf):
+    d = _px(spark, sf)
+    o = d.select("frame").distinct().select("frame", (F.col("frame") - 3).alias("y0"), (-F.col("frame")).alias("x0"))
+    return pixels.register(d.select("frame", "y", "x", "v"), o, 20, 30)
+
+
+@query(PX + " SELECT y, x, round(sum(w), 6) AS w FROM pixels GROUP BY y, x")
+def p9_weight_sum(spark, sf):
+    return _r(pixels.weight_sum(_px(spark, sf)), "w")
+
+
+@query(PX + " SELECT a.y, a.x, CASE WHEN a.v <> 0 AND b.v <> 0 THEN round(a.v - 0.5e0 * b.v, 6) END AS v FROM pixels a LEFT JOIN pixels b ON b.frame = 1 AND b.y + 2 = a.y AND b.x - 1 = a.x WHERE a.frame = 0")
+def p10_difference(spark, sf):
+    d = _px(spark, sf)
+    return _r(pixels.difference(d.where("frame = 0"), d.where("frame = 1"), 0.5, 2, -1), "v")
+
+
+@query(PX + " SELECT y, x, a.v = 0 OR coalesce(b.v, 0) = 0 AS masked, CASE WHEN a.v = 0 OR coalesce(b.v, 0) = 0 THEN 0 ELSE round(a.v - b.v, 6) END AS v FROM (SELECT * FROM pixels WHERE frame = 0) a FULL JOIN (SELECT * FROM pixels WHERE frame = 1 AND x < 30) b USING (y, x)")
+def p11_zero_mask(spark, sf):
+    d = _px(spark, sf)
+    return _r(pixels.zero_mask(d.where("frame = 0"), d.where("frame = 1 AND x < 30")), "v")
+
+
+@query(PX + """, m AS (SELECT y, x, CASE WHEN x % 13 = 0 THEN 0e0 ELSE 1 + (x % 7) / 10e0 END AS flat, 0.01e0 AS flat_err, y - 3e0 AS dark FROM pixels WHERE frame = 0),
+ q AS (SELECT frame, p.y, p.x, flat, (power(6e0 / 2, 2) + greatest(v * flat, 0) / 2 + greatest(dark, 0) / 2 + power(v * flat_err, 2)) AS s FROM pixels p JOIN m USING (y, x)) SELECT frame, y, x, CASE WHEN flat = 0 THEN 0 ELSE round(flat * flat / s, 8) END AS w FROM q""")
+def p12_noise_weight(spark, sf):
+    d = _px(spark, sf)
+    m = d.where("frame = 0").selectExpr("y", "x", "CASE WHEN x % 13 = 0 THEN NULL ELSE 1 + (x % 7) / 10e0 END AS flat", "0.01e0 AS flat_err", "y - 3e0 AS dark")
+    return _r(pixels.noise_weight(d.select("frame", "y", "x", "v"), m, 6.0, 2.0), "w", digits=8)
+
+
+@query(PX + ", g AS (SELECT b.frame, b.y, b.x, median(n.v) AS m FROM pixels b JOIN pixels n ON n.frame = b.frame AND NOT n.bad AND n.y BETWEEN b.y - 1 AND b.y + 1 AND n.x BETWEEN b.x - 1 AND b.x + 1 WHERE b.bad GROUP BY ALL) SELECT frame, y, x, round(CASE WHEN bad THEN coalesce(m, 0) ELSE v END, 6) AS v FROM pixels LEFT JOIN g USING (frame, y, x)")
+def p13_interpolate_bad(spark, sf):
+    return _r(pixels.interpolate_bad(_px(spark, sf)).select("frame", "y", "x", "v"), "v")
+
+
+@query(PX + " SELECT frame, y // 4 AS y, x // 3 AS x, round(avg(v), 6) AS v FROM pixels WHERE y < 24 AND x < 39 GROUP BY ALL")
+def p14_block_bin(spark, sf):
+    return _r(pixels.block_bin(_px(spark, sf), 4, 3, H, WD), "v")
+
+
+@query(PX + ", c0 AS (SELECT frame, v FROM pixels), " + CL.format(k="frame") + ", s AS (SELECT frame, count(*) AS n, round(avg(v), 6) AS mean, round(median(v), 6) AS median, round(stddev_pop(v), 6) AS std FROM c5 GROUP BY frame) SELECT s.*, lo, hi, centre FROM s JOIN (SELECT frame, min(v) AS lo, max(v) AS hi, round(median(CASE WHEN y BETWEEN 7 AND 16 AND x BETWEEN 15 AND 24 THEN v END), 6) AS centre FROM pixels GROUP BY frame) USING (frame)")
+def p15_frame_statistics(spark, sf):
+    return _r(pixels.frame_statistics(_px(spark, sf), H, WD, 10), "mean", "median", "std", "centre")
+
+
+@query(PX + """, g AS (SELECT frame, median(CASE WHEN y < 6 AND x < 6 THEN v END) AS tl, median(CASE WHEN y < 6 AND x >= 34 THEN v END) AS tr, median(CASE WHEN y >= 19 AND x < 6 THEN v END) AS bl, median(CASE WHEN y >= 19 AND x >= 34 THEN v END) AS br,
+ median(CASE WHEN y BETWEEN 9 AND 15 AND x BETWEEN 17 AND 23 THEN v END) AS c FROM pixels GROUP BY frame) SELECT frame, round((greatest(tl, tr, bl, br) - least(tl, tr, bl, br)) / c, 6) AS edgevar, round((tl + tr + bl + br) / 4 - c, 6) AS edge_centre FROM g""")
+def p15_p17_edges(spark, sf):
+    return _r(pixels.edge_variation(_px(spark, sf), H, WD, 6), "edgevar", "edge_centre")
+
+
+@query(PX + """, l AS (SELECT frame, min(v) AS l FROM pixels WHERE NOT bad GROUP BY frame), s AS (SELECT frame, y, x, CASE WHEN l <= 0 THEN v - l + 1 ELSE v END AS v FROM pixels JOIN l USING (frame) WHERE NOT bad), c AS (SELECT frame, avg(v) AS m, stddev_pop(v) AS s FROM s GROUP BY frame, y // 5, x // 8)
+ SELECT frame, round(-log10(stddev_pop(m) / avg(m) + 0.5 * avg(s / m)), 6) AS uniformity FROM c GROUP BY frame""")
+def p16_uniformity(spark, sf):
+    return _r(pixels.uniformity(_px(spark, sf), 5, 8), "uniformity")
+
+
+@query(PX + " SELECT round(sqrt(avg(power(a.v / b.v - 1, 2))), 6) AS rms FROM pixels a JOIN pixels b USING (y, x) WHERE a.frame = 0 AND b.frame = 1 AND b.v <> 0")
+def p17_relative_rms(spark, sf):
+    d = _px(spark, sf)
+    return _r(pixels.relative_rms(d.where("frame = 0"), d.where("frame = 1")), "rms")
+
+
+PROF = PX + ", pr AS (SELECT frame, x, median(v) AS v FROM pixels WHERE y % 3 = 0 GROUP BY frame, x)"
+
+
+@query(PROF + " SELECT frame, x, round(v, 6) AS v FROM pr")
+def p18_column_profile(spark, sf):
+    return _r(pixels.column_profile(_px(spark, sf), 3), "v")
+
+
+@query(PROF + """, b AS (SELECT frame, x // 8 AS b, median(v) AS base FROM pr GROUP BY 1, 2), r AS (SELECT pr.frame, pr.x, v - base AS r FROM pr JOIN b ON b.frame = pr.frame AND b.b = pr.x // 8), n AS (SELECT frame, 1.4826 * median(abs(r)) AS noise FROM r GROUP BY frame),
+ z AS (SELECT a.frame, k, abs(sum(c.r)) / sqrt(k + 1) AS z FROM r a CROSS JOIN (SELECT unnest([0, 1, 2, 3, 4]) AS k) JOIN r c ON c.frame = a.frame AND c.x BETWEEN a.x - k AND a.x GROUP BY a.frame, a.x, k) SELECT frame, round(max(z / noise), 6) AS score FROM z JOIN n USING (frame) GROUP BY frame""")
+def p19_shifted_score(spark, sf):
+    return _r(pixels.shifted_score(pixels.column_profile(_px(spark, sf), 3)), "score")
+
+
+@query(PROF + """, q AS (SELECT frame, x, CAST(floor((v - avg(v) OVER (PARTITION BY frame ORDER BY x ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)) / 60) AS BIGINT) AS level FROM pr), n AS (SELECT *, CASE WHEN level <> lag(level) OVER (PARTITION BY frame ORDER BY x) THEN 1 WHEN x = 0 THEN 1 ELSE 0 END AS n FROM q),
+ r AS (SELECT *, sum(n) OVER (PARTITION BY frame ORDER BY x) AS run FROM n) SELECT frame, CAST(run AS BIGINT) AS run, level, count(*) AS n FROM r GROUP BY ALL""")
+def p20_step_runs(spark, sf):
+    return pixels.steps(pixels.column_profile(_px(spark, sf), 3), 6, 60.0)
+
+
+@query(PX + ", c0 AS (SELECT frame * 100 + (y // 10) * 10 + x // 10 AS k, v FROM pixels WHERE NOT bad), " + CL.format(k="k") + " SELECT k, round(median(v), 6) AS level, round(stddev_pop(v), 6) AS sigma FROM c5 GROUP BY k")
+def p22_mesh_background(spark, sf):
+    m = pixels.mesh_background(_px(spark, sf), 10)
+    return _r(m.select((F.col("frame") * 100 + F.col("cy") * 10 + F.col("cx")).alias("k"), "level", "sigma"), "level", "sigma")
+
+
+@query(PX + """, s AS (SELECT frame AS image_id, x + 0.25e0 AS sx, y + 0.5e0 AS sy, 2e0 + frame % 3 AS a, 1e0 AS b, radians(frame * 20e0) AS t FROM pixels WHERE (x * 7 + y * 11) % 83 = 0),
+ e AS (SELECT image_id, p.y, p.x, (p.x - sx) * cos(t) + (p.y - sy) * sin(t) AS u, (p.y - sy) * cos(t) - (p.x - sx) * sin(t) AS w, a, b FROM s JOIN pixels p ON p.frame = 0 AND p.x BETWEEN floor(sx) - 6 AND floor(sx) + 6 AND p.y BETWEEN floor(sy) - 6 AND floor(sy) + 6)
+ SELECT DISTINCT image_id, y, x FROM e WHERE power(u / greatest(a * 1.2, 1.5), 2) + power(w / greatest(b * 1.2, 1.5), 2) <= 1""")
+def p23_source_mask(spark, sf):
+    s = _px(spark, sf).where("(x * 7 + y * 11) % 83 = 0").selectExpr("frame AS image_id", "x + 0.25e0 AS x", "y + 0.5e0 AS y", "2e0 + frame % 3 AS a", "1e0 AS b", "frame * 20e0 AS theta")
+    return pixels.source_mask(s, 1.2, 1.5, 6, H, WD)
+
+
+@query(PX + """, k AS (SELECT i, exp(-i * i / (2 * 1.5e0 * 1.5e0)) AS k FROM (SELECT unnest([-3, -2, -1, 0, 1, 2, 3]) AS i)), n AS (SELECT i, k / (SELECT sum(k) FROM k) AS k FROM k)
+ SELECT a.frame, a.y, a.x, round(sum(b.v * n.k * m.k), 6) AS v FROM pixels a CROSS JOIN n CROSS JOIN n m JOIN pixels b ON b.frame = a.frame AND b.y = a.y - n.i AND b.x = a.x - m.i WHERE a.frame < 2 GROUP BY ALL""")
+def p24_gaussian(spark, sf):
+    return _r(pixels.gaussian(_px(spark, sf).where("frame < 2"), 1.5, 3), "v")
+
+
+@query(PX + ", s AS (SELECT frame, v FROM pixels WHERE y % 8 = 0 AND v <> 0), m AS (SELECT frame, median(v) AS m FROM s GROUP BY frame) SELECT frame, CASE WHEN count(*) >= 155 THEN round(1.4826 * median(abs(v - m)), 6) END AS sigma FROM s JOIN m USING (frame) GROUP BY frame")
+def p25_robust_sky_sigma(spark, sf):
+    return _r(pixels.robust_sky_sigma(_px(spark, sf), 8, 155), "sigma")
+
+
+@query(PX + ", s AS (SELECT DISTINCT frame, power((1 + frame * 0.1e0) * (2 + frame), -2) AS w FROM pixels) SELECT frame, round(w, 8) AS w, round(w / (SELECT sum(w) FROM s), 8) AS share, round(sqrt((SELECT sum(w) FROM s)), 8) AS total FROM s")
+def p26_optimal_scalars(spark, sf):
+    s = _px(spark, sf).select("frame").distinct().select("frame", (1 + F.col("frame") * 0.1).alias("f"), (2.0 + F.col("frame")).alias("s"))
+    return _r(pixels.optimal_scalars(s), "w", "share", "total", digits=8)
+
+
+@query(PX + """, t AS (SELECT 1 AS target, 10.3e0 AS ty, 20.4e0 AS tx UNION ALL SELECT 2, 15e0, 8.7e0), j AS (SELECT frame, target, v, sqrt(power(x - tx, 2) + power(y - ty, 2)) AS d FROM pixels, t),
+ g AS (SELECT frame, target, sum(v) FILTER (WHERE d <= 2.5) - count(*) FILTER (WHERE d <= 2.5) * median(v) FILTER (WHERE d BETWEEN 4 AND 6) AS flux, count(*) FILTER (WHERE d <= 2.5) AS n, stddev_pop(v) FILTER (WHERE d BETWEEN 4 AND 6) AS sd FROM j GROUP BY ALL),
+ e AS (SELECT *, sqrt(greatest(flux, 0) / 2 + n * sd * sd) AS err FROM g), u AS (SELECT *, flux <= 0 OR flux < 3 * err AS upper FROM e)
+ SELECT frame, target, round(flux, 5) AS flux, round(err, 5) AS err, round(25 - 2.5 * log10(CASE WHEN upper THEN 3 * err ELSE flux END), 5) AS mag, CASE WHEN NOT upper THEN round(sqrt(power(2.5 / ln(10) * err / flux, 2) + 0.0004), 5) END AS magerr, upper FROM u""")
+def p27_a30_forced_photometry(spark, sf):
+    t = spark.createDataFrame([(1, 10.3, 20.4), (2, 15.0, 8.7)], "target int, ty double, tx double")
+    return _r(pixels.forced_photometry(_px(spark, sf), t, 2.5, 4.0, 6.0, 2.0, 25.0, 0.02), "flux", "err", "mag", "magerr", digits=5)
+
+
+@query(PX + " SELECT a.frame, a.y, a.x, min(CASE WHEN b.v <> 0 THEN 1 ELSE 0 END) = 1 AS ok FROM pixels a JOIN pixels b ON b.frame = a.frame AND b.y BETWEEN a.y - 2 AND a.y + 2 AND b.x BETWEEN a.x - 2 AND a.x + 2 GROUP BY ALL")
+def p28_eroded_footprint(spark, sf):
+    return pixels.erode(_px(spark, sf), 2)
+
+
+@query(PX + " SELECT frame, y, x, CASE frame WHEN 0 THEN 1e0 WHEN 1 THEN 1e0 ELSE round(1e0 / (frame * frame), 8) END AS w FROM pixels")
+def a32_stack_weights(spark, sf):
+    d = _px(spark, sf).drop("w").withColumn("skysig", F.when(F.col("frame") > 0, F.col("frame").cast("double")))
+    return _r(pixels.stack_weights(d).select("frame", "y", "x", "w"), "w", digits=8)
+
+
+@query(PX + " SELECT y, x, round(median(v), 6) AS v FROM pixels WHERE v <> 0 GROUP BY y, x")
+def p5_tile_median(spark, sf):
+    t = pixels.tile_median(pixels.to_tiles(_px(spark, sf), 8))
+    cells = t.select("ty", "tx", "w", F.posexplode("data").alias("k", "v"))
+    return cells.select((F.col("ty") * 8 + F.floor(F.col("k") / F.col("w"))).alias("y"), (F.col("tx") * 8 + F.col("k") % F.col("w")).alias("x"), F.round("v", 6).alias("v"))
