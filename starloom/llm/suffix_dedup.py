@@ -189,7 +189,7 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = docs.withColumns({"_id": F.coalesce(F.col("doc_id"), F.lit(LAST)), "_dig": F.xxhash64("text")})
     plain = texts.select(F.col("_id").alias("id"), F.col("_dig").alias("dig"), "text")
     found = plain.mapInArrow(_anchor_hashes, "id long, dig long, anchors array<struct<h: long, pos: int>>").select("id", "dig", F.explode("anchors").alias("a")).select("id", "dig", "a.h", "a.pos")
-    often = found.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
+    often = durable(found.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h"))
     chosen = durable(found.join(often, "h", "left_semi").groupBy("id", "dig").agg(F.collect_set("pos").alias("at")))
     contexts = plain.join(chosen, ["id", "dig"]).select("id", "dig", "text", "at").mapInArrow(_contexts, "id long, dig long, pos int, lead binary, b1 binary, b2 binary, b3 binary")
     distinct = durable(contexts.groupBy("lead", "b1", "b2", "b3").agg(F.min("id").alias("least"), F.count("*").alias("docs")))
