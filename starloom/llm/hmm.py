@@ -31,7 +31,7 @@ STATES = 8
 PASSES = 4
 SMOOTH = 100.0
 """Weight, in tokens, of the corpus distribution in each state's emissions."""
-FLUSH = 600_000
+FLUSH = 200_000
 """Distinct words that a task holds before it hands them on."""
 
 
@@ -157,7 +157,7 @@ def first_guess(vocab: Vocabulary, states: int, seed: int = 4) -> Hmm:
     return Hmm(np.full(states, 1 / states), trans, emit / emit.sum(0))
 
 
-def groups(column: pa.Array, most: int = 300_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def groups(column: pa.Array, most: int = 150_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Texts of like length together: (rows, ids in order of time then text, first place of each time, texts at each time)."""
     data, offsets = utf8(column)
     ids, bounds = data.view(np.uint16) if len(data) else np.zeros(0, np.uint16), offsets // 2
