@@ -95,7 +95,7 @@ def parse_raw(name: Column) -> dict[str, Column]:
     """Parts of unit_date_time_object_filter_bin_exptime; the object may hold underscores."""
     p = F.split(F.regexp_replace(name, r"\.fits$", ""), "_")
     n = F.size(p)
-    return {"unit": p[0], "ts": F.try_to_timestamp(F.concat(p[1], p[2]), F.lit("yyyyMMddHHmmss")), "obj": F.array_join(F.slice(p, 4, F.greatest(n - 6, F.lit(0))), "_"), "filt": F.element_at(p, -3), "binning": F.regexp_extract(F.element_at(p, -2), r"^(\d+)x", 1).try_cast("int"), "exptime": F.regexp_extract(F.element_at(p, -1), r"^(\d+)s", 1).try_cast("int")}
+    return {"unit": p[0], "ts": F.try_to_timestamp(F.concat(F.get(p, 1), F.get(p, 2)), F.lit("yyyyMMddHHmmss")), "obj": F.array_join(F.slice(p, 4, F.greatest(n - 6, F.lit(0))), "_"), "filt": F.try_element_at(p, F.lit(-3)), "binning": F.regexp_extract(F.try_element_at(p, F.lit(-2)), r"^(\d+)x", 1).try_cast("int"), "exptime": F.regexp_extract(F.try_element_at(p, F.lit(-1)), r"^(\d+)s", 1).try_cast("int")}
 
 
 def type_tuple(name: Column) -> dict[str, Column]:

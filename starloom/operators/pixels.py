@@ -243,7 +243,7 @@ def optimal_scalars(scalars: DataFrame) -> DataFrame:
 
 
 def erode(frames: DataFrame, n: int) -> DataFrame:
-    """(frame, y, x, ok): valid pixels after n erosions by a 3 x 3 box; beyond the border counts as valid, and frames without gaps stay whole."""
+    """(frame, y, x, ok): valid pixels after n erosions by a 3 x 3 box; beyond the border counts as valid, and frames without gaps stay whole. Images are whole rectangles."""
     ok = frames.select("frame", *XY, valid().cast("int").alias("m"))
     for a, b in (("x", "y"), ("y", "x")):
         ok = ok.withColumn("m", F.min("m").over(W.partitionBy("frame", b).orderBy(a).rangeBetween(-n, n)))

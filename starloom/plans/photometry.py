@@ -55,7 +55,7 @@ def e1_calibrated_columns(spark, sf):
     return table(spark, sf, "det").join(z, "filt").select("det_id", *[F.round(v, digits[k]).alias(k) for k, v in c.items()])
 
 
-@query(ZP + """ SELECT filt, round(zp - 2.5 * log10(3 * sqrt(pi()) * 8 / 2 * 25), 3) AS ul3, round(zp - 2.5 * log10(5 * sqrt(pi()) * 8 / 2 * 25), 3) AS ul5, round(sqrt(zperr * zperr + 0.0001), 6) AS rss, round(2.5 * 3.2, 4) AS d1, round(3 / 0.505, 4) AS d2 FROM z WHERE ap = 1""")
+@query(ZP + """ SELECT filt, round(zp - 2.5 * log10(3 * sqrt(pi()) * 8 / 2 * 25), 3) AS ul3, round(zp - 2.5 * log10(5 * sqrt(pi()) * 8 / 2 * 25), 3) AS ul5, round(sqrt(zperr * zperr + 0.0001), 6) AS rss, round(2.5e0 * 3.2e0, 4) AS d1, round(3 / 0.505e0, 4) AS d2 FROM z WHERE ap = 1""")
 def e2_depths_and_apertures(spark, sf):
     z = zero_point_table(spark, sf).where("ap = 1")
     d = photometry.aperture_diameters(F.lit(3.2), 0.505, {"d1": 2.5}, {"d2": 3.0})

@@ -16,7 +16,8 @@ UNIT_PATH = r"/7DT(0[1-9]|1\d|20)/.*\.fits$"
 
 def new_files(spark: SparkSession, folder: str) -> DataFrame:
     """A stream of (path, ts) of .fits files under a unit's folder; contents are not read."""
-    files = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.fits").load(folder)
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    files = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.fits").load(folder)
     return files.select("path", F.col("modificationTime").alias("ts")).where(F.col("path").rlike(UNIT_PATH))
 
 
