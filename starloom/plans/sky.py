@@ -85,7 +85,7 @@ def j7_centroid(spark, sf):
     return table(spark, sf, "det").groupBy("image_id").agg(F.round(ra, 6).alias("ra"), F.round(dec, 6).alias("dec"))
 
 
-@query()
+@query(CATS + f" SELECT id, cat FROM cats b WHERE NOT EXISTS (SELECT 1 FROM cats a WHERE a.source_id = b.source_id AND a.id < b.id AND {HAV.format(a='a', b='b')} < 0.15)")
 def j8_drop_close(spark, sf):
     cats = _cats(spark, sf).withColumn("pos", F.col("id"))
     return skyjoin.drop_close(durable(cats), 0.15, durable).select("id", "cat")
@@ -108,7 +108,17 @@ def j21_magnitude_at_position(spark, sf):
     return skyjoin.nearest_pixels(det.select("image_id", "det_id", "x", "y"), targets, 4.0).withColumn("dist", F.round("dist", 6))
 
 
-@query()
+def _lattice_sql(width: float, height: float) -> str:
+    """Nine picks one after the other, each of what the earlier ones left."""
+    picks: list[str] = []
+    for t in range(9):
+        d = f"power(x - {width * (2 * (t % 3) + 1) / 6!r}, 2) + power(y - {height * (2 * (t // 3) + 1) / 6!r}, 2)"
+        free = " AND ".join(f"NOT EXISTS (SELECT 1 FROM k{i} WHERE k{i}.image_id = det.image_id AND k{i}.det_id = det.det_id)" for i in range(t)) or "true"
+        picks.append(f"k{t} AS (SELECT image_id, {t} AS target, arg_min(det_id, ({d}, det_id)) AS det_id FROM det WHERE {free} GROUP BY image_id)")
+    return f"{with_('det')}, {', '.join(picks)} " + " UNION ALL ".join(f"SELECT * FROM k{t}" for t in range(9))
+
+
+@query(_lattice_sql(9576.0, 6388.0))
 def j22_lattice_stars(spark, sf):
     return skyjoin.lattice(table(spark, sf, "det"), 9576.0, 6388.0)
 
