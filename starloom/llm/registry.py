@@ -65,5 +65,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_suffix_dedup, op2_sentencepiece, op3_language_id, op4_media_columns, op5_near_copies, op6_mix_sources, op7_hmm_score, op8_shards, op9_toxicity, op10_host_rules)}
 
 
+RULE_SQL = {"too_short": "n_words < 20", "repetitive": "100 * n_repeat_words > 30 * n_words", "symbols": "10 * n_symbols > word_chars", "dup_lines": "10 * n_dup_lines > 3 * n_lines"}
+
+
+def _host_rules_sql() -> str:
+    """The measures, the beta prior by moments and the verdicts in DuckDB's SQL."""
+    word, gap = r"[^\x20\x09-\x0D]", r"[\x20\x09-\x0D]"
+    rates = ", ".join(f"sum(CASE WHEN {rule} THEN 1 ELSE 0 END) AS {r}" for r, rule in RULE_SQL.items())
+    moments = ", ".join(f"sum({r}) / sum(n) AS m_{r}, var_pop({r} / n) AS v_{r}" for r in RULE_SQL)
+    weight = "CASE WHEN hosts < 2 THEN 1.0 WHEN v_{r} > 0 THEN least(1000.0, greatest(1.0, m_{r} * (1 - m_{r}) / v_{r} - 1)) ELSE 1000.0 END"
+    ok = " AND ".join("({r} + m_{r} * k_{r}) / (n + k_{r}) <= 0.5".format(r=r) for r in RULE_SQL)
+    weights = ", ".join(weight.format(r=r) + f" AS k_{r}" for r in RULE_SQL)
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+     w AS (SELECT *, regexp_extract_all(t, '{word}+') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{word}')) AS ls FROM d),
+     g AS (SELECT r, i, list_slice(ws, i, i + 7) AS win FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 6, 1))) AS i FROM w)),
+     again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS c FROM g) WHERE c > 1),
+     cover AS (SELECT r, sum(s) AS n_repeat_words FROM (SELECT r, least(8, coalesce(lead(i) OVER (PARTITION BY r ORDER BY i) - i, 8)) AS s FROM again) GROUP BY r),
+     m AS (SELECT doc_id, source, len(ws) AS n_words, length(regexp_replace(t, '{gap}', '', 'g')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+      len(ls) - len(list_distinct(ls)) AS n_dup_lines, len(ls) AS n_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN cover USING (r)),
+     h AS (SELECT source, CAST(count(*) AS DOUBLE) AS n, {rates} FROM m WHERE source IS NOT NULL GROUP BY source), s AS (SELECT count(*) AS hosts, {moments} FROM h), k AS (SELECT *, {weights} FROM s),
+     v AS (SELECT source, {ok} AS host_ok FROM h, k),
+     f AS (SELECT *, {RULE_SQL["too_short"]} OR {RULE_SQL["repetitive"]} AS base_failed FROM m)
+     SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+     base_failed, NOT base_failed AND coalesce(host_ok, true) AS kept FROM f LEFT JOIN v USING (source)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_host_rules": _host_rules_sql()}
