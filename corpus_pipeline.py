@@ -10,22 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import minhash, mixing, piece_codec, suffix_dedup, toxicity
-from starloom.llm.common import durable, load
+from starloom.llm.common import durable, load, small_batches
 from starloom.llm.registry import piece_model
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go. It learns from the labelled documents that are not held out."""
+    small_batches(spark)
     return toxicity.drop_toxic(docs, load(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies stays, that of the least id."""
+    small_batches(spark)
     return minhash.drop_near_copies(docs)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that a document with a smaller id has as well are cut out of the text."""
+    small_batches(spark)
     return suffix_dedup.cut_passages(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
@@ -36,6 +39,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, their digest, and the digest of what they decode to."""
+    small_batches(spark)
     return piece_codec.encode_texts(docs, piece_model(), with_ids=True)
 
 

@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import hmm, langid, media, minhash, mixing, piece_codec, quality, sharding, suffix_dedup, toxicity
-from starloom.llm.common import load
+from starloom.llm.common import load, small_batches
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return load(spark, sf_dir, "documents")
 
 
 def piece_model() -> str:
@@ -20,44 +25,44 @@ def piece_model() -> str:
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.repeated_passages(load(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return suffix_dedup.repeated_passages(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_codec.encode_texts(load(spark, sf_dir, "documents"), piece_model())
+    return piece_codec.encode_texts(documents(spark, sf_dir), piece_model())
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.language_id(load(spark, sf_dir, "documents"))
+    return langid.language_id(documents(spark, sf_dir))
 
 
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.media_digests(load(spark, sf_dir, "documents"))
+    return media.media_digests(documents(spark, sf_dir))
 
 
 def op5_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_classes(load(spark, sf_dir, "documents"))
+    return minhash.near_classes(documents(spark, sf_dir))
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+    return mixing.mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 def op7_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hmm.score_language(load(spark, sf_dir, "documents"))
+    return hmm.score_language(documents(spark, sf_dir))
 
 
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sharding.shard_rows(load(spark, sf_dir, "documents"))
+    rows = sharding.shard_rows(documents(spark, sf_dir))
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row_number")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+    return toxicity.toxicity(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
 
 
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = quality.quality_rules(load(spark, sf_dir, "documents"))
+    rows = quality.quality_rules(documents(spark, sf_dir))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
