@@ -95,7 +95,8 @@ class PieceCodec(dict):
 
     def check(self, texts: list[str], ours: list[list[int]]) -> list[bool]:
         """Compare the chunks merged since the last call, and the first text, with the library."""
-        theirs = self.library.encode([c[1:] for c, _ in self.fresh], num_threads=1)  # the library puts the first mark back
+        # the library puts the first mark back, but for an empty text
+        theirs = [[self.library.piece_to_id(c)] if c == MARK else ids for (c, _), ids in zip(self.fresh, self.library.encode([c[1:] for c, _ in self.fresh], num_threads=1), strict=True)]
         self.wrong |= {c for (c, ids), t in zip(self.fresh, theirs, strict=True) if ids != t}
         self.fresh.clear()
         agree = [True] * len(texts)
