@@ -38,4 +38,13 @@ def durable(df: DataFrame) -> DataFrame:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that durable() returned, once everything that reads them has been written."""
+    for table in tables:
+        hadoop = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._written_at)
+        hadoop.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
