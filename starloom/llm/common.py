@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.storage import durable, shared_dir  # noqa: F401
+from starloom.storage import discard, durable, shared_dir  # noqa: F401
 
 WORD = r"[^\x20\x09-\x0D]+"
 """A word is a run of anything but the six ASCII white-space characters."""

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import Rolling, durable, mix64, pieces
+from starloom.llm.common import Rolling, discard, durable, mix64, pieces
 
 LENGTH = 50
 K = 20
@@ -83,8 +83,7 @@ def _binary(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
 
 
 def _contexts(batches):
-    """(id, dig, pos, lead, b1, b2, b3): the bytes before an anchor that its windows hold, and its suffix in three blocks."""
-    third = -(-LENGTH // 3)
+    """(id, dig, pos, lead, around): the bytes that the windows of an anchor hold, and how many of them lie before it."""
     for batch in batches:
         wanted, bounds = batch.column(3).values.to_numpy(), batch.column(3).offsets.to_numpy()
         for lo, hi, data, offsets in pieces(batch.column(2)):
@@ -92,12 +91,10 @@ def _contexts(batches):
             mine = np.repeat(offsets[:-1], np.diff(bounds[lo: hi + 1])) + wanted[bounds[lo]: bounds[hi]]
             chosen = np.isin(a, mine)
             row, a, first, last = row[chosen], a[chosen], first[chosen], last[chosen]
-            end = last + LENGTH
-            cuts = [np.minimum(a + i * third, end) for i in range(4)]
             take = pa.array(row + lo)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array((a - offsets[row]).astype(np.int32)), _binary(data, first, a), *[_binary(data, x, y) for x, y in zip(cuts[:3], cuts[1:], strict=True)]],
-                ["id", "dig", "pos", "lead", "b1", "b2", "b3"])
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array((a - offsets[row]).astype(np.int32)), pa.array((a - first).astype(np.int32)), _binary(data, first, last + LENGTH)],
+                ["id", "dig", "pos", "lead", "around"])
 
 
 def _matrix(column: pa.Array, width: int, right: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +178,14 @@ def _verdicts(batches):
 
 
 def _keys() -> list[Column]:
-    return [F.xxhash64("lead", "b1", "b2", "b3").alias("k1"), F.xxhash64("b3", "b2", F.lit(1), "b1", "lead").alias("k2")]
+    return [F.xxhash64("lead", "around").alias("k1"), F.xxhash64(F.lit(1), "around", "lead").alias("k2")]
+
+
+def _blocks() -> list[Column]:
+    """The bytes before an anchor, and its suffix in three blocks."""
+    third, before = -(-LENGTH // 3), F.col("lead")
+    cuts = [before + i * third + 1 for i in range(3)]
+    return [F.substring("around", F.lit(1), before).alias("lead"), *[F.substring("around", at, F.lit(third)).alias(f"b{i + 1}") for i, at in enumerate(cuts)]]
 
 
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -191,13 +195,16 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = plain.mapInArrow(_anchor_hashes, "id long, dig long, anchors array<struct<h: long, pos: int>>").select("id", "dig", F.explode("anchors").alias("a")).select("id", "dig", "a.h", "a.pos")
     often = durable(found.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h"))
     chosen = durable(found.join(often, "h", "left_semi").groupBy("id", "dig").agg(F.collect_set("pos").alias("at")))
-    contexts = plain.join(chosen, ["id", "dig"]).select("id", "dig", "text", "at").mapInArrow(_contexts, "id long, dig long, pos int, lead binary, b1 binary, b2 binary, b3 binary")
-    distinct = durable(contexts.groupBy("lead", "b1", "b2", "b3").agg(F.min("id").alias("least"), F.count("*").alias("docs")))
-    ordered = distinct.select("lead", "b1", "b2", "b3", "least", "docs", *_keys()).repartitionByRange("b1").sortWithinPartitions("b1", "b2", "b3")
+    discard(often)
+    contexts = plain.join(chosen, ["id", "dig"]).select("id", "dig", "text", "at").mapInArrow(_contexts, "id long, dig long, pos int, lead int, around binary")
+    distinct = durable(contexts.groupBy("lead", "around").agg(F.min("id").alias("least"), F.count("*").alias("docs")))
+    ordered = distinct.select(*_blocks(), "least", "docs", *_keys()).repartitionByRange("b1").sortWithinPartitions("b1", "b2", "b3")
     verdicts = durable(ordered.mapInArrow(_verdicts, "k1 long, k2 long, runs array<struct<near: int, far: int, least: long>>"))
+    discard(distinct)
     hit = contexts.select("id", "dig", "pos", *_keys()).join(verdicts, ["k1", "k2"])
     hit = hit.select("id", "dig", F.expr("transform(filter(runs, r -> r.least < id), r -> struct(pos - r.far as s, pos - r.near + %d as e))" % LENGTH).alias("w")).where("size(w) > 0")
     spans = durable(hit.groupBy("id", "dig").agg(F.flatten(F.collect_list("w")).alias("spans")))
+    discard(chosen, verdicts)
     return texts, spans
 
 
