@@ -16,9 +16,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 """A word is a run of anything but the six ASCII white-space characters."""
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Session setting of the jobs over whole texts: Arrow batches of few rows, as texts may be long."""
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Session setting of the jobs over whole texts: Arrow batches of few rows and bytes, as texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
