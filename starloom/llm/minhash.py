@@ -10,9 +10,14 @@ Bands of ROWS coordinates give buckets; exact copies are one node (by SHA-256) b
 with a representative, and pairs are checked by the exact Jaccard similarity of the shingles. Nodes that share a bucket
 and are still in different components meet further members drawn at random, DRAWS in each of their buckets in each of
 ROUNDS rounds; after that, what is left in buckets of up to SMALL nodes is compared in full. Classes are the connected
-components. At similarity 0.8 a pair shares no bucket with a probability of 3e-6. In a larger bucket, a node joins a class
-there if one of the members it meets is similar enough; a node that is similar to a few members only, of a group of
-thousands, may be missed (comparing all pairs there would grow with the square of the group).
+components. At similarity 0.8 a pair shares no bucket with a probability of 3e-6.
+
+The exact rest of larger buckets. Their nodes are joined on rare elements instead of in pairs: elements are put in one order
+(those of a single component first, then by the nodes that hold them), and two texts of at least the wanted similarity
+share one of their first few, a fifth of the longer and a ninth of the shorter text at 0.8. Pairs that the lengths or the
+places of the shared element rule out are dropped in the join. Elements held by over SMALL nodes link them with one of them
+first, so families become components before their members are compared. Nothing is sampled or capped: what stays quadratic
+is a group of texts that share a rare element, fit in length, and are not similar to each other.
 
 Edge cases: texts with one to four words are one shingle; texts without words (null included) are in classes of their exact
 copies only; null ids are kept and never become a class id unless the class has no other; repeated rows share a class;
@@ -25,7 +30,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import Rolling, durable, mix64, pieces, word_spans
@@ -163,6 +168,33 @@ def _check(threshold: float, weights: str):
     return run
 
 
+def _element_lists(weights: str):
+    def run(batches):
+        for batch in batches:
+            for lo, hi, data, offsets in pieces(batch.column(2)):
+                h, row = elements(*shingles(data, offsets), weights)
+                ends = np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], ["node", "label", "es"])
+
+    return run
+
+
+def rare_elements(texts: DataFrame, threshold: float, weights: str) -> DataFrame:
+    """(e, node, n, pos, short) for each of texts (node, label, text): the elements of which two texts with different labels
+    and at least `threshold` share one; pos counts from 1 in the common order, short: also in the prefix of the shorter text."""
+    each = durable(texts.select("node", "label", "text").mapInArrow(_element_lists(weights), "node binary, label binary, es array<long>").select("node", "label", F.size("es").alias("n"), F.explode("es").alias("e")))
+    # elements of a single label cannot be shared by texts to be linked: they come first and need no rows
+    often = each.groupBy("e").agg(F.count("*").alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("e", "df")
+    mine = Window.partitionBy("node")
+    held = each.join(often, "e").withColumn("pos", F.col("n") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("df", "e")))
+    slack = 1e-9  # of rounding: a longer prefix is never wrong
+
+    def prefix(share: float) -> Column:
+        return F.col("n") - F.ceil(F.col("n") * (share - slack)) + 1
+
+    return held.where(F.col("pos") <= prefix(threshold)).select("e", "node", "n", "pos", (F.col("pos") <= prefix(2 * threshold / (1 + threshold))).alias("short"))
+
+
 def near_links(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "set") -> tuple[DataFrame, DataFrame]:
     """(members: doc_id, node; classes: node, root) - exact copies share a node, checked links join nodes."""
     known = docs.select("doc_id", digest(F.col("text")).alias("node"), "text")
@@ -184,6 +216,18 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "se
     tried = durable(shared.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct())
     edges = checked(tried)
     found = durable(components(edges))
+
+    def compare(pairs: DataFrame) -> None:
+        nonlocal tried, edges, found
+        pairs = durable(pairs.distinct().join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            return
+        more = checked(pairs)
+        tried = durable(tried.unionByName(pairs))
+        if not more.isEmpty():
+            edges = edges.unionByName(more)
+            found = durable(components(edges))
+
     for turn in range(ROUNDS + 1):
         label = F.coalesce("root", "node")
         mixed = shared.select("bucket", "node").join(found, "node", "left").select("bucket", "node", label.alias("label"))
@@ -197,15 +241,28 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "se
             left = durable(mixed.join(still.where(F.col("n") <= SMALL).select("bucket"), "bucket", "left_semi"))
             other = left.select("bucket", F.col("node").alias("x"), F.col("label").alias("xl"))
             pairs = other.join(left, "bucket").where("x < node AND xl <> label").select(F.col("x").alias("a"), F.col("node").alias("b"))
-        pairs = pairs.distinct().join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-        pairs = durable(pairs)
-        if pairs.isEmpty():
-            continue
-        more = checked(pairs)
-        tried = durable(tried.unionByName(pairs))
-        if not more.isEmpty():
-            edges = edges.unionByName(more)
-            found = durable(components(edges))
+        compare(pairs)
+
+    # the exact rest of larger buckets
+    many = shared.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > SMALL)
+    mixed = shared.join(many.select("bucket"), "bucket").join(found, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("label"))
+    still = mixed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
+    rest = durable(mixed.join(still, "bucket", "left_semi").select("node", "label").distinct())
+    if rest.isEmpty():
+        return members.select("doc_id", "node"), found
+    rare = durable(rare_elements(texts.join(rest, "node"), threshold, weights))
+    for last in (False, True):
+        now = rare.join(found, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
+        groups = now.groupBy("e").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(F.col("node").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"))).alias("r")).where("lo <> hi")
+        if not last:
+            one = now.join(groups.where(F.col("m") > SMALL).select("e", "r"), "e").where(F.col("label") != F.col("r.bl"))
+            pairs = one.where(F.least("n", "r.bn") >= F.greatest("n", "r.bn") * (threshold - 1e-9)).select(F.least("node", "r.b").alias("a"), F.greatest("node", "r.b").alias("b"))
+        else:
+            now = durable(now.join(groups.select("e"), "e", "left_semi"))
+            x, y = (now.select("e", "short", *[F.col(c).alias(s + c) for c in ("node", "n", "pos", "label")]) for s in "xy")
+            fits = "xlabel <> ylabel AND (xn < yn OR xn = yn AND xnode < ynode) AND xn >= yn * {0} AND least(xn - xpos, yn - ypos) + 1 >= (xn + yn) * {1}"
+            pairs = x.where("short").drop("short").join(y.drop("short"), "e").where(fits.format(f"{threshold - 1e-9:.12f}D", f"{threshold / (1 + threshold) - 1e-9:.12f}D")).select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b"))
+        compare(pairs)
     return members.select("doc_id", "node"), found
 
 

@@ -162,3 +162,30 @@ def test_cut(spark, edge):
     got = suffix_dedup.cut_passages(edge)
     assert got.columns == edge.columns and got.count() == edge.count()
     assert {r.text for r in got.where("doc_id = 9").collect()} == {""}
+
+
+def test_families_in_large_buckets(spark):
+    """Pages of one template at about 0.7, in buckets of hundreds, and pairs of them over 0.8: no pair may be lost."""
+    rng, rows = random.Random(3), []
+    for family in range(600):
+        own = [f"t{i}" for i in range(300)]
+        for at in rng.sample(range(300), 2):
+            own[at] = f"f{family}"
+        for _ in range(2):
+            page = list(own)
+            for at in rng.sample(range(300), 3):
+                page[at] = f"p{len(rows)}"
+            rows.append((len(rows), " ".join(page)))
+    bags = [set(bag(t)) for _, t in rows]
+    place = {x: i for i, x in enumerate(set().union(*bags))}
+    held = np.zeros((len(rows), len(place)), np.float32)
+    for i, b in enumerate(bags):
+        held[i, [place[x] for x in b]] = 1
+    common, size = held @ held.T, held.sum(1)
+    near = common >= 0.8 * (size[:, None] + size - common)
+    want = np.arange(len(rows))
+    while (want != (least := np.where(near, want, len(rows)).min(1))).any():
+        want = least
+    assert 300 < len(set(want)) < 1000
+    got = {r.doc_id: r.class_id for r in minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(rows))] == want.tolist()
