@@ -200,7 +200,7 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "se
     known = docs.select("doc_id", digest(F.col("text")).alias("node"), "text")
     members = durable(known.mapInArrow(_signatures(weights, BANDS, ROWS), "doc_id long, node binary, buckets array<long>"))
     # one row for each node, with the id by which its text is found again
-    nodes = members.groupBy("node").agg(F.min_by(F.struct("doc_id", "buckets"), F.col("doc_id")).alias("x"))
+    nodes = members.groupBy("node").agg(F.min_by(F.struct("doc_id", "buckets"), F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("x"))
     nodes = durable(nodes.select("node", F.col("x.doc_id").alias("doc_id"), F.col("x.buckets").alias("buckets")))
     rows = nodes.select("node", F.explode("buckets").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("rep")).where("n > 1")
@@ -275,7 +275,10 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs whose id is the least of their class, once each; rows with a null id stay if alone in their class."""
-    classes = near_classes(docs, threshold)
-    keep = classes.where("doc_id <=> class_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """One row of docs for each class: a text with its least id (of equal ids the least digest), or with a null id if it has no other."""
+    members, found = near_links(docs, threshold)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("x")
+    keep = members.join(found, "node", "left").groupBy(F.coalesce("root", "node")).agg(first).select(F.col("x.doc_id").alias("_id"), F.col("x.node").alias("_node"))
+    keyed = docs.withColumn("_digest", digest(F.col("text")))
+    kept = keyed.join(keep, (keyed["_digest"] == keep["_node"]) & keyed["doc_id"].eqNullSafe(keep["_id"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_digest"]).drop("_digest")

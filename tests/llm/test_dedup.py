@@ -114,6 +114,16 @@ def test_drop_near_copies(spark, edge):
     assert kept.columns == edge.columns and sorted((r.doc_id if r.doc_id is not None else -1) for r in kept.collect()) == [-1, 1, 3, 4, 6, 7, 8, 10]
 
 
+def test_rows_without_an_id_of_their_own(spark):
+    """Null ids, and one id for unrelated texts: one row stays for each class, and near copies with null ids meet."""
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words), " ".join([*words, "more"]), "quite another text of seven words here", "and a third one that is unlike both"]
+    d = spark.createDataFrame([(None, t) for t in texts] + [(None, texts[2]), (5, "one text under five that is not two"), (5, "the second text by the same number")], "doc_id long, text string")
+    assert sorted(r.class_size for r in minhash.near_classes(d).collect()) == [1, 1, 1, 2, 2, 2, 2]
+    kept = [r.text for r in minhash.drop_near_copies(d).collect()]
+    assert len(kept) == 5 and set(kept) >= {texts[2], texts[3], "one text under five that is not two", "the second text by the same number"}
+
+
 def removed(rows):
     """Brute force over (doc_id, text): n_bytes, n_removed, n_spans, sha of each."""
     first = {}
