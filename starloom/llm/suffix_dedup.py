@@ -14,6 +14,8 @@ whole LENGTH bytes that decide, so the names that follow from comparing adjacent
 
 Merge. The other suffixes start a few bytes before an anchor; each is merged by its lead bytes and the name of the sampled
 suffix that follows, and adjacent equal prefixes of LENGTH bytes form a class, whose least id is the verdict for all.
+First blocks that over HOT suffixes may share (a common line in many surroundings) are not merged in memory: each of their
+windows becomes a row, and the least id of equal windows comes from a grouped minimum.
 Verdicts go back to the documents by a join, and the spans of a document are joined into maximal runs.
 
 Edge cases: null and empty texts, and texts under LENGTH bytes, lose nothing; null ids come after all others; rows that share
@@ -33,6 +35,8 @@ from starloom.llm.common import Rolling, discard, durable, mix64, pieces
 
 LENGTH = 50
 K = 20
+HOT, SLOTS = 50_000, 1 << 16
+"""Suffixes whose first blocks fall into one of SLOTS hash slots, beyond which the slot is not merged in one task."""
 LAST = (1 << 63) - 1
 """Stands for a null id."""
 
@@ -188,6 +192,25 @@ def _blocks() -> list[Column]:
     return [F.substring("around", F.lit(1), before).alias("lead"), *[F.substring("around", at, F.lit(third)).alias(f"b{i + 1}") for i, at in enumerate(cuts)]]
 
 
+def _slot() -> Column:
+    return F.pmod(F.xxhash64(F.substring("around", F.col("lead") + 1, F.lit(-(-LENGTH // 3)))), F.lit(SLOTS)).alias("slot")
+
+
+def _hot_verdicts(contexts: DataFrame) -> DataFrame:
+    """What _merge gives, of rows (lead, around, least, docs), by a grouped minimum over all their windows."""
+    windows = contexts.select("lead", "around", "least", "docs", *_keys()).withColumn("o", F.explode(F.sequence(F.lit(0), F.least("lead", F.lit(LENGTH - K)))))
+    windows = windows.where(F.octet_length("around") >= F.col("lead") - F.col("o") + LENGTH).withColumn("w", F.substring("around", F.col("lead") - F.col("o") + 1, F.lit(LENGTH)))
+    windows = windows.select("k1", "k2", "o", "least", "docs", F.xxhash64("w").alias("w1"), F.xxhash64(F.lit(1), "w").alias("w2"))
+    best = windows.groupBy("o", "w1", "w2").agg(F.min("least").alias("best"))
+    per = windows.join(best, ["o", "w1", "w2"]).where("docs > 1 OR best < least").groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("o", "best"))).alias("all"))
+    # offsets in a row with the same verdict are one run
+    runs = """aggregate(all, cast(array() as array<struct<near: int, far: int, least: bigint>>), (r, x) ->
+        if(size(r) > 0 and r[size(r) - 1].far = x.o - 1 and r[size(r) - 1].least = x.best,
+           concat(slice(r, 1, size(r) - 1), array(struct(r[size(r) - 1].near as near, x.o as far, x.best as least))),
+           concat(r, array(struct(x.o as near, x.o as far, x.best as least)))))"""
+    return per.select("k1", "k2", F.expr(runs).alias("runs"))
+
+
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(texts: id, dig, text and docs' columns; spans: id, dig, spans array<struct<s, e>> of bytes to remove, unmerged)."""
     texts = docs.withColumns({"_id": F.coalesce(F.col("doc_id"), F.lit(LAST)), "_dig": F.xxhash64("text")})
@@ -198,13 +221,22 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     discard(often)
     contexts = plain.join(chosen, ["id", "dig"]).select("id", "dig", "text", "at").mapInArrow(_contexts, "id long, dig long, pos int, lead int, around binary")
     distinct = durable(contexts.groupBy("lead", "around").agg(F.min("id").alias("least"), F.count("*").alias("docs")))
-    ordered = distinct.select(*_blocks(), "least", "docs", *_keys()).repartitionByRange("b1").sortWithinPartitions("b1", "b2", "b3")
+    hot = durable(distinct.groupBy(_slot()).agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("slot"))
+    some = not hot.isEmpty()
+    slotted = distinct.withColumn("slot", _slot())
+    cold = slotted.join(F.broadcast(hot), "slot", "left_anti") if some else distinct  # at most SLOTS numbers
+    ordered = cold.select(*_blocks(), "least", "docs", *_keys()).repartitionByRange("b1").sortWithinPartitions("b1", "b2", "b3")
     verdicts = durable(ordered.mapInArrow(_verdicts, "k1 long, k2 long, runs array<struct<near: int, far: int, least: long>>"))
-    discard(distinct)
+    if some:
+        more = durable(_hot_verdicts(slotted.join(F.broadcast(hot), "slot", "left_semi")))
+        written, verdicts = [verdicts, more], verdicts.unionByName(more)
+    else:
+        written = [verdicts]
+    discard(distinct, hot)
     hit = contexts.select("id", "dig", "pos", *_keys()).join(verdicts, ["k1", "k2"])
     hit = hit.select("id", "dig", F.expr("transform(filter(runs, r -> r.least < id), r -> struct(pos - r.far as s, pos - r.near + %d as e))" % LENGTH).alias("w")).where("size(w) > 0")
     spans = durable(hit.groupBy("id", "dig").agg(F.flatten(F.collect_list("w")).alias("spans")))
-    discard(chosen, verdicts)
+    discard(chosen, *written)
     return texts, spans
 
 

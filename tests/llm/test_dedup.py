@@ -168,6 +168,21 @@ def test_planted_passages(spark):
     check_removed(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_common_line_is_not_merged_in_one_task(spark, monkeypatch):
+    """A line in many surroundings, with a bound that its first block exceeds: same rows, and no large group is merged."""
+    rng, line = random.Random(5), "the same licence line of a page, long enough to hold an anchor. "
+    rows = [(i if i % 9 else None, "".join(rng.choice("abc xyz") for _ in range(rng.randrange(0, 60))) + line[rng.randrange(0, 9):] + "".join(rng.choice("abc xyz") for _ in range(60))) for i in range(150)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    grouped = []
+    whole = suffix_dedup._hot_verdicts
+    monkeypatch.setattr(suffix_dedup, "_hot_verdicts", lambda c: (grouped.append(c.count()), whole(c))[1])
+    check_removed(d)
+    assert grouped and grouped[0] > 20
+    monkeypatch.setattr(suffix_dedup, "HOT", 0)
+    check_removed(d)
+
+
 def test_cut(spark, edge):
     got = suffix_dedup.cut_passages(edge)
     assert got.columns == edge.columns and got.count() == edge.count()
