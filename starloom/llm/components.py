@@ -10,7 +10,8 @@ from starloom.llm.common import durable
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # written, so that both sides of the join are plain shuffles and Spark can split the edges of a node with very many
+    least = durable(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
     joined = both.join(least, "a")
     if large:
         out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))

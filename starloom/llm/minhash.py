@@ -195,7 +195,7 @@ def rare_elements(texts: DataFrame, threshold: float, weights: str) -> DataFrame
     return held.where(F.col("pos") <= prefix(threshold)).select("e", "node", "n", "pos", (F.col("pos") <= prefix(2 * threshold / (1 + threshold))).alias("short"))
 
 
-def near_links(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "set") -> tuple[DataFrame, DataFrame]:
+def near_links(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "count") -> tuple[DataFrame, DataFrame]:
     """(members: doc_id, node; classes: node, root) - exact copies share a node, checked links join nodes."""
     known = docs.select("doc_id", digest(F.col("text")).alias("node"), "text")
     members = durable(known.mapInArrow(_signatures(weights, BANDS, ROWS), "doc_id long, node binary, buckets array<long>"))
@@ -266,7 +266,7 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "se
     return members.select("doc_id", "node"), found
 
 
-def near_classes(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "set") -> DataFrame:
+def near_classes(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "count") -> DataFrame:
     """(doc_id, class_id, class_size) for each row of docs (doc_id, text): class_id is the least doc_id of the class."""
     members, found = near_links(docs, threshold, weights)
     per = members.groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -274,9 +274,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "
     return members.join(per.select("node", "root").join(classes, "root").select("node", "class_id", "class_size"), "node").select("doc_id", "class_id", "class_size")
 
 
-def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "count") -> DataFrame:
     """One row of docs for each class: a text with its least id (of equal ids the least digest), or with a null id if it has no other."""
-    members, found = near_links(docs, threshold)
+    members, found = near_links(docs, threshold, weights)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("x")
     keep = members.join(found, "node", "left").groupBy(F.coalesce("root", "node")).agg(first).select(F.col("x.doc_id").alias("_id"), F.col("x.node").alias("_node"))
     keyed = docs.withColumn("_digest", digest(F.col("text")))

@@ -24,7 +24,7 @@ def jaccard(a, b):
     return sum((a & b).values()) / max(1, sum((a | b).values()))
 
 
-def classes(rows):
+def classes(rows, weights):
     root = {i: i for i in range(len(rows))}
 
     def find(i):
@@ -32,8 +32,7 @@ def classes(rows):
             i = root[i]
         return i
 
-    bags = [{k: 1 for k in bag(t)} for _, t in rows]
-    bags = [Counter(b) for b in bags]
+    bags = [bag(t) if weights == "count" else Counter(set(bag(t))) for _, t in rows]
     for i in range(len(rows)):
         for j in range(i):
             if (rows[i][1] or "") == (rows[j][1] or "") or bags[i] and jaccard(bags[i], bags[j]) >= 0.8:
@@ -50,14 +49,15 @@ def classes(rows):
     return sorted(((rows[i][0] if rows[i][0] is not None else -1), *(x if x is not None else -1 for x in least[i])) for i in range(len(rows)))
 
 
-def check_classes(d):
+def check_classes(d, weights="count"):
     rows = [(r.doc_id, r.text) for r in d.select("doc_id", "text").collect()]
-    got = sorted((r.doc_id if r.doc_id is not None else -1, r.class_id if r.class_id is not None else -1, r.class_size) for r in minhash.near_classes(d).collect())
-    assert got == classes(rows)
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.class_id if r.class_id is not None else -1, r.class_size) for r in minhash.near_classes(d, weights=weights).collect())
+    assert got == classes(rows, weights)
 
 
 def test_near_classes(spark, docs, edge, empty):
     check_classes(docs)
+    check_classes(docs, "set")
     check_classes(edge)
     assert minhash.near_classes(empty).collect() == []
 
@@ -189,6 +189,44 @@ def test_cut(spark, edge):
     assert {r.text for r in got.where("doc_id = 9").collect()} == {""}
 
 
+def test_repeats_count(spark):
+    """Texts with the same set of shingles whose repeats differ: one class by sets, two by counts."""
+    once = " ".join(f"w{i}" for i in range(60))
+    d = spark.createDataFrame([(1, once), (2, " ".join([once] * 3)), (3, " ".join([once] * 3) + " more")], "doc_id long, text string")
+    for weights in ("set", "count"):
+        check_classes(d, weights)
+    assert {r.doc_id: r.class_id for r in minhash.near_classes(d).collect()} == {1: 1, 2: 2, 3: 2}
+
+
+def by_matrix(rows):
+    """Class of each of rows (0.., text) without repeated shingles, by all pairs."""
+    bags = [set(bag(t)) for _, t in rows]
+    place = {x: i for i, x in enumerate(set().union(*bags))}
+    held = np.zeros((len(rows), len(place)), np.float32)
+    for i, b in enumerate(bags):
+        held[i, [place[x] for x in b]] = 1
+    common, size = held @ held.T, held.sum(1)
+    near = common >= 0.8 * (size[:, None] + size - common)
+    want = np.arange(len(rows))
+    while (want != (least := np.where(near, want, len(rows)).min(1))).any():
+        want = least
+    return want.tolist()
+
+
+def test_one_bucket_of_hundreds(spark):
+    """Independent edits of one long text, most pairs a little under the limit: every link of a bucket of over 500 nodes."""
+    rng, base, rows = random.Random(11), [f"b{i}" for i in range(200)], []
+    for i in range(520):
+        page = list(base)
+        for at in rng.sample(range(200), 3):
+            page[at] = f"e{rng.randrange(10_000)}"
+        rows.append((i, " ".join(page)))
+    want = by_matrix(rows)
+    assert 1 < len(set(want)) < 500
+    got = {r.doc_id: r.class_id for r in minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(rows))] == want
+
+
 def test_families_in_large_buckets(spark):
     """Pages of one template at about 0.7, in buckets of hundreds, and pairs of them over 0.8: no pair may be lost."""
     rng, rows = random.Random(3), []
@@ -201,16 +239,7 @@ def test_families_in_large_buckets(spark):
             for at in rng.sample(range(300), 3):
                 page[at] = f"p{len(rows)}"
             rows.append((len(rows), " ".join(page)))
-    bags = [set(bag(t)) for _, t in rows]
-    place = {x: i for i, x in enumerate(set().union(*bags))}
-    held = np.zeros((len(rows), len(place)), np.float32)
-    for i, b in enumerate(bags):
-        held[i, [place[x] for x in b]] = 1
-    common, size = held @ held.T, held.sum(1)
-    near = common >= 0.8 * (size[:, None] + size - common)
-    want = np.arange(len(rows))
-    while (want != (least := np.where(near, want, len(rows)).min(1))).any():
-        want = least
+    want = by_matrix(rows)
     assert 300 < len(set(want)) < 1000
     got = {r.doc_id: r.class_id for r in minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert [got[i] for i in range(len(rows))] == want.tolist()
+    assert [got[i] for i in range(len(rows))] == want
