@@ -1,10 +1,12 @@
 """A hidden Markov language model: Baum-Welch over all training texts, exact scores by the scaled forward recursion.
 
-Tokens are words (A-Z lower-cased) and one end for each text. Word counts cover the whole training corpus. The most frequent
-words (at most HEAD, by whole steps of a logarithmic histogram of counts, so the bound holds) are emission classes of
-their own; all other words share the class `rest`, inside which a word's probability comes from its corpus count, with
-half a count for each word and for all unseen words together. So the states' emission table is bounded whatever the
-vocabulary, the likelihood is exact and sums to 1 over texts, and with one state it is the base score but for the smoothing.
+Tokens are words (A-Z lower-cased) and one end for each text. Word counts cover the whole training corpus. Every word belongs
+to an emission class, and the states differ in how they emit classes. The most frequent words (at most HEAD, by whole steps
+of a logarithmic histogram of counts, so the bound holds) are classes of their own; a hash deals all other words out to
+shared classes, one for every WORDS_A_CLASS of them and at most SHARED. Inside a shared class a word's probability comes from
+its corpus count, with half a count for each word and for all words never seen together. So the states' emission table is
+bounded whatever the vocabulary, no word is outside it, and the likelihood is exact. With one state it is the base score, but
+for a norm that reserves half a count in each shared class instead of one.
 
 Texts are encoded once: class ids as a binary column, words of `rest` as (word, n). The sums over `rest` words come from
 a join with the count table by word. Each Baum-Welch pass computes expected counts in the partitions and adds them up by
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from starloom.llm.common import LOWER, Rolling, cut, durable, id_mod, pieces, utf8, word_spans
 
 HEAD = 60_000
+SHARED, WORDS_A_CLASS = 4096, 16
 STATES = 8
 PASSES = 4
 SMOOTH = 100.0
@@ -36,11 +39,11 @@ FLUSH = 200_000
 
 
 def _count_words(batches):
-    """(word, n) from (text), added up within the task."""
+    """(word, h, n) from (text), added up within the task; h is the word's hash."""
     held: dict[int, list] = {}
 
     def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in held.values()], pa.string()), pa.array([n for _, n in held.values()], pa.int64())], ["word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in held.values()], pa.string()), pa.array(np.fromiter(held, np.uint64, len(held)).view(np.int64)), pa.array([n for _, n in held.values()], pa.int64())], ["word", "h", "n"])
 
     for batch in batches:
         for _, _, data, offsets in pieces(batch.column(0), 1 << 22):
@@ -63,20 +66,26 @@ def _count_words(batches):
 
 
 class Vocabulary:
-    """The head words' hashes (sorted) and counts, and the corpus totals."""
+    """The head words' hashes (sorted) and counts, the shared classes' counts, and the corpus totals."""
 
-    def __init__(self, words: list[str], counts: list[int], total: int, distinct: int, texts: int):
+    def __init__(self, words: list[str], counts: list[int], shared: np.ndarray, distinct: int, texts: int):
+        """shared: (words, tokens) of each shared class."""
         joined = np.frombuffer("".join(words).encode(), np.uint8)
         ends = np.cumsum([len(w.encode()) for w in words], dtype=np.int64) if words else np.zeros(0, np.int64)
         hashes = Rolling(joined, lower=True).spans(np.concatenate(([0], ends[:-1])).astype(np.int64), ends) if words else np.zeros(0, np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.counts = hashes[order], np.array(counts, np.int64)[order]
-        self.texts, self.tokens, self.distinct = texts, total + texts, distinct + (texts > 0)
+        self.texts, self.tokens, self.distinct = texts, int(sum(counts) + shared[:, 1].sum()) + texts, distinct + (texts > 0)
         self.norm = self.tokens + 0.5 * (self.distinct + 1)
-        self.rest, self.end, self.classes = len(words), len(words) + 1, len(words) + 2
-        self.rest_mass = (total - sum(counts)) + 0.5 * (distinct - len(words)) + 0.5
-        self.log = np.log10(np.concatenate([self.counts + 0.5, [1.0, texts + 0.5]]))
-        self.unigram = np.concatenate([self.counts + 0.5, [self.rest_mass, texts + 0.5]]) / self.norm
+        self.rest, self.shared, self.end = len(words), len(shared), len(words) + len(shared)  # first shared class, how many, the end
+        self.classes = self.end + 1
+        if self.classes > 1 << 16:
+            raise ValueError("more emission classes than 16 bits can name")
+        mass = shared[:, 1] + 0.5 * shared[:, 0] + 0.5
+        self.log = np.log10(np.concatenate([self.counts + 0.5, np.ones(self.shared), [texts + 0.5]]))
+        self.mass_log = np.log10(np.concatenate([np.ones(self.rest), mass, [1.0]]))
+        self.half = np.concatenate([np.full(self.rest, 0.5), mass - shared[:, 1], [0.5]])  # what the base score adds to the counts
+        self.unigram = np.concatenate([self.counts + 0.5, mass, [texts + 0.5]])
         self.unigram /= self.unigram.sum()
         bits = max(1, int(len(words) * 8).bit_length())
         self.shift = np.uint64(64 - bits)
@@ -84,10 +93,10 @@ class Vocabulary:
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Class of each hash."""
+        out = self.rest + ((h >> np.uint64(40)) % np.uint64(self.shared)).astype(np.int64)
         if not self.rest:
-            return np.full(len(h), self.rest, np.int64)
+            return out
         at = self.first[(h >> self.shift).astype(np.int64)]
-        out = np.full(len(h), self.rest, np.int64)
         open_ = np.arange(len(h))
         while len(open_):
             k = at[open_]
@@ -102,7 +111,7 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, texts: int, head: int) -> Vocabulary:
-    """counts: (word, n). The driver gets totals, a histogram of some hundred steps, and at most `head` words."""
+    """counts: (word, h, n). The driver gets a histogram of some hundred steps, at most `head` words, and a row for each shared class."""
     step = F.floor(F.log2("n") * 16).cast("int")
     histogram = sorted(((r.step, r.words, r.total) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.sum("n").alias("total")).collect()), reverse=True)
     least, room = math.inf, head
@@ -112,7 +121,13 @@ def vocabulary(counts: DataFrame, texts: int, head: int) -> Vocabulary:
         least, room = s, room - words
     rows = counts.where(step >= least).collect() if least < math.inf else []
     rows.sort()
-    return Vocabulary([r.word for r in rows], [r.n for r in rows], sum(h[2] for h in histogram), sum(h[1] for h in histogram), texts)
+    distinct = sum(h[1] for h in histogram)
+    shared = np.zeros((max(1, min(SHARED, (distinct - len(rows)) // WORDS_A_CLASS)), 2))
+    if distinct > len(rows):
+        others = counts.where(step < least) if least < math.inf else counts
+        for r in others.groupBy((F.shiftrightunsigned("h", 40) % len(shared)).alias("k")).agg(F.count("*").alias("words"), F.sum("n").alias("total")).collect():
+            shared[r.k] = r.words, r.total
+    return Vocabulary([r.word for r in rows], [r.n for r in rows], shared, distinct, texts)
 
 
 def _encode(vocab: Vocabulary, ids_type=np.uint16):
@@ -126,9 +141,9 @@ def _encode(vocab: Vocabulary, ids_type=np.uint16):
                 row = np.repeat(np.arange(rows), np.diff(first))
                 everything = np.insert(ids, first[1:], vocab.end)
                 place = first + np.arange(rows + 1)
-                sums = np.concatenate(([0], np.cumsum(np.where(everything == vocab.rest, 0, vocab.log[everything]))))
-                known = np.concatenate(([0], np.cumsum(np.where(everything == vocab.end, vocab.texts > 0, everything != vocab.rest))))
-                tail = np.flatnonzero(ids == vocab.rest)
+                sums, mass = (np.concatenate(([0], np.cumsum(x[everything]))) for x in (vocab.log, vocab.mass_log))
+                known = np.concatenate(([0], np.cumsum(np.where(everything == vocab.end, vocab.texts > 0, everything < vocab.rest))))
+                tail = np.flatnonzero(ids >= vocab.rest)
                 order = tail[np.lexsort((h[tail], row[tail]))]
                 new = np.flatnonzero(np.append(True, (np.diff(row[order]) != 0) | (np.diff(h[order].view(np.int64)) != 0))) if len(order) else order
                 n = np.diff(np.append(new, len(order)))
@@ -138,8 +153,8 @@ def _encode(vocab: Vocabulary, ids_type=np.uint16):
                 raw = np.ascontiguousarray(everything.astype(ids_type))
                 codes = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer((place * raw.itemsize).astype(np.int32)), pa.py_buffer(raw)])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, rows), batch.column(1).slice(lo, rows), pa.array(np.diff(place)), pa.array(sums[place[1:]] - sums[place[:-1]]), pa.array(known[place[1:]] - known[place[:-1]]), codes, lists],
-                    ["doc_id", "held_out", "n_tokens", "head_log", "head_known", "ids", "tail"])
+                    [batch.column(0).slice(lo, rows), batch.column(1).slice(lo, rows), pa.array(np.diff(place)), pa.array(sums[place[1:]] - sums[place[:-1]]), pa.array(mass[place[1:]] - mass[place[:-1]]), pa.array(known[place[1:]] - known[place[:-1]]), codes, lists],
+                    ["doc_id", "held_out", "n_tokens", "head_log", "mass_log", "head_known", "ids", "tail"])
 
     return run
 
@@ -250,7 +265,7 @@ def baum_welch(encoded: DataFrame, vocab: Vocabulary, states: int = STATES, pass
         key, value = sums.column("key").to_numpy(), np.stack([sums.column(n).to_numpy() for n in names], 1)
         emit = np.zeros_like(model.emit)
         emit[key[key >= 0]] = value[key >= 0]
-        emit += SMOOTH * vocab.unigram[:, None]
+        emit += SMOOTH * vocab.unigram[:, None] + vocab.half[:, None] * (emit.sum(0) / emit.sum())
         trans, start = np.full((states, states), 0.01), np.full(states, 0.01)
         for k, v in zip(-1 - key[key < 0], value[key < 0], strict=True):
             if k < states:
@@ -267,22 +282,22 @@ def score_language(docs: DataFrame, states: int = STATES, passes: int = PASSES,
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     rows = docs.select("doc_id", (id_mod(F.col("doc_id"), 5) == 1).alias("held_out"), "text")
     learn = rows.where("not held_out")
-    counts = durable(learn.select("text").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    counts = durable(learn.select("text").mapInArrow(_count_words, "word string, h long, n long").groupBy("word").agg(F.min("h").alias("h"), F.sum("n").alias("n")))
     vocab = vocabulary(counts, learn.count(), head)
-    encoded = durable(rows.mapInArrow(_encode(vocab), "doc_id long, held_out boolean, n_tokens long, head_log double, head_known long, ids binary, tail array<struct<word: string, n: long>>").withColumn("uid", F.monotonically_increasing_id()))
+    encoded = durable(rows.mapInArrow(_encode(vocab), "doc_id long, held_out boolean, n_tokens long, head_log double, mass_log double, head_known long, ids binary, tail array<struct<word: string, n: long>>").withColumn("uid", F.monotonically_increasing_id()))
     model = baum_welch(encoded.where("not held_out"), vocab, states, passes)
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(5)], pa.array(log_likelihood(model, batch.column(5))), batch.column(6)], ["doc_id", "held_out", "n_tokens", "head_log", "head_known", "head_score", "uid"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(6)], pa.array(log_likelihood(model, batch.column(6))), batch.column(7)], ["doc_id", "held_out", "n_tokens", "head_log", "mass_log", "head_known", "head_score", "uid"])
 
-    scored = encoded.select("doc_id", "held_out", "n_tokens", "head_log", "head_known", "ids", "uid").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, head_log double, head_known long, head_score double, uid long")
+    scored = encoded.select("doc_id", "held_out", "n_tokens", "head_log", "mass_log", "head_known", "ids", "uid").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, head_log double, mass_log double, head_known long, head_score double, uid long")
     words = encoded.select("uid", F.explode("tail").alias("t")).select("uid", "t.word", F.col("t.n").alias("times"))
     n = F.coalesce(F.col("n"), F.lit(0))
-    tail = words.join(counts, "word", "left").groupBy("uid").agg(
-        F.sum(F.col("times") * F.log10(n + 0.5)).alias("tail_log"), F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("tail_known"), F.sum("times").alias("tail_n"))
+    tail = words.join(counts.select("word", "n"), "word", "left").groupBy("uid").agg(
+        F.sum(F.col("times") * F.log10(n + 0.5)).alias("tail_log"), F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("tail_known"))
     rest = F.coalesce(F.col("tail_log"), F.lit(0.0))
     return scored.join(tail, "uid", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"), F.lit(vocab.tokens).cast("long").alias("train_tokens"),
         (F.col("head_log") + rest - F.col("n_tokens") * F.lit(math.log10(vocab.norm))).alias("base_score"),
-        (F.col("head_score") + rest - F.coalesce("tail_n", F.lit(0)) * F.lit(math.log10(vocab.rest_mass))).alias("score"))
+        (F.col("head_score") + rest - F.col("mass_log")).alias("score"))

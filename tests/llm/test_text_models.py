@@ -88,7 +88,7 @@ def tokens(text):
     return [w.translate({i: i + 32 for i in range(65, 91)}) for w in WORDS.findall(text or "")] + [None]
 
 
-@pytest.mark.parametrize("head", [5, 1000])
+@pytest.mark.parametrize("head", [5, 1000, hmm.HEAD])
 def test_hmm_base(spark, docs, edge, head):
     for d in (docs, edge):
         texts = [(r.doc_id, tokens(r.text)) for r in d.collect()]
