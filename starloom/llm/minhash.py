@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import Rolling, durable, mix64, pieces, word_spans
+from starloom.llm.common import Rolling, digest, durable, mix64, pieces, word_spans
 from starloom.llm.components import components
 
 SHINGLE = 5
@@ -132,11 +132,6 @@ def _signatures(weights: str, bands: int, rows_per: int):
     return run
 
 
-def digest(text: Column) -> Column:
-    """16 bytes of SHA-256; null is as empty."""
-    return F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256), 1, 32))
-
-
 def similarity(left: pa.Array, right: pa.Array, weights: str = "set") -> np.ndarray:
     """Exact (weighted) Jaccard similarity of the shingles of each pair of texts; 0 where one has no words."""
     out = np.zeros(len(left))
@@ -279,6 +274,6 @@ def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, weights: str
     members, found = near_links(docs, threshold, weights)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("x")
     keep = members.join(found, "node", "left").groupBy(F.coalesce("root", "node")).agg(first).select(F.col("x.doc_id").alias("_id"), F.col("x.node").alias("_node"))
-    keyed = docs.withColumn("_digest", digest(F.col("text")))
-    kept = keyed.join(keep, (keyed["_digest"] == keep["_node"]) & keyed["doc_id"].eqNullSafe(keep["_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    keyed = docs.select(F.struct("*").alias("row"), "doc_id", digest(F.col("text")).alias("_node"))
+    kept = keyed.join(keep, (keyed["_node"] == keep["_node"]) & keyed["doc_id"].eqNullSafe(keep["_id"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_node"]).select("row.*")

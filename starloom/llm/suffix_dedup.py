@@ -2,6 +2,9 @@
 
 A passage is a string of LENGTH bytes; each byte of it goes if the same string starts in a document with a smaller id.
 
+Exact copies come first: of equal texts of at least LENGTH bytes all but those with the least id lose everything, and only
+distinct texts, each with the least id of its documents, go on.
+
 Sample. Suffixes are sampled by content, not by position modulo three: an anchor is the place of the least hash among
 the K-byte strings inside some LENGTH-byte window. A window finds its anchor from its own bytes, so equal windows of
 different documents have their anchors at the same offset, and the anchors cover all windows as a difference cover
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import Rolling, discard, durable, mix64, pieces
+from starloom.llm.common import Rolling, digest, discard, durable, mix64, pieces
 
 LENGTH = 50
 K = 20
@@ -76,7 +79,7 @@ def _anchor_hashes(batches):
             row, a, _, _, h = anchors(data, offsets)
             ends = np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32)
             found = pa.StructArray.from_arrays([pa.array(h.view(np.int64)), pa.array((a - offsets[row]).astype(np.int32))], ["h", "pos"])
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), found)], ["id", "dig", "anchors"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), found)], ["id", "t", "anchors"])
 
 
 def _binary(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
@@ -87,7 +90,7 @@ def _binary(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
 
 
 def _contexts(batches):
-    """(id, dig, pos, lead, around): the bytes that the windows of an anchor hold, and how many of them lie before it."""
+    """(id, t, pos, lead, around): the bytes that the windows of an anchor hold, and how many of them lie before it."""
     for batch in batches:
         wanted, bounds = batch.column(3).values.to_numpy(), batch.column(3).offsets.to_numpy()
         for lo, hi, data, offsets in pieces(batch.column(2)):
@@ -98,7 +101,7 @@ def _contexts(batches):
             take = pa.array(row + lo)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array((a - offsets[row]).astype(np.int32)), pa.array((a - first).astype(np.int32)), _binary(data, first, last + LENGTH)],
-                ["id", "dig", "pos", "lead", "around"])
+                ["id", "t", "pos", "lead", "around"])
 
 
 def _matrix(column: pa.Array, width: int, right: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -211,15 +214,21 @@ def _hot_verdicts(contexts: DataFrame) -> DataFrame:
     return per.select("k1", "k2", F.expr(runs).alias("runs"))
 
 
-def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(texts: id, dig, text and docs' columns; spans: id, dig, spans array<struct<s, e>> of bytes to remove, unmerged)."""
-    texts = docs.withColumns({"_id": F.coalesce(F.col("doc_id"), F.lit(LAST)), "_dig": F.xxhash64("text")})
-    plain = texts.select(F.col("_id").alias("id"), F.col("_dig").alias("dig"), "text")
-    found = plain.mapInArrow(_anchor_hashes, "id long, dig long, anchors array<struct<h: long, pos: int>>").select("id", "dig", F.explode("anchors").alias("a")).select("id", "dig", "a.h", "a.pos")
+def _id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+
+
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """(id, dig, spans array<struct<s, e>>) for each distinct text, with the least id of the documents that have it; spans are
+    the bytes to remove from these documents, unmerged, or null."""
+    known = docs.select(_id().alias("id"), digest(F.col("text")).alias("dig"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = durable(known.groupBy("dig").agg(F.min("id").alias("id"), F.first("text").alias("text")).withColumn("t", F.monotonically_increasing_id()))
+    plain = texts.select("id", "t", "text")
+    found = plain.mapInArrow(_anchor_hashes, "id long, t long, anchors array<struct<h: long, pos: int>>").select("id", "t", F.explode("anchors").alias("a")).select("id", "t", "a.h", "a.pos")
     often = durable(found.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h"))
-    chosen = durable(found.join(often, "h", "left_semi").groupBy("id", "dig").agg(F.collect_set("pos").alias("at")))
+    chosen = durable(found.select("t", "h", "pos").join(often, "h", "left_semi").groupBy("t").agg(F.collect_set("pos").alias("at")))
     discard(often)
-    contexts = plain.join(chosen, ["id", "dig"]).select("id", "dig", "text", "at").mapInArrow(_contexts, "id long, dig long, pos int, lead int, around binary")
+    contexts = plain.join(chosen, "t").select("id", "t", "text", "at").mapInArrow(_contexts, "id long, t long, pos int, lead int, around binary")
     distinct = durable(contexts.groupBy("lead", "around").agg(F.min("id").alias("least"), F.count("*").alias("docs")))
     hot = durable(distinct.groupBy(_slot()).agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("slot"))
     some = not hot.isEmpty()
@@ -233,11 +242,13 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     else:
         written = [verdicts]
     discard(distinct, hot)
-    hit = contexts.select("id", "dig", "pos", *_keys()).join(verdicts, ["k1", "k2"])
-    hit = hit.select("id", "dig", F.expr("transform(filter(runs, r -> r.least < id), r -> struct(pos - r.far as s, pos - r.near + %d as e))" % LENGTH).alias("w")).where("size(w) > 0")
-    spans = durable(hit.groupBy("id", "dig").agg(F.flatten(F.collect_list("w")).alias("spans")))
+    hit = contexts.select("id", "t", "pos", *_keys()).join(verdicts, ["k1", "k2"])
+    hit = hit.select("t", F.expr("transform(filter(runs, r -> r.least < id), r -> struct(pos - r.far as s, pos - r.near + %d as e))" % LENGTH).alias("w")).where("size(w) > 0")
+    spans = durable(hit.groupBy("t").agg(F.flatten(F.collect_list("w")).alias("spans")))
     discard(chosen, *written)
-    return texts, spans
+    out = durable(texts.select("id", "dig", "t").join(spans, "t", "left").select("id", "dig", "spans"))
+    discard(texts, spans)
+    return out
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -250,50 +261,51 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[new, 0], reach[np.append(new[1:], len(spans)) - 1]], 1)
 
 
-def _cut_rows(batch: pa.RecordBatch, text: int, spans: int):
-    """(raw bytes, runs, remaining bytes) of each row."""
-    for t, s in zip(batch.column(text), batch.column(spans), strict=True):
+def _cut_rows(batch: pa.RecordBatch):
+    """(raw bytes, runs, remaining bytes) of each row (text, first, spans, ...): rows that are not first are copies and go whole."""
+    for t, first, s in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
         raw = (t.as_py() or "").encode()
-        if not s.is_valid:
+        if not first.is_valid and len(raw) >= LENGTH:
+            yield raw, np.array([[0, len(raw)]]), b""
+        elif not s.is_valid:
             yield raw, np.zeros((0, 2), np.int64), raw
-            continue
-        v = s.values
-        runs = merged(np.stack([v.field(0).to_numpy(), v.field(1).to_numpy()], 1).astype(np.int64))
-        ends = np.concatenate(([0], runs[:, 1]))
-        yield raw, runs, b"".join(raw[a:b] for a, b in zip(ends, np.append(runs[:, 0], len(raw)), strict=True))
+        else:
+            v = s.values
+            runs = merged(np.stack([v.field(0).to_numpy(), v.field(1).to_numpy()], 1).astype(np.int64))
+            ends = np.concatenate(([0], runs[:, 1]))
+            yield raw, runs, b"".join(raw[a:b] for a, b in zip(ends, np.append(runs[:, 0], len(raw)), strict=True))
 
 
 def _digests(batches):
     for batch in batches:
-        rows = [(len(raw), len(raw) - len(left), len(runs), hashlib.sha256(left).hexdigest(), [{"s": int(a), "e": int(b)} for a, b in runs]) for raw, runs, left in _cut_rows(batch, 1, 2)]
+        rows = [(len(raw), len(raw) - len(left), len(runs), hashlib.sha256(left).hexdigest(), [{"s": int(a), "e": int(b)} for a, b in runs]) for raw, runs, left in _cut_rows(batch)]
         columns = list(zip(*rows, strict=True)) or [()] * 5
-        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))), strict=True)]],
+        yield pa.RecordBatch.from_arrays([batch.column(3), *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))), strict=True)]],
                                          ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
-def _with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    s = spans.select(F.col("id").alias("_id"), F.col("dig").alias("_dig"), F.col("spans").alias("_spans"))
-    return texts.join(s, ["_id", "_dig"], "left")
+def _with_spans(docs: DataFrame) -> DataFrame:
+    """(text, first, spans, row): the rows of docs as structs, so that no column of theirs can clash."""
+    rows = docs.select(_id().alias("id"), digest(F.col("text")).alias("dig"), F.struct("*").alias("row"))
+    return rows.join(repeated_spans(docs).withColumn("first", F.lit(True)), ["id", "dig"], "left").select("row.text", "first", "spans", "row")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) for each row of docs (doc_id, text)."""
-    texts, spans = repeated_spans(docs.select("doc_id", "text"))
-    return _with_spans(texts, spans).select("doc_id", "text", "_spans").mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<s: long, e: long>>")
+    rows = _with_spans(docs.select("doc_id", "text")).select("text", "first", "spans", F.col("row.doc_id").alias("doc_id"))
+    return rows.mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<s: long, e: long>>")
 
 
 def cut_passages(docs: DataFrame) -> DataFrame:
     """docs with the repeated passages cut out of text; bytes left over from a cut character become U+FFFD."""
     names, schema = docs.columns, docs.schema
-    texts, spans = repeated_spans(docs)
     at = names.index("text")
 
     def run(batches):
         for batch in batches:
-            last = batch.num_columns - 1
-            new = [left.decode(errors="replace") if len(runs) else None for _, runs, left in _cut_rows(batch, at, last)]
-            old = batch.column(at)
-            text = pa.array([o.as_py() if x is None else x for o, x in zip(old, new, strict=True)], pa.string())
-            yield pa.RecordBatch.from_arrays([text if i == at else batch.column(i) for i in range(last)], names)
+            new = [left.decode(errors="replace") if len(runs) else None for _, runs, left in _cut_rows(batch)]
+            text = pa.array([o.as_py() if x is None else x for o, x in zip(batch.column(0), new, strict=True)], pa.string())
+            old = batch.column(3).flatten()
+            yield pa.RecordBatch.from_arrays([text if i == at else old[i] for i in range(len(names))], names)
 
-    return _with_spans(texts, spans).select(*names, "_spans").mapInArrow(run, schema)
+    return _with_spans(docs).mapInArrow(run, schema)

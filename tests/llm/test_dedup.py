@@ -183,6 +183,22 @@ def test_common_line_is_not_merged_in_one_task(spark, monkeypatch):
     check_removed(d)
 
 
+def test_equal_rows(spark):
+    """A text a thousand times under one id, under null ids and under ids of their own, beside a text that holds it."""
+    text = "one page that is there again and again, and nothing else beside it at all"
+    rows = [(4, text)] * 1000 + [(None, text)] * 5 + [(i, text) for i in range(5, 30)] + [(3, "before " + text + " after"), (9, text[:49]), (10, text[:49])]
+    check_removed(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_columns_that_clash(spark):
+    """Columns with the names that the operator uses inside come through."""
+    rows = [(i, "a page with a passage that comes again and is longer than fifty bytes, page " + "xyz"[i % 3], *"abcdefgh") for i in range(6)]
+    names = ["_id", "_dig", "_spans", "id", "dig", "t", "first", "row"]
+    d = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    for out in (suffix_dedup.cut_passages(d), minhash.drop_near_copies(d)):
+        assert out.columns == d.columns and {tuple(r[n] for n in names) for r in out.collect()} == {tuple("abcdefgh")}
+
+
 def test_cut(spark, edge):
     got = suffix_dedup.cut_passages(edge)
     assert got.columns == edge.columns and got.count() == edge.count()
