@@ -8,9 +8,8 @@ K ln K + 2 K of them; where a coordinate stays empty, the bound is doubled for t
 
 Bands of ROWS coordinates give buckets; exact copies are one node (by SHA-256) before that. In each bucket nodes are paired
 with a representative, and pairs are checked by the exact Jaccard similarity of the shingles. Nodes that share a bucket
-and are still in different components meet further members drawn at random, DRAWS in each of their buckets in each of
-ROUNDS rounds; after that, what is left in buckets of up to SMALL nodes is compared in full. Classes are the connected
-components. At similarity 0.8 a pair shares no bucket with a probability of 3e-6.
+and are still in different components are compared in full in buckets of up to SMALL nodes, and meet DRAWS members drawn at
+random in larger ones. Classes are the connected components. At similarity 0.8 a pair shares no bucket with a probability of 3e-6.
 
 The exact rest of larger buckets. Their nodes are joined on rare elements instead of in pairs: elements are put in one order
 (those of a single component first, then by the nodes that hold them), and two texts of at least the wanted similarity
@@ -40,7 +39,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 5
 K = BANDS * ROWS
-ROUNDS, DRAWS = 3, 3
+DRAWS = 3
 SMALL = 48
 _UNIT = 2.0**-53
 
@@ -223,20 +222,15 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "co
             edges = edges.unionByName(more)
             found = durable(components(edges))
 
-    for turn in range(ROUNDS + 1):
-        label = F.coalesce("root", "node")
-        mixed = shared.select("bucket", "node").join(found, "node", "left").select("bucket", "node", label.alias("label"))
-        draws = [F.max(F.struct(F.xxhash64("node", F.lit(turn * DRAWS + i)).alias("h"), F.col("node").alias("b"), F.col("label").alias("bl"))) for i in range(DRAWS)]
-        still = mixed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.array(*draws).alias("r")).where("lo <> hi")
-        if turn < ROUNDS:
-            left = mixed.join(still.select("bucket", "r"), "bucket").select("node", "label", F.explode("r").alias("r"))
-            pairs = left.where(F.col("label") != F.col("r.bl")).select(F.least("node", "r.b").alias("a"), F.greatest("node", "r.b").alias("b"))
-        else:
-            # buckets of few nodes are compared in full
-            left = durable(mixed.join(still.where(F.col("n") <= SMALL).select("bucket"), "bucket", "left_semi"))
-            other = left.select("bucket", F.col("node").alias("x"), F.col("label").alias("xl"))
-            pairs = other.join(left, "bucket").where("x < node AND xl <> label").select(F.col("x").alias("a"), F.col("node").alias("b"))
-        compare(pairs)
+    # buckets that are still of several components: small ones in full, the others by random members
+    mixed = durable(shared.select("bucket", "node").join(found, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("label")))
+    draws = [F.max(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), F.col("node").alias("b"), F.col("label").alias("bl"))) for i in range(DRAWS)]
+    still = durable(mixed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.array(*draws).alias("r")).where("lo <> hi").select("bucket", "n", "r"))
+    few = durable(mixed.join(still.where(F.col("n") <= SMALL).select("bucket"), "bucket", "left_semi"))
+    other = few.select("bucket", F.col("node").alias("x"), F.col("label").alias("xl"))
+    pairs = other.join(few, "bucket").where("x < node AND xl <> label").select(F.col("x").alias("a"), F.col("node").alias("b"))
+    drawn = mixed.join(still.where(F.col("n") > SMALL).select("bucket", "r"), "bucket").select("node", "label", F.explode("r").alias("r")).where(F.col("label") != F.col("r.bl"))
+    compare(pairs.unionByName(drawn.select(F.least("node", "r.b").alias("a"), F.greatest("node", "r.b").alias("b"))))
 
     # the exact rest of larger buckets
     many = shared.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > SMALL)
