@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,12 +12,15 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a temporary folder only where none is set (tests)."""
+    """The session's spark.checkpoint.dir. Where none is set, a local master (tests) gets a temporary folder; on a cluster
+    that is an error, as executors would not see the driver's folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         if known.isDefined():
             found = known.get()
+        elif not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         else:
             found = tempfile.mkdtemp(prefix="spark-starloom-")
             spark.sparkContext.setCheckpointDir(found)
