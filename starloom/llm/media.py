@@ -129,15 +129,20 @@ def read_tracks(data: bytes) -> list[dict]:
             elif kind in (b"stco", b"co64"):
                 n = int(u32(4, 1)[0])
                 t[b"stco"] = np.frombuffer(data, ">u4" if kind == b"stco" else ">u8", n, lo + 8).astype(np.int64)
-        except (struct.error, ValueError) as e:
+        except (struct.error, ValueError, IndexError) as e:
             raise ValueError(f"truncated table {kind!r}") from e
     if not tracks:
         raise ValueError("no track")
     for t in tracks:
+        missing = [k for k in (b"stsz", b"stco", b"stsc", "timescale", "handler", "codec") if k not in t]
+        if missing:
+            raise ValueError(f"a track without {missing[0]!r}")
         size, chunk, runs = t[b"stsz"], t[b"stco"], t[b"stsc"]
         per = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0], len(chunk) + 1)))
         if per.sum() != len(size):
             raise ValueError("sample counts of stsc and stsz differ")
+        if b"stss" in t and len(t[b"stss"]) and not 1 <= t[b"stss"].min() <= t[b"stss"].max() <= len(size):
+            raise ValueError("a keyframe beyond the samples")
         before = np.concatenate(([0], np.cumsum(size)))
         first = np.cumsum(per) - per
         t["size"], t["offset"] = size, np.repeat(chunk - before[first], per) + before[:-1]
@@ -197,12 +202,16 @@ def _probe(frames):
     for frame in frames:
         rows = []
         for i, data in zip(frame.iloc[:, 0], frame.iloc[:, 1], strict=True):
-            for k, t in enumerate(read_tracks(data)) if data is not None else ():
-                keys = np.flatnonzero(t["key"])
-                rows.append((i, k, t["codec"], t["handler"], t["duration"] / t["timescale"] if t["timescale"] else None, len(t["size"]), [{"start": int(t["offset"][j]), "bytes": int(t["size"][j])} for j in keys]))
-        yield pd.DataFrame(rows, columns=["doc_id", "track", "codec", "handler", "seconds", "samples", "keyframes"])
+            try:
+                for k, t in enumerate(read_tracks(data)) if data is not None else ():
+                    keys = np.flatnonzero(t["key"])
+                    rows.append((i, k, t["codec"], t["handler"], t["duration"] / t["timescale"] if t["timescale"] else None, len(t["size"]), [{"start": int(t["offset"][j]), "bytes": int(t["size"][j])} for j in keys], None))
+            except ValueError as e:
+                rows.append((i, None, None, None, None, None, None, str(e)))
+        yield pd.DataFrame(rows, columns=["doc_id", "track", "codec", "handler", "seconds", "samples", "keyframes", "error"]).astype({c: "Int64" for c in ("doc_id", "track", "samples")})
 
 
 def probe_media(media: DataFrame) -> DataFrame:
-    """One row per track of media (doc_id, media): codec, seconds, samples and all keyframe byte ranges. Null media: no row."""
-    return media.select("doc_id", "media").mapInPandas(_probe, "doc_id long, track int, codec string, handler string, seconds double, samples long, keyframes array<struct<start: long, bytes: long>>")
+    """One row per track of media (doc_id, media): codec, seconds, samples and all keyframe byte ranges. Null media: no row.
+    A damaged file is one row with what is wrong in `error` and nulls beside it."""
+    return media.select("doc_id", "media").mapInPandas(_probe, "doc_id long, track int, codec string, handler string, seconds double, samples long, keyframes array<struct<start: long, bytes: long>>, error string")

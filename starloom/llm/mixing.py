@@ -48,10 +48,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
 def _round_block(items: Column, seed: int) -> Column:
     """Pivotal rounding along an array: struct(rest: the one item left with a fraction, done: the decided ones)."""
     def decided(x: Column, extra: Column) -> Column:
-        return F.struct(x["doc_id"].alias("doc_id"), x["size"].alias("size"), (x["copies"] + extra).alias("copies"), x["source_size"].alias("source_size"), x["target"].alias("target"))
+        return F.struct(x["doc_id"].alias("doc_id"), x["text_hash"].alias("text_hash"), x["size"].alias("size"), (x["copies"] + extra).alias("copies"), x["source_size"].alias("source_size"), x["target"].alias("target"))
 
     def with_p(x: Column, p: Column) -> Column:
-        return F.struct(x["neg"].alias("neg"), x["tie"].alias("tie"), x["doc_id"].alias("doc_id"), x["size"].alias("size"), x["copies"].alias("copies"), x["source_size"].alias("source_size"), x["target"].alias("target"), p.alias("p"))
+        return F.struct(x["neg"].alias("neg"), x["tie"].alias("tie"), x["doc_id"].alias("doc_id"), x["text_hash"].alias("text_hash"), x["size"].alias("size"), x["copies"].alias("copies"), x["source_size"].alias("source_size"), x["target"].alias("target"), p.alias("p"))
 
     def step(s: Column, x: Column) -> Column:
         r, u = s["rest"], F.pmod(F.xxhash64(s["rest"]["tie"], x["tie"], F.lit(seed)), F.lit(UNIT))
@@ -70,10 +70,10 @@ def _round_block(items: Column, seed: int) -> Column:
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0, seed: int = 11) -> DataFrame:
-    """(doc_id, size, source_size, target, copies, taken) for each row of docs (doc_id, source, text)."""
+    """(doc_id, text_hash, size, source_size, target, copies, taken) for each row of docs (doc_id, source, text)."""
     base = durable(docs.select(
         "doc_id", F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("t")).alias("skey"),
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64("text").alias("th"),
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64("text").alias("text_hash"),
     ))
     return round_copies(base, source_targets(base, weights, most), seed)
 
@@ -84,13 +84,13 @@ def round_copies(base: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
     rows = base.join(targets, "skey").withColumn("rate", rate)
     rows = rows.select(
         "skey", F.floor(F.log2(F.col("size") + 1.0) * BANDS_PER_DOUBLING).cast("int").alias("band"),
-        (-F.col("size")).alias("neg"), F.xxhash64("doc_id", "th").alias("tie"), "doc_id", "size",
+        (-F.col("size")).alias("neg"), F.xxhash64("doc_id", "text_hash").alias("tie"), "doc_id", "text_hash", "size",
         F.when(F.col("size") == 0, 0).otherwise(F.floor("rate").cast("long") + F.when(parts >= UNIT, 1).otherwise(0)).alias("copies"), "source_size", "target",
         F.when((parts >= UNIT) | (F.col("size") == 0), F.lit(0).cast("long")).otherwise(parts).alias("p"),
     )
     rows = durable(rows)
-    item = F.struct("neg", "tie", "doc_id", "size", "copies", "source_size", "target", "p")
-    out = ("doc_id", "size", "copies", "source_size", "target")
+    item = F.struct("neg", "tie", "doc_id", "text_hash", "size", "copies", "source_size", "target", "p")
+    out = ("doc_id", "text_hash", "size", "copies", "source_size", "target")
     done = [rows.where("p = 0").select(*out)]
     rest, level = rows.where("p > 0"), 0
     while True:
@@ -107,7 +107,7 @@ def round_copies(base: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
     last = durable(rest.groupBy("skey").agg(F.sort_array(F.collect_list(item)).alias("items")).select(_round_block(F.col("items"), seed + level).alias("r")))
     done.append(last.select(F.explode("r.done").alias("d")).select("d.*").select(*out))
     final = F.col("copies") + F.when(F.pmod(F.xxhash64("tie", F.lit(seed + 1000)), F.lit(UNIT)) < F.col("p"), 1).otherwise(0)
-    done.append(last.select("r.rest.*").select("doc_id", "size", final.alias("copies"), "source_size", "target"))
+    done.append(last.select("r.rest.*").select("doc_id", "text_hash", "size", final.alias("copies"), "source_size", "target"))
     whole = done[0]
     for more in done[1:]:
         whole = whole.unionByName(more)
@@ -115,7 +115,12 @@ def round_copies(base: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
 
 
 def expand_copies(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The mixed corpus itself: each document as often as it is taken. doc_id must be unique."""
-    times = mixed.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies"))
-    rows = docs.join(times, docs["doc_id"].eqNullSafe(times["_id"]))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_id", "_copies", "_copy")
+    """The mixed corpus itself: each document as often as it is taken. Rows that are equal in id and text share evenly what
+    they are taken together; columns may have any names."""
+    none, number = F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("number")
+    times = mixed.groupBy(none, number, "text_hash").agg(F.sum("copies").alias("copies"), F.count("*").alias("equal")).where("copies > 0")
+    rows = docs.select(none, number, F.xxhash64("text").alias("text_hash"), F.struct("*").alias("row"))
+    joined = rows.join(times, ["none", "number", "text_hash"])
+    place = F.row_number().over(W.partitionBy("none", "number", "text_hash").orderBy("number"))
+    share = F.expr("copies div equal") + (place <= F.col("copies") % F.col("equal")).cast("long")
+    return joined.withColumn("share", share).where("share > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("share").cast("int")))).select("row.*")

@@ -64,6 +64,21 @@ def test_expand(spark, docs):
     assert mixing.expand_copies(docs, mixed).count() == sum(r.copies for r in mixed.collect() if r.size)
 
 
+def test_expand_repeated_rows(spark):
+    """Rows equal in id and text, null ids, one id for two texts, and columns with the names used inside."""
+    rows = [(i % 7 if i % 5 else None, "w " * (1 + i % 3), "s" + str(i % 2), i, i, i) for i in range(60)] + [(99, "one two three", "s0", 1, 2, 3)] * 40
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int, row int, share int")
+    mixed = mixing.mix_sources(d)
+    out = mixing.expand_copies(d, mixed)
+    assert out.columns == d.columns
+    want, got = Counter(), Counter((r.doc_id, r.text) for r in out.collect())
+    for r in mixed.collect():
+        want[r.doc_id, r.size] += r.copies
+    assert Counter({k: v for k, v in want.items() if v}) == sum((Counter({(i, len(WORDS.findall(t))): v}) for (i, t), v in got.items()), Counter())
+    each = Counter(tuple(r) for r in out.collect() if r.doc_id != 99)
+    assert max(each.values()) <= 3
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 100, 1025])
 def test_feistel_is_a_permutation(spark, n):
     x = spark.range(n).select(sharding.permuted(sharding.F.col("id"), n, 5, sharding.walks(n, 5)).alias("y"))
