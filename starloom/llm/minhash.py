@@ -9,11 +9,12 @@ K ln K + 2 K of them; where a coordinate stays empty, the bound is doubled for t
 Bands of ROWS coordinates give buckets; exact copies are one node (by SHA-256) before that. In each bucket nodes are paired
 with a representative, and pairs are checked by the exact Jaccard similarity of the shingles. Nodes that share a bucket
 and are still in different components are compared in full in buckets of up to SMALL nodes, and meet DRAWS members drawn at
-random in larger ones. Classes are the connected components. At similarity 0.8 a pair shares no bucket with a probability of 3e-6.
+random in larger ones. A pair is checked only if its sketches allow it: sizes and parities of elements on 256 bits, of which no
+more can differ than the elements that only one of the texts has. Classes are the connected components. At similarity 0.8 a pair shares no bucket with a probability of 3e-6.
 
 The exact rest of larger buckets. Their nodes are joined on rare elements instead of in pairs: elements are put in one order
 (those of a single component first, then by the nodes that hold them), and two texts of at least the wanted similarity
-share one of their first few, a fifth of the longer and a ninth of the shorter text at 0.8. Pairs that the lengths or the
+share one of their first few, a fifth of the longer and a ninth of the shorter text at 0.8. Pairs that the sketches or the
 places of the shared element rule out are dropped in the join. Elements held by over SMALL nodes link them with one of them
 first, so families become components before their members are compared. Nothing is sampled or capped: what stays quadratic
 is a group of texts that share a rare element, fit in length, and are not similar to each other.
@@ -42,6 +43,8 @@ K = BANDS * ROWS
 DRAWS = 3
 SMALL = 48
 _UNIT = 2.0**-53
+WORDS = ("m0", "m1", "m2", "m3")
+SKETCH = "k struct<n: int, m0: long, m1: long, m2: long, m3: long>"
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -112,12 +115,29 @@ def darts(h: np.ndarray, row: np.ndarray, rows: int, k: int = K) -> np.ndarray:
     return sign
 
 
+def sketches(e: np.ndarray, row: np.ndarray, rows: int) -> pa.StructArray:
+    """Per row its number of elements and the parities of how many of them fall on each of 256 bits."""
+    odd = np.bincount(row * 256 + (mix64(e) >> np.uint64(56)).astype(np.int64), minlength=rows * 256) & 1
+    words = np.packbits(odd.astype(np.uint8).reshape(rows, 256), axis=1).view(np.int64)
+    return pa.StructArray.from_arrays([pa.array(np.bincount(row, minlength=rows).astype(np.int32)), *[pa.array(np.ascontiguousarray(words[:, i])) for i in range(4)]], ["n", *WORDS])
+
+
+def may_link(x: Column, y: Column, threshold: float) -> Column:
+    """False only if two sketches rule out the similarity: by the numbers of elements, or as more bits differ than the elements
+    that two such texts may not share (each of these changes one bit)."""
+    apart = sum((F.bit_count(x[w].bitwiseXOR(y[w])) for w in WORDS), F.lit(0))
+    slack = 1e-6  # of rounding
+    return (F.least(x["n"], y["n"]) >= F.greatest(x["n"], y["n"]) * (threshold - slack)) & (apart <= (x["n"] + y["n"]) * ((1 - threshold) / (1 + threshold)) + slack)
+
+
 def _signatures(weights: str, bands: int, rows_per: int):
     def run(batches):
         for batch in batches:
             for lo, hi, data, offsets in pieces(batch.column(2)):
                 h, place = shingles(data, offsets)
-                sign = darts(*elements(h, place, weights), hi - lo, bands * rows_per)
+                e, row = elements(h, place, weights)
+                sign = darts(e, row, hi - lo, bands * rows_per)
+                sketch = sketches(e, row, hi - lo)
                 out = np.zeros((hi - lo, bands), np.uint64)
                 for b in range(bands):
                     x = np.full(hi - lo, b + 1, np.uint64)
@@ -126,7 +146,7 @@ def _signatures(weights: str, bands: int, rows_per: int):
                     out[:, b] = x
                 some = np.diff(place) > 0
                 ends = np.concatenate(([0], np.cumsum(np.where(some, bands, 0)))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(out[some].ravel().view(np.int64)))], ["doc_id", "node", "buckets"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(out[some].ravel().view(np.int64))), sketch], ["doc_id", "node", "buckets", "k"])
 
     return run
 
@@ -192,12 +212,12 @@ def rare_elements(texts: DataFrame, threshold: float, weights: str) -> DataFrame
 def near_links(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "count") -> tuple[DataFrame, DataFrame]:
     """(members: doc_id, node; classes: node, root) - exact copies share a node, checked links join nodes."""
     known = docs.select("doc_id", digest(F.col("text")).alias("node"), "text")
-    members = durable(known.mapInArrow(_signatures(weights, BANDS, ROWS), "doc_id long, node binary, buckets array<long>"))
+    members = durable(known.mapInArrow(_signatures(weights, BANDS, ROWS), "doc_id long, node binary, buckets array<long>, " + SKETCH))
     # one row for each node, with the id by which its text is found again
-    nodes = members.groupBy("node").agg(F.min_by(F.struct("doc_id", "buckets"), F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("x"))
-    nodes = durable(nodes.select("node", F.col("x.doc_id").alias("doc_id"), F.col("x.buckets").alias("buckets")))
-    rows = nodes.select("node", F.explode("buckets").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("rep")).where("n > 1")
+    nodes = members.groupBy("node").agg(F.min_by(F.struct("doc_id", "buckets", "k"), F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("x"))
+    nodes = durable(nodes.select("node", "x.*"))
+    rows = nodes.select("node", "k", F.explode("buckets").alias("bucket"))
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("node", "k")).alias("rep")).where("n > 1")
     shared = durable(rows.join(shared.select("bucket", "rep"), "bucket"))
     met = shared.select("node").distinct()
     texts = durable(known.withColumn("id", F.coalesce("doc_id", F.lit(-(1 << 63)))).join(nodes.join(met, "node", "left_semi").select("node", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id")), ["node", "id"], "left_semi").select("node", "text").dropDuplicates(["node"]))
@@ -207,7 +227,7 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "co
         two = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
         return durable(two.select("a", "b", "ta", "tb").mapInArrow(_check(threshold, weights), "a binary, b binary"))
 
-    tried = durable(shared.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct())
+    tried = durable(shared.where((F.col("node") != F.col("rep.node")) & may_link(F.col("k"), F.col("rep.k"), threshold)).select(F.col("node").alias("a"), F.col("rep.node").alias("b")).distinct())
     edges = checked(tried)
     found = durable(components(edges))
 
@@ -223,34 +243,34 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "co
             found = durable(components(edges))
 
     # buckets that are still of several components: small ones in full, the others by random members
-    mixed = durable(shared.select("bucket", "node").join(found, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("label")))
-    draws = [F.max(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), F.col("node").alias("b"), F.col("label").alias("bl"))) for i in range(DRAWS)]
+    mixed = durable(shared.select("bucket", "node", "k").join(found, "node", "left").select("bucket", "node", "k", F.coalesce("root", "node").alias("label")))
+    draws = [F.max(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), F.col("node").alias("b"), F.col("label").alias("bl"), F.col("k").alias("bk"))) for i in range(DRAWS)]
     still = durable(mixed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.array(*draws).alias("r")).where("lo <> hi").select("bucket", "n", "r"))
     few = durable(mixed.join(still.where(F.col("n") <= SMALL).select("bucket"), "bucket", "left_semi"))
-    other = few.select("bucket", F.col("node").alias("x"), F.col("label").alias("xl"))
-    pairs = other.join(few, "bucket").where("x < node AND xl <> label").select(F.col("x").alias("a"), F.col("node").alias("b"))
-    drawn = mixed.join(still.where(F.col("n") > SMALL).select("bucket", "r"), "bucket").select("node", "label", F.explode("r").alias("r")).where(F.col("label") != F.col("r.bl"))
-    compare(pairs.unionByName(drawn.select(F.least("node", "r.b").alias("a"), F.greatest("node", "r.b").alias("b"))))
+    other = few.select("bucket", F.col("node").alias("x"), F.col("label").alias("xl"), F.col("k").alias("xk"))
+    full = other.join(few, "bucket").where((F.col("x") < F.col("node")) & (F.col("xl") != F.col("label")) & may_link(F.col("xk"), F.col("k"), threshold)).select(F.col("x").alias("a"), F.col("node").alias("b"))
+    drawn = mixed.join(still.where(F.col("n") > SMALL).select("bucket", "r"), "bucket").select("node", "label", "k", F.explode("r").alias("r")).where((F.col("label") != F.col("r.bl")) & may_link(F.col("k"), F.col("r.bk"), threshold))
+    compare(full.unionByName(drawn.select(F.least("node", "r.b").alias("a"), F.greatest("node", "r.b").alias("b"))))
 
     # the exact rest of larger buckets
     many = shared.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > SMALL)
-    mixed = shared.join(many.select("bucket"), "bucket").join(found, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("label"))
+    mixed = shared.join(many.select("bucket"), "bucket").join(found, "node", "left").select("bucket", "node", "k", F.coalesce("root", "node").alias("label"))
     still = mixed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
-    rest = durable(mixed.join(still, "bucket", "left_semi").select("node", "label").distinct())
+    rest = durable(mixed.join(still, "bucket", "left_semi").select("node", "k", "label").distinct())
     if rest.isEmpty():
         return members.select("doc_id", "node"), found
-    rare = durable(rare_elements(texts.join(rest, "node"), threshold, weights))
+    rare = durable(rare_elements(texts.join(rest, "node"), threshold, weights).join(rest.select("node", "k"), "node"))
     for last in (False, True):
         now = rare.join(found, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
-        groups = now.groupBy("e").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(F.col("node").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"))).alias("r")).where("lo <> hi")
+        groups = now.groupBy("e").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(F.col("node").alias("b"), F.col("k").alias("bk"), F.col("label").alias("bl"))).alias("r")).where("lo <> hi")
         if not last:
-            one = now.join(groups.where(F.col("m") > SMALL).select("e", "r"), "e").where(F.col("label") != F.col("r.bl"))
-            pairs = one.where(F.least("n", "r.bn") >= F.greatest("n", "r.bn") * (threshold - 1e-9)).select(F.least("node", "r.b").alias("a"), F.greatest("node", "r.b").alias("b"))
+            one = now.join(groups.where(F.col("m") > SMALL).select("e", "r"), "e").where((F.col("label") != F.col("r.bl")) & may_link(F.col("k"), F.col("r.bk"), threshold))
+            pairs = one.select(F.least("node", "r.b").alias("a"), F.greatest("node", "r.b").alias("b"))
         else:
             now = durable(now.join(groups.select("e"), "e", "left_semi"))
-            x, y = (now.select("e", "short", *[F.col(c).alias(s + c) for c in ("node", "n", "pos", "label")]) for s in "xy")
-            fits = "xlabel <> ylabel AND (xn < yn OR xn = yn AND xnode < ynode) AND xn >= yn * {0} AND least(xn - xpos, yn - ypos) + 1 >= (xn + yn) * {1}"
-            pairs = x.where("short").drop("short").join(y.drop("short"), "e").where(fits.format(f"{threshold - 1e-9:.12f}D", f"{threshold / (1 + threshold) - 1e-9:.12f}D")).select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b"))
+            x, y = (now.select("e", "short", *[F.col(c).alias(s + c) for c in ("node", "n", "pos", "label", "k")]) for s in "xy")
+            fits = "xlabel <> ylabel AND (xn < yn OR xn = yn AND xnode < ynode) AND least(xn - xpos, yn - ypos) + 1 >= (xn + yn) * {0}D".format(f"{threshold / (1 + threshold) - 1e-9:.12f}")
+            pairs = x.where("short").drop("short").join(y.drop("short"), "e").where(F.expr(fits) & may_link(F.col("xk"), F.col("yk"), threshold)).select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b"))
         compare(pairs)
     return members.select("doc_id", "node"), found
 

@@ -92,6 +92,31 @@ def test_signature_is_jaccard():
         assert np.allclose(minhash.similarity(left, right, weights), want)
 
 
+def test_sketches_never_rule_out_a_link(spark):
+    """may_link holds for every pair that is as similar as asked for, and fails for most that are far from it."""
+    rng, texts = random.Random(8), []
+    for n in (3, 30, 150, 900):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        for k in (0, 1, 2, n // 40, n // 20, n // 4):
+            page = list(base)
+            for at in rng.sample(range(n), min(k, n)):
+                page[at] = f"e{rng.randrange(10**6)}"
+            texts.append(" ".join(page))
+    for weights in ("set", "count"):
+        e, row = minhash.elements(*minhash.shingles(*next(minhash.pieces(pa.array(texts)))[2:]), weights)
+        k = minhash.sketches(e, row, len(texts)).to_pylist()
+        d = spark.createDataFrame([(i, x) for i, x in enumerate(k)], "i int, " + minhash.SKETCH)
+        other = d.selectExpr("i AS j", "k AS l")
+        bags = [bag(t) if weights == "count" else Counter(set(bag(t))) for t in texts]
+        far = [0, 0]
+        for r in d.join(other, minhash.F.col("i") < minhash.F.col("j")).select("i", "j", minhash.may_link(minhash.F.col("k"), minhash.F.col("l"), 0.8).alias("may")).collect():
+            j = jaccard(bags[r.i], bags[r.j])
+            assert r.may or j < 0.8
+            if j < 0.5 and min(len(bags[r.i]), len(bags[r.j])) > 100:
+                far[r.may] += 1
+        assert far[0] > far[1]
+
+
 def test_components(spark):
     edges = [(RNG.randrange(300), RNG.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)]
     root = {}
