@@ -25,7 +25,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 MARK = "▁"
-MEMORY = 400_000
+MEMORY = 800_000
 """Chunks remembered by a worker before it starts anew with the next batch."""
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 SHORT = 40
