@@ -17,13 +17,13 @@ SQL: dict[str, str] = {
         1e-2 + (e.event_id % 13) * 2e-3 AS magerr_auto, CASE WHEN e.event_id % 17 = 0 THEN 1 ELSE 0 END AS flags, (e.event_id % 100) / 100e0 AS class_star, 2 + (e.event_id % 30) / 10e0 AS fwhm,
         (e.event_id % 40) / 100e0 AS ellipticity, CAST(e.event_id % 180 - 90 AS DOUBLE) AS theta, CAST(5 + e.event_id % 200 AS DOUBLE) AS snr, {filt} AS filt
         FROM {events} e JOIN ({ref}) r ON r.source_id = (e.event_id * 13 + 7) % {n_orders}""",
-    "exposures": """SELECT event_id AS image_id, ts, CAST(ts - INTERVAL 15 HOURS AS DATE) AS nightdate, concat('7DT0', CAST(user_id % 5 + 1 AS VARCHAR(2))) AS unit,
+    "exposures": """SELECT event_id AS image_id, ts, CAST(ts - INTERVAL 15 HOURS AS DATE) AS nightdate, concat('SU0', CAST(user_id % 5 + 1 AS VARCHAR(2))) AS unit,
         CASE event_id % 8 WHEN 0 THEN 'bias' WHEN 1 THEN 'dark' WHEN 2 THEN 'flat' ELSE 'science' END AS kind, {filt} AS filt, CASE WHEN (event_id // 8) % 2 = 0 THEN 100 ELSE 60 END AS exptime,
         CASE WHEN (event_id // 8) % 11 = 0 THEN 0 ELSE 2750 END AS gain, 1 + (event_id // 16) % 2 AS n_binning, CAST(31000 + user_id % 5 AS VARCHAR(8)) AS camera,
         concat('T', lpad(CAST(user_id % 20 AS VARCHAR(8)), 5, '0')) AS obj, (event_id * 7919 % 360000) / 1000e0 AS ra, (event_id * 104729 % 120000) / 1000e0 - 60 AS dec FROM {events}""",
     "image_qa": """SELECT o_orderkey AS id, o_custkey AS process_status_id, concat('img', CAST(o_orderkey AS VARCHAR(12))) AS image_name, CASE o_orderkey % 4 WHEN 0 THEN 'bias' WHEN 1 THEN 'dark' WHEN 2 THEN 'flat' ELSE 'science' END AS image_type,
         CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE concat('/data/', CAST(o_orderkey AS VARCHAR(12))) END AS image_path, concat('i', CAST(o_orderkey * 31 AS VARCHAR(16))) AS imageid, CAST(o_orderdate AS DATE) AS nightdate,
-        concat('7DT0', CAST(o_orderkey % 5 + 1 AS VARCHAR(2))) AS unit, CASE o_orderkey % 5 WHEN 0 THEN 'g' WHEN 1 THEN 'r' WHEN 2 THEN 'i' WHEN 3 THEN 'm525' ELSE 'm650' END AS filt, o_orderkey % 20 AS object, 100 AS exptime,
+        concat('SU0', CAST(o_orderkey % 5 + 1 AS VARCHAR(2))) AS unit, CASE o_orderkey % 5 WHEN 0 THEN 'g' WHEN 1 THEN 'r' WHEN 2 THEN 'i' WHEN 3 THEN 'm525' ELSE 'm650' END AS filt, o_orderkey % 20 AS object, 100 AS exptime,
         CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN false ELSE true END AS sanity, CAST(o_orderkey % 64 AS INT) AS ppflag, CASE WHEN o_orderkey % 97 = 0 THEN 0e0 ELSE 1 + (o_orderkey % 300) / 100e0 END AS seeing,
         (o_orderkey % 60) / 100e0 AS ellipmn, 18 + (o_orderkey % 400) / 100e0 AS ul5_5, CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE CAST(o_orderkey % 80 AS DOUBLE) END AS skyval FROM {orders}""",
     "process_status": """SELECT c_custkey AS id, concat('cfg', CAST(c_custkey // 2 AS VARCHAR(12))) AS name, CASE c_custkey % 3 WHEN 0 THEN 'preprocess' WHEN 1 THEN 'science' ELSE 'coadd' END AS config_type, DATE '2024-01-01' + CAST(c_custkey % 30 AS INT) AS nightdate,
@@ -31,7 +31,7 @@ SQL: dict[str, str] = {
     "edges": """SELECT k AS derived, k // 7 AS source, 'primary' AS role, CASE WHEN k % 17 = 0 THEN NULL WHEN k % 13 = 0 THEN 'old' ELSE concat('i', CAST((k // 7) * 31 AS VARCHAR(16))) END AS source_imageid FROM (SELECT o_orderkey AS k FROM {orders}) a WHERE k > 0
         UNION ALL SELECT k, k // 11, 'secondary', concat('i', CAST((k // 11) * 31 AS VARCHAR(16))) FROM (SELECT o_orderkey AS k FROM {orders}) b WHERE k > 0 AND k % 5 = 0 AND k // 7 <> k // 11""",
     "pixels": """SELECT event_id % 10 AS frame, (event_id // 10) // 40 AS y, (event_id // 10) % 40 AS x, CASE WHEN event_id % 29 = 0 THEN 0e0 ELSE value END AS v, event_id % 31 = 0 AS bad, 1e0 / (1 + event_id % 7) AS w FROM {events}""",
-    "instrument_log": """SELECT concat('7DT0', CAST(u AS VARCHAR(2))) AS unit, DATE '2024-01-01' + CAST(7 * k + u AS INT) AS nightdate, 31000 + u * 10 + k AS camera FROM
+    "instrument_log": """SELECT concat('SU0', CAST(u AS VARCHAR(2))) AS unit, DATE '2024-01-01' + CAST(7 * k + u AS INT) AS nightdate, 31000 + u * 10 + k AS camera FROM
         (SELECT DISTINCT user_id % 5 + 1 AS u FROM {events}) a CROSS JOIN (SELECT DISTINCT event_id % 4 AS k FROM {events}) b""",
     "headers": """SELECT event_id AS image_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(event_id % 8 * 10 AS VARCHAR(8)) END AS exptime, CASE WHEN event_id % 11 = 0 THEN NULL ELSE CAST(60000 + event_id % 1000 AS VARCHAR(12)) END AS mjd,
         CAST(2460000 + event_id % 1000 AS VARCHAR(12)) AS jd, event_type AS object, CAST(user_id % 5 AS VARCHAR(4)) AS telescop, user_id % 30 AS stack, CAST(event_id % 64 AS INT) AS ppflag, (event_id % 90) / 30e0 AS seeing,

@@ -6,10 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Bits of the quality flag.
-FLAG_BITS = {1: "other night", 2: "masters differ", 4: "sanity false", 8: "lenient keys", 16: "across a wall", 32: "reserved"}
+FLAG_BITS = {1: "other night", 2: "manual master", 4: "sanity false", 8: "lenient keys", 16: "across a wall", 32: "hard keys ignored"}
 #: Aliases of image types in free parameters.
 TYPE_ALIASES = {"bias": "bias", "zero": "bias", "dark": "dark", "flat": "flat", "science": "science", "sci": "science", "object": "science"}
 FILTERS = ("u", "g", "r", "i", "z")
+UNIT = r"SU(?:0[1-9]|1\d|20)"
+"""Default pattern of the names of instruments; the functions that look for one take another."""
 
 
 def nightdate(ts: Column) -> Column:
@@ -49,9 +51,9 @@ def angle(text: Column, hours: bool = False) -> Column:
     return sign * whole * (F.when(F.size(parts) > 1, 15.0).otherwise(1.0) if hours else 1.0)
 
 
-def classify_parameter(p: Column) -> Column:
+def classify_parameter(p: Column, unit: str = UNIT) -> Column:
     """date, unit, filter, type or target of a free parameter."""
-    return (F.when(p.rlike(r"^\d{4}-\d{2}-\d{2}$|^\d{8}$"), "date").when(p.rlike(r"^7DT(0[1-9]|1\d|20)$"), "unit").when(p.isin(*FILTERS) | p.rlike(r"^m\d{3}w?$"), "filter")
+    return (F.when(p.rlike(r"^\d{4}-\d{2}-\d{2}$|^\d{8}$"), "date").when(p.rlike(f"^{unit}$"), "unit").when(p.isin(*FILTERS) | p.rlike(r"^m\d{3}w?$"), "filter")
             .when(F.lower(p).isin(*TYPE_ALIASES), "type").otherwise("target"))
 
 
@@ -98,10 +100,10 @@ def parse_raw(name: Column) -> dict[str, Column]:
     return {"unit": p[0], "ts": F.try_to_timestamp(F.concat(F.get(p, 1), F.get(p, 2)), F.lit("yyyyMMddHHmmss")), "obj": F.array_join(F.slice(p, 4, F.greatest(n - 6, F.lit(0))), "_"), "filt": F.try_element_at(p, F.lit(-3)), "binning": F.regexp_extract(F.try_element_at(p, F.lit(-2)), r"^(\d+)x", 1).try_cast("int"), "exptime": F.regexp_extract(F.try_element_at(p, F.lit(-1)), r"^(\d+)s", 1).try_cast("int")}
 
 
-def type_tuple(name: Column) -> dict[str, Column]:
-    """The five components of a file's type from its name."""
+def type_tuple(name: Column, unit: str = UNIT) -> dict[str, Column]:
+    """The five components of a file's type from its name; unit: pattern of the names of instruments."""
     base = F.lower(name)
-    raw = name.rlike(r"^7DT\d\d_")
+    raw = name.rlike(f"^{unit}_")
     master = base.rlike(r"^(bias|dark|flat)")
     return {
         "stage": F.when(raw, "raw").when(master, "master").otherwise("calibrated"),
@@ -142,6 +144,12 @@ def asinh_stretch(v: Column, sky: Column | float, noise: Column | float, softeni
     return F.asinh((v - sky) / (softening * noise)) * softening
 
 
+def clipped_stretch(v: Column, sky: float, noise: float, top: Column, k_soft: float = 3.0, low: float = -1.0) -> Column:
+    """To 0..1: v less the sky, held between `low` noises and the value `top`, by arcsinh with a softening of k_soft noises."""
+    held = F.least(F.greatest(v - sky, F.lit(low * noise)), top - sky)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.asinh(held / (k_soft * noise)) / F.asinh((top - sky) / (k_soft * noise))))
+
+
 def merge_comment(old: Column, new: Column, overwrite: bool = False) -> Column:
     """An existing comment stays unless it is empty or is overwritten."""
     empty = old.isNull() | (F.trim(old) == "")

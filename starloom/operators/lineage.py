@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from starloom.functions.text import UNIT
+
 from starloom.storage import durable
 
 
@@ -57,13 +59,13 @@ def sync_edges(wanted: DataFrame, images: DataFrame) -> DataFrame:
     return wanted.join(best, "imageid").select("derived", "source", "role").distinct()
 
 
-def parse_ingredients(cards: DataFrame) -> DataFrame:
+def parse_ingredients(cards: DataFrame, unit: str = UNIT) -> DataFrame:
     """(image, name, imageid, role) from header maps: numbered card pairs IMCMBnnn/IMCIDnnn and IMGnnnnn/IIDnnnnn, by number.
 
     The role follows the name; raw names and those without an id are dropped, and an imageid counts once."""
     e = cards.select("image", F.explode("headers").alias("k", "v")).where(r"k RLIKE '^(IMCMB|IMCID)\\d{3}$|^(IMG|IID)\\d{5}$'")
     e = e.select("image", F.regexp_extract("k", r"(\d+)$", 1).alias("n"), F.when(F.col("k").rlike("^(IMCMB|IMG)"), "name").otherwise("imageid").alias("what"), F.when(F.col("k").rlike("^IMC"), "a").otherwise("b").alias("family"), "v")
-    p = e.groupBy("image", "family", "n").pivot("what", ["name", "imageid"]).agg(F.first("v")).where("name IS NOT NULL AND imageid IS NOT NULL AND NOT name RLIKE '^7DT'")
+    p = e.groupBy("image", "family", "n").pivot("what", ["name", "imageid"]).agg(F.first("v")).where("name IS NOT NULL AND imageid IS NOT NULL").where(~F.col("name").rlike(f"^{unit}"))
     role = F.when(F.col("name").rlike("^bias"), "bias").when(F.col("name").rlike("^dark"), "dark").when(F.col("name").rlike("^flat"), "flat").otherwise("input")
     return p.groupBy("image", "imageid").agg(F.min_by("name", F.struct("family", "n")).alias("name"), F.min_by(role, F.struct("family", "n")).alias("role"))
 

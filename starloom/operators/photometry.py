@@ -46,7 +46,7 @@ def zero_points(matched: DataFrame, keys: list[str], ref: str = "mag", inst: str
     """(keys, n, zp, zperr): median of ref - inst after clipping around the median, and the scaled deviation of what is left."""
     diff = matched.withColumn("dz", F.col(ref) - F.col(inst))
     kept = stats.sigma_clip(diff, keys, "dz", sigma, passes)
-    return stats.median_nmad(kept, keys, "dz").select(*keys, "n", F.col("med").alias("zp"), F.col("nmad").alias("zperr"))
+    return stats.median_nmad(kept, keys, "dz", bounded=False).select(*keys, "n", F.col("med").alias("zp"), F.col("nmad").alias("zperr"))
 
 
 def limiting_mag(n_sigma: float, zp: Column, aperture: Column, sky_sigma: Column) -> Column:
@@ -55,9 +55,15 @@ def limiting_mag(n_sigma: float, zp: Column, aperture: Column, sky_sigma: Column
     return F.round(zp - 2.5 * F.log10(n_sigma * area * sky_sigma), 3)
 
 
-def infer_filter(zps: DataFrame, keys: list[str], alleged: str = "alleged") -> DataFrame:
-    """(keys, filt): the candidate of least zero-point error, medium bands (m...) only if their zero point is at most 27.2; the alleged one if none."""
+def infer_filter(zps: DataFrame, keys: list[str], alleged: str = "alleged", active: DataFrame | None = None) -> DataFrame:
+    """(keys, filt): the candidate of least zero-point error, medium bands (m...) only if their zero point is at most 27.2; the alleged one if none.
+
+    active: (keys, filt) of the filters in use that night; others are no candidates, unless a key has none at all."""
     usable = F.col("zperr").isNotNull() & ~(F.col("filt").startswith("m") & (F.col("zp") > 27.2))
+    if active is not None:
+        a = active.groupBy(*keys).agg(F.collect_set("filt").alias("_active"))  # the filters of an instrument
+        zps = zps.join(a, keys, "left")
+        usable = usable & (F.col("_active").isNull() | F.array_contains("_active", F.col("filt")))
     best = zps.groupBy(*keys).agg(F.min(F.when(usable, F.struct("zperr", "filt"))).alias("b"), F.first(alleged, ignorenulls=True).alias("a"))
     return best.select(*keys, F.coalesce(F.col("b.filt"), F.col("a")).alias("filt"))
 

@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starloom.operators.stats import NMAD, clipped_stats_fixed
+from starloom.operators.stats import clipped_stats_fixed, exact_medians, join_stats, median_nmad
 
 XY = ["y", "x"]
-#: Variance of a median over that of a mean, by number of values, and its limit.
-MEDIAN_PENALTY = ((1, 1.0), (2, 1.0), (3, 1.3463), (5, 1.4341), (11, 1.5088), (51, 1.5581), (201, 1.5676))
+#: Variance of a median over that of a mean, by number of values; from the last number on, the limit.
+MEDIAN_PENALTY = ((1, 1.0), (2, 1.0), (3, 1.3460), (5, 1.4342), (7, 1.4731), (9, 1.4949), (11, 1.5088), (15, 1.5254), (21, 1.5385), (31, 1.5489), (51, 1.5575), (101, 1.5641), (201, 1.5674))
 MEDIAN_LIMIT = math.pi / 2
 
 
@@ -29,8 +29,8 @@ def master_combine(frames: DataFrame, subtract: DataFrame | None = None, normali
     """(y, x, v, sd) over frames (frame, y, x, v): optional master (y, x, m) taken off, optional division by the frame's median (0 reads as 1e-8)."""
     df = frames if subtract is None else frames.join(subtract, XY).withColumn("v", F.col("v") - F.col("m"))
     if normalise:
-        med = df.groupBy("frame").agg(F.median("v").alias("_m"))
-        df = df.join(med, "frame").withColumn("v", F.col("v") / F.when(F.col("_m") == 0, 1e-8).otherwise(F.col("_m")))
+        med = exact_medians(df, ["frame"], "v").select("frame", F.col("median").alias("_m"))
+        df = join_stats(df, med, ["frame"]).withColumn("v", F.col("v") / F.when(F.col("_m") == 0, 1e-8).otherwise(F.col("_m")))
     return df.groupBy(*XY).agg((F.median if method == "median" else F.avg)("v").alias("v"), F.stddev_samp("v").alias("sd"))
 
 
@@ -52,12 +52,15 @@ def mean_coadd(frames: DataFrame) -> DataFrame:
     return frames.groupBy(*XY).agg((F.sum(w * F.col("f") * F.col("v")) / F.sum(w)).alias("v"), F.coalesce(F.sum(w), F.lit(0.0)).alias("weight"), F.count(w).alias("n"))
 
 
-def median_penalty(n: Column) -> Column:
-    """Variance penalty of a median of n values, linear in 1/n between knots."""
-    out = F.lit(MEDIAN_LIMIT)
+def median_penalty(n: Column, limit: bool = False) -> Column:
+    """Variance penalty of a median of n values, linear in 1/n between knots. From the last knot on it stays as it is, or
+    with limit is pi / 2."""
+    last, most = MEDIAN_PENALTY[-1]
+    out = F.lit(most)
     for (n1, p1), (n2, p2) in reversed(list(zip(MEDIAN_PENALTY, MEDIAN_PENALTY[1:], strict=False))):
-        out = F.when((n >= n1) & (n <= n2), p1 + (p2 - p1) * (1 / n - 1 / n1) / (1 / n2 - 1 / n1)).otherwise(out)
-    return out
+        out = F.when(n <= n2, p1 + (p2 - p1) * (1 / n - 1 / n1) / (1 / n2 - 1 / n1)).otherwise(out)
+    out = F.when(n <= 1, 1.0).otherwise(out)
+    return F.when(n >= last, MEDIAN_LIMIT).otherwise(out) if limit else out
 
 
 def median_coadd(frames: DataFrame) -> DataFrame:
@@ -76,11 +79,14 @@ def clipped_coadd(frames: DataFrame, kappa: float = 3.0, slack: float = 0.1) ->
     return mean_coadd(j.where(near))
 
 
-def effective_gain(frames: DataFrame) -> DataFrame:
-    """One row: the median over covered pixels of (sum w)**2 / sum(w**2 / gain)."""
-    ok = F.when(valid(), F.col("w"))
-    per = frames.groupBy(*XY).agg((F.sum(ok) * F.sum(ok) / F.sum(ok * ok / F.col("gain"))).alias("g"))
-    return per.agg(F.median("g").alias("gain"))
+def effective_gain(frames: DataFrame, method: str = "mean") -> DataFrame:
+    """One row: the median over covered pixels of the gain of a coadd.
+
+    mean: (sum w)**2 / sum(w**2 / gain); median: n**2 / sum(1 / gain) over the penalty of a median of n."""
+    ok, n = F.when(valid(), F.col("w")), F.count(F.when(valid(), 1))
+    one = F.sum(ok) * F.sum(ok) / F.sum(ok * ok / F.col("gain")) if method == "mean" else n * n / F.sum(F.when(valid(), 1 / F.col("gain"))) / median_penalty(n, limit=True)
+    per = frames.groupBy(*XY).agg(one.alias("g"))
+    return exact_medians(per, [], "g").select(F.col("median").alias("gain"))
 
 
 def register(frames: DataFrame, offsets: DataFrame, height: int, width: int) -> DataFrame:
@@ -126,12 +132,25 @@ def _around(df: DataFrame, r: int) -> DataFrame:
 def interpolate_bad(frames: DataFrame, r: int = 1, method: str = "median") -> DataFrame:
     """frames (frame, y, x, v, w, bad) with bad pixels replaced from the good ones of the window around; 0 where none is.
 
-    median: the values' median; mean: weighted by w."""
+    median: the values' median, with the weight of that value, or for even counts the mean weight of the two middle
+    neighbours in reading order; mean: weighted by w, with the sum of the weights."""
     keys = ["frame", "y", "x"]
     lost = _around(frames.where("bad").select(*keys), r)
     good = frames.where("NOT bad").select("frame", F.col("y").alias("ty"), F.col("x").alias("tx"), "v", "w")
-    near = lost.join(good, ["frame", "ty", "tx"]).groupBy(*keys).agg((F.median("v") if method == "median" else F.sum(F.col("v") * F.col("w")) / F.sum("w")).alias("_v"))
-    return frames.join(near, keys, "left").withColumn("v", F.when(F.col("bad"), F.coalesce("_v", F.lit(0.0))).otherwise(F.col("v"))).drop("_v")
+    near = lost.join(good, ["frame", "ty", "tx"])
+    if method == "median":
+        # at most (2 r + 1)**2 neighbours of a pixel
+        g = near.groupBy(*keys).agg(F.sort_array(F.collect_list("v")).alias("a"), F.sort_array(F.collect_list(F.struct("ty", "tx", "v", "w"))).alias("b"))
+        n = F.size("a")
+        lo, hi = F.floor((n + 1) / 2).cast("int"), (F.floor(n / 2) + 1).cast("int")
+        middle = F.element_at("a", lo)
+        own = F.filter("b", lambda x: x["v"] == middle)[0]["w"]  # of equal values the first
+        slots = (F.element_at("b", lo)["w"] + F.element_at("b", hi)["w"]) / 2
+        near = g.select(*keys, ((middle + F.element_at("a", hi)) / 2).alias("_v"), F.when(n % 2 == 1, own).otherwise(slots).alias("_w"))
+    else:
+        near = near.groupBy(*keys).agg(F.try_divide(F.sum(F.col("v") * F.col("w")), F.sum("w")).alias("_v"), F.sum("w").alias("_w"))
+    new = {c: F.when(F.col("bad"), F.coalesce(f"_{c}", F.lit(0.0))).otherwise(F.col(c)) for c in "vw"}
+    return frames.join(near, keys, "left").withColumns(new).drop("_v", "_w")
 
 
 def block_bin(frames: DataFrame, ny: int, nx: int, height: int, width: int, method: str = "mean") -> DataFrame:
@@ -145,7 +164,8 @@ def frame_statistics(frames: DataFrame, height: int, width: int, crop: int) -> D
     """Per frame: clipped count, mean, median, std, raw extremes, and the median of the central crop."""
     clipped = clipped_stats_fixed(frames, ["frame"], "v")
     centre = F.when(F.col("y").between(height // 2 - crop // 2, height // 2 + crop // 2 - 1) & F.col("x").between(width // 2 - crop // 2, width // 2 + crop // 2 - 1), F.col("v"))
-    return clipped.join(frames.groupBy("frame").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.median(centre).alias("centre")), "frame")
+    middle = exact_medians(frames.select("frame", centre.alias("v")), ["frame"], "v").select("frame", F.col("median").alias("centre"))
+    return clipped.join(frames.groupBy("frame").agg(F.min("v").alias("lo"), F.max("v").alias("hi")), "frame").join(middle, "frame", "left")
 
 
 def edge_variation(frames: DataFrame, height: int, width: int, corner: int) -> DataFrame:
@@ -179,14 +199,31 @@ def column_profile(frames: DataFrame, step: int, method: str = "median") -> Data
     return frames.where(F.col("y") % step == 0).groupBy("frame", "x").agg(v.alias("v"))
 
 
-def shifted_score(profile: DataFrame, bin_width: int = 8, widths: int = 5) -> DataFrame:
-    """(frame, score): the largest pseudo-z of windowed sums of (profile - local median) over widths 1..widths."""
-    base = profile.groupBy("frame", F.floor(F.col("x") / bin_width).alias("b")).agg(F.median("v").alias("base"))
-    flat = profile.withColumn("b", F.floor(F.col("x") / bin_width)).join(base, ["frame", "b"]).withColumn("r", F.col("v") - F.col("base"))
-    noise = flat.groupBy("frame").agg((F.median(F.abs("r")) * NMAD).alias("noise"))
+def shifted_score(profile: DataFrame, level: float, bin_width: int = 200, widths: int = 50, floor: float = 1.0, least: float = 4.0) -> DataFrame:
+    """(frame, score, flag) of column profiles (frame, x from 0, v) against the bias level; flag: the score exceeds 5.
+
+    The background is the medians of bins of columns (the last filled up with its last value), linear between the bins'
+    centres. Over windows of 1..widths columns, with b the background above the level (not below 0), e the profile above it
+    and s the median step from column to column (at least floor): the largest (sum b b - 2 sum e b) / (2 s sqrt(sum b b))
+    where sum b b / s**2 exceeds `least`, and at least 0."""
+    size = profile.groupBy("frame").agg((F.max("x") + 1).alias("_n"))
+    bins = F.ceil(F.col("_n") / bin_width)
+    rows = profile.join(size, "frame")
+    copies = F.when(F.col("x") == F.col("_n") - 1, 1 + bins * bin_width - F.col("_n")).otherwise(1).cast("long")
+    base = rows.groupBy("frame", F.floor(F.col("x") / bin_width).alias("b")).agg(F.percentile("v", 0.5, copies).alias("m"))
+    at = F.greatest(F.lit(0.0), F.least((bins - 1).cast("double"), (F.col("x") - (bin_width / 2 - 0.5)) / bin_width))
+    rows = rows.withColumn("_t", at).withColumn("_b", F.floor("_t"))
+    rows = rows.join(base.select("frame", F.col("b").alias("_b"), F.col("m").alias("_lo")), ["frame", "_b"])
+    rows = rows.join(base.select("frame", (F.col("b") - 1).alias("_b"), F.col("m").alias("_hi")), ["frame", "_b"], "left")
+    ground = F.col("_lo") + (F.col("_t") - F.col("_b")) * (F.coalesce("_hi", "_lo") - F.col("_lo"))
     w = W.partitionBy("frame").orderBy("x")
-    sums = flat.select("frame", F.array(*[F.abs(F.sum("r").over(w.rowsBetween(-k, 0))) / math.sqrt(k + 1) for k in range(widths)]).alias("z"))
-    return sums.join(noise, "frame").groupBy("frame").agg(F.max(F.array_max("z") / F.when(F.col("noise") > 0, F.col("noise"))).alias("score"))
+    rows = rows.select("frame", "x", "v", F.greatest(ground - level, F.lit(0.0)).alias("b"), (F.col("v") - level).alias("e")).withColumn("step", F.abs(F.col("v") - F.lag("v").over(w)))
+    s = rows.groupBy("frame").agg(F.greatest(F.coalesce(F.median("step"), F.lit(floor)), F.lit(floor)).alias("s"))
+    sums = rows.withColumns({"bb": F.sum(F.col("b") * F.col("b")).over(w), "eb": F.sum(F.col("e") * F.col("b")).over(w)})
+    windows = sums.select("frame", F.array(*[F.when(F.lag("x", k - 1).over(w).isNotNull(), F.struct((F.col("bb") - F.lag("bb", k, 0.0).over(w)).alias("bb"), (F.col("eb") - F.lag("eb", k, 0.0).over(w)).alias("eb"))) for k in range(1, widths + 1)]).alias("z")).select("frame", F.explode("z").alias("z"))
+    z = F.when(F.col("z.bb") / (F.col("s") * F.col("s")) > least, (F.col("z.bb") - 2 * F.col("z.eb")) / (2 * F.col("s") * F.sqrt("z.bb")))
+    scored = windows.join(s, "frame").groupBy("frame").agg(F.greatest(F.lit(0.0), F.max(z)).alias("score"))
+    return scored.select("frame", "score", (F.col("score") > 5).alias("flag"))
 
 
 def steps(profile: DataFrame, half: int, quantum: float) -> DataFrame:
@@ -216,23 +253,21 @@ def source_mask(sources: DataFrame, grow: float, least: float, most: int, height
 
 
 def gaussian(frames: DataFrame, sigma: float, r: int) -> DataFrame:
-    """Separable smoothing with zeros outside the image, kernel of 2 r + 1 taps that sums to 1."""
+    """Separable smoothing with zeros outside the image, kernel of 2 r + 1 taps that sums to 1. Images are whole rectangles.
+
+    A pass takes the neighbours from the rows before and after in its line, so each pixel is shuffled once a pass."""
     k = [math.exp(-i * i / (2 * sigma * sigma)) for i in range(-r, r + 1)]
-    taps = [F.struct(F.lit(i).alias("d"), F.lit(v / sum(k)).alias("k")) for i, v in zip(range(-r, r + 1), k, strict=True)]
-    own = frames.select("frame", *XY)
-    out = frames
-    for axis in ("x", "y"):
-        other = "y" if axis == "x" else "x"
-        spread = out.withColumn("_t", F.explode(F.array(*taps))).select("frame", other, (F.col(axis) + F.col("_t.d")).alias(axis), (F.col("v") * F.col("_t.k")).alias("v"))
-        out = spread.groupBy("frame", *XY).agg(F.sum("v").alias("v"))
-    return own.join(out, ["frame", *XY])
+    out = frames.select("frame", *XY, "v")
+    for axis, line in (("x", "y"), ("y", "x")):
+        w = W.partitionBy("frame", line).orderBy(axis)
+        out = out.withColumn("v", sum((F.lag("v", i, 0.0).over(w) * (x / sum(k)) for i, x in zip(range(-r, r + 1), k, strict=True)), F.lit(0.0)))
+    return out
 
 
 def robust_sky_sigma(frames: DataFrame, step: int = 8, least: int = 1000) -> DataFrame:
     """(frame, sigma) of every step-th row; null for under `least` values."""
     some = frames.where((F.col("y") % step == 0) & valid())
-    med = some.groupBy("frame").agg(F.median("v").alias("m"))
-    return some.join(med, "frame").groupBy("frame").agg(F.when(F.count("*") >= least, F.median(F.abs(F.col("v") - F.col("m"))) * NMAD).alias("sigma"))
+    return median_nmad(some, ["frame"], "v", bounded=False).select("frame", F.when(F.col("n") >= least, F.col("nmad")).alias("sigma"))
 
 
 def optimal_scalars(scalars: DataFrame) -> DataFrame:
@@ -242,12 +277,50 @@ def optimal_scalars(scalars: DataFrame) -> DataFrame:
     return scalars.select("frame", w.alias("w"), (w / F.sum(w).over(everything)).alias("share"), F.sqrt(F.sum(w).over(everything)).alias("total"))
 
 
-def erode(frames: DataFrame, n: int) -> DataFrame:
-    """(frame, y, x, ok): valid pixels after n erosions by a 3 x 3 box; beyond the border counts as valid, and frames without gaps stay whole. Images are whole rectangles."""
-    ok = frames.select("frame", *XY, valid().cast("int").alias("m"))
+def optimal_stack(frames: DataFrame, scalars: DataFrame, sigma: float, r: int) -> DataFrame:
+    """(y, x, numerator, response, count, weight) of frames (frame, y, x, v) and scalars (frame, f, s).
+
+    Each frame is smoothed by its matched filter (its r outermost pixels read as 0) and added with w f; the response is the
+    sum of the shares of the frames that have data there, count their number, and weight is F**2 times the response."""
+    box = frames.groupBy("frame").agg(F.max("y").alias("_h"), F.max("x").alias("_w"))
+    inner = F.col("y").between(r, F.col("_h") - r) & F.col("x").between(r, F.col("_w") - r)
+    cut = frames.join(box, "frame").select("frame", *XY, F.when(inner & valid(), F.col("v")).otherwise(0.0).alias("v"))
+    own = optimal_scalars(scalars).join(scalars.select("frame", "f"), "frame")
+    matched = gaussian(cut, sigma, r).join(frames.select("frame", *XY, valid().alias("_ok")), ["frame", *XY]).join(own, "frame")
+    seen = F.when(F.col("_ok"), F.col("share"))
+    return matched.groupBy(*XY).agg(F.sum(F.col("w") * F.col("f") * F.col("v")).alias("numerator"), F.coalesce(F.sum(seen), F.lit(0.0)).alias("response"), F.count(seen).alias("count"), F.coalesce(F.first("total") * F.first("total") * F.sum(seen), F.lit(0.0)).alias("weight"))
+
+
+def _eroded(ok: DataFrame, n: int) -> DataFrame:
+    """m (0 or 1) as the least of the (2 n + 1) square, within the image."""
     for a, b in (("x", "y"), ("y", "x")):
         ok = ok.withColumn("m", F.min("m").over(W.partitionBy("frame", b).orderBy(a).rangeBetween(-n, n)))
-    return ok.select("frame", *XY, (F.col("m") == 1).alias("ok"))
+    return ok
+
+
+def erode(frames: DataFrame, n: int) -> DataFrame:
+    """(frame, y, x, ok): valid pixels after n erosions by a 3 x 3 box; beyond the border counts as valid, and frames without gaps stay whole. Images are whole rectangles."""
+    return _eroded(frames.select("frame", *XY, valid().cast("int").alias("m")), n).select("frame", *XY, (F.col("m") == 1).alias("ok"))
+
+
+def shrink(masks: DataFrame, deltas: DataFrame) -> DataFrame:
+    """masks (frame, y, x, ok) shrunk by the reach of a kernel of delta pixels (frame, delta): ceil(4 delta / sqrt(8 ln 2)), beyond
+    the border counting as invalid. Frames without a gap, and those without a positive delta, stay as they are."""
+    reach = F.ceil(4 * F.col("delta") / math.sqrt(8 * math.log(2))).cast("int")
+    known = deltas.select("frame", F.when(F.col("delta") > 0, reach).otherwise(0).alias("_n"))
+    box = masks.groupBy("frame").agg(F.max("y").alias("_h"), F.max("x").alias("_w"), F.min(F.col("ok").cast("int")).alias("_all"))
+    m = masks.join(box.join(known, "frame", "left"), "frame").withColumn("_n", F.when(F.col("_all") == 1, 0).otherwise(F.coalesce("_n", F.lit(0))))
+    # the nearest invalid pixel of a line before and after, then of the lines around: a square reaches n in both axes
+    bad = m.withColumn("_bad", F.when(~F.col("ok"), F.col("x")))
+    w = W.partitionBy("frame", "y").orderBy("x")
+    before, after = F.last("_bad", True).over(w), F.first("_bad", True).over(w.rowsBetween(0, W.unboundedFollowing))
+    line = bad.withColumn("_d", F.least(F.coalesce(F.col("x") - before, F.lit(1 << 30)), F.coalesce(after - F.col("x"), F.lit(1 << 30))))
+    line = line.withColumn("_hit", F.when(F.col("_d") <= F.col("_n"), F.col("y")))
+    u = W.partitionBy("frame", "x").orderBy("y")
+    up, down = F.last("_hit", True).over(u), F.first("_hit", True).over(u.rowsBetween(0, W.unboundedFollowing))
+    far = (F.coalesce(F.col("y") - up, F.lit(1 << 30)) > F.col("_n")) & (F.coalesce(down - F.col("y"), F.lit(1 << 30)) > F.col("_n"))
+    inside = (F.least("y", F.col("_h") - F.col("y")) >= F.col("_n")) & (F.least("x", F.col("_w") - F.col("x")) >= F.col("_n"))
+    return line.select("frame", *XY, F.when(F.col("_n") == 0, F.col("ok")).otherwise(far & inside).alias("ok"))
 
 
 def forced_photometry(frames: DataFrame, targets: DataFrame, radius: float, inner: float, outer: float, gain: float, zp: float, zperr: float) -> DataFrame:

@@ -9,7 +9,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.stats import NMAD
+from starloom.operators.stats import median_nmad
 
 #: On which side a metric is bad.
 WORSE = {"seeing": "high", "ellipmn": "high", "skyval": "high", "ul5_5": "low"}
@@ -26,8 +26,7 @@ def suggest_cuts(df: DataFrame, keys: list[str], metrics: dict[str, str], n_sigm
     Sigma is the scaled median deviation, the standard deviation (n) if that is 0, and 0 for under two values."""
     long = df.select(*keys, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v"), F.lit(1.0 if side == "high" else -1.0).alias("sign")) for m, side in metrics.items()])).alias("x")).select(*keys, "x.*").where("v IS NOT NULL")
     by = [*keys, "metric", "sign"]
-    med = long.groupBy(*by).agg(F.median("v").alias("med"), F.count("*").alias("n"), F.stddev_pop("v").alias("sd"))
-    dev = long.join(med, by).groupBy(*by).agg(F.first("med").alias("med"), F.first("n").alias("n"), F.first("sd").alias("sd"), (F.median(F.abs(F.col("v") - F.col("med"))) * NMAD).alias("mad"))
+    dev = median_nmad(long, by, "v", bounded=False).withColumnRenamed("nmad", "mad").join(long.groupBy(*by).agg(F.stddev_pop("v").alias("sd")), by)
     sigma = F.when(F.col("n") < 2, 0.0).when(F.col("mad") > 0, F.col("mad")).otherwise(F.col("sd"))
     return dev.select(*keys, "metric", (F.col("med") + F.col("sign") * n_sigma * sigma).alias("cut"))
 

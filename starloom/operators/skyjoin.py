@@ -1,8 +1,9 @@
 """Joins by position on the sky.
 
-Points become unit vectors in a cubic grid whose cells are at least as wide as the match radius; one side is copied to the
-27 cells around its own, so an equi-join on the cell finds all pairs within the radius, with no special case at the
-poles or at RA 0. Rows without a position match nothing. Ties at equal distance go to the smaller id.
+Points become unit vectors in a cubic grid of cells a few match radii wide; one side is copied to the cells that a cube of
+the radius around it touches (1 to 8, two on average), so an equi-join on the cell finds all pairs within the radius, with
+no special case at the poles or at RA 0. The other side is dealt over SPLIT parts of a cell where a cell holds more than
+HOT of its rows (repeated pointings). Rows without a position match nothing. Ties at equal distance go to the smaller id.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 
 from starloom.functions import sky
 
-LEAST_CELL = 30.0
-"""Arcsec; narrower cells would copy rows in vain."""
+CELL_RADII, LEAST_CELL = 6.0, 0.45
+"""Width of a cell in match radii, and at least, in arcsec (a code has 20 bits for each axis)."""
 
 
 def _placed(df: DataFrame, key: str, ra: str, dec: str, side: str) -> DataFrame:
@@ -27,17 +28,18 @@ def _placed(df: DataFrame, key: str, ra: str, dec: str, side: str) -> DataFrame:
 
 def sky_pairs(a: DataFrame, b: DataFrame, radius: float, a_key: str, b_key: str, ra: str = "ra", dec: str = "dec", copy_b: bool = True) -> DataFrame:
     """(a_id, b_id, separation) of all pairs closer than `radius` arcsec. copy_b: b is the smaller side."""
-    cell = max(radius, LEAST_CELL) * sky.ARCSEC
+    cell = max(CELL_RADII * radius, LEAST_CELL) * sky.ARCSEC
+    reach = radius * sky.ARCSEC * (1 + 1e-6)  # a chord is never longer than its arc
     left, right = _placed(a, a_key, ra, dec, "a"), _placed(b, b_key, ra, dec, "b")
 
     def cells(df: DataFrame, side: str, around: bool) -> DataFrame:
-        at = [F.floor(F.col(f"{side}_{c}") / cell).cast("long") for c in "xyz"]
-        base = 1 << 20
-        code = ((at[0] + base) * (1 << 21) + at[1] + base) * (1 << 21) + at[2] + base
-        if not around:
-            return df.withColumn("cell", code)
-        steps = [(i * (1 << 21) + j) * (1 << 21) + k for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]
-        return df.withColumn("cell", F.explode(F.array(*[code + F.lit(s) for s in steps])))
+        """cell: the own one, or all that the cube around the point touches."""
+        df = df.withColumn("cell", F.lit(0).cast("long"))
+        for c in "xyz":
+            at = lambda shift, c=c: F.floor((F.col(f"{side}_{c}") + shift) / cell).cast("long") + (1 << 20)
+            place = F.explode(F.sequence(at(-reach), at(reach))) if around else at(0.0)
+            df = df.withColumn("_p", place).withColumn("cell", F.col("cell") * (1 << 21) + F.col("_p")).drop("_p")
+        return df
 
     pairs = cells(left, "a", not copy_b).join(cells(right, "b", copy_b), "cell")
     d2 = sky.chord2([F.col(f"a_{c}") for c in "xyz"], [F.col(f"b_{c}") for c in "xyz"])

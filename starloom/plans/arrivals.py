@@ -8,19 +8,20 @@ from pyspark.sql import functions as F
 
 from starloom.fixtures import table, with_
 from starloom.plans.registry import query
-from starloom.storage import durable
+from starloom.storage import durable, shared_dir
 from starloom.streaming import arrivals
 
-ARR = with_("exposures") + """, a AS (SELECT CAST(nightdate AS VARCHAR) AS nightdate, concat('b', image_id % 4) AS batch_key, image_id % 50 = 7 AS is_too, ts, concat('/7DT01/', image_id, '.fits') AS path FROM exposures WHERE image_id % 3 = 0),
+ARR = with_("exposures") + """, a AS (SELECT CAST(nightdate AS VARCHAR) AS nightdate, concat('b', image_id % 4) AS batch_key, image_id % 50 = 7 AS is_too, ts, concat('/SU01/', image_id, '.fits') AS path FROM exposures),
  m AS (SELECT DISTINCT nightdate, batch_key FROM a WHERE NOT is_too AND nightdate <> '2024-01-10' UNION ALL SELECT '2024-01-12', 'never'),
  ready AS (SELECT nightdate, CASE WHEN count(m.batch_key) = 0 THEN min(b) WHEN count(t) = count(m.batch_key) THEN max(t) END AS ready FROM (SELECT nightdate, min(ts) AS b FROM a GROUP BY 1) n LEFT JOIN m USING (nightdate)
  LEFT JOIN (SELECT nightdate, batch_key, min(ts) AS t FROM a WHERE NOT is_too GROUP BY 1, 2) f USING (nightdate, batch_key) GROUP BY 1),
  r AS (SELECT nightdate, greatest(ts, ready) AS rt, count(*) AS k FROM a JOIN ready USING (nightdate) WHERE ready IS NOT NULL GROUP BY 1, 2), o AS (SELECT nightdate, rt, row_number() OVER w AS release_no, sum(k) OVER w AS n_files FROM r WINDOW w AS (PARTITION BY nightdate ORDER BY rt))"""
+SLICES = 4
 LAST = " SELECT nightdate, max(release_no) AS releases, CAST(max(n_files) AS BIGINT) AS n_files, CAST(min(n_files) AS BIGINT) AS first_files FROM o GROUP BY nightdate"
 
 
 def _sides(spark, sf):
-    a = table(spark, sf, "exposures").where("image_id % 3 = 0").select(F.concat(F.lit("/7DT01/"), "image_id", F.lit(".fits")).alias("path"), "unit", F.col("nightdate").cast("string").alias("nightdate"), F.concat(F.lit("b"), F.col("image_id") % 4).alias("batch_key"), (F.col("image_id") % 50 == 7).alias("is_too"), F.col("ts").cast("timestamp").alias("ts"))
+    a = table(spark, sf, "exposures").select(F.concat(F.lit("/SU01/"), "image_id", F.lit(".fits")).alias("path"), "unit", F.col("nightdate").cast("string").alias("nightdate"), F.concat(F.lit("b"), F.col("image_id") % 4).alias("batch_key"), (F.col("image_id") % 50 == 7).alias("is_too"), F.col("ts").cast("timestamp").alias("ts"))
     m = a.where("NOT is_too AND nightdate <> '2024-01-10'").select("nightdate", "batch_key").distinct()
     return a, m.unionByName(m.limit(1).select(F.lit("2024-01-12").alias("nightdate"), F.lit("never").alias("batch_key")))
 
@@ -36,13 +37,18 @@ def r3_r4_gate_batch(spark, sf):
 
 @query(ARR + LAST)
 def r3_r4_gate_stream(spark, sf):
+    """Arrivals come in SLICES files in order of time, one in each micro-batch, so the nights' state crosses batches."""
     a, m = _sides(spark, sf)
-    a = durable(a.repartition(1).sortWithinPartitions("ts"))
-    source = spark.readStream.schema(a.schema).parquet(a.inputFiles()[0].rsplit("/", 1)[0])
-    name = f"gate_{uuid.uuid4().hex}"
-    q = arrivals.gate_stream(source, durable(m)).writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
+    folder = f"{shared_dir(spark)}/gate-{uuid.uuid4().hex}"
+    a = durable(a)
+    begin, end = a.agg(F.min("ts").cast("double"), F.max("ts").cast("double")).first()
+    at = F.least(F.lit(SLICES - 1), F.floor((F.col("ts").cast("double") - begin) / max(end - begin, 1.0) * SLICES))
+    for k in range(SLICES):
+        a.where(at == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    source = spark.readStream.schema(a.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    q = arrivals.gate_stream(source, durable(m)).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
-    return _summary(spark.table(name))
+    return _summary(spark.read.schema("nightdate string, release_no int, n_files long, release_ts timestamp").parquet(f"{folder}/out"))
 
 
 @query(ARR + " SELECT m.* FROM m ANTI JOIN (SELECT * FROM a WHERE NOT is_too) b USING (nightdate, batch_key)")

@@ -17,15 +17,21 @@ def _d(c="nightdate"):
     return F.col(c).cast("string").alias(c)
 
 
-@query(EX + " SELECT image_id, unit FROM exposures WHERE nightdate BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' AND unit IN ('7DT01', '7DT03') AND filt = 'r' AND kind = 'science' AND obj ILIKE '%0001%' AND exptime BETWEEN 80 AND 120")
+@query(EX + " SELECT image_id, unit FROM exposures WHERE nightdate BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' AND unit IN ('SU01', 'SU03') AND filt = 'r' AND kind = 'science' AND obj ILIKE '%0001%' AND exptime BETWEEN 80 AND 120")
 def f9_f11_frame_query(spark, sf):
-    return inventory.frame_query(table(spark, sf, "exposures"), start="2024-01-05", end="2024-01-12", units=["7DT01", "7DT03"], filters="r", kinds="science", name_like="0001", exptime=(80, 120)).select("image_id", "unit")
+    return inventory.frame_query(table(spark, sf, "exposures"), start="2024-01-05", end="2024-01-12", units=["SU01", "SU03"], filters="r", kinds="science", name_like="0001", exptime=(80, 120)).select("image_id", "unit")
 
 
-@query(EX + ", u AS (SELECT DISTINCT unit, 1 AS known FROM exposures WHERE unit <> '7DT05'), f AS (SELECT DISTINCT filt, 'band ' || filt AS band FROM exposures WHERE filt <> 'i') SELECT image_id, unit, band FROM exposures JOIN u USING (unit) LEFT JOIN f USING (filt)")
+@query(EX + " SELECT image_id, unit FROM exposures WHERE kind = 'science' AND (obj IN ('T00003', 'T00011') OR concat('M', filt) = 'Mg') AND nightdate >= DATE '2024-01-20' - 12 AND image_id % 5 <> 0")
+def f9_f11_targets_and_tiles(spark, sf):
+    e = table(spark, sf, "exposures").withColumns({"tile": F.col("obj"), "obj": F.concat(F.lit("M"), "filt"), "usable": F.col("image_id") % 5 != 0})
+    return inventory.frame_query(e, targets=["T00003", "Mg", "T00011"], tile="tile", days=12, now="2024-01-20", start="2030-01-01", usable=True).select("image_id", "unit")
+
+
+@query(EX + ", u AS (SELECT DISTINCT unit, 1 AS known FROM exposures WHERE unit <> 'SU05'), f AS (SELECT DISTINCT filt, 'band ' || filt AS band FROM exposures WHERE filt <> 'i') SELECT image_id, unit, band FROM exposures JOIN u USING (unit) LEFT JOIN f USING (filt)")
 def j9_star_join(spark, sf):
     e = table(spark, sf, "exposures")
-    u = e.where("unit <> '7DT05'").select("unit").distinct()
+    u = e.where("unit <> 'SU05'").select("unit").distinct()
     f = e.where("filt <> 'i'").select("filt").distinct().withColumn("band", F.concat(F.lit("band "), "filt"))
     return e.join(u, "unit").join(f, "filt", "left").select("image_id", "unit", "band")
 
@@ -50,32 +56,51 @@ def j10_calibration_association(spark, sf):
     return j.select(F.col("science.nightdate").cast("string").alias("nightdate"), "science.unit", "science.exptime", "science.filt", "science.n_binning", F.coalesce("science.gain", F.lit(0)).alias("gain"), "calib.n")
 
 
-@query(EX + ", s AS (SELECT DISTINCT nightdate, unit, exptime FROM exposures WHERE kind = 'science' AND image_id % 48 = 3), d AS (SELECT nightdate, unit, exptime, count(*) AS n FROM exposures WHERE kind = 'dark' GROUP BY ALL) SELECT CAST(d.nightdate AS VARCHAR) AS nightdate, unit, exptime, n FROM d ANTI JOIN s USING (nightdate, unit, exptime)")
+def _alike(keys, left="s", right="c"):
+    return " AND ".join(f"{left}.{k} IS NOT DISTINCT FROM {right}.{k}" for k in keys)
+
+
+def _calib_sql(kind):
+    k = ", ".join(inventory.KEYS[kind])
+    return f"(SELECT {k}, count(*) AS n FROM exposures WHERE kind = '{kind}' GROUP BY {k})"
+
+
+@query(EX + f" SELECT CAST(c.nightdate AS VARCHAR) AS nightdate, c.unit, c.exptime, c.gain, c.n_binning, c.n FROM {_calib_sql('dark')} c WHERE NOT EXISTS (SELECT 1 FROM exposures s WHERE s.kind = 'science' AND {_alike(inventory.KEYS['dark'])})")
 def j11_unused_calibration(spark, sf):
-    e = table(spark, sf, "exposures")
-    s = e.where("kind = 'science' AND image_id % 48 = 3").select("nightdate", "unit", "exptime").distinct()
-    d = e.where("kind = 'dark'").groupBy("nightdate", "unit", "exptime").agg(F.count("*").alias("n"))
-    return d.join(s, ["nightdate", "unit", "exptime"], "left_anti").select(_d(), "unit", "exptime", "n")
+    e, keys = table(spark, sf, "exposures"), inventory.KEYS["dark"]
+    s = e.where("kind = 'science'").select(*keys).distinct()
+    d = e.where("kind = 'dark'").groupBy(*keys).agg(F.count("*").alias("n"))
+    return d.join(s, keys, "left_anti").select(_d(), "unit", "exptime", "gain", "n_binning", "n")
 
 
-@query(EX + ", g AS (SELECT nightdate, unit, count(*) FILTER (WHERE kind = 'science') AS n_sci, count(*) FILTER (WHERE kind = 'bias') AS n_bias FROM exposures GROUP BY ALL) SELECT CAST(nightdate AS VARCHAR) AS nightdate, unit, n_sci, CASE WHEN n_bias >= 5 THEN n_bias ELSE 0 END AS n_bias, row_number() OVER (ORDER BY n_sci DESC, nightdate, unit) AS place FROM g")
-def a2_preprocess_plan(spark, sf):
-    from pyspark.sql import Window as W
+PLAN_KEYS = ["nightdate", "unit", "gain", "n_binning", "camera", "exptime", "filt"]
 
-    g = table(spark, sf, "exposures").groupBy("nightdate", "unit").agg(F.count_if(F.col("kind") == "science").alias("n_sci"), F.count_if(F.col("kind") == "bias").alias("n_bias"))
-    place = F.row_number().over(W.orderBy(F.desc("n_sci"), "nightdate", "unit"))  # a row per night and unit
-    return g.select(_d(), "unit", "n_sci", F.when(F.col("n_bias") >= inventory.NUM_MIN_CALIB, F.col("n_bias")).otherwise(0).alias("n_bias"), place.alias("place"))
 
+def _plan_sql():
+    """Science groups with the sizes of their calibration groups, then the large calibration groups without science."""
+    n = ", ".join(f"CASE WHEN {k}.n >= 5 THEN {k}.n ELSE 0 END AS n_{k}" for k in inventory.KEYS)
+    joins = " ".join(f"LEFT JOIN {_calib_sql(k)} {k} ON {_alike(keys, 's', k)}" for k, keys in inventory.KEYS.items())
+    alone = " UNION ALL ".join(
+        "SELECT " + ", ".join(f"c.{k}" if k in keys else f"NULL AS {k}" for k in PLAN_KEYS) + f", 0 AS n_sci, '{kind}' AS lone, " + ", ".join("c.n" if k == kind else "0" for k in inventory.KEYS)
+        + f" FROM {_calib_sql(kind)} c WHERE c.n >= 5 AND NOT EXISTS (SELECT 1 FROM exposures s WHERE s.kind = 'science' AND {_alike(keys)})" for kind, keys in inventory.KEYS.items())
+    order = ", ".join(f"{k} NULLS FIRST" for k in ["lone", *PLAN_KEYS])
+    return f"""{EX}, g AS (SELECT {', '.join(PLAN_KEYS)}, count(*) AS n_sci FROM exposures WHERE kind = 'science' GROUP BY ALL), p AS (SELECT {', '.join('s.' + k for k in PLAN_KEYS)}, s.n_sci, NULL AS lone, {n} FROM g s {joins} UNION ALL {alone})
+     SELECT * REPLACE (CAST(nightdate AS VARCHAR) AS nightdate), row_number() OVER (ORDER BY lone IS NOT NULL, n_sci DESC, {order}) AS place FROM p"""
 
-@query(EX + " SELECT obj, filt, count(DISTINCT unit) AS units, count(*) AS n, count(DISTINCT unit) > 1 AS multi FROM exposures WHERE kind = 'science' GROUP BY obj, filt")
+
+@query(_plan_sql())
+def a2_preprocess_plan(spark, sf):
+    return inventory.preprocess_plan(table(spark, sf, "exposures")).withColumn("nightdate", F.col("nightdate").cast("string"))
+
+
+@query(EX + " SELECT obj, filt, count(DISTINCT unit) AS units, count(*) AS n, count(DISTINCT unit) > 1 AS multi, row_number() OVER (ORDER BY count(DISTINCT unit) DESC, count(*) DESC, obj, filt) AS place FROM exposures WHERE kind = 'science' GROUP BY obj, filt")
 def a3_science_groups(spark, sf):
-    g = table(spark, sf, "exposures").where("kind = 'science'").groupBy("obj", "filt").agg(F.count_distinct("unit").alias("units"), F.count("*").alias("n"))
-    return g.withColumn("multi", F.col("units") > 1)
+    return inventory.science_groups(table(spark, sf, "exposures"), ["obj", "filt"])
 
 
-@query(EX + " SELECT CAST(nightdate AS VARCHAR) AS nightdate, count(*) AS n FROM exposures WHERE unit = '7DT02' GROUP BY nightdate")
+@query(EX + " SELECT CAST(nightdate AS VARCHAR) AS nightdate, count(*) AS n FROM exposures WHERE unit = 'SU02' GROUP BY nightdate")
 def a25_nights(spark, sf):
-    return inventory.frame_query(table(spark, sf, "exposures"), units="7DT02").groupBy("nightdate").agg(F.count("*").alias("n")).select(_d(), "n")
+    return inventory.frame_query(table(spark, sf, "exposures"), units="SU02").groupBy("nightdate").agg(F.count("*").alias("n")).select(_d(), "n")
 
 
 LOG = with_("instrument_log", "exposures")
@@ -94,15 +119,15 @@ def j15_camera_as_of(spark, sf):
     return found.select("image_id", "camera")
 
 
-MASTERS = EX + """, m AS (SELECT image_id AS master, unit, filt, n_binning, nightdate, exptime + (image_id % 7) AS exptime, image_id % 3 <> 0 AS sane, image_id % 4 = 0 AS lenient FROM exposures WHERE kind = 'flat' AND image_id % 5 = 0),
+MASTERS = EX + """, m AS (SELECT image_id AS master, unit, filt, n_binning, nightdate, exptime + (image_id % 7) AS exptime, image_id % 3 <> 0 AS sane, image_id % 4 = 0 AS lenient FROM exposures WHERE kind = 'flat'),
  d AS (SELECT unit, filt, n_binning, lenient, nightdate, min(exptime) AS exptime, arg_min(master, (exptime, master)) AS master, arg_min(sane, (exptime, master)) AS sane FROM m GROUP BY unit, filt, n_binning, lenient, nightdate),
- q AS (SELECT image_id AS req, unit, filt, n_binning, nightdate, DATE '2024-01-08' AS wall_from FROM exposures WHERE kind = 'science' AND image_id % 10 = 4)"""
+ q AS (SELECT image_id AS req, unit, filt, n_binning, nightdate, DATE '2024-01-08' AS wall_from FROM exposures WHERE kind = 'science')"""
 
 
 def _masters(spark, sf):
     e = table(spark, sf, "exposures")
-    m = e.where("kind = 'flat' AND image_id % 5 = 0").select(F.col("image_id").alias("master"), "unit", "filt", "n_binning", "nightdate", (F.col("exptime") + F.col("image_id") % 7).alias("exptime"), (F.col("image_id") % 3 != 0).alias("sane"), (F.col("image_id") % 4 == 0).alias("lenient"))
-    q = e.where("kind = 'science' AND image_id % 10 = 4").select(F.col("image_id").alias("req"), "unit", "filt", "n_binning", "nightdate", F.lit("2024-01-08").cast("date").alias("wall_from"), F.lit(None).cast("date").alias("wall_to"))
+    m = e.where("kind = 'flat'").select(F.col("image_id").alias("master"), "unit", "filt", "n_binning", "nightdate", (F.col("exptime") + F.col("image_id") % 7).alias("exptime"), (F.col("image_id") % 3 != 0).alias("sane"), (F.col("image_id") % 4 == 0).alias("lenient"))
+    q = e.where("kind = 'science'").select(F.col("image_id").alias("req"), "unit", "filt", "n_binning", "nightdate", F.lit("2024-01-08").cast("date").alias("wall_from"), F.lit(None).cast("date").alias("wall_to"))
     return m, q
 
 
@@ -117,18 +142,22 @@ def j12_j13_relaxed_master_search(spark, sf):
 @query(MASTERS + ", j AS (SELECT req, master, abs(d.nightdate - q.nightdate) AS far, d.exptime FROM q JOIN d USING (unit, filt)), n AS (SELECT req, min((far, exptime, master)) AS b FROM j GROUP BY req) SELECT req, coalesce(CASE WHEN req % 40 = 4 THEN -1 END, b[3]) AS flatdark FROM q LEFT JOIN n USING (req)")
 def j26_flatdark_choice(spark, sf):
     m, q = _masters(spark, sf)
-    day = m.groupBy("unit", "filt", "n_binning", "lenient", "nightdate").agg(F.min(F.struct("exptime", "master")).alias("m"))
-    j = q.join(day.select("unit", "filt", F.col("nightdate").alias("mn"), "m.exptime", "m.master"), ["unit", "filt"])
-    best = j.groupBy("req").agg(F.min(F.struct(F.abs(F.datediff("mn", "nightdate")).alias("far"), "exptime", "master")).alias("b"))
-    return q.join(best, "req", "left").select("req", F.coalesce(F.when(F.col("req") % 40 == 4, -1), F.col("b.master")).alias("flatdark"))
+    near = inventory.nearest_night(q, m.select("unit", "filt", "nightdate", F.struct("exptime", "master").alias("choice")), ["unit", "filt"], "choice")
+    return near.select("req", F.coalesce(F.when(F.col("req") % 40 == 4, -1), F.col("choice.master")).alias("flatdark"))
 
 
 TOO = with_("too", "exposures")
 
 
-@query(TOO + ", j AS (SELECT image_id, id, trigger_time, CAST(trigger_time AS DATE) = CAST(ts AS DATE) AS same FROM exposures JOIN too ON objname = obj WHERE image_id % 20 = 3 AND (CAST(trigger_time AS DATE) = CAST(ts AS DATE) OR trigger_time <= ts)) SELECT image_id, arg_max(id, (same, trigger_time, id)) AS too_id FROM j GROUP BY image_id")
+REQUESTS = TOO + """, rq AS (SELECT id, trigger_time, CASE WHEN id % 3 = 0 THEN objname END AS tile, CASE WHEN id % 3 = 1 THEN 'Mg' WHEN id % 6 = 2 THEN 'Mr' END AS name FROM too), ob AS (SELECT image_id, ts, obj AS tile, concat('M', filt) AS name FROM exposures)"""
+BY = "{0} AS (SELECT image_id, arg_max(rq.id, (CAST(trigger_time AS DATE) = CAST(ts AS DATE), trigger_time, rq.id)) AS id FROM ob JOIN rq ON rq.{1} = ob.{1} WHERE CAST(trigger_time AS DATE) = CAST(ts AS DATE) OR trigger_time <= ts GROUP BY image_id)"
+
+
+@query(REQUESTS + f", {BY.format('a', 'tile')}, {BY.format('b', 'name')}, c AS (SELECT image_id, t.id FROM ob ASOF JOIN (SELECT trigger_time, max(id) AS id FROM rq GROUP BY 1) t ON ob.ts >= t.trigger_time) SELECT image_id, coalesce(a.id, b.id, c.id) AS too_id FROM ob LEFT JOIN a USING (image_id) LEFT JOIN b USING (image_id) LEFT JOIN c USING (image_id) WHERE coalesce(a.id, b.id, c.id) IS NOT NULL")
 def j16_too_as_of(spark, sf):
-    return inventory.too_match(table(spark, sf, "exposures").where("image_id % 20 = 3"), table(spark, sf, "too"))
+    t = table(spark, sf, "too").withColumns({"tile": F.when(F.col("id") % 3 == 0, F.col("objname")), "name": F.when(F.col("id") % 3 == 1, "Mg").when(F.col("id") % 6 == 2, "Mr")})
+    o = table(spark, sf, "exposures").select("image_id", "ts", F.col("obj").alias("tile"), F.concat(F.lit("M"), "filt").alias("name"))
+    return inventory.too_match(o, t, {"tile": "tile", "name": "name"}, anyone=True)
 
 
 @query(TOO + " SELECT id, EXISTS (SELECT 1 FROM exposures e WHERE e.obj = too.objname AND e.kind = 'science' AND CAST(e.ts AS DATE) = CAST(trigger_time AS DATE)) AS observed FROM too")
@@ -188,9 +217,9 @@ def k4_first_time(spark, sf):
 QA = with_("image_qa")
 
 
-@query(QA + " SELECT id, image_name, CAST(nightdate AS VARCHAR) AS nightdate FROM image_qa WHERE unit = '7DT02' AND filt IN ('g', 'r') AND nightdate >= DATE '1996-01-01' ORDER BY image_name LIMIT 500")
+@query(QA + " SELECT id, image_name, CAST(nightdate AS VARCHAR) AS nightdate FROM image_qa WHERE unit = 'SU02' AND filt IN ('g', 'r') AND nightdate >= DATE '1996-01-01' ORDER BY image_name LIMIT 500")
 def s9_table_export(spark, sf):
-    q = table(spark, sf, "image_qa").where((F.col("unit") == "7DT02") & F.col("filt").isin("g", "r") & (F.col("nightdate") >= F.lit("1996-01-01").cast("date")))
+    q = table(spark, sf, "image_qa").where((F.col("unit") == "SU02") & F.col("filt").isin("g", "r") & (F.col("nightdate") >= F.lit("1996-01-01").cast("date")))
     return q.select("id", "image_name", _d()).orderBy("image_name").limit(500)
 
 
@@ -202,6 +231,21 @@ def s8_upsert(spark, sf):
     return inventory.upsert(q, n.unionByName(extra), "id", "ver").drop("ver")
 
 
+@query(QA + """, o AS (SELECT id, image_name, image_path, seeing FROM image_qa), top AS (SELECT max(id) AS t FROM o),
+ n AS (SELECT id, CASE WHEN id % 9 = 0 THEN concat('/new/', id) ELSE image_path END AS p, CASE WHEN id % 9 = 0 THEN 8e0 WHEN id % 4 = 1 THEN 9e0 WHEN id % 6 = 2 THEN 7e0 ELSE seeing END AS s FROM o)
+ SELECT id, concat('img', CAST(id AS VARCHAR)) AS image_name, p AS image_path, s AS seeing FROM n
+ UNION ALL SELECT t + row_number() OVER (ORDER BY id), image_name, concat('/else/', id), 6e0 FROM o, top WHERE id % 10 = 3 AND image_path IS NOT NULL""")
+def s8_upsert_by_path(spark, sf):
+    q = table(spark, sf, "image_qa").select("id", "image_name", "image_path", "seeing").withColumn("ver", F.lit(-1).cast("long"))
+    gone = F.lit(None).cast("string")
+    known = q.where("id % 4 = 1 AND image_path IS NOT NULL").select("image_name", "image_path", F.lit(9.0).alias("seeing"), F.col("id").alias("ver"))
+    bare = q.where("id % 9 = 0").select("image_name", F.concat(F.lit("/new/"), "id").alias("image_path"), F.lit(8.0).alias("seeing"), F.col("id").alias("ver"))
+    pathless = q.where("id % 6 = 2 AND id % 9 <> 0").select("image_name", gone.alias("image_path"), F.lit(7.0).alias("seeing"), F.col("id").alias("ver"))
+    moved = q.where("id % 10 = 3 AND image_path IS NOT NULL").select("image_name", F.concat(F.lit("/else/"), "id").alias("image_path"), F.lit(6.0).alias("seeing"), F.col("id").alias("ver"))
+    new = known.unionByName(bare).unionByName(pathless).unionByName(moved)
+    return inventory.upsert_by_path(q, new, "ver").drop("ver")
+
+
 @query(QA + " SELECT id, coalesce(skyval, CASE WHEN id % 2 = 0 THEN 7e0 END) AS skyval FROM image_qa")
 def s13_backfill(spark, sf):
     q = table(spark, sf, "image_qa").select("id", "skyval")

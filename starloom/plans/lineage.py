@@ -30,10 +30,10 @@ def t1_upstream(spark, sf):
     return lineage.upstream(table(spark, sf, "edges"), _seed(spark, 1234))
 
 
-@query(BASE + " SELECT e.derived, i.image_name AS source_name, role FROM edges e JOIN image_qa i ON i.id = e.source WHERE e.derived % 50 = 5")
+@query(BASE + " SELECT e.derived, i.image_name AS source_name, role FROM edges e JOIN image_qa i ON i.id = e.source")
 def j17_ingredients(spark, sf):
     e, i, _ = _all(spark, sf)
-    return e.where("derived % 50 = 5").join(i.select(F.col("id").alias("source"), F.col("image_name").alias("source_name")), "source").select("derived", "source_name", "role")
+    return e.join(i.select(F.col("id").alias("source"), F.col("image_name").alias("source_name")), "source").select("derived", "source_name", "role")
 
 
 @query(BASE + " SELECT e.derived % 100 AS grp, i.unit, count(*) AS n FROM edges e JOIN image_qa i ON i.id = e.source WHERE right(i.image_name, 1) = '7' GROUP BY ALL")
@@ -112,21 +112,21 @@ def t10_master_decision(spark, sf):
     return i.where("image_type <> 'science'").join(r, "id", "left").select("id", action.alias("action"))
 
 
-@query(BASE + " SELECT DISTINCT id AS image, concat('m', CAST(id % 7 + n AS VARCHAR)) AS imageid, CASE n WHEN 1 THEN 'bias' WHEN 2 THEN 'dark' ELSE 'input' END AS role FROM image_qa CROSS JOIN (SELECT unnest([1, 2, 3]) AS n) WHERE id % 10 = 0")
+@query(BASE + " SELECT DISTINCT id AS image, concat('m', CAST(id % 7 + n AS VARCHAR)) AS imageid, CASE n WHEN 1 THEN 'bias' WHEN 2 THEN 'dark' ELSE 'input' END AS role FROM image_qa CROSS JOIN (SELECT unnest([1, 2, 3]) AS n)")
 def t4_parse_ingredients(spark, sf):
-    i = table(spark, sf, "image_qa").where("id % 10 = 0")
+    i = table(spark, sf, "image_qa")
     cards = []
-    for n, name in ((1, "bias_x"), (2, "dark_x"), (3, "sci_x"), (4, "7DT01_raw")):
+    for n, name in ((1, "bias_x"), (2, "dark_x"), (3, "sci_x"), (4, "SU01_raw")):
         prefix = ("IMCMB", "IMCID") if n < 3 else ("IMG", "IID")
         number = f"{n:03d}" if n < 3 else f"{n:05d}"
         cards += [F.lit(prefix[0] + number), F.lit(name), F.lit(prefix[1] + number), F.concat(F.lit("m"), (F.col("id") % 7 + n).cast("string"))]
     return lineage.parse_ingredients(i.select(F.col("id").alias("image"), F.create_map(*cards).alias("headers"))).select("image", "imageid", "role")
 
 
-@query(BASE + ", k AS (SELECT concat('k', id % 5000) AS imageid, arg_min(id, (image_path IS NULL, id)) AS source FROM image_qa GROUP BY 1) SELECT DISTINCT derived, k.source, role FROM edges e JOIN k ON k.imageid = concat('k', e.source % 5000) WHERE derived % 3 = 0")
+@query(BASE + ", k AS (SELECT concat('k', id % 5000) AS imageid, arg_min(id, (image_path IS NULL, id)) AS source FROM image_qa GROUP BY 1) SELECT DISTINCT derived, k.source, role FROM edges e JOIN k ON k.imageid = concat('k', e.source % 5000)")
 def t5_sync_edges(spark, sf):
     e, i, _ = _all(spark, sf)
-    wanted = e.where("derived % 3 = 0").select("derived", F.concat(F.lit("k"), F.col("source") % 5000).alias("imageid"), "role")
+    wanted = e.select("derived", F.concat(F.lit("k"), F.col("source") % 5000).alias("imageid"), "role")
     return lineage.sync_edges(wanted, i.withColumn("imageid", F.concat(F.lit("k"), F.col("id") % 5000)))
 
 
@@ -160,9 +160,9 @@ def t9_backfill_targets(spark, sf):
     return i.where((F.col("image_type") == "science") & (F.col("nightdate") >= F.lit("1995-06-01").cast("date"))).join(e.where("role = 'secondary'").select(F.col("derived").alias("id")), "id", "left_anti").select("id")
 
 
-@query(BASE + ", m AS (SELECT id % 500 AS sci, max(CASE WHEN id % 3 = 0 THEN id % 11 END) AS b, max(CASE WHEN id % 3 = 1 THEN id % 7 END) AS d, max(CASE WHEN id % 3 = 2 THEN id % 5 END) AS f FROM image_qa WHERE id < 2000 GROUP BY 1) SELECT b, d, f, count(*) AS n, min(sci) AS first FROM m GROUP BY ALL")
+@query(BASE + ", m AS (SELECT id // 4 AS sci, max(CASE WHEN id % 3 = 0 THEN id % 11 END) AS b, max(CASE WHEN id % 3 = 1 THEN id % 7 END) AS d, max(CASE WHEN id % 3 = 2 THEN id % 5 END) AS f FROM image_qa GROUP BY 1) SELECT b, d, f, count(*) AS n, min(sci) AS first FROM m GROUP BY ALL")
 def a31_groups_by_masters(spark, sf):
-    i = table(spark, sf, "image_qa").where("id < 2000").select((F.col("id") % 500).alias("sci"), F.element_at(F.array(*map(F.lit, "bdf")), (F.col("id") % 3 + 1).cast("int")).alias("role"), F.when(F.col("id") % 3 == 0, F.col("id") % 11).when(F.col("id") % 3 == 1, F.col("id") % 7).otherwise(F.col("id") % 5).alias("m"))
+    i = table(spark, sf, "image_qa").select(F.floor(F.col("id") / 4).alias("sci"), F.element_at(F.array(*map(F.lit, "bdf")), (F.col("id") % 3 + 1).cast("int")).alias("role"), F.when(F.col("id") % 3 == 0, F.col("id") % 11).when(F.col("id") % 3 == 1, F.col("id") % 7).otherwise(F.col("id") % 5).alias("m"))
     wide = i.groupBy("sci").pivot("role", ["b", "d", "f"]).agg(F.max("m"))
     return wide.groupBy("b", "d", "f").agg(F.count("*").alias("n"), F.min("sci").alias("first"))
 

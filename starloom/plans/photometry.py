@@ -69,11 +69,12 @@ def e3_flux_scale(spark, sf):
 
 
 @query(ZP + """, w AS (SELECT ap, CASE WHEN ap = 2 AND filt LIKE 'm%' THEN zp + 3 ELSE zp END AS zp, CASE WHEN ap = 1 AND filt NOT LIKE 'm%' THEN NULL WHEN filt = 'm525' THEN 0.0001 ELSE zperr END AS zperr, filt FROM z)
- SELECT ap, coalesce((SELECT arg_min(filt, (zperr, filt)) FROM w v WHERE v.ap = k.ap AND zperr IS NOT NULL AND NOT (filt LIKE 'm%' AND zp > 27.2)), 'g') AS filt FROM (SELECT DISTINCT ap FROM z) k""")
+ SELECT ap, coalesce((SELECT arg_min(filt, (zperr, filt)) FROM w v WHERE v.ap = k.ap AND zperr IS NOT NULL AND NOT (filt LIKE 'm%' AND zp > 27.2) AND NOT (v.ap = 0 AND filt = 'm525')), 'g') AS filt FROM (SELECT DISTINCT ap FROM z) k""")
 def a9_filter_inference(spark, sf):
     m = F.col("filt").startswith("m")
     z = zero_point_table(spark, sf).select("ap", "filt", F.when((F.col("ap") == 2) & m, F.col("zp") + 3).otherwise(F.col("zp")).alias("zp"), F.when((F.col("ap") == 1) & ~m, None).when(F.col("filt") == "m525", 0.0001).otherwise(F.col("zperr")).alias("zperr"), F.lit("g").alias("alleged"))
-    return photometry.infer_filter(z, ["ap"])
+    active = z.select("ap", "filt").where("ap <> 0 OR filt <> 'm525'")
+    return photometry.infer_filter(z, ["ap"], active=active)
 
 
 @query(with_("det") + " SELECT det_id FROM det WHERE snr > 10 AND class_star > 0.2 AND flags <= 0")

@@ -9,7 +9,7 @@ from starloom.operators import pixels
 from starloom.plans.registry import query
 
 PX = with_("pixels")
-H, WD = 25, 40
+DIMS = ", size AS (SELECT max(y) + 1 AS h, max(x) + 1 AS w FROM pixels)"
 FW = PX + ", p AS (SELECT *, 1 + frame * 0.01e0 AS f FROM pixels), ok AS (SELECT *, f * v AS fv, w / (f * f) AS ww FROM p WHERE v <> 0)"
 
 
@@ -21,6 +21,11 @@ def _fw(spark, sf):
     return _px(spark, sf).withColumn("f", 1 + F.col("frame") * 0.01)
 
 
+def _size(d):
+    """(height, width) of the frames."""
+    return d.agg(F.max("y") + 1, F.max("x") + 1).first()
+
+
 def _r(df, *names, digits=6):
     return df.withColumns({n: F.round(n, digits) for n in names})
 
@@ -55,7 +60,8 @@ def p4_weighted_coadd(spark, sf):
     return _r(pixels.mean_coadd(_fw(spark, sf)), "v", "weight")
 
 
-PEN = "CASE WHEN n <= 2 THEN 1e0 WHEN n <= 3 THEN 1 + 0.3463e0 * (1e0 / n - 1e0 / 2) / (1e0 / 3 - 1e0 / 2) WHEN n <= 5 THEN 1.3463e0 + (1.4341e0 - 1.3463e0) * (1e0 / n - 1e0 / 3) / (1e0 / 5 - 1e0 / 3) ELSE 1.4341e0 + (1.5088e0 - 1.4341e0) * (1e0 / n - 1e0 / 5) / (1e0 / 11 - 1e0 / 5) END"
+KNOTS = ((1, 1.0), (2, 1.0), (3, 1.3460), (5, 1.4342), (7, 1.4731), (9, 1.4949), (11, 1.5088))  # typed in again: up to eleven frames
+PEN = "CASE WHEN n <= 1 THEN 1e0 " + " ".join(f"WHEN n <= {n2} THEN {p1}e0 + ({p2}e0 - {p1}e0) * (1e0 / n - 1e0 / {n1}) / (1e0 / {n2} - 1e0 / {n1})" for (n1, p1), (n2, p2) in zip(KNOTS, KNOTS[1:], strict=False)) + " END"
 
 
 @query(FW + f", g AS (SELECT y, x, median(fv) AS v, sum(1 / ww) AS s, count(*) AS n FROM ok GROUP BY y, x) SELECT y, x, round(v, 6) AS v, round(n * n / s / ({PEN}), 6) AS weight, n FROM g")
@@ -74,11 +80,16 @@ def p7_effective_gain(spark, sf):
     return _r(pixels.effective_gain(_px(spark, sf).withColumn("gain", 1 + F.col("frame") * 0.1)), "gain")
 
 
-@query(PX + " SELECT frame, y + frame - 3 AS y, x - frame AS x, v FROM pixels WHERE y + frame - 3 BETWEEN 0 AND 19 AND x - frame BETWEEN 0 AND 29")
+@query(PX + f", g AS (SELECT count(*) AS n, sum(1 / (1 + frame * 0.1e0)) AS s FROM pixels WHERE v <> 0 GROUP BY y, x) SELECT round(median(n * n / s / ({PEN})), 6) AS gain FROM g")
+def p7_effective_gain_of_median(spark, sf):
+    return _r(pixels.effective_gain(_px(spark, sf).withColumn("gain", 1 + F.col("frame") * 0.1), "median"), "gain")
+
+
+@query(PX + DIMS + " SELECT frame, y + frame - 3 AS y, x - frame AS x, v FROM pixels, size WHERE y + frame - 3 BETWEEN 0 AND h - 1 AND x - frame BETWEEN 0 AND size.w - 1")
 def p8_registration(spark, sf):
     d = _px(spark, sf)
     o = d.select("frame").distinct().select("frame", (F.col("frame") - 3).alias("y0"), (-F.col("frame")).alias("x0"))
-    return pixels.register(d.select("frame", "y", "x", "v"), o, 20, 30)
+    return pixels.register(d.select("frame", "y", "x", "v"), o, *_size(d))
 
 
 @query(PX + " SELECT y, x, round(sum(w), 6) AS w FROM pixels GROUP BY y, x")
@@ -106,25 +117,40 @@ def p12_noise_weight(spark, sf):
     return _r(pixels.noise_weight(d.select("frame", "y", "x", "v"), m, 6.0, 2.0), "w", digits=8)
 
 
-@query(PX + ", g AS (SELECT b.frame, b.y, b.x, median(n.v) AS m FROM pixels b JOIN pixels n ON n.frame = b.frame AND NOT n.bad AND n.y BETWEEN b.y - 1 AND b.y + 1 AND n.x BETWEEN b.x - 1 AND b.x + 1 WHERE b.bad GROUP BY ALL) SELECT frame, y, x, round(CASE WHEN bad THEN coalesce(m, 0) ELSE v END, 6) AS v FROM pixels LEFT JOIN g USING (frame, y, x)")
+NEAR = """, o AS (SELECT i, j FROM (SELECT unnest([-1, 0, 1]) AS i) CROSS JOIN (SELECT unnest([-1, 0, 1]) AS j)),
+ n AS (SELECT b.frame, b.y, b.x, n.v, n.w, row_number() OVER (PARTITION BY b.frame, b.y, b.x ORDER BY n.y, n.x) AS k, count(*) OVER (PARTITION BY b.frame, b.y, b.x) AS c
+ FROM pixels b CROSS JOIN o JOIN pixels n ON n.frame = b.frame AND NOT n.bad AND n.y = b.y + o.i AND n.x = b.x + o.j WHERE b.bad)"""
+
+
+@query(PX + NEAR + """, m AS (SELECT frame, y, x, median(v) AS m FROM n GROUP BY ALL),
+ g AS (SELECT frame, y, x, any_value(m) AS m, CASE WHEN any_value(c) % 2 = 1 THEN arg_min(w, k) FILTER (WHERE v = m) ELSE avg(w) FILTER (WHERE k IN (c // 2, c // 2 + 1)) END AS mw FROM n JOIN m USING (frame, y, x) GROUP BY frame, y, x)
+ SELECT frame, y, x, round(CASE WHEN bad THEN coalesce(m, 0) ELSE v END, 6) AS v, round(CASE WHEN bad THEN coalesce(mw, 0) ELSE w END, 6) AS w FROM pixels LEFT JOIN g USING (frame, y, x)""")
 def p13_interpolate_bad(spark, sf):
-    return _r(pixels.interpolate_bad(_px(spark, sf)).select("frame", "y", "x", "v"), "v")
+    return _r(pixels.interpolate_bad(_px(spark, sf)).select("frame", "y", "x", "v", "w"), "v", "w")
+
+
+@query(PX + NEAR + ", g AS (SELECT frame, y, x, sum(v * w) / sum(w) AS m, sum(w) AS mw FROM n GROUP BY ALL) SELECT frame, y, x, round(CASE WHEN bad THEN coalesce(m, 0) ELSE v END, 6) AS v, round(CASE WHEN bad THEN coalesce(mw, 0) ELSE w END, 6) AS w FROM pixels LEFT JOIN g USING (frame, y, x)")
+def p13_interpolate_bad_mean(spark, sf):
+    return _r(pixels.interpolate_bad(_px(spark, sf), method="mean").select("frame", "y", "x", "v", "w"), "v", "w")
 
 
-@query(PX + " SELECT frame, y // 4 AS y, x // 3 AS x, round(avg(v), 6) AS v FROM pixels WHERE y < 24 AND x < 39 GROUP BY ALL")
+@query(PX + DIMS + " SELECT frame, y // 4 AS y, x // 3 AS x, round(avg(v), 6) AS v FROM pixels, size WHERE y < h // 4 * 4 AND x < size.w // 3 * 3 GROUP BY ALL")
 def p14_block_bin(spark, sf):
-    return _r(pixels.block_bin(_px(spark, sf), 4, 3, H, WD), "v")
+    d = _px(spark, sf)
+    return _r(pixels.block_bin(d, 4, 3, *_size(d)), "v")
 
 
-@query(PX + ", c0 AS (SELECT frame, v FROM pixels), " + CL.format(k="frame") + ", s AS (SELECT frame, count(*) AS n, round(avg(v), 6) AS mean, round(median(v), 6) AS median, round(stddev_pop(v), 6) AS std FROM c5 GROUP BY frame) SELECT s.*, lo, hi, centre FROM s JOIN (SELECT frame, min(v) AS lo, max(v) AS hi, round(median(CASE WHEN y BETWEEN 7 AND 16 AND x BETWEEN 15 AND 24 THEN v END), 6) AS centre FROM pixels GROUP BY frame) USING (frame)")
+@query(PX + DIMS + ", c0 AS (SELECT frame, v FROM pixels), " + CL.format(k="frame") + ", s AS (SELECT frame, count(*) AS n, round(avg(v), 6) AS mean, round(median(v), 6) AS median, round(stddev_pop(v), 6) AS std FROM c5 GROUP BY frame) SELECT s.*, lo, hi, centre FROM s JOIN (SELECT frame, min(v) AS lo, max(v) AS hi, round(median(CASE WHEN y BETWEEN h // 2 - 5 AND h // 2 + 4 AND x BETWEEN size.w // 2 - 5 AND size.w // 2 + 4 THEN v END), 6) AS centre FROM pixels, size GROUP BY frame) USING (frame)")
 def p15_frame_statistics(spark, sf):
-    return _r(pixels.frame_statistics(_px(spark, sf), H, WD, 10), "mean", "median", "std", "centre")
+    d = _px(spark, sf)
+    return _r(pixels.frame_statistics(d, *_size(d), 10), "mean", "median", "std", "centre")
 
 
-@query(PX + """, g AS (SELECT frame, median(CASE WHEN y < 6 AND x < 6 THEN v END) AS tl, median(CASE WHEN y < 6 AND x >= 34 THEN v END) AS tr, median(CASE WHEN y >= 19 AND x < 6 THEN v END) AS bl, median(CASE WHEN y >= 19 AND x >= 34 THEN v END) AS br,
- median(CASE WHEN y BETWEEN 9 AND 15 AND x BETWEEN 17 AND 23 THEN v END) AS c FROM pixels GROUP BY frame) SELECT frame, round((greatest(tl, tr, bl, br) - least(tl, tr, bl, br)) / c, 6) AS edgevar, round((tl + tr + bl + br) / 4 - c, 6) AS edge_centre FROM g""")
+@query(PX + DIMS + """, g AS (SELECT frame, median(CASE WHEN y < 6 AND x < 6 THEN v END) AS tl, median(CASE WHEN y < 6 AND x >= size.w - 6 THEN v END) AS tr, median(CASE WHEN y >= h - 6 AND x < 6 THEN v END) AS bl, median(CASE WHEN y >= h - 6 AND x >= size.w - 6 THEN v END) AS br,
+ median(CASE WHEN y BETWEEN h // 2 - 3 AND h // 2 + 3 AND x BETWEEN size.w // 2 - 3 AND size.w // 2 + 3 THEN v END) AS c FROM pixels, size GROUP BY frame) SELECT frame, round((greatest(tl, tr, bl, br) - least(tl, tr, bl, br)) / c, 6) AS edgevar, round((tl + tr + bl + br) / 4 - c, 6) AS edge_centre FROM g""")
 def p15_p17_edges(spark, sf):
-    return _r(pixels.edge_variation(_px(spark, sf), H, WD, 6), "edgevar", "edge_centre")
+    d = _px(spark, sf)
+    return _r(pixels.edge_variation(d, *_size(d), 6), "edgevar", "edge_centre")
 
 
 @query(PX + """, l AS (SELECT frame, min(v) AS l FROM pixels WHERE NOT bad GROUP BY frame), s AS (SELECT frame, y, x, CASE WHEN l <= 0 THEN v - l + 1 ELSE v END AS v FROM pixels JOIN l USING (frame) WHERE NOT bad), c AS (SELECT frame, avg(v) AS m, stddev_pop(v) AS s FROM s GROUP BY frame, y // 5, x // 8)
@@ -147,10 +173,15 @@ def p18_column_profile(spark, sf):
     return _r(pixels.column_profile(_px(spark, sf), 3), "v")
 
 
-@query(PROF + """, b AS (SELECT frame, x // 8 AS b, median(v) AS base FROM pr GROUP BY 1, 2), r AS (SELECT pr.frame, pr.x, v - base AS r FROM pr JOIN b ON b.frame = pr.frame AND b.b = pr.x // 8), n AS (SELECT frame, 1.4826 * median(abs(r)) AS noise FROM r GROUP BY frame),
- z AS (SELECT a.frame, k, abs(sum(c.r)) / sqrt(k + 1) AS z FROM r a CROSS JOIN (SELECT unnest([0, 1, 2, 3, 4]) AS k) JOIN r c ON c.frame = a.frame AND c.x BETWEEN a.x - k AND a.x GROUP BY a.frame, a.x, k) SELECT frame, round(max(z / noise), 6) AS score FROM z JOIN n USING (frame) GROUP BY frame""")
+@query(PROF + """, k AS (SELECT unnest(range(1, 13)) AS k), s AS (SELECT max(x) + 1 AS n FROM pr), pad AS (SELECT frame, x, v FROM pr UNION ALL SELECT frame, unnest(range(n, CAST(ceil(n / 16) * 16 AS BIGINT))), v FROM pr, s WHERE x = n - 1),
+ b AS (SELECT frame, x // 16 AS b, median(v) AS m FROM pad GROUP BY ALL), c AS (SELECT frame, b, b * 16 + 7.5e0 AS at, m, lead(m) OVER (PARTITION BY frame ORDER BY b) AS nx FROM b),
+ g AS (SELECT pr.frame, x, v, CASE WHEN x <= 7.5 THEN first_m WHEN c.nx IS NULL THEN c.m ELSE c.m + (c.nx - c.m) * (x - c.at) / 16 END AS bg FROM pr JOIN (SELECT frame, m AS first_m FROM b WHERE b = 0) f USING (frame) LEFT JOIN c ON c.frame = pr.frame AND c.b = greatest(0, floor((x - 7.5e0) / 16))),
+ e AS (SELECT frame, x, greatest(bg - 60, 0) AS b, v - 60 AS e FROM g), d AS (SELECT frame, v - lag(v) OVER (PARTITION BY frame ORDER BY x) AS d FROM pr), sg AS (SELECT frame, greatest(median(abs(d)), 1) AS s FROM d GROUP BY frame),
+ z AS (SELECT a.frame, a.x, k, sum(c.b * c.b) AS bb, sum(c.e * c.b) AS eb FROM e a CROSS JOIN k JOIN e c ON c.frame = a.frame AND c.x BETWEEN a.x AND a.x + k - 1 WHERE a.x + k <= (SELECT n FROM s) GROUP BY ALL),
+ r AS (SELECT frame, greatest(0, coalesce(max(CASE WHEN bb / (s * s) > 0.5 THEN (bb - 2 * eb) / (2 * s * sqrt(bb)) END), 0)) AS score FROM z JOIN sg USING (frame) GROUP BY frame) SELECT frame, round(score, 6) AS score, score > 5 AS flag, round(max(score) OVER (), 6) AS set_score FROM r""")
 def p19_shifted_score(spark, sf):
-    return _r(pixels.shifted_score(pixels.column_profile(_px(spark, sf), 3)), "score")
+    scores = pixels.shifted_score(pixels.column_profile(_px(spark, sf), 3), 60.0, bin_width=16, widths=12, least=0.5)
+    return _r(scores.crossJoin(scores.agg(F.max("score").alias("set_score"))), "score", "set_score")
 
 
 @query(PROF + """, q AS (SELECT frame, x, CAST(floor((v - avg(v) OVER (PARTITION BY frame ORDER BY x ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)) / 60) AS BIGINT) AS level FROM pr), n AS (SELECT *, CASE WHEN level <> lag(level) OVER (PARTITION BY frame ORDER BY x) THEN 1 WHEN x = 0 THEN 1 ELSE 0 END AS n FROM q),
@@ -170,13 +201,16 @@ def p22_mesh_background(spark, sf):
  SELECT DISTINCT image_id, y, x FROM e WHERE power(u / greatest(a * 1.2, 1.5), 2) + power(w / greatest(b * 1.2, 1.5), 2) <= 1""")
 def p23_source_mask(spark, sf):
     s = _px(spark, sf).where("(x * 7 + y * 11) % 83 = 0").selectExpr("frame AS image_id", "x + 0.25e0 AS x", "y + 0.5e0 AS y", "2e0 + frame % 3 AS a", "1e0 AS b", "frame * 20e0 AS theta")
-    return pixels.source_mask(s, 1.2, 1.5, 6, H, WD)
+    return pixels.source_mask(s, 1.2, 1.5, 6, *_size(_px(spark, sf)))
+
+
+SMOOTH = """, k AS (SELECT i, exp(-i * i / (2 * 1.5e0 * 1.5e0)) AS k FROM (SELECT unnest([-3, -2, -1, 0, 1, 2, 3]) AS i)), n AS (SELECT i, k / (SELECT sum(k) FROM k) AS k FROM k),
+ sx AS (SELECT frame, y, x + i AS x, sum(v * k) AS v FROM {0} CROSS JOIN n GROUP BY ALL), sm AS (SELECT p.frame, p.y, p.x, sum(sx.v * n.k) AS v FROM pixels p CROSS JOIN n JOIN sx ON sx.frame = p.frame AND sx.x = p.x AND sx.y = p.y - n.i GROUP BY ALL)"""
 
 
-@query(PX + """, k AS (SELECT i, exp(-i * i / (2 * 1.5e0 * 1.5e0)) AS k FROM (SELECT unnest([-3, -2, -1, 0, 1, 2, 3]) AS i)), n AS (SELECT i, k / (SELECT sum(k) FROM k) AS k FROM k)
- SELECT a.frame, a.y, a.x, round(sum(b.v * n.k * m.k), 6) AS v FROM pixels a CROSS JOIN n CROSS JOIN n m JOIN pixels b ON b.frame = a.frame AND b.y = a.y - n.i AND b.x = a.x - m.i WHERE a.frame < 2 GROUP BY ALL""")
+@query(PX + SMOOTH.format("pixels") + " SELECT frame, y, x, round(v, 6) AS v FROM sm")
 def p24_gaussian(spark, sf):
-    return _r(pixels.gaussian(_px(spark, sf).where("frame < 2"), 1.5, 3), "v")
+    return _r(pixels.gaussian(_px(spark, sf), 1.5, 3), "v")
 
 
 @query(PX + ", s AS (SELECT frame, v FROM pixels WHERE y % 8 = 0 AND v <> 0), m AS (SELECT frame, median(v) AS m FROM s GROUP BY frame) SELECT frame, CASE WHEN count(*) >= 155 THEN round(1.4826 * median(abs(v - m)), 6) END AS sigma FROM s JOIN m USING (frame) GROUP BY frame")
@@ -190,6 +224,16 @@ def p26_optimal_scalars(spark, sf):
     return _r(pixels.optimal_scalars(s), "w", "share", "total", digits=8)
 
 
+@query(PX + DIMS + """, cut AS (SELECT frame, y, x, CASE WHEN y BETWEEN 3 AND h - 4 AND x BETWEEN 3 AND size.w - 4 THEN v ELSE 0 END AS v FROM pixels, size)""" + SMOOTH.format("cut") + """,
+ s AS (SELECT DISTINCT frame, 1 + frame * 0.1e0 AS f, power((1 + frame * 0.1e0) * (2 + frame), -2) AS w FROM pixels), t AS (SELECT *, w / (SELECT sum(w) FROM s) AS share FROM s)
+ SELECT y, x, round(sum(t.w * f * sm.v), 6) AS numerator, round(coalesce(sum(share) FILTER (WHERE p.v <> 0), 0), 6) AS response, count(*) FILTER (WHERE p.v <> 0) AS count, round((SELECT sum(w) FROM s) * coalesce(sum(share) FILTER (WHERE p.v <> 0), 0), 6) AS weight
+ FROM sm JOIN pixels p USING (frame, y, x) JOIN t USING (frame) GROUP BY y, x""")
+def p26_optimal_stack(spark, sf):
+    d = _px(spark, sf)
+    s = d.select("frame").distinct().select("frame", (1 + F.col("frame") * 0.1).alias("f"), (2.0 + F.col("frame")).alias("s"))
+    return _r(pixels.optimal_stack(d, s, 1.5, 3), "numerator", "response", "weight")
+
+
 @query(PX + """, t AS (SELECT 1 AS target, 10.3e0 AS ty, 20.4e0 AS tx UNION ALL SELECT 2, 15e0, 8.7e0), j AS (SELECT frame, target, v, sqrt(power(x - tx, 2) + power(y - ty, 2)) AS d FROM pixels, t),
  g AS (SELECT frame, target, sum(v) FILTER (WHERE d <= 2.5) - count(*) FILTER (WHERE d <= 2.5) * median(v) FILTER (WHERE d BETWEEN 4 AND 6) AS flux, count(*) FILTER (WHERE d <= 2.5) AS n, stddev_pop(v) FILTER (WHERE d BETWEEN 4 AND 6) AS sd FROM j GROUP BY ALL),
  e AS (SELECT *, sqrt(greatest(flux, 0) / 2 + n * sd * sd) AS err FROM g), u AS (SELECT *, flux <= 0 OR flux < 3 * err AS upper FROM e)
@@ -204,6 +248,15 @@ def p28_eroded_footprint(spark, sf):
     return pixels.erode(_px(spark, sf), 2)
 
 
+@query(PX + DIMS + """, m AS (SELECT frame, y, x, v <> 0 OR (frame % 2 = 0 AND (y * 40 + x) % 97 <> 5) AS ok FROM pixels), n AS (SELECT frame, CASE WHEN bool_and(ok) THEN 0 ELSE ceil(4 * (frame - 1) * 0.5e0 / sqrt(8 * ln(2))) END AS n FROM m GROUP BY frame),
+ o AS (SELECT i, j FROM (SELECT unnest(range(-8, 9)) AS i) CROSS JOIN (SELECT unnest(range(-8, 9)) AS j)), bad AS (SELECT DISTINCT b.frame, b.y + i AS y, b.x + j AS x FROM m b JOIN n ON n.frame = b.frame AND n.n > 0 CROSS JOIN o WHERE NOT ok AND abs(i) <= n.n AND abs(j) <= n.n)
+ SELECT m.frame, m.y, m.x, ok AND (n.n <= 0 OR (bad.y IS NULL AND m.y >= n.n AND m.x >= n.n AND m.y <= h - 1 - n.n AND m.x <= size.w - 1 - n.n)) AS ok FROM m JOIN n USING (frame) CROSS JOIN size LEFT JOIN bad ON bad.frame = m.frame AND bad.y = m.y AND bad.x = m.x""")
+def p28_shrunk_footprint(spark, sf):
+    d = _px(spark, sf)
+    masks = d.select("frame", "y", "x", F.expr("v <> 0 OR (frame % 2 = 0 AND (y * 40 + x) % 97 <> 5)").alias("ok"))
+    return pixels.shrink(masks, d.select("frame").distinct().select("frame", ((F.col("frame") - 1) * 0.5).alias("delta")))
+
+
 @query(PX + " SELECT frame, y, x, CASE frame WHEN 0 THEN 1e0 WHEN 1 THEN 1e0 ELSE round(1e0 / (frame * frame), 8) END AS w FROM pixels")
 def a32_stack_weights(spark, sf):
     d = _px(spark, sf).drop("w").withColumn("skysig", F.when(F.col("frame") > 0, F.col("frame").cast("double")))

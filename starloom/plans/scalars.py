@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from starloom.fixtures import table, with_
 from starloom.functions import text
+from starloom.operators.stats import exact_quantiles, join_stats
 from starloom.plans.registry import query
 
 NAMES = """, n AS (SELECT image_id, ts, obj, filt, unit, n_binning, exptime, concat(unit, '_', strftime(ts, '%Y%m%d_%H%M%S'), '_', obj, '_x_', filt, '_', n_binning, 'x', n_binning, '_', exptime, 's.fits') AS name FROM exposures)"""
@@ -16,9 +17,9 @@ def _named(spark, sf):
     return e.withColumn("name", F.concat(text.raw_name(F.col("unit"), F.col("ts"), F.concat("obj", F.lit("_x")), F.col("filt"), F.col("n_binning"), F.col("exptime")), F.lit(".fits")))
 
 
-@query(with_("exposures") + " SELECT image_id, CAST(nightdate AS VARCHAR) AS nightdate, CAST(nightdate + 1 AS VARCHAR) AS master_date, strftime(ts, '%Y%m%d_%H%M%S') AS stamp, round(epoch_us(ts) / 86400000000.0 + 40587, 6) AS mjd, strftime(ts + INTERVAL 3 HOURS, '%Y%m%d_%H%M%S') AS utc FROM exposures WHERE image_id % 3 = 0")
+@query(with_("exposures") + " SELECT image_id, CAST(nightdate AS VARCHAR) AS nightdate, CAST(nightdate + 1 AS VARCHAR) AS master_date, strftime(ts, '%Y%m%d_%H%M%S') AS stamp, round(epoch_us(ts) / 86400000000.0 + 40587, 6) AS mjd, strftime(ts + INTERVAL 3 HOURS, '%Y%m%d_%H%M%S') AS utc FROM exposures")
 def e8_dates(spark, sf):
-    e = table(spark, sf, "exposures").where("image_id % 3 = 0")
+    e = table(spark, sf, "exposures")
     return e.select("image_id", text.nightdate(F.col("ts")).cast("string").alias("nightdate"), text.master_date(F.col("nightdate")).cast("string").alias("master_date"), text.compact_time(F.col("ts")).alias("stamp"), F.round(text.mjd(F.col("ts")), 6).alias("mjd"), text.compact_time(text.local_to_utc(F.col("ts"), "-03:00")).alias("utc"))
 
 
@@ -36,14 +37,14 @@ def f14_parse_names(spark, sf):
 def f14_type_tuple(spark, sf):
     e = table(spark, sf, "exposures")
     kind = F.when(F.col("kind") == "science", "obj").otherwise(F.col("kind"))
-    name = F.when(F.col("image_id") % 3 == 0, F.concat(F.lit("7DT01_"), kind, F.lit(".fits"))).when(F.col("image_id") % 3 == 1, F.concat(kind, F.lit("_20240101.fits"))).otherwise(F.concat(F.lit("x_"), kind, F.lit("_coadd.fits")))
+    name = F.when(F.col("image_id") % 3 == 0, F.concat(F.lit("SU01_"), kind, F.lit(".fits"))).when(F.col("image_id") % 3 == 1, F.concat(kind, F.lit("_20240101.fits"))).otherwise(F.concat(F.lit("x_"), kind, F.lit("_coadd.fits")))
     return e.select("image_id", *[c.alias(k) for k, c in text.type_tuple(name).items()])
 
 
 @query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'date' WHEN 1 THEN 'unit' WHEN 2 THEN 'filter' WHEN 3 THEN 'type' ELSE 'target' END AS kind FROM events""")
 def f10_parameters(spark, sf):
     e = spark.read.parquet(f"{sf}/events.parquet")
-    p = F.element_at(F.array(*map(F.lit, ["2024-01-02", "7DT07", "m525", "Sci", "T00012", "7DT21"])), (F.col("event_id") % 6 + 1).cast("int"))
+    p = F.element_at(F.array(*map(F.lit, ["2024-01-02", "SU07", "m525", "Sci", "T00012", "SU21"])), (F.col("event_id") % 6 + 1).cast("int"))
     return e.select("event_id", text.classify_parameter(p).alias("kind"))
 
 
@@ -109,6 +110,20 @@ def e5_stretch(spark, sf):
     return table(spark, sf, "pixels").where("NOT bad").select("frame", "y", "x", F.round(text.asinh_stretch(F.col("v"), 100.0, 5.0), 6).alias("s"))
 
 
+@query(with_("pixels") + """, h AS (SELECT frame, quantile_cont(v, 0.997) AS hi FROM pixels GROUP BY frame)
+ SELECT frame, y, x, round(greatest(0, least(1, asinh(least(greatest(v - 20e0, -5e0), hi - 20) / 15) / asinh((hi - 20) / 15))), 6) AS s FROM pixels JOIN h USING (frame)""")
+def e5_clipped_stretch(spark, sf):
+    d = table(spark, sf, "pixels")
+    hi = exact_quantiles(d, ["frame"], "v", [0.997]).select("frame", F.col("q")[0].alias("hi"))
+    return join_stats(d, hi, ["frame"]).select("frame", "y", "x", F.round(text.clipped_stretch(F.col("v"), 20.0, 5.0, F.col("hi")), 6).alias("s"))
+
+
+@query(with_("image_qa") + """ SELECT id, concat_ws(', ', CASE WHEN ppflag & 1 <> 0 THEN 'other night' END, CASE WHEN ppflag & 2 <> 0 THEN 'manual master' END, CASE WHEN ppflag & 4 <> 0 THEN 'sanity false' END,
+ CASE WHEN ppflag & 8 <> 0 THEN 'lenient keys' END, CASE WHEN ppflag & 16 <> 0 THEN 'across a wall' END, CASE WHEN ppflag & 32 <> 0 THEN 'hard keys ignored' END) AS label FROM image_qa""")
+def e12_flag_labels(spark, sf):
+    return table(spark, sf, "image_qa").select("id", text.flag_label(F.col("ppflag")).alias("label"))
+
+
 @query(with_("headers") + " SELECT image_id, CASE WHEN exptime IS NULL THEN round(0.9e0 * 65535, 4) ELSE round((65535 - 500 - CAST(exptime AS DOUBLE)) / flxscale, 4) END AS sat FROM headers")
 def e4_saturation(spark, sf):
     return table(spark, sf, "headers").select("image_id", F.round(text.saturation(F.lit(16), F.lit(500.0), F.col("exptime").cast("double"), F.col("flxscale")), 4).alias("sat"))

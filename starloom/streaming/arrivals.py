@@ -10,15 +10,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from starloom.functions.text import UNIT
+
 ARRIVAL = "path string, unit string, nightdate string, batch_key string, is_too boolean, ts timestamp"
-UNIT_PATH = r"/7DT(0[1-9]|1\d|20)/.*\.fits$"
+EXPIRY_DAYS = 3
 
 
-def new_files(spark: SparkSession, folder: str) -> DataFrame:
+def new_files(spark: SparkSession, folder: str, unit: str = UNIT) -> DataFrame:
     """A stream of (path, ts) of .fits files under a unit's folder; contents are not read."""
     schema = "path string, modificationTime timestamp, length long, content binary"
     files = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.fits").load(folder)
-    return files.select("path", F.col("modificationTime").alias("ts")).where(F.col("path").rlike(UNIT_PATH))
+    return files.select("path", F.col("modificationTime").alias("ts")).where(F.col("path").rlike(rf"/{unit}/.*\.fits$"))
 
 
 def debounce(events: DataFrame, gap: str = "5 seconds", watermark: str = "30 seconds") -> DataFrame:
@@ -47,6 +49,9 @@ def gate_batch(arrivals: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def _gate(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """State: batches seen, files so far, releases so far, batches needed (-1: no manifest). Rows of a key come in order of ts."""
+    if state.hasTimedOut:
+        state.remove()
+        return
     seen, files, releases, _ = state.get if state.exists else ("", 0, 0, -1)
     have = set(filter(None, seen.split("\n")))
     rows = pd.concat(list(frames)).sort_values(["ts", "path"], kind="stable")
@@ -59,14 +64,17 @@ def _gate(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iter
             releases += 1
             out.append((key[0], releases, files, ts))
     state.update(("\n".join(sorted(have)), files, releases, len(need) if need else -1))
+    state.setTimeoutTimestamp(max(int(rows["ts"].max().timestamp() * 1000), state.getCurrentWatermarkMs()) + EXPIRY_DAYS * 86_400_000)
     yield pd.DataFrame(out, columns=["nightdate", "release_no", "n_files", "release_ts"])
 
 
 def gate_stream(arrivals: DataFrame, manifest: DataFrame) -> DataFrame:
-    """The same releases from a stream of arrivals; the manifest is a static side. State is a night's batch names and counts."""
+    """The same releases from a stream of arrivals; the manifest is a static side. State is a night's batch names and counts.
+
+    A night's state goes once the watermark is EXPIRY_DAYS past its last file; a file that comes even later starts anew."""
     need = manifest.groupBy("nightdate").agg(F.array_join(F.sort_array(F.collect_set("batch_key")), "\n").alias("need"))
-    joined = arrivals.join(need, "nightdate", "left").withColumn("need", F.coalesce("need", F.lit("")))
-    return joined.groupBy("nightdate").applyInPandasWithState(_gate, "nightdate string, release_no int, n_files long, release_ts timestamp", "seen string, files long, releases int, need int", "append", GroupStateTimeout.NoTimeout)
+    joined = arrivals.withWatermark("ts", "1 hour").join(need, "nightdate", "left").withColumn("need", F.coalesce("need", F.lit("")))
+    return joined.groupBy("nightdate").applyInPandasWithState(_gate, "nightdate string, release_no int, n_files long, release_ts timestamp", "seen string, files long, releases int, need int", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def missing_batches(arrivals: DataFrame, manifest: DataFrame) -> DataFrame:

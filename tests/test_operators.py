@@ -147,15 +147,10 @@ def test_tiles_equal_long_form(spark):
     assert got == {(r.y, r.x): r.v for r in px.where("v <> 0").groupBy("y", "x").agg(F.median("v").alias("v")).collect()}
 
 
-def test_median_penalty_limits(spark):
-    r = spark.range(1).select(*[pixels.median_penalty(F.lit(n)).alias(f"n{n}") for n in (1, 2, 5, 201, 202)]).first()
-    assert r.n1 == 1 and r.n5 == pytest.approx(1.4341) and r.n201 == pytest.approx(1.5676) and r.n202 == pytest.approx(math.pi / 2)
-
-
 def test_angles_and_names(spark):
     df = spark.createDataFrame([("-00:30:00",), ("12 30 00",), ("nonsense",), (None,), ("181.5",)], "t string")
     assert [r[0] for r in df.select(text.angle(F.col("t"))).collect()] == [-0.5, 12.5, None, None, 181.5]
-    n = spark.createDataFrame([("7DT03_20240102_030405_my_odd_name_m525_1x1_100s.fits",), ("junk",)], "n string").select(*[c.alias(k) for k, c in text.parse_raw(F.col("n")).items()]).collect()
+    n = spark.createDataFrame([("SU03_20240102_030405_my_odd_name_m525_1x1_100s.fits",), ("junk",)], "n string").select(*[c.alias(k) for k, c in text.parse_raw(F.col("n")).items()]).collect()
     assert n[0].obj == "my_odd_name" and n[0].filt == "m525" and n[0].exptime == 100 and n[1].ts is None
 
 
@@ -185,16 +180,68 @@ def test_scan_and_cells(spark, tmp_path):
 
 
 def test_file_stream(spark, tmp_path):
-    for name in ("7DT01/a.fits", "7DT21/b.fits", "7DT02/c.txt", "7DT20/d.fits"):
+    for name in ("SU01/a.fits", "SU21/b.fits", "SU02/c.txt", "SU20/d.fits"):
         p = tmp_path / name
         p.parent.mkdir(exist_ok=True)
         p.write_bytes(b"x")
     q = arrivals.new_files(spark, str(tmp_path)).writeStream.format("memory").queryName("seen_files").trigger(availableNow=True).start()
     q.awaitTermination()
-    assert sorted(r.path.rsplit("/", 2)[1] for r in spark.table("seen_files").collect()) == ["7DT01", "7DT20"]
+    assert sorted(r.path.rsplit("/", 2)[1] for r in spark.table("seen_files").collect()) == ["SU01", "SU20"]
 
 
 def test_qa_row_and_catalog_columns(spark):
-    df = spark.createDataFrame([("/d/2024-01-02/x_coadd.fits", {"imageid": "i1", "TELESCOP": "7DT01", "image-typ": "z", "IMAGETYP": "SCI"}), ("/y.fits", {"TELESCOP": "u"})], "path string, headers map<string,string>")
-    assert [tuple(r) for r in files.qa_row(df).collect()] == [("/d/2024-01-02/x_coadd.fits", "i1", "7DT01", "sci_coadd", "2024-01-02")]
+    df = spark.createDataFrame([("/d/2024-01-02/x_coadd.fits", {"imageid": "i1", "TELESCOP": "SU01", "image-typ": "z", "IMAGETYP": "SCI"}), ("/y.fits", {"TELESCOP": "u"})], "path string, headers map<string,string>")
+    assert [tuple(r) for r in files.qa_row(df).collect()] == [("/d/2024-01-02/x_coadd.fits", "i1", "SU01", "sci_coadd", "2024-01-02")]
     assert files.catalog_columns(df.withColumn("r", F.lit(1)).select("r", "path"), ["r"]).columns == ["path", "r"]
+
+
+def test_exact_quantiles(spark, tmp_path):
+    """Groups of all sizes with ties and nulls, against the engine's own percentile."""
+    from starloom.operators.stats import exact_medians, exact_quantiles
+
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.997, 1.0]
+    d = spark.range(100_000).selectExpr("CASE WHEN id < 3 THEN id WHEN id < 1000 THEN 10 + id % 7 ELSE 20 END AS k", "CASE WHEN id % 5 = 0 THEN 1e0 WHEN id % 11 = 0 THEN NULL ELSE pow(id * 7919 % 100003 / 100003, 4) * 1000 END AS v")
+    want = {r.k: (r.n, r.q) for r in d.groupBy("k").agg(F.count("v").alias("n"), F.percentile("v", probs).alias("q")).collect() if r.n}
+    got = {r.k: (r.n, r.q) for r in exact_quantiles(d, ["k"], "v", probs).collect()}
+    assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and max(abs(x - y) for x, y in zip(got[k][1], want[k][1], strict=True)) < 1e-9 for k in want)
+    assert exact_medians(d.where("v IS NULL"), ["k"], "v").collect() == []
+    assert [r.n for r in exact_medians(d, [], "v").collect()] == [d.where("v IS NOT NULL").count()]
+
+
+def test_fixed_tables(spark):
+    """Typed in again: penalties of a median at and between the knots, in both forms, and the names of the flag bits."""
+    from starloom.functions import text
+    from starloom.operators.pixels import median_penalty
+
+    knots = {1: 1.0, 2: 1.0, 3: 1.3460, 5: 1.4342, 7: 1.4731, 9: 1.4949, 11: 1.5088, 15: 1.5254, 21: 1.5385, 31: 1.5489, 51: 1.5575, 101: 1.5641, 201: 1.5674}
+    rows = spark.range(0, 400).select("id", median_penalty(F.col("id")).alias("a"), median_penalty(F.col("id"), limit=True).alias("b")).collect()
+    for r in rows:
+        if r.id in knots:
+            assert abs(r.a - knots[r.id]) < 1e-12
+        assert r.b == (math.pi / 2 if r.id >= 201 else r.a) and (r.a == 1.5674 or r.id < 201)
+    assert abs(rows[4].a - (1.3460 + (1.4342 - 1.3460) * (1 / 4 - 1 / 3) / (1 / 5 - 1 / 3))) < 1e-12
+    labels = [r[0] for r in spark.createDataFrame([(0,), (1,), (2,), (4,), (8,), (16,), (32,), (34,)], "b int").select(text.flag_label(F.col("b"))).collect()]
+    assert labels == ["", "other night", "manual master", "sanity false", "lenient keys", "across a wall", "hard keys ignored", "manual master, hard keys ignored"]
+
+
+def test_sky_cells_against_brute_force(spark):
+    """Pairs at the poles, at RA 0 and across cell borders, for radii below and above the least cell."""
+    import random
+
+    from starloom.operators import skyjoin
+
+    rng = random.Random(2)
+    points = [(i, rng.choice([0.0, 359.9999, 120.0]) + rng.uniform(-3, 3) / 3600, rng.choice([89.9995, -90.0, 0.0, 45.0]) + rng.uniform(-3, 3) / 3600 * (-1 if i % 2 else 1)) for i in range(300)]
+    points = [(i, ra % 360, max(-90.0, min(90.0, dec))) for i, ra, dec in points]
+    d = spark.createDataFrame(points, "id long, ra double, dec double")
+
+    def apart(a, b):
+        x, y = ((math.cos(math.radians(q[2])) * math.cos(math.radians(q[1])), math.cos(math.radians(q[2])) * math.sin(math.radians(q[1])), math.sin(math.radians(q[2]))) for q in (a, b))
+        return 2 * math.asin(min(1.0, math.dist(x, y) / 2)) * 648000 / math.pi
+
+    for radius in (0.05, 0.4, 2.0, 5.0):
+        want = {(a[0], b[0]) for a in points for b in points if apart(a, b) < radius * (1 - 1e-9)}
+        maybe = {(a[0], b[0]) for a in points for b in points if apart(a, b) < radius * (1 + 1e-6) + 1e-6}
+        for copy_b in (True, False):
+            got = [(r.a_id, r.b_id) for r in skyjoin.sky_pairs(d, d, radius, "id", "id", copy_b=copy_b).collect()]
+            assert len(got) == len(set(got)) and set(got) <= maybe and want - set(got) <= {(i, i) for i, _, _ in points if radius < 1e-3}
