@@ -10,7 +10,8 @@ for a norm that reserves half a count in each shared class instead of one.
 
 Texts are encoded once: class ids as a binary column, words of `rest` as (word, n). The sums over `rest` words come from
 a join with the count table by word. Each Baum-Welch pass computes expected counts in the partitions and adds them up by
-class in a shuffle; the driver gets the bounded table. Likelihoods use 64-bit floats.
+class in a shuffle; the driver gets the bounded table. Expected counts of a group of texts use 32-bit floats (each step is
+scaled) and are added up in 64; likelihoods use 64-bit floats throughout.
 
 Edge cases: null and empty texts are one end token; without training texts every token is unseen; repeated rows are
 scored (and learned from) each; an empty table gives an empty result.
@@ -39,11 +40,11 @@ FLUSH = 200_000
 
 
 def _count_words(batches):
-    """(word, h, n) from (text), added up within the task; h is the word's hash."""
+    """(word, n) from (text), added up within the task."""
     held: dict[int, list] = {}
 
     def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in held.values()], pa.string()), pa.array(np.fromiter(held, np.uint64, len(held)).view(np.int64)), pa.array([n for _, n in held.values()], pa.int64())], ["word", "h", "n"])
+        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in held.values()], pa.string()), pa.array([n for _, n in held.values()], pa.int64())], ["word", "n"])
 
     for batch in batches:
         for _, _, data, offsets in pieces(batch.column(0), 1 << 22):
@@ -93,7 +94,7 @@ class Vocabulary:
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Class of each hash."""
-        out = self.rest + ((h >> np.uint64(40)) % np.uint64(self.shared)).astype(np.int64)
+        out = self.rest + shared_class(h, self.shared)
         if not self.rest:
             return out
         at = self.first[(h >> self.shift).astype(np.int64)]
@@ -110,8 +111,29 @@ class Vocabulary:
         return out
 
 
+def shared_class(h: np.ndarray, shared: int) -> np.ndarray:
+    """Which of the shared classes a word's hash falls into."""
+    return ((h >> np.uint64(40)) % np.uint64(shared)).astype(np.int64)
+
+
+def _class_sums(shared: int):
+    """(k, words, total) of each shared class from rows (word, n), added up within the task."""
+    def run(batches):
+        sums = np.zeros((shared, 2))
+        for batch in batches:
+            data, offsets = utf8(batch.column(0))
+            lo = offsets[0]
+            h = Rolling(data[lo: offsets[-1]], lower=True).spans(offsets[:-1] - lo, offsets[1:] - lo)
+            k = shared_class(h, shared)
+            sums += np.stack([np.bincount(k, minlength=shared), np.bincount(k, batch.column(1).to_numpy(), shared)], 1)
+        used = np.flatnonzero(sums[:, 0])
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sums[used, 0].astype(np.int64)), pa.array(sums[used, 1].astype(np.int64))], ["k", "words", "total"])
+
+    return run
+
+
 def vocabulary(counts: DataFrame, texts: int, head: int) -> Vocabulary:
-    """counts: (word, h, n). The driver gets a histogram of some hundred steps, at most `head` words, and a row for each shared class."""
+    """counts: (word, n). The driver gets a histogram of some hundred steps, at most `head` words, and a row for each shared class."""
     step = F.floor(F.log2("n") * 16).cast("int")
     histogram = sorted(((r.step, r.words, r.total) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.sum("n").alias("total")).collect()), reverse=True)
     least, room = math.inf, head
@@ -125,7 +147,8 @@ def vocabulary(counts: DataFrame, texts: int, head: int) -> Vocabulary:
     shared = np.zeros((max(1, min(SHARED, (distinct - len(rows)) // WORDS_A_CLASS)), 2))
     if distinct > len(rows):
         others = counts.where(step < least) if least < math.inf else counts
-        for r in others.groupBy((F.shiftrightunsigned("h", 40) % len(shared)).alias("k")).agg(F.count("*").alias("words"), F.sum("n").alias("total")).collect():
+        sums = others.select("word", "n").mapInArrow(_class_sums(len(shared)), "k long, words long, total long")
+        for r in sums.groupBy("k").agg(F.sum("words").alias("words"), F.sum("total").alias("total")).collect():
             shared[r.k] = r.words, r.total
     return Vocabulary([r.word for r in rows], [r.n for r in rows], shared, distinct, texts)
 
@@ -240,9 +263,10 @@ def expected_counts(model: Hmm, column: pa.Array, start: np.ndarray, trans: np.n
 
 def _e_step(model: Hmm):
     states = len(model.start)
+    model = Hmm(*(x.astype(np.float32) for x in (model.start, model.trans, model.emit)))
 
     def run(batches):
-        start, trans, emit = np.zeros(states), np.zeros((states, states)), np.zeros_like(model.emit)
+        start, trans, emit = np.zeros(states), np.zeros((states, states)), np.zeros(model.emit.shape)
         for batch in batches:
             expected_counts(model, batch.column(0), start, trans, emit)
         used = np.flatnonzero(emit.any(1))
@@ -282,7 +306,7 @@ def score_language(docs: DataFrame, states: int = STATES, passes: int = PASSES,
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     rows = docs.select("doc_id", (id_mod(F.col("doc_id"), 5) == 1).alias("held_out"), "text")
     learn = rows.where("not held_out")
-    counts = durable(learn.select("text").mapInArrow(_count_words, "word string, h long, n long").groupBy("word").agg(F.min("h").alias("h"), F.sum("n").alias("n")))
+    counts = durable(learn.select("text").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
     vocab = vocabulary(counts, learn.count(), head)
     encoded = durable(rows.mapInArrow(_encode(vocab), "doc_id long, held_out boolean, n_tokens long, head_log double, mass_log double, head_known long, ids binary, tail array<struct<word: string, n: long>>").withColumn("uid", F.monotonically_increasing_id()))
     model = baum_welch(encoded.where("not held_out"), vocab, states, passes)
@@ -294,7 +318,7 @@ def score_language(docs: DataFrame, states: int = STATES, passes: int = PASSES,
     scored = encoded.select("doc_id", "held_out", "n_tokens", "head_log", "mass_log", "head_known", "ids", "uid").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, head_log double, mass_log double, head_known long, head_score double, uid long")
     words = encoded.select("uid", F.explode("tail").alias("t")).select("uid", "t.word", F.col("t.n").alias("times"))
     n = F.coalesce(F.col("n"), F.lit(0))
-    tail = words.join(counts.select("word", "n"), "word", "left").groupBy("uid").agg(
+    tail = words.join(counts, "word", "left").groupBy("uid").agg(
         F.sum(F.col("times") * F.log10(n + 0.5)).alias("tail_log"), F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("tail_known"))
     rest = F.coalesce(F.col("tail_log"), F.lit(0.0))
     return scored.join(tail, "uid", "left").select(
