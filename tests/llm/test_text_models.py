@@ -136,3 +136,45 @@ def test_forward_is_exact():
 def test_hmm_beats_base(spark):
     rows = [r for r in hmm.score_language(spark.read.parquet(f"{SF}/documents.parquet")).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows) * 0.97
+
+
+def test_language_scores_by_brute_force(spark, docs):
+    """Every window of every text, one by one, through the same table; and which predictions are accepted."""
+    m = langid.train(["the cat is here and there"] * 30 + ["der hund ist hier und dort"] * 30 + ["le chat été là"] * 30, ["en"] * 30 + ["de"] * 30 + ["fr"] * 30)
+    texts = ["", "a", "Été 12 là", "THE cat\nund  der", "x" * 50, "1234"] + [r.text or "" for r in docs.limit(20).collect()]
+    half = langid.BUCKETS // 2
+
+    def spread(x):
+        return (x * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 40 & (half - 1)
+
+    got = langid.scores(pa.array(texts), m)
+    for t, p in zip(texts, got, strict=True):
+        b = [c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in f" {t} ".encode()]
+        at = [spread(b[i] | b[i + 1] << 8 | b[i + 2] << 16) for i in range(len(b) - 2)]
+        at += [half + spread(b[i] | b[i + 1] << 8 | b[i + 2] << 16 | b[i + 3] << 24 | 1 << 40) for i in range(len(b) - 3)]
+        z = [sum(float(m.table[k, c]) for k in at) / max(1, len(at)) + float(m.bias[c]) for c in range(len(m.names))]
+        e = [math.exp(x - max(z)) for x in z]
+        assert np.allclose(p, [x / sum(e) for x in e], atol=2e-4)
+    m.limit = 0.6
+    rows = langid.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), m).collect()
+    assert {r.doc_id for r in rows if r.accepted} == {i for i, (t, p) in enumerate(zip(texts, got, strict=True)) if re.search(r"[^\W\d_]", t) and p.max() >= 0.6}
+
+
+def test_toxic_scores_by_brute_force(docs):
+    """Every filter at every word, one by one; windows beyond the end see zeros."""
+    rows = docs.limit(60).collect()
+    texts = [r.text or "" for r in rows]
+    m = toxicity.train(texts, [i % 2 for i in range(len(texts))], ["en"] * len(texts), {0: 1.0, 1: 1.0})
+    some = ["", "one", "One two, THREE four-five 6", "é ü", *texts[:6]]
+    got = m.score(pa.array(some))
+    for t, score in zip(some, got, strict=True):
+        words = re.findall(rb"[0-9A-Za-z\x80-\xff]+", t.encode())
+        ids = [int(toxicity.word_ids(np.frombuffer(w, np.uint8), np.array([0, len(w)]))[0][0]) for w in words]
+        x = [m.embed[i] for i in ids] + [np.zeros(toxicity.WIDTH)] * max(toxicity.FILTERS)
+        pool = []
+        for w, k in toxicity.FILTERS.items():
+            for f in range(k):
+                z = [float(m.biases[w][f]) + sum(float(x[i + j] @ m.weights[w][j][:, f]) for j in range(w) if i + j < len(x)) for i in range(len(ids) + max(toxicity.FILTERS))]
+                pool.append(max(0.0, *z))
+        logit = sum(p * float(q) for p, q in zip(pool, m.top, strict=True)) + float(m.bias)
+        assert abs(score - 1 / (1 + math.exp(-max(-30, min(30, logit * m.scale + m.shift))))) < 1e-4
