@@ -2,8 +2,8 @@
 
 Points become unit vectors in a cubic grid of cells a few match radii wide; one side is copied to the cells that a cube of
 the radius around it touches (1 to 8, two on average), so an equi-join on the cell finds all pairs within the radius, with
-no special case at the poles or at RA 0. The other side is dealt over SPLIT parts of a cell where a cell holds more than
-HOT of its rows (repeated pointings). Rows without a position match nothing. Ties at equal distance go to the smaller id.
+no special case at the poles or at RA 0. The join is a plain shuffle join, so AQE splits the cells of repeated pointings.
+Rows without a position match nothing. Ties at equal distance go to the smaller id.
 """
 
 from __future__ import annotations
@@ -59,11 +59,12 @@ def cross_match(sci: DataFrame, ref: DataFrame, radius: float, how: str = "inner
 
     inner: the smaller side drives (ref only if strictly smaller). left, right: that side drives and keeps all rows.
     outer: the best pair of each sci row, and what is left of both sides."""
-    from_ref = how == "right" or how == "inner" and ref.count() < sci.count()
+    ref_smaller = ref.count() < sci.count()  # the smaller side is copied to the cells around
+    from_ref = how == "right" or how == "inner" and ref_smaller
     if from_ref:
-        m = nearest(ref, sci, radius, ref_key, sci_key, copy_other=False).select(F.col("b_id").alias(sci_key), F.col("a_id").alias(ref_key), "separation")
+        m = nearest(ref, sci, radius, ref_key, sci_key, copy_other=not ref_smaller).select(F.col("b_id").alias(sci_key), F.col("a_id").alias(ref_key), "separation")
         return m if how == "inner" else ref.select(ref_key).join(m, ref_key, "left").select(sci_key, ref_key, "separation")
-    m = nearest(sci, ref, radius, sci_key, ref_key).select(F.col("a_id").alias(sci_key), F.col("b_id").alias(ref_key), "separation")
+    m = nearest(sci, ref, radius, sci_key, ref_key, copy_other=ref_smaller).select(F.col("a_id").alias(sci_key), F.col("b_id").alias(ref_key), "separation")
     if how == "inner":
         return m
     rows = sci.select(sci_key).join(m, sci_key, "left").select(sci_key, ref_key, "separation")
@@ -97,26 +98,47 @@ def propagate_min(edges: DataFrame, checkpoint, rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def multi_match(cats: DataFrame, radius: float, checkpoint) -> DataFrame:
+def multi_match(cats: DataFrame, radius: float, checkpoint, join: str = "matched", pivot_cat=None, reference: str = "pivot") -> DataFrame:
     """Friends of friends over several catalogs (id, cat, ra, dec): per group the pivot, and of each other catalog the row nearest to it.
 
     The pivot has the least sum of separations to the nearest row of each other catalog it has an edge to, counting
-    those it misses as one radius; then the least id. Rows: group, pivot, cat, id, separation to the pivot (0 for it)."""
+    those it misses as one radius; then the least id. With pivot_cat it is one of that catalog's rows where the group has any.
+    join: matched, groups of at least two catalogs; inner, of all catalogs of the table; left, those with a row of pivot_cat;
+    outer, all, rows without a match too. reference: the pivot, or the spherical centroid of the group's chosen rows.
+    Rows: group, pivot, cat, id, and from the reference to the row separation, dra_cosdec and ddec in arcsec (0 for the pivot)."""
+    if join not in ("matched", "inner", "left", "outer") or reference not in ("pivot", "centroid") or join == "left" and pivot_cat is None:
+        raise ValueError("no such join or reference, or left without pivot_cat")
     edges = checkpoint(friends_edges(cats, radius))
     groups = propagate_min(edges, checkpoint)
+    if join in ("left", "outer"):
+        alone = cats.select("id").join(groups, "id", "left_anti")
+        groups = groups.unionByName(alone.select("id", F.col("id").alias("group")))
     both = edges.unionByName(edges.select(F.col("b_id").alias("a_id"), F.col("a_id").alias("b_id"), "separation"))
     other = both.join(cats.select(F.col("id").alias("b_id"), F.col("cat").alias("b_cat")), "b_id")
     near = other.groupBy("a_id", "b_cat").agg(F.min("separation").alias("s"))
     members = groups.join(cats, "id")
+    if join == "inner":
+        every = cats.agg(F.count_distinct("cat").alias("_every"))  # one row
+        whole = members.groupBy("group").agg(F.count_distinct("cat").alias("_n")).crossJoin(F.broadcast(every)).where("_n = _every")
+        members = members.join(whole.select("group"), "group", "left_semi")
+    elif join == "left":
+        members = members.join(members.where(F.col("cat") == pivot_cat).select("group").distinct(), "group", "left_semi")
     n_cats = members.groupBy("group").agg(F.count_distinct("cat").alias("n"))
     cost = near.groupBy("a_id").agg(F.sum("s").alias("sum"), F.count("*").alias("k")).withColumnRenamed("a_id", "id")
-    scored = members.join(cost, "id").join(n_cats, "group").withColumn("cost", F.col("sum") + (F.col("n") - 1 - F.col("k")) * radius)
-    pivot = scored.groupBy("group").agg(F.min(F.struct(F.round("cost", 9).alias("cost"), "id", "cat", "ra", "dec")).alias("p"))
+    scored = members.join(cost, "id", "left").join(n_cats, "group").withColumn("cost", F.coalesce("sum", F.lit(0.0)) + (F.col("n") - 1 - F.coalesce("k", F.lit(0))) * radius)
+    other = F.lit(False) if pivot_cat is None else F.col("cat") != pivot_cat
+    pivot = scored.groupBy("group").agg(F.min(F.struct(other.alias("other"), F.round("cost", 9).alias("cost"), "id", "cat", "ra", "dec")).alias("p"))
     p = F.col("p")
     s = sky.separation(p["ra"], p["dec"], F.col("ra"), F.col("dec"))
     chosen = members.join(pivot, "group").where((F.col("cat") != p["cat"]) | (F.col("id") == p["id"]))
-    best = chosen.groupBy("group", p["id"].alias("pivot"), "cat").agg(F.min(F.struct(F.round(s, 9).alias("separation"), "id")).alias("m"))
-    return best.select("group", "pivot", "cat", F.col("m.id").alias("id"), F.col("m.separation").alias("separation"))
+    best = chosen.groupBy("group", p["id"].alias("pivot"), p["ra"].alias("_ra"), p["dec"].alias("_dec"), "cat").agg(F.min(F.struct(F.round(s, 9).alias("separation"), "id", "ra", "dec")).alias("m"))
+    rows = best.select("group", "pivot", "cat", "m.*", "_ra", "_dec")
+    if reference == "centroid":
+        ra, dec = centroid(F.col("ra"), F.col("dec"))
+        rows = rows.drop("_ra", "_dec").join(rows.groupBy("group").agg(ra.alias("_ra"), dec.alias("_dec")), "group")
+        rows = rows.withColumn("separation", sky.separation(F.col("_ra"), F.col("_dec"), F.col("ra"), F.col("dec")))
+    dra, ddec = sky.offsets(F.col("_ra"), F.col("_dec"), F.col("ra"), F.col("dec"))
+    return rows.select("group", "pivot", "cat", "id", "separation", dra.alias("dra_cosdec"), ddec.alias("ddec"))
 
 
 def centroid(ra: Column, dec: Column) -> tuple[Column, Column]:

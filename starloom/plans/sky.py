@@ -76,7 +76,35 @@ def _cats(spark, sf):
  p AS (SELECT source_id, arg_min(id, k) AS pivot, min(least(id, id2)) AS grp FROM (SELECT source_id, id, min(id2) AS id2, (round(sum(s), 9), id) AS k FROM e GROUP BY source_id, id) x GROUP BY source_id)
  SELECT p.grp AS "group", p.pivot, c.cat, c.id, round({HAV.format(a='q', b='c')}, 4) AS separation FROM p JOIN cats q ON q.id = p.pivot JOIN cats c ON c.source_id = p.source_id""")
 def j6_multi_match(spark, sf):
-    return skyjoin.multi_match(durable(_cats(spark, sf).drop("source_id")), RADIUS, durable).withColumn("separation", F.round("separation", 4))
+    return skyjoin.multi_match(durable(_cats(spark, sf).drop("source_id")), RADIUS, durable).select("group", "pivot", "cat", "id", F.round("separation", 4).alias("separation"))
+
+
+def _multi_sql(having: str, pivot: str) -> str:
+    """Groups are the rows of one source, as sources lie further apart than the radius; the reference is the centroid."""
+    return CATS + f""", g AS (SELECT source_id, min(id) AS "group", count(*) AS n, max(CASE WHEN cat = 1 THEN 1 ELSE 0 END) AS has, atan2(avg(cos(radians(dec)) * sin(radians(ra))), avg(cos(radians(dec)) * cos(radians(ra)))) AS a,
+     atan2(avg(sin(radians(dec))), sqrt(power(avg(cos(radians(dec)) * sin(radians(ra))), 2) + power(avg(cos(radians(dec)) * cos(radians(ra))), 2))) AS d, {pivot} AS "pivot" FROM cats GROUP BY source_id HAVING {having}),
+     e AS (SELECT "group", "pivot", cat, id, cats.ra, cats.dec, degrees(a) AS ra0, degrees(d) AS dec0 FROM cats JOIN g USING (source_id))
+     SELECT "group", "pivot", cat, id, round(2 * asin(sqrt(power(sin(radians(dec - dec0) / 2), 2) + cos(radians(dec)) * cos(radians(dec0)) * power(sin(radians(ra - ra0) / 2), 2))) * 648000 / pi(), 4) AS separation, round((dec - dec0) * 3600, 3) + 0.0 AS ddec FROM e"""
+
+
+def _multi(spark, sf, **how):
+    m = skyjoin.multi_match(durable(_cats(spark, sf).drop("source_id")), RADIUS, durable, reference="centroid", **how)
+    return m.select("group", "pivot", "cat", "id", F.round("separation", 4).alias("separation"), (F.round("ddec", 3) + 0.0).alias("ddec"))
+
+
+@query(_multi_sql("count(*) = 3", "max(CASE WHEN cat = 1 THEN id END)"))
+def j6_multi_match_inner(spark, sf):
+    return _multi(spark, sf, join="inner", pivot_cat=1)
+
+
+@query(_multi_sql("max(CASE WHEN cat = 1 THEN 1 ELSE 0 END) = 1", "max(CASE WHEN cat = 1 THEN id END)"))
+def j6_multi_match_left(spark, sf):
+    return _multi(spark, sf, join="left", pivot_cat=1)
+
+
+@query(_multi_sql("count(*) >= 1", "coalesce(max(CASE WHEN cat = 1 THEN id END), min(id))"))
+def j6_multi_match_outer(spark, sf):
+    return _multi(spark, sf, join="outer", pivot_cat=1)
 
 
 @query(with_("det") + """, v AS (SELECT image_id, avg(cos(radians(dec)) * cos(radians(ra))) AS x, avg(cos(radians(dec)) * sin(radians(ra))) AS y, avg(sin(radians(dec))) AS z FROM det GROUP BY image_id)

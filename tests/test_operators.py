@@ -245,3 +245,44 @@ def test_sky_cells_against_brute_force(spark):
         for copy_b in (True, False):
             got = [(r.a_id, r.b_id) for r in skyjoin.sky_pairs(d, d, radius, "id", "id", copy_b=copy_b).collect()]
             assert len(got) == len(set(got)) and set(got) <= maybe and want - set(got) <= {(i, i) for i, _, _ in points if radius < 1e-3}
+
+
+def test_multi_match_with_foreign_friends(spark):
+    """Dense random fields, in which groups join rows of several sources: against friends of friends in plain Python."""
+    import itertools
+    import random
+
+    rng = random.Random(4)
+    rows = [(i, i % 3, 150 + rng.uniform(0, 20) / 3600, 20 + rng.uniform(0, 20) / 3600) for i in range(90)]
+
+    def apart(a, b):
+        return sep(a[2:], b[2:])
+
+    edges = {(a[0], b[0]): apart(a, b) for a, b in itertools.combinations(rows, 2) if a[1] != b[1] and apart(a, b) < 1}
+    root = {i: i for i, *_ in rows}
+    for _ in rows:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    groups = {}
+    for r in rows:
+        groups.setdefault(root[r[0]], []).append(r)
+    near = {}
+    for (a, b), s in edges.items():
+        for x, y in ((a, b), (b, a)):
+            c = rows[y][1]
+            near[x, c] = min(s, near.get((x, c), 9))
+    d = durable(spark.createDataFrame(rows, "id long, cat int, ra double, dec double"))
+    assert any(len(g) > 3 for g in groups.values())
+    for join, pivot_cat in (("matched", None), ("inner", 0), ("left", 2), ("outer", None)):
+        want = set()
+        for key, g in groups.items():
+            cats = {r[1] for r in g}
+            if join == "matched" and len(cats) < 2 or join == "inner" and len(cats) < 3 or join == "left" and 2 not in cats:
+                continue
+            cost = {r[0]: round(sum(near[r[0], c] for c in cats if (r[0], c) in near) + (len(cats) - 1 - sum((r[0], c) in near for c in cats)), 9) for r in g}
+            pivot = min(g, key=lambda r: (pivot_cat is not None and r[1] != pivot_cat, cost[r[0]], r[0]))
+            want.add((key, pivot[0], pivot[1], pivot[0]))
+            for c in cats - {pivot[1]}:
+                want.add((key, pivot[0], c, min((r for r in g if r[1] == c), key=lambda r: (round(apart(pivot, r), 9), r[0]))[0]))
+        got = skyjoin.multi_match(d, 1.0, durable, join=join, pivot_cat=pivot_cat).collect()
+        assert {(r["group"], r["pivot"], r["cat"], r["id"]) for r in got} == want and len(got) == len(want)
