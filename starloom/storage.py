@@ -27,21 +27,27 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder under the shared one for files of its own, deleted when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/starloom-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage and survives lost executors.
 
     The table is deleted when the driver's JVM ends. As the table replaces them, the shuffle files of the job that
     writes it are removed at its end."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/starloom-{uuid.uuid4().hex}"
+    path = new_folder(spark)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
         df.write.parquet(path)
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     table = spark.read.schema(df.schema).parquet(path)
     table._written_at = path
     return table

@@ -26,7 +26,8 @@ def new_files(spark: SparkSession, folder: str, unit: str = UNIT) -> DataFrame:
 def debounce(events: DataFrame, gap: str = "5 seconds", watermark: str = "30 seconds") -> DataFrame:
     """(start, end, n, paths): files that came with less than `gap` between them, once the gap has passed. Stream or batch."""
     df = events.withWatermark("ts", watermark) if events.isStreaming else events
-    g = df.groupBy(F.session_window("ts", gap)).agg(F.count("*").alias("n"), F.sort_array(F.collect_set("path")).alias("paths"))
+    # streams need a key beside the window
+    g = df.groupBy(F.col("ts").isNull().alias("none"), F.session_window("ts", gap)).agg(F.count("*").alias("n"), F.sort_array(F.collect_set("path")).alias("paths"))
     return g.select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "n", "paths")
 
 
