@@ -42,6 +42,8 @@ BANDS, ROWS = 32, 5
 K = BANDS * ROWS
 DRAWS = 3
 SMALL = 48
+COMMON = 1 << 19
+"""Most common elements whose places every task holds."""
 _UNIT = 2.0**-53
 WORDS = ("m0", "m1", "m2", "m3")
 SKETCH = "k struct<n: int, m0: long, m1: long, m2: long, m3: long>"
@@ -193,18 +195,72 @@ def _element_lists(weights: str):
     return run
 
 
+def _prefix_size(n, threshold: float):
+    """How many of a text's n elements, in the common order, hold one that it shares with any text at least so similar."""
+    return n - np.ceil(n * (threshold - 1e-9)).astype(np.int64) + 1  # the slack is for rounding: a longer prefix is never wrong
+
+
+def most_common(often: DataFrame, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
+    """(elements in order of their value, place of each in the order of (df, e)) of those of often (e, df) held by most nodes: at
+    most `most`, by whole steps of a logarithmic histogram of df."""
+    step = F.floor(F.log2("df") * 8).cast("int")
+    least, room = math.inf, most
+    for r in sorted(often.groupBy(step.alias("step")).count().collect(), reverse=True):  # some hundred steps
+        if r["count"] > room:
+            break
+        least, room = r["step"], room - r["count"]
+    found = often.where(step >= least).toArrow() if least < math.inf else None
+    e, df = (found.column(c).to_numpy() for c in ("e", "df")) if found is not None else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    order = np.argsort(e)
+    rank = np.empty(len(e), np.int64)
+    rank[np.lexsort((e, df))] = np.arange(len(e))
+    return e[order], rank[order]
+
+
+def _prefixes(weights: str, threshold: float, common: np.ndarray, rank: np.ndarray, others: bool):
+    """Per node n, the number of its elements outside `common`, these (if asked for), and those of `common` in its prefix, as (e, pos)."""
+    def run(batches):
+        for batch in batches:
+            for lo, hi, data, offsets in pieces(batch.column(1)):
+                h, row = elements(*shingles(data, offsets), weights)
+                h, rows = h.view(np.int64), hi - lo
+                at = np.minimum(np.searchsorted(common, h), max(len(common) - 1, 0))
+                known = common[at] == h if len(common) else np.zeros(len(h), bool)
+                n = np.bincount(row, minlength=rows)
+                rest = n - np.bincount(row[known], minlength=rows)
+                some = np.flatnonzero(known)
+                some = some[np.lexsort((rank[at[some]], row[some]))] if len(some) else some
+                first = np.searchsorted(row[some], np.arange(rows))
+                pos = np.arange(len(some)) - first[row[some]] + rest[row[some]] + 1
+                keep = pos <= _prefix_size(n, threshold)[row[some]]
+                some, pos = some[keep], pos[keep]
+                lists = lambda r, values: pa.ListArray.from_arrays(pa.array(np.searchsorted(r, np.arange(rows + 1)).astype(np.int32)), values)
+                tops = lists(row[some], pa.StructArray.from_arrays([pa.array(h[some]), pa.array(pos.astype(np.int32))], ["e", "pos"]))
+                left = ~known if others else np.zeros(len(h), bool)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, rows), pa.array(n.astype(np.int32)), pa.array(rest.astype(np.int32)), lists(row[left], pa.array(h[left])), tops], ["node", "n", "rest", "es", "tops"])
+
+    return run
+
+
 def rare_elements(texts: DataFrame, threshold: float, weights: str) -> DataFrame:
     """(e, node, n, pos, short) for each of texts (node, label, text): the elements of which two texts with different labels
-    and at least `threshold` share one; pos counts from 1 in the common order, short: also in the prefix of the shorter text."""
-    each = durable(texts.select("node", "label", "text").mapInArrow(_element_lists(weights), "node binary, label binary, es array<long>").select("node", "label", F.size("es").alias("n"), F.explode("es").alias("e")))
-    # elements of a single label cannot be shared by texts to be linked: they come first and need no rows
-    often = each.groupBy("e").agg(F.count("*").alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("e", "df")
-    mine = Window.partitionBy("node")
-    held = each.join(often, "e").withColumn("pos", F.col("n") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("df", "e")))
-    slack = 1e-9  # of rounding: a longer prefix is never wrong
+    and at least `threshold` share one; pos counts from 1 in the common order, short: also in the prefix of the shorter text.
+
+    The order: elements of a single label, which cannot be shared by texts to be linked and need no rows, then the others by the
+    nodes that hold them. The places of the most common ones, a bounded table, are known to every task; a join gives the rest."""
+    each = texts.select("node", "label", "text").mapInArrow(_element_lists(weights), "node binary, label binary, es array<long>").select("label", F.explode("es").alias("e"))
+    often = durable(each.groupBy("e").agg(F.count("*").alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("e", "df"))
+    common, rank = most_common(often)
+    others = often.count() > len(common)
+    lists = durable(texts.select("node", "text").mapInArrow(_prefixes(weights, threshold, common, rank, others), "node binary, n int, rest int, es array<long>, tops array<struct<e: long, pos: int>>"))
+    held = lists.select("node", "n", F.explode("tops").alias("x")).select("x.e", "node", "n", "x.pos")
+    if others:
+        mine = Window.partitionBy("node")
+        rare = lists.select("node", "n", "rest", F.explode("es").alias("e")).join(often, "e").withColumn("pos", F.col("rest") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("df", "e")))
+        held = held.unionByName(rare.select("e", "node", "n", F.col("pos").cast("int").alias("pos")))
 
     def prefix(share: float) -> Column:
-        return F.col("n") - F.ceil(F.col("n") * (share - slack)) + 1
+        return F.col("n") - F.ceil(F.col("n") * (share - 1e-9)) + 1
 
     return held.where(F.col("pos") <= prefix(threshold)).select("e", "node", "n", "pos", (F.col("pos") <= prefix(2 * threshold / (1 + threshold))).alias("short"))
 

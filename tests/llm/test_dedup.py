@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from starloom.llm import minhash, suffix_dedup
 from starloom.llm.components import components
@@ -268,6 +269,37 @@ def test_one_bucket_of_hundreds(spark):
     assert [got[i] for i in range(len(rows))] == want
 
 
+@pytest.mark.parametrize("common", [minhash.COMMON, 300, 0])
+def test_prefixes_hold_every_link(spark, monkeypatch, common):
+    """Two texts over the limit share an element of their prefixes, whatever the number of elements whose places tasks hold."""
+    monkeypatch.setattr(minhash.most_common, "__defaults__", (common,))
+    rng, rows = random.Random(6), []
+    for family in range(60):
+        own = [f"t{i}" for i in range(120)]
+        for at in rng.sample(range(120), 4):
+            own[at] = f"f{family}"
+        for _ in range(2):
+            page = list(own)
+            for at in rng.sample(range(120), rng.randrange(3)):
+                page[at] = f"p{len(rows)}"
+            rows.append((b"%03d" % len(rows), b"%03d" % len(rows), " ".join(page)))
+    bags = [set(bag(t)) for *_, t in rows]
+    held, size = {}, {}
+    for r in minhash.rare_elements(spark.createDataFrame(rows, "node binary, label binary, text string"), 0.8, "count").collect():
+        assert bytes(r.node) not in size or size[bytes(r.node)] == r.n
+        size[bytes(r.node)] = r.n
+        held.setdefault(bytes(r.node), {})[r.e] = (r.pos, r.short)
+    linked = 0
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(bags[i] & bags[j]) >= 0.8 * len(bags[i] | bags[j]):
+                linked += 1
+                a, b = held.get(rows[i][0], {}), held.get(rows[j][0], {})
+                shorter, longer = (a, b) if len(bags[i]) <= len(bags[j]) else (b, a)
+                assert any(e in longer and shorter[e][1] for e in shorter)
+    assert linked > 20
+
+
 def test_families_in_large_buckets(spark):
     """Pages of one template at about 0.7, in buckets of hundreds, and pairs of them over 0.8: no pair may be lost."""
     rng, rows = random.Random(3), []
