@@ -354,9 +354,11 @@ def stack_weights(frames: DataFrame, mode: str = "global") -> DataFrame:
 def to_tiles(frames: DataFrame, size: int) -> DataFrame:
     """Tiles (frame, ty, tx, h, w, data array<double>), row by row; missing pixels are 0."""
     part = frames.select("frame", F.floor(F.col("y") / size).alias("ty"), F.floor(F.col("x") / size).alias("tx"), (F.col("y") % size).alias("r"), (F.col("x") % size).alias("c"), "v")
-    g = part.groupBy("frame", "ty", "tx").agg((F.max("r") + 1).alias("h"), (F.max("c") + 1).alias("w"), F.map_from_entries(F.collect_list(F.struct((F.col("r") * size + F.col("c")).alias("k"), "v"))).alias("m"))
+    g = part.groupBy("frame", "ty", "tx").agg((F.max("r") + 1).alias("h"), (F.max("c") + 1).alias("w"), F.sort_array(F.collect_list(F.struct((F.col("r") * size + F.col("c")).alias("k"), "v"))).alias("a"))
     cells = F.flatten(F.transform(F.sequence(F.lit(0), F.col("h") - 1), lambda i: F.transform(F.sequence(F.lit(0), F.col("w") - 1), lambda j: i * size + j)))
-    return g.select("frame", "ty", "tx", "h", "w", F.transform(cells, lambda k: F.coalesce(F.try_element_at("m", k), F.lit(0.0))).alias("data"))
+    whole = F.transform("a", lambda x: x["v"])  # no pixel is missing, and they are in order
+    patched = F.transform(cells, lambda k: F.coalesce(F.try_element_at(F.map_from_entries("a"), k), F.lit(0.0)))
+    return g.select("frame", "ty", "tx", "h", "w", F.when(F.size("a") == F.col("h") * F.col("w"), whole).otherwise(patched).alias("data"))
 
 
 def tile_median(tiles: DataFrame) -> DataFrame:
