@@ -44,6 +44,30 @@ def cells_around(ra: float, dec: float, radius: float) -> list[int]:
     return sorted(out)
 
 
+#: Columns of the survey's table that a reference catalog is made of.
+SOURCE_COLUMNS = {
+    "source_id": "long", "ra": "double", "dec": "double", "ra_error": "double", "dec_error": "double", "pmra": "double", "pmdec": "double", "pmra_error": "double", "pmdec_error": "double", "phot_g_mean_flux": "double",
+    "phot_g_mean_flux_error": "double", "phot_g_mean_mag": "double", "ref_epoch": "double",
+}
+
+
+def read_sources(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """The columns in use of CSV files without a header, whose columns have these names in this order; only they are parsed."""
+    schema = ", ".join(f"`{n}` {SOURCE_COLUMNS.get(n, 'string')}" for n in names)
+    return spark.read.schema(schema).csv(path).select(*[c for c in SOURCE_COLUMNS if c in names])
+
+
+def build_reference(sources: DataFrame, ra: float, dec: float, a: float, b: float, angle: float, must: tuple[str, ...] = ("ra", "dec", "mag")) -> DataFrame:
+    """Reference rows inside the sky ellipse of semi-axes a, b degrees and position angle: the magnitude error from the flux and
+    its error, position errors from milliarcsec to degrees, rows with a missing number in `must` dropped, missing proper
+    motions 0 and flagged in touched."""
+    t = F.radians(sky.position_angle(F.lit(ra), F.lit(dec), F.col("ra"), F.col("dec")) - angle)
+    reach = a * b / F.sqrt((b * F.cos(t)) ** 2 + (a * F.sin(t)) ** 2)
+    error = 2.5 / math.log(10) * F.col("phot_g_mean_flux_error") / F.col("phot_g_mean_flux")
+    inside = sources.where(sky.separation(F.lit(ra), F.lit(dec), F.col("ra"), F.col("dec")) / 3600 <= reach).withColumns({"mag": F.col("phot_g_mean_mag"), "mag_err": error, "ra_error": F.col("ra_error") / 3.6e6, "dec_error": F.col("dec_error") / 3.6e6})
+    return clean_reference(inside.drop("phot_g_mean_flux", "phot_g_mean_flux_error", "phot_g_mean_mag"), must=must).drop("pm_err", "ra_err")
+
+
 def write_cells(df: DataFrame, path: str) -> None:
     """Parquet partitioned by cell."""
     df.withColumn("cell", cell_of(F.col("ra"), F.col("dec"))).repartition("cell").write.mode("overwrite").partitionBy("cell").parquet(path)
