@@ -17,9 +17,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
-    """Session setting of the jobs over whole texts: Arrow batches of few rows and bytes, as texts may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+    """Lower the session's Arrow batches to so many rows and bytes, as texts may be long; smaller settings stay. The queries and
+    the corpus stages call this, as a lazy result is computed after they return; the operators leave the session alone."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key).removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
