@@ -9,7 +9,7 @@ K ln K + 2 K of them; where a coordinate stays empty, the bound is doubled for t
 Bands of ROWS coordinates give buckets; exact copies are one node (by SHA-256) before that. In each bucket nodes are paired
 with a representative, and pairs are checked by the exact Jaccard similarity of the shingles. Nodes that share a bucket
 and are still in different components are compared in full in buckets of up to SMALL nodes, and meet DRAWS members drawn at
-random in larger ones. A pair is checked only if its sketches allow it: sizes and parities of elements on 256 bits, of which no
+random in larger ones; then those of up to MIDDLE nodes are compared in full too. A pair is checked only if its sketches allow it: sizes and parities of elements on 256 bits, of which no
 more can differ than the elements that only one of the texts has. Classes are the connected components. At similarity 0.8 a pair shares no bucket with a probability of 3e-6.
 
 The exact rest of larger buckets. Their nodes are joined on rare elements instead of in pairs: elements are put in one order
@@ -41,7 +41,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 5
 K = BANDS * ROWS
 DRAWS = 3
-SMALL = 48
+SMALL, MIDDLE = 48, 1000
+"""Nodes of a bucket up to which it is compared in full at once, and after random members have met."""
 COMMON = 1 << 19
 """Most common elements whose places every task holds."""
 _UNIT = 2.0**-53
@@ -308,8 +309,17 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "co
     drawn = mixed.join(still.where(F.col("n") > SMALL).select("bucket", "r"), "bucket").select("node", "label", "k", F.explode("r").alias("r")).where((F.col("label") != F.col("r.bl")) & may_link(F.col("k"), F.col("r.bk"), threshold))
     compare(full.unionByName(drawn.select(F.least("node", "r.b").alias("a"), F.greatest("node", "r.b").alias("b"))))
 
+    # what is left of buckets up to MIDDLE: sketches are compared in full, a pair in the least bucket that it shares
+    sizes = durable(shared.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > SMALL))
+    mixed = shared.join(sizes.where(F.col("n") <= MIDDLE).select("bucket"), "bucket").join(found, "node", "left").select("bucket", "node", "k", F.coalesce("root", "node").alias("label"))
+    still = mixed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
+    left = durable(mixed.join(still, "bucket", "left_semi").join(nodes.select("node", "buckets"), "node"))
+    x, y = (left.select("bucket", *[F.col(c).alias(s + c) for c in ("node", "label", "k", "buckets")]) for s in "xy")
+    apart = F.expr("xnode < ynode AND xlabel <> ylabel") & may_link(F.col("xk"), F.col("yk"), threshold) & (F.array_min(F.array_intersect("xbuckets", "ybuckets")) == F.col("bucket"))
+    compare(x.join(y, "bucket").where(apart).select(F.col("xnode").alias("a"), F.col("ynode").alias("b")))
+
     # the exact rest of larger buckets
-    many = shared.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > SMALL)
+    many = sizes.where(F.col("n") > MIDDLE)
     mixed = shared.join(many.select("bucket"), "bucket").join(found, "node", "left").select("bucket", "node", "k", F.coalesce("root", "node").alias("label"))
     still = mixed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
     rest = durable(mixed.join(still, "bucket", "left_semi").select("node", "k", "label").distinct())
