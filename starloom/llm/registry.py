@@ -1,4 +1,4 @@
-"""The queries opN_<name> over `documents`, and pipeline."""
+"""The queries opN_<name> over `documents`."""
 
 from __future__ import annotations
 
