@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import hmm, langid, media, minhash, mixing, piece_codec, quality, sharding, suffix_dedup, toxicity
+from starloom.llm import hmm, langid, lexical, media, minhash, mixing, piece_codec, quality, sharding, suffix_dedup, toxicity
 from starloom.llm.common import load, small_batches
 
 
@@ -66,8 +66,12 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(documents(spark, sf_dir), load(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_sentencepiece, op3_language_id, op4_media_columns, op5_near_copies, op6_mix_sources, op7_hmm_score, op8_shards, op9_toxicity, op10_host_rules)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_sentencepiece, op3_language_id, op4_media_columns, op5_near_copies, op6_mix_sources, op7_hmm_score, op8_shards, op9_toxicity, op10_host_rules, op12_ranked_search)}
 
 
 RULE_SQL = {"too_short": "n_words < 20", "repetitive": "100 * n_repeat_words > 30 * n_words", "symbols": "10 * n_symbols > word_chars", "dup_lines": "10 * n_dup_lines > 3 * n_lines"}
@@ -95,5 +99,17 @@ def _host_rules_sql() -> str:
      base_failed, NOT base_failed AND coalesce(host_ok, true) AS kept FROM f LEFT JOIN v USING (source)"""
 
 
+def _ranked_search_sql(top: int = 10) -> str:
+    """The same integer sums by joins in DuckDB's SQL."""
+    terms = r"unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents), t AS (SELECT r, {terms} AS term FROM d), p AS (SELECT r, term, count(*) AS tf FROM t GROUP BY ALL),
+     n AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM p GROUP BY r), s AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(n) AS BIGINT) AS l FROM n), f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+     w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM f, s), m AS (SELECT r, 25 + (75 * n * nn) // l AS m FROM n, s),
+     b AS (SELECT row_number() OVER () AS i, item_id, text FROM benchmark), q AS (SELECT i, term, count(*) AS k FROM (SELECT i, {terms} AS term FROM b) GROUP BY ALL),
+     e AS (SELECT i, r, CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY ALL),
+     o AS (SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM e JOIN d USING (r) WHERE score > 0)
+     SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM o JOIN b USING (i) WHERE rank <= {top}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_host_rules": _host_rules_sql()}
+    return {"op10_host_rules": _host_rules_sql(), "op12_ranked_search": _ranked_search_sql()}
