@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import hmm, langid, lexical, media, minhash, mixing, piece_codec, quality, sharding, suffix_dedup, toxicity
+from starloom.llm import discriminant, hmm, langid, lexical, media, minhash, mixing, piece_codec, quality, sharding, suffix_dedup, toxicity
 from starloom.llm.common import load, small_batches
 
 
@@ -70,8 +70,12 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank_documents(documents(spark, sf_dir), load(spark, sf_dir, "benchmark"))
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discriminant.quality_scores(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_sentencepiece, op3_language_id, op4_media_columns, op5_near_copies, op6_mix_sources, op7_hmm_score, op8_shards, op9_toxicity, op10_host_rules, op12_ranked_search)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_sentencepiece, op3_language_id, op4_media_columns, op5_near_copies, op6_mix_sources, op7_hmm_score, op8_shards, op9_toxicity, op10_host_rules, op12_ranked_search, op13_quality_classifier)}
 
 
 RULE_SQL = {"too_short": "n_words < 20", "repetitive": "100 * n_repeat_words > 30 * n_words", "symbols": "10 * n_symbols > word_chars", "dup_lines": "10 * n_dup_lines > 3 * n_lines"}
