@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import discriminant, hmm, langid, lexical, media, minhash, mixing, piece_codec, quality, sharding, suffix_dedup, toxicity
+from starloom.llm import discriminant, hmm, langid, lexical, media, minhash, mixing, piece_codec, quality, sharding, spelling, suffix_dedup, toxicity
 from starloom.llm.common import load, small_batches
 
 
@@ -66,6 +66,10 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(spelling.run_counts(documents(spark, sf_dir)).where("n >= 2")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank_documents(documents(spark, sf_dir), load(spark, sf_dir, "benchmark"))
 
@@ -75,7 +79,7 @@ def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_sentencepiece, op3_language_id, op4_media_columns, op5_near_copies, op6_mix_sources, op7_hmm_score, op8_shards, op9_toxicity, op10_host_rules, op12_ranked_search, op13_quality_classifier)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_sentencepiece, op3_language_id, op4_media_columns, op5_near_copies, op6_mix_sources, op7_hmm_score, op8_shards, op9_toxicity, op10_host_rules, op11_spelling_variants, op12_ranked_search, op13_quality_classifier)}
 
 
 RULE_SQL = {"too_short": "n_words < 20", "repetitive": "100 * n_repeat_words > 30 * n_words", "symbols": "10 * n_symbols > word_chars", "dup_lines": "10 * n_dup_lines > 3 * n_lines"}
@@ -103,6 +107,24 @@ def _host_rules_sql() -> str:
      base_failed, NOT base_failed AND coalesce(host_ok, true) AS kept FROM f LEFT JOIN v USING (source)"""
 
 
+def _spelling_sql() -> str:
+    """crc32 by its table over UTF-8 bytes, near words by equal strings with one code point left out, roots by recursion."""
+    return r"""WITH RECURSIVE t AS MATERIALIZED (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+     r AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+     c AS (SELECT doc_id, w, count(*) AS k FROM r WHERE length(w) >= 7 GROUP BY ALL),
+     b AS (SELECT w, k, flatten(list_transform(string_split(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', w), ''), lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, CAST(unicode(x) AS BIGINT) - 64] END)) AS bytes FROM c),
+     h AS (SELECT w, k, xor(list_reduce(list_prepend(4294967295, bytes), lambda x, y: xor(x >> 8, tab[CAST((xor(x, y) & 255) + 1 AS INT)])), 4294967295) AS h FROM b, t),
+     g AS (SELECT CASE WHEN h % 31 = 0 THEN concat(left(w, CAST(h % length(w) AS INT)), substr(w, CAST(h % length(w) AS INT) + 2)) ELSE w END AS word, k FROM h),
+     v AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM g WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+     d AS MATERIALIZED (SELECT word, i, concat(left(word, CAST(i AS INT) - 1), substr(word, CAST(i AS INT) + 1)) AS less FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+     e AS (SELECT a.word AS a, z.word AS z FROM d a JOIN d z ON a.less = z.less AND a.i = z.i AND a.word <> z.word UNION SELECT d.word, v.word FROM d JOIN v ON v.word = d.less UNION SELECT v.word, d.word FROM d JOIN v ON v.word = d.less),
+     s AS (SELECT a, z, n, row_number() OVER (PARTITION BY a ORDER BY n DESC, z) AS p, count(*) OVER (PARTITION BY a) AS n_near FROM e JOIN v ON v.word = e.z),
+     f AS MATERIALIZED (SELECT word, CASE WHEN s.n >= 10 * v.n THEN s.z END AS form, v.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CASE WHEN s.n >= 10 * v.n THEN s.n END AS form_n FROM v LEFT JOIN s ON s.a = v.word AND s.p = 1),
+     o AS (SELECT word, word AS here, 0 AS step FROM f UNION ALL SELECT o.word, f.form, step + 1 FROM o JOIN f ON f.word = o.here WHERE f.form IS NOT NULL),
+     l AS (SELECT word, arg_max(here, step) AS root FROM o GROUP BY word)
+     SELECT word, form, root, n, n_near, form_n FROM f JOIN l USING (word)"""
+
+
 def _ranked_search_sql(top: int = 10) -> str:
     """The same integer sums by joins in DuckDB's SQL."""
     terms = r"unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
@@ -116,4 +138,4 @@ def _ranked_search_sql(top: int = 10) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_host_rules": _host_rules_sql(), "op12_ranked_search": _ranked_search_sql()}
+    return {"op10_host_rules": _host_rules_sql(), "op11_spelling_variants": _spelling_sql(), "op12_ranked_search": _ranked_search_sql()}
