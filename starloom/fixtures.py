@@ -21,6 +21,10 @@ SQL: dict[str, str] = {
         CASE event_id % 8 WHEN 0 THEN 'bias' WHEN 1 THEN 'dark' WHEN 2 THEN 'flat' ELSE 'science' END AS kind, {filt} AS filt, CASE WHEN (event_id // 8) % 2 = 0 THEN 100 ELSE 60 END AS exptime,
         CASE WHEN (event_id // 8) % 11 = 0 THEN 0 ELSE 2750 END AS gain, 1 + (event_id // 16) % 2 AS n_binning, CAST(31000 + user_id % 5 AS VARCHAR(8)) AS camera,
         concat('T', lpad(CAST(user_id % 20 AS VARCHAR(8)), 5, '0')) AS obj, (event_id * 7919 % 360000) / 1000e0 AS ra, (event_id * 104729 % 120000) / 1000e0 - 60 AS dec FROM {events}""",
+    "solutions": """SELECT image_id, kind, crval1, crval2, crpix1, crpix2, turn * scale * cos(a) AS cd11, -turn * scale * sin(a) AS cd12, scale * sin(a) AS cd21, scale * cos(a) AS cd22, 9576 AS naxis1, 6388 AS naxis2 FROM
+        (SELECT image_id, kind, ra AS crval1, dec AS crval2, 47885e-1 + image_id % 7 AS crpix1, 31945e-1 - image_id % 5 AS crpix2, CASE WHEN image_id % 2 = 0 THEN 1e0 ELSE -1e0 END AS turn, 505e-3 / 3600 AS scale, radians(image_id * 37 % 360) AS a FROM ({exposures}) x) y""",
+    "requests": """SELECT c_custkey AS request, CASE WHEN c_custkey % 4 = 1 THEN 'galactic' ELSE 'radec' END AS coord_sys, (c_custkey * 7919 % 360000) / 1000e0 + CASE WHEN c_custkey % 3 = 0 THEN 0e0 ELSE (c_custkey % 100) / 2e2 END AS lon,
+        (c_custkey * 104729 % 120000) / 1000e0 - 60 + CASE WHEN c_custkey % 3 = 0 THEN 0e0 ELSE (c_custkey % 70) / 2e2 END AS lat FROM {customer}""",
     "image_qa": """SELECT o_orderkey AS id, o_custkey AS process_status_id, concat('img', CAST(o_orderkey AS VARCHAR(12))) AS image_name, CASE o_orderkey % 4 WHEN 0 THEN 'bias' WHEN 1 THEN 'dark' WHEN 2 THEN 'flat' ELSE 'science' END AS image_type,
         CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE concat('/data/', CAST(o_orderkey AS VARCHAR(12))) END AS image_path, concat('i', CAST(o_orderkey * 31 AS VARCHAR(16))) AS imageid, CAST(o_orderdate AS DATE) AS nightdate,
         concat('SU0', CAST(o_orderkey % 5 + 1 AS VARCHAR(2))) AS unit, CASE o_orderkey % 5 WHEN 0 THEN 'g' WHEN 1 THEN 'r' WHEN 2 THEN 'i' WHEN 3 THEN 'm525' ELSE 'm650' END AS filt, o_orderkey % 20 AS object, 100 AS exptime,
@@ -45,7 +49,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def sql(name: str) -> str:
     """The fixture for DuckDB."""
     names = {t: t for t in TABLES} | {"filt": FILT, "n_orders": "(SELECT count(*) FROM orders)"}
-    return SQL[name].format(**names, ref=SQL["ref"].format(**names))
+    return SQL[name].format(**names, ref=SQL["ref"].format(**names), exposures=SQL["exposures"].format(**names))
 
 
 def with_(*names: str) -> str:
@@ -55,8 +59,9 @@ def with_(*names: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The fixture as a DataFrame."""
-    read = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{%s}" % t in SQL[name] or t in ("orders",)}
-    text = SQL[name].replace("{filt}", FILT).replace("//", "div")
+    text = SQL[name].replace("{exposures}", SQL["exposures"])
+    read = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{%s}" % t in text or t in ("orders",)}
+    text = text.replace("{filt}", FILT).replace("//", "div")
     if "{n_orders}" in text:
         text = text.replace("{n_orders}", str(read["orders"].count())).replace("{ref}", SQL["ref"])
     return spark.sql(text, **{t: d for t, d in read.items() if "{%s}" % t in text})

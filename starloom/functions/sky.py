@@ -56,7 +56,7 @@ def tan_deproject(xi: Column, eta: Column, ra0: Column, dec0: Column) -> tuple[C
     x, y, d0 = F.radians(xi), F.radians(eta), F.radians(dec0)
     down = F.cos(d0) - y * F.sin(d0)
     ra = F.pmod(ra0 + F.degrees(F.atan2(x, down)), F.lit(360.0))
-    return ra, F.degrees(F.atan2((F.sin(d0) + y * F.cos(d0)) * F.cos(F.atan2(x, down)), down))
+    return ra, F.degrees(F.atan2(F.sin(d0) + y * F.cos(d0), F.sqrt(x * x + down * down)))
 
 
 def moved(ra: Column, dec: Column, pmra: Column, pmdec: Column, years: float) -> tuple[Column, Column]:
@@ -108,3 +108,10 @@ def galactic(ra: Column, dec: Column) -> tuple[Column, Column]:
     p = xyz(ra, dec)
     x, y, z = (sum((c * k for c, k in zip(p[1:], row[1:], strict=True)), p[0] * row[0]) for row in GALACTIC)
     return F.pmod(F.degrees(F.atan2(y, x)), F.lit(360.0)), F.degrees(F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), z))))
+
+
+def from_galactic(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """(ra, dec) of galactic coordinates, the inverse of galactic()."""
+    p = xyz(lon, lat)
+    x, y, z = (sum((p[i] * GALACTIC[i][k] for i in (1, 2)), p[0] * GALACTIC[0][k]) for k in range(3))
+    return F.pmod(F.degrees(F.atan2(y, x)), F.lit(360.0)), F.degrees(F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), z))))
