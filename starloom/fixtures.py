@@ -34,6 +34,11 @@ SQL: dict[str, str] = {
         CAST(c_custkey % 101 AS INT) AS progress, CASE c_custkey % 5 WHEN 0 THEN 'failed' WHEN 1 THEN 'done' ELSE 'running' END AS status, c_custkey % 7 <> 0 AS config_exists FROM {customer}""",
     "edges": """SELECT k AS derived, k // 7 AS source, 'primary' AS role, CASE WHEN k % 17 = 0 THEN NULL WHEN k % 13 = 0 THEN 'old' ELSE concat('i', CAST((k // 7) * 31 AS VARCHAR(16))) END AS source_imageid FROM (SELECT o_orderkey AS k FROM {orders}) a WHERE k > 0
         UNION ALL SELECT k, k // 11, 'secondary', concat('i', CAST((k // 11) * 31 AS VARCHAR(16))) FROM (SELECT o_orderkey AS k FROM {orders}) b WHERE k > 0 AND k % 5 = 0 AND k // 7 <> k // 11""",
+    "cyclic_edges": """SELECT derived, source, role, source_imageid FROM ({edges}) e UNION ALL SELECT source, derived, 'back', NULL FROM ({edges}) f WHERE derived % 1001 = 0""",
+    "configs": """SELECT 1000000000 + k AS id, concat(CAST(nightdate AS VARCHAR(10)), '_', unit) AS name, 'preprocess' AS config_type, CASE WHEN k % 17 = 0 THEN NULL WHEN k % 19 = 0 THEN '/home/u/c.yml' ELSE '/cfg/c.yml' END AS config_file, k % 23 <> 0 AS config_exists, nightdate,
+        CASE k % 11 WHEN 0 THEN false WHEN 1 THEN NULL ELSE true END AS sanity FROM (SELECT nightdate, unit, min(id) AS k FROM ({image_qa}) q GROUP BY nightdate, unit) g WHERE k % 13 <> 0
+        UNION ALL SELECT id, concat('night', CAST(id AS VARCHAR(12))), 'science', CASE WHEN id % 29 = 0 THEN '/home/v.yml' ELSE '/cfg/v.yml' END, config_exists, CASE WHEN id % 4 = 0 THEN NULL ELSE nightdate END, CASE WHEN id % 31 = 0 THEN false END FROM ({process_status}) p WHERE id % 5 <> 0""",
+    "config_deps": """SELECT DISTINCT concat('night', CAST(process_status_id AS VARCHAR(12))) AS derived, concat(CAST(nightdate AS VARCHAR(10)), '_', unit) AS source FROM ({image_qa}) q""",
     "pixels": """SELECT event_id % 10 AS frame, (event_id // 10) // 40 AS y, (event_id // 10) % 40 AS x, CASE WHEN event_id % 29 = 0 THEN 0e0 ELSE value END AS v, event_id % 31 = 0 AS bad, 1e0 / (1 + event_id % 7) AS w FROM {events}""",
     "instrument_log": """SELECT concat('SU0', CAST(u AS VARCHAR(2))) AS unit, DATE '2024-01-01' + CAST(7 * k + u AS INT) AS nightdate, 31000 + u * 10 + k AS camera FROM
         (SELECT DISTINCT user_id % 5 + 1 AS u FROM {events}) a CROSS JOIN (SELECT DISTINCT event_id % 4 AS k FROM {events}) b""",
@@ -42,6 +47,8 @@ SQL: dict[str, str] = {
         1 + (event_id % 10) / 10e0 AS flxscale, CASE WHEN event_id % 500 = 0 THEN NULL ELSE 50000 + event_id % 10000 END AS saturate FROM {events}""",
     "too": """SELECT event_id AS id, concat('T', lpad(CAST(user_id % 20 AS VARCHAR(8)), 5, '0')) AS objname, ts AS trigger_time FROM {events} WHERE event_type = 'signup'""",
 }
+NESTED = ("ref", "exposures", "edges", "image_qa", "process_status")
+"""Fixtures that others are built on."""
 FILT = "CASE event_type WHEN 'click' THEN 'g' WHEN 'view' THEN 'r' WHEN 'purchase' THEN 'i' WHEN 'signup' THEN 'm525' ELSE 'm650' END"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
@@ -49,7 +56,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def sql(name: str) -> str:
     """The fixture for DuckDB."""
     names = {t: t for t in TABLES} | {"filt": FILT, "n_orders": "(SELECT count(*) FROM orders)"}
-    return SQL[name].format(**names, ref=SQL["ref"].format(**names), exposures=SQL["exposures"].format(**names))
+    return SQL[name].format(**names, **{n: SQL[n].format(**names) for n in NESTED})
 
 
 def with_(*names: str) -> str:
@@ -59,7 +66,9 @@ def with_(*names: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The fixture as a DataFrame."""
-    text = SQL[name].replace("{exposures}", SQL["exposures"])
+    text = SQL[name]
+    for n in NESTED[1:]:
+        text = text.replace("{%s}" % n, SQL[n])
     read = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{%s}" % t in text or t in ("orders",)}
     text = text.replace("{filt}", FILT).replace("//", "div")
     if "{n_orders}" in text:

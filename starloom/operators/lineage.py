@@ -6,11 +6,11 @@ edges and drops those already reached, so a round costs what is new, and the fir
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starloom.functions.text import UNIT
+from starloom.functions.text import UNIT, type_tuple
 
 from starloom.storage import durable
 
@@ -70,6 +70,21 @@ def parse_ingredients(cards: DataFrame, unit: str = UNIT) -> DataFrame:
     return p.groupBy("image", "imageid").agg(F.min_by("name", F.struct("family", "n")).alias("name"), F.min_by(role, F.struct("family", "n")).alias("role"))
 
 
+DIRECT = (("SCIIID", "science"), ("REFIID", "reference"))
+"""Cards of a difference image that name its two parents."""
+
+
+def all_ingredients(cards: DataFrame, unit: str = UNIT) -> DataFrame:
+    """(image, imageid, role) from rows (image, name, headers): the parents named by SCIIID and REFIID, if any card of these is not
+    blank; else nothing for a difference image (by its name), which inherits its science image's other cards; else parse_ingredients."""
+    of = lambda k: F.nullif(F.trim(F.try_element_at("headers", F.lit(k))), F.lit(""))
+    parents = F.filter(F.array(*(F.struct(of(k).alias("imageid"), F.lit(role).alias("role")) for k, role in DIRECT)), lambda p: p["imageid"].isNotNull())
+    rows = cards.withColumn("_p", parents)
+    direct = rows.select("image", F.explode("_p").alias("p")).select("image", "p.imageid", "p.role")
+    plain = rows.where((F.size("_p") == 0) & ~F.coalesce(type_tuple(F.col("name"))["difference"], F.lit(False)))
+    return direct.unionByName(parse_ingredients(plain, unit).select("image", "imageid", "role"))
+
+
 def flags_up(edges: DataFrame, images: DataFrame) -> DataFrame:
     """(id, ppflag) by levels bias, dark, flat, science: the OR of the sources' flags, for science also 1 and 4 from nights and sanity."""
     flags = images.where("image_type = 'bias'").select("id", F.lit(0).alias("ppflag"))
@@ -99,6 +114,110 @@ def cascade_plan(edges: DataFrame, images: DataFrame, status: DataFrame, seeds:
     return per.join(s, "process_status_id", "left").select(F.col("process_status_id").alias("config"), action.alias("action"), "depth", "images")
 
 
+MASTERS = ("bias", "dark", "flat")
+"""Kinds of calibration masters in the order in which they are made."""
+
+
+def blocked_reason(home: str = "/home/") -> Column:
+    """Why a config row (id, sanity, config_file, config_exists) can't run; null if it can."""
+    file = F.coalesce("config_file", F.lit(""))
+    return (F.when(F.col("id").isNull(), "no config of this name").when(F.col("sanity") == F.lit(False), "rejected by hand").when((file == "") | ~F.coalesce("config_exists", F.lit(False)), "config file is missing")
+            .when(F.startswith(file, F.lit(home)), "config file is in a home folder"))
+
+
+def phased_cascade(edges: DataFrame, images: DataFrame, configs: DataFrame, config_deps: DataFrame, seeds: DataFrame, max_depth: int = 12) -> DataFrame:
+    """(config, phase, sweep, state, reason, images, stale): what a set of regenerated images obliges, and in what order.
+
+    images: id, image_type, process_status_id, nightdate, unit. configs: id, name, config_type, config_file, config_exists,
+    nightdate, sanity. config_deps: derived, source (names). Phases: 1 masters below the seeds, remade by the preprocess config
+    `<nightdate>_<unit>` (sweep: 1 to 3 for the first of bias, dark and flat that it makes), 2 the preprocess configs of single
+    images below the seeds and those of phase 1, 3 the science configs of a night, and 4 those over several nights: they own
+    something below the seeds, or depend on a config of phase 2 and have single images without any edge.
+
+    A config that can't run is `blocked` in phases 1 and 2 and `skip` in 3 and 4, with the reason. A blocked master is a
+    barrier: what lies below it can't become current; `stale` counts such images, and a config with no others is `stale`
+    instead of `run`. Cycles end by depth. Seeds that no image has are rows in state `skip`; if none is known it is an error."""
+    known = seeds.select("id").distinct().join(images.select("id"), "id", "left_semi")
+    if known.isEmpty():
+        raise ValueError("none of the seeds is a known image")
+    unknown = seeds.select("id").distinct().join(images.select("id"), "id", "left_anti")
+    what = images.select("id", "image_type", "process_status_id", F.col("nightdate").alias("night"), "unit")
+    hit = durable(downstream(edges, known, max_depth).where("depth > 0").join(what, "id").withColumn("stem", F.concat_ws("_", F.col("night").cast("string"), "unit")))
+    is_master = F.col("image_type").isin(*MASTERS)
+    named = configs.groupBy("name", "config_type").agg(F.min_by(F.struct("id", "sanity", "config_file", "config_exists", "nightdate"), "id").alias("c")).select("name", "config_type", "c.*")
+    able = named.where("config_type = 'preprocess'").select(F.col("name").alias("stem"), "id", "sanity", "config_file", "config_exists")
+
+    def with_reason(rows: DataFrame) -> DataFrame:
+        return rows.join(able, "stem", "left").withColumn("reason", blocked_reason()).drop("id", "sanity", "config_file", "config_exists")
+
+    stems = durable(with_reason(hit.where("night IS NOT NULL AND unit IS NOT NULL").select("stem").distinct()))
+    walls = hit.where(is_master).join(stems.where("reason IS NOT NULL").select("stem"), "stem", "left_semi").select("id")
+    below = durable(downstream(edges, walls, max_depth).select("id", F.lit(True).alias("stale")))
+    hit = hit.join(below, "id", "left")
+    counts = [F.count("*").alias("images"), F.count("stale").alias("stale")]
+
+    order = F.array_position(F.array(*map(F.lit, MASTERS)), F.col("image_type")).cast("int")
+    one = hit.where(is_master).groupBy("stem").agg(*counts, F.min(order).alias("sweep")).withColumn("phase", F.lit(1))
+    singles = hit.where("image_type = 'science' AND night IS NOT NULL AND unit IS NOT NULL").groupBy("stem").agg(*counts)
+    two = singles.unionByName(one.join(stems.where("reason IS NULL").select("stem"), "stem", "left_semi").join(singles, "stem", "left_anti").select("stem", F.lit(0).cast("long").alias("images"), F.lit(0).cast("long").alias("stale")))
+    two = two.withColumns({"phase": F.lit(2), "sweep": F.lit(None).cast("int")})
+    early = one.unionByName(two).join(stems, "stem", "left").withColumn("state", F.when(F.col("reason").isNotNull(), "blocked"))
+
+    ready = two.join(stems.where("reason IS NULL"), "stem", "left_semi").select(F.col("stem").alias("source"))
+    science = configs.where("config_type = 'science'").select("id", F.col("name").alias("stem"), "sanity", "config_file", "config_exists", "nightdate")
+    owned = hit.where(~is_master).groupBy(F.col("process_status_id").alias("id")).agg(*counts)
+    loose = images.where("image_type = 'science'").join(edges.select(F.col("derived").alias("id")), "id", "left_anti").select(F.col("process_status_id").alias("id")).distinct()
+    told = config_deps.join(ready, "source", "left_semi").select(F.col("derived").alias("stem")).distinct()
+    also = science.join(told, "stem", "left_semi").join(loose, "id", "left_semi").select("id").join(owned, "id", "left_anti").select("id", F.lit(0).cast("long").alias("images"), F.lit(0).cast("long").alias("stale"))
+    late = owned.unionByName(also).join(science, "id").withColumn("reason", blocked_reason()).withColumn("phase", F.when(F.col("nightdate").isNotNull(), 3).otherwise(4))
+    late = late.select("stem", "images", "stale", F.lit(None).cast("int").alias("sweep"), "phase", "reason", F.when(F.col("reason").isNotNull(), "skip").alias("state"))
+    lost = unknown.select(F.col("id").cast("string").alias("stem"), F.lit(0).cast("long").alias("images"), F.lit(0).cast("long").alias("stale"), F.lit(None).cast("int").alias("sweep"), F.lit(None).cast("int").alias("phase"), F.lit("no such image").alias("reason"), F.lit("skip").alias("state"))
+    rows = early.unionByName(late).unionByName(lost)
+    only_stale = (F.col("images") > 0) & (F.col("stale") == F.col("images"))
+    return rows.select(F.col("stem").alias("config"), "phase", "sweep", F.coalesce("state", F.when(only_stale, "stale").otherwise("run")).alias("state"), F.coalesce("reason", F.when(only_stale, "below a blocked master")).alias("reason"), "images", "stale")
+
+
+def master_decisions(wanted: DataFrame, designated: DataFrame, reasons: DataFrame, verdicts: DataFrame, found: DataFrame, overwrite: bool = False) -> DataFrame:
+    """(group, kind, action, master): what to do about each calibration master that a group of frames needs.
+
+    wanted: group, kind, output (null: none is needed), n_raw, exists. designated: group, kind, master. reasons: output, reason (of
+    rebuild_reason). verdicts: output, ok (of a master just made). found: output, master (of the search for another).
+
+    A designated master is adopted. With raw frames, and no output yet, overwrite, or a reason other than none, it is
+    generated; if its QA then fails, what the search finds is fetched instead. Anything else is fetched: the output if it exists,
+    else what the search finds; `missing` if nothing is. The least row counts where one of the tables has several."""
+    least = lambda df, keys, c: df.groupBy(*keys).agg(F.min(c).alias(c))
+    j = wanted.join(least(designated.select("group", "kind", F.col("master").alias("_given")), ["group", "kind"], "_given"), ["group", "kind"], "left")
+    for table, column, name in ((reasons, "reason", "_reason"), (verdicts, "ok", "_ok"), (found, "master", "_other")):
+        j = j.join(least(table.select("output", F.col(column).alias(name)), ["output"], name), "output", "left")
+    make = (F.col("n_raw") > 0) & (~F.col("exists") | F.lit(overwrite) | (F.coalesce("_reason", F.lit("none")) != "none"))
+    failed = make & ~F.coalesce("_ok", F.lit(True))
+    action = (F.when(F.col("_given").isNotNull(), "adopt").when(F.col("output").isNull(), "none").when(make & ~failed, "generate").when(failed & F.col("_other").isNotNull(), "fetch another")
+              .when(~failed & F.col("exists"), "fetch").when(F.col("_other").isNotNull(), "fetch another").otherwise("missing"))
+    master = F.when(action == "adopt", F.col("_given")).when(action.isin("generate", "fetch"), F.col("output")).when(action == "fetch another", F.col("_other"))
+    return j.select("group", "kind", action.alias("action"), master.alias("master"))
+
+
+def backfill_targets(edges: DataFrame, images: DataFrame, kinds: list[str] | None = None, first_night: str | None = None, last_night: str | None = None, limit: int | None = None) -> DataFrame:
+    """Rows of images (id, image_type, nightdate) without any edge to what they came from, by type and night, the latest first as far as
+    limit goes."""
+    rows = images
+    for test in [F.col("image_type").isin(kinds) if kinds else None, F.col("nightdate") >= first_night if first_night else None, F.col("nightdate") <= last_night if last_night else None]:
+        rows = rows if test is None else rows.where(test)
+    rows = rows.join(edges.select(F.col("derived").alias("id")).distinct(), "id", "left_anti")
+    return rows if limit is None else rows.orderBy(F.desc_nulls_last("nightdate"), F.desc("id")).limit(limit)
+
+
+def seeds_from_staleness(edges: DataFrame, images: DataFrame) -> DataFrame:
+    """(id) of sources that were remade since something was derived from them."""
+    return stale_edges(edges, images).select(F.col("source").alias("id")).distinct()
+
+
+def seeds_from_config(images: DataFrame, config) -> DataFrame:
+    """(id) of the masters that a config owns."""
+    return images.where((F.col("process_status_id") == config) & F.col("image_type").isin(*MASTERS)).select("id")
+
+
 def rebuild_reason(edges: DataFrame, images: DataFrame, designated: DataFrame, better: DataFrame) -> DataFrame:
     """(derived, reason): the strongest of designated, regenerated, sanity, better-match over the ingredients; none otherwise."""
     now = images.select(F.col("id").alias("source"), "imageid", "sanity")
@@ -124,7 +243,7 @@ def latest_codes(events: DataFrame) -> DataFrame:
     """(config, codes, first_error): distinct warning codes sorted, and the first error, after the last reset of each stage (code div 100).
 
     A reset row has code 999 or the stage's number times 100 and drops earlier codes of that stage, all stages for 999."""
-    w = W.partitionBy("config").orderBy("pos").rowsBetween(1, W.unboundedFollowing)
+    w = W.partitionBy("config").orderBy(F.desc("pos")).rowsBetween(W.unboundedPreceding, -1)
     stage = (F.col("code") / 100).cast("int")
     later = events.withColumns({"_all": F.max(F.when(F.col("code") == 999, 1)).over(w), "_stages": F.collect_set(F.when((F.col("code") % 100 == 0), stage)).over(w)})
     live = later.where(F.col("_all").isNull() & ~F.array_contains("_stages", stage) & (F.col("code") % 100 != 0) & (F.col("code") != 999))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starloom.fixtures import table, with_
-from starloom.operators import lineage
+from starloom.operators import inventory, lineage
 from starloom.plans.registry import query
 
 BASE = with_("edges", "image_qa", "process_status").replace("WITH ", "WITH RECURSIVE ", 1)
@@ -173,3 +173,78 @@ def a31_groups_by_masters(spark, sf):
 def a34_warning_codes(spark, sf):
     e = spark.read.parquet(f"{sf}/events.parquet").selectExpr("user_id AS config", "event_id AS pos", "event_id % 5 = 0 AS error", "CASE WHEN event_id % 97 = 0 THEN 999 WHEN event_id % 31 = 0 THEN 100 * (event_id % 4 + 1) ELSE 100 * (event_id % 4 + 1) + event_id % 9 + 1 END AS code")
     return lineage.latest_codes(e).select("config", F.array_join(F.transform("codes", lambda c: c.cast("string")), ",").alias("codes"), "first_error")
+
+
+def _reason(c: str) -> str:
+    """SQL of why the config row c can't run."""
+    return f"CASE WHEN {c}.id IS NULL THEN 'no config of this name' WHEN {c}.sanity = false THEN 'rejected by hand' WHEN coalesce({c}.config_file, '') = '' OR NOT coalesce({c}.config_exists, false) THEN 'config file is missing' WHEN starts_with({c}.config_file, '/home/') THEN 'config file is in a home folder' END"
+
+
+@query("WITH RECURSIVE " + with_("cyclic_edges", "image_qa", "process_status", "configs", "config_deps")[5:] + f""", seed AS (SELECT unnest([1, 2, 3, 5, -7]) AS id),
+ c(id, depth) AS (SELECT seed.id, 0 FROM seed JOIN image_qa USING (id) UNION SELECT e.derived, c.depth + 1 FROM c JOIN cyclic_edges e ON e.source = c.id WHERE c.depth < 12),
+ hit AS MATERIALIZED (SELECT i.*, concat(nightdate, '_', unit) AS stem FROM (SELECT id FROM c GROUP BY id HAVING min(depth) > 0) m JOIN image_qa i USING (id)),
+ stem AS MATERIALIZED (SELECT s.stem, {_reason('p')} AS reason FROM (SELECT DISTINCT stem FROM hit) s LEFT JOIN configs p ON p.name = s.stem AND p.config_type = 'preprocess'),
+ b(id, depth) AS (SELECT h.id, 0 FROM hit h JOIN stem USING (stem) WHERE image_type <> 'science' AND reason IS NOT NULL UNION SELECT e.derived, b.depth + 1 FROM b JOIN cyclic_edges e ON e.source = b.id WHERE b.depth < 12),
+ h AS MATERIALIZED (SELECT *, id IN (SELECT id FROM b) AS old FROM hit),
+ one AS (SELECT stem, 1 AS phase, min(CASE image_type WHEN 'bias' THEN 1 WHEN 'dark' THEN 2 ELSE 3 END) AS sweep, count(*) AS images, count(*) FILTER (WHERE old) AS stale FROM h WHERE image_type <> 'science' GROUP BY stem),
+ singles AS (SELECT stem, 2 AS phase, CAST(NULL AS INT) AS sweep, count(*) AS images, count(*) FILTER (WHERE old) AS stale FROM h WHERE image_type = 'science' GROUP BY stem),
+ two AS (SELECT * FROM singles UNION ALL SELECT stem, 2, NULL, 0, 0 FROM one JOIN stem USING (stem) WHERE reason IS NULL AND stem NOT IN (SELECT stem FROM singles)),
+ early AS (SELECT x.*, reason, CASE WHEN reason IS NOT NULL THEN 'blocked' END AS state FROM (SELECT * FROM one UNION ALL SELECT * FROM two) x JOIN stem USING (stem)),
+ own AS (SELECT process_status_id AS id, count(*) AS images, count(*) FILTER (WHERE old) AS stale FROM h WHERE image_type = 'science' GROUP BY 1),
+ also AS (SELECT id, 0, 0 FROM configs s WHERE config_type = 'science' AND id NOT IN (SELECT id FROM own) AND name IN (SELECT derived FROM config_deps JOIN two ON stem = source JOIN stem USING (stem) WHERE reason IS NULL)
+  AND EXISTS (SELECT 1 FROM image_qa i WHERE i.process_status_id = s.id AND image_type = 'science' AND NOT EXISTS (SELECT 1 FROM cyclic_edges e WHERE e.derived = i.id))),
+ late AS (SELECT s.name, CASE WHEN s.nightdate IS NULL THEN 4 ELSE 3 END AS phase, CAST(NULL AS INT), images, stale, {_reason('s')} AS reason, CASE WHEN {_reason('s')} IS NOT NULL THEN 'skip' END FROM (SELECT * FROM own UNION ALL SELECT * FROM also) o JOIN configs s ON s.id = o.id AND config_type = 'science'),
+ r AS (SELECT * FROM early UNION ALL SELECT * FROM late UNION ALL SELECT CAST(id AS VARCHAR), NULL, NULL, 0, 0, 'no such image', 'skip' FROM seed WHERE id NOT IN (SELECT id FROM image_qa))
+ SELECT stem AS config, CAST(phase AS INT) AS phase, CAST(sweep AS INT) AS sweep, coalesce(state, CASE WHEN images > 0 AND stale = images THEN 'stale' ELSE 'run' END) AS state, coalesce(reason, CASE WHEN images > 0 AND stale = images THEN 'below a blocked master' END) AS reason, images, stale FROM r""")
+def t2_phased_cascade(spark, sf):
+    """Masters, preprocess, nightly and multi-night science below remade masters, on a graph with cycles and blocked configs."""
+    e, i, c, d = (table(spark, sf, n) for n in ("cyclic_edges", "image_qa", "configs", "config_deps"))
+    seeds = spark.createDataFrame([(x,) for x in (1, 2, 3, 5, -7)], "id long")
+    return lineage.phased_cascade(e, i, c, d, seeds)
+
+
+@query(BASE + """, x AS (SELECT id, CASE WHEN id % 3 = 0 THEN 'difference' WHEN id % 3 = 1 THEN 'coadd' ELSE 'difference without parents' END AS what FROM image_qa),
+ u AS (SELECT id AS image, concat('s', id % 11) AS imageid, 'science' AS role FROM x WHERE what = 'difference' UNION ALL SELECT id, concat('r', id % 13), 'reference' FROM x WHERE what = 'difference' AND id % 2 = 0 UNION ALL SELECT id, concat('m', id % 7), 'input' FROM x WHERE what = 'coadd') SELECT image, imageid, role FROM u""")
+def t4_direct_parents(spark, sf):
+    """Differences name their parents; those that don't inherit cards that aren't theirs and get none."""
+    i = table(spark, sf, "image_qa")
+    kind = F.col("id") % 3
+    name = F.when(kind == 1, "T00001_x_coadd.fits").otherwise("T00001_x_coadd_diff.fits")
+    card = lambda k, test, v: F.create_map(F.lit(k), F.when(test, v))
+    cards = F.map_concat(card("SCIIID", kind == 0, F.concat(F.lit(" s"), F.col("id") % 11)), card("REFIID", kind == 0, F.when(F.col("id") % 2 == 0, F.concat(F.lit("r"), F.col("id") % 13)).otherwise("  ")), card("IMG00001", F.lit(True), F.lit("T00001_single.fits")), card("IID00001", F.lit(True), F.concat(F.lit("m"), F.col("id") % 7)))
+    return lineage.all_ingredients(i.select(F.col("id").alias("image"), name.alias("name"), F.map_filter(cards, lambda k, v: v.isNotNull()).alias("headers"))).select("image", "imageid", "role")
+
+
+DECIDE = with_("exposures", "edges", "image_qa") + """, w AS (SELECT nightdate AS night, unit, kind, count(*) AS n_raw, min(image_id) AS output FROM exposures WHERE kind <> 'science' GROUP BY ALL),
+ g AS (SELECT concat(night, '_', unit) AS grp, kind, CASE WHEN output % 41 = 0 THEN NULL ELSE output END AS output, CASE WHEN output % 5 = 0 THEN 0 ELSE n_raw END AS n_raw, output % 4 <> 0 AS there, night, unit FROM w),
+ r AS (SELECT derived AS output, CASE WHEN bool_or(source_imageid <> imageid) THEN 'regenerated' WHEN bool_or(sanity = false) THEN 'sanity' ELSE 'none' END AS reason FROM edges JOIN image_qa i ON i.id = source GROUP BY derived),
+ o AS (SELECT output, nullif(best, output) AS other FROM (SELECT a.output, arg_min(b.output, (b.output % 3 = 0, abs(b.night - a.night), b.night > a.night, b.output)) AS best FROM g a JOIN g b ON a.unit = b.unit AND a.kind = b.kind AND abs(b.night - a.night) <= 30 AND b.there WHERE a.output IS NOT NULL AND b.output IS NOT NULL GROUP BY a.output))"""
+
+
+@query(DECIDE + """, j AS (SELECT g.*, CASE WHEN output % 37 = 0 THEN -output END AS given, n_raw > 0 AND (NOT there OR coalesce(reason, 'none') <> 'none') AS make, output % 3 = 0 AS bad, other FROM g LEFT JOIN r USING (output) LEFT JOIN o USING (output)),
+ a AS (SELECT grp, kind, CASE WHEN given IS NOT NULL THEN 'adopt' WHEN output IS NULL THEN 'none' WHEN make AND NOT bad THEN 'generate' WHEN make AND bad AND other IS NOT NULL THEN 'fetch another' WHEN NOT (make AND bad) AND there THEN 'fetch' WHEN other IS NOT NULL THEN 'fetch another' ELSE 'missing' END AS action, given, output, other FROM j)
+ SELECT grp AS "group", kind, action, CASE action WHEN 'adopt' THEN given WHEN 'generate' THEN output WHEN 'fetch' THEN output WHEN 'fetch another' THEN other END AS master FROM a""")
+def t10_master_decisions(spark, sf):
+    """Adopt, generate or fetch each night's masters; what fails its QA is replaced by the nearest sane night's."""
+    e = table(spark, sf, "exposures").where("kind <> 'science'").groupBy("nightdate", "unit", "kind").agg(F.count("*").alias("n"), F.min("image_id").alias("o"))
+    wanted = e.select(F.concat_ws("_", F.col("nightdate").cast("string"), "unit").alias("group"), "kind", F.when(F.col("o") % 41 != 0, F.col("o")).alias("output"), F.when(F.col("o") % 5 == 0, 0).otherwise(F.col("n")).alias("n_raw"), (F.col("o") % 4 != 0).alias("exists"), "nightdate", "unit")
+    given = wanted.where("output % 37 = 0").select("group", "kind", (-F.col("output")).alias("master"))
+    edges, images = table(spark, sf, "edges"), table(spark, sf, "image_qa")
+    none = images.limit(0)
+    reasons = lineage.rebuild_reason(edges, images, none.select(F.col("id").alias("source")), none.select(F.col("id").alias("derived"))).withColumnRenamed("derived", "output")
+    there = wanted.where("exists AND output IS NOT NULL")
+    same = [F.concat_ws("_", "unit", "kind").alias("unit"), F.lit("x").alias("filt"), F.lit(1).alias("n_binning"), "nightdate"]
+    masters = there.select(F.col("output").alias("master"), *same, F.lit(0).alias("exptime"), (F.col("output") % 3 != 0).alias("sane"), F.lit(False).alias("lenient"))
+    ask = wanted.where("output IS NOT NULL").select(F.col("output").alias("req"), *same, *(F.lit(None).cast("date").alias(c) for c in ("wall_from", "wall_to")))
+    other = inventory.relaxed_search(ask, masters, 30, future=True).where("req <> master").select(F.col("req").alias("output"), "master")
+    verdicts = wanted.select("output", (F.col("output") % 3 != 0).alias("ok"))
+    return lineage.master_decisions(wanted, given, reasons, verdicts, other)
+
+
+@query(BASE + """, t AS (SELECT id, nightdate FROM image_qa i WHERE image_type IN ('science', 'flat') AND NOT EXISTS (SELECT 1 FROM edges e WHERE e.derived = i.id) AND nightdate >= DATE '1993-01-01' ORDER BY nightdate DESC NULLS LAST, id DESC LIMIT 500),
+ s AS (SELECT DISTINCT source AS id FROM edges e JOIN image_qa i ON i.id = e.source WHERE source_imageid IS NOT NULL AND source_imageid <> i.imageid) SELECT id, 'backfill' AS why FROM t UNION ALL SELECT id, 'stale edge' FROM s UNION ALL SELECT id, 'config' FROM image_qa WHERE process_status_id = 7 AND image_type <> 'science'""")
+def t9_targets_and_seeds(spark, sf):
+    """What to give edges (at most 500, latest night first), and where an impact search may start: stale edges, or one config's masters."""
+    e, i, _ = _all(spark, sf)
+    parts = [lineage.backfill_targets(e, i, ["science", "flat"], "1993-01-01", limit=500).select("id", F.lit("backfill").alias("why")), lineage.seeds_from_staleness(e, i).withColumn("why", F.lit("stale edge")), lineage.seeds_from_config(i, 7).withColumn("why", F.lit("config"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
