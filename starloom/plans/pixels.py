@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starloom.fixtures import table, with_
-from starloom.operators import pixels
-from starloom.plans.registry import query
+from starloom.operators import pixels, tiles
+from starloom.plans.registry import ORACLES, query
+from starloom.storage import durable
 
 PX = with_("pixels")
 DIMS = ", size AS (SELECT max(y) + 1 AS h, max(x) + 1 AS w FROM pixels)"
@@ -268,3 +269,55 @@ def p5_tile_median(spark, sf):
     t = pixels.tile_median(pixels.to_tiles(_px(spark, sf), 8))
     cells = t.select("ty", "tx", "w", F.posexplode("data").alias("k", "v"))
     return cells.select((F.col("ty") * 8 + F.floor(F.col("k") / F.col("w"))).alias("y"), (F.col("tx") * 8 + F.col("k") % F.col("w")).alias("x"), F.round("v", 6).alias("v"))
+
+
+# The same by tiles of 16 pixels, so that most neighbourhoods and stacks cross their borders.
+TILE = 16
+
+
+def _tiles(df, *planes):
+    return durable(tiles.cut_tiles(df, TILE, list(planes)))
+
+
+@query(ORACLES["p24_gaussian"])
+def p24_gaussian_by_tiles(spark, sf):
+    return _r(tiles.to_pixels(tiles.gaussian(_tiles(_px(spark, sf), "v"), TILE, 1.5, 3), TILE, ["v"]), "v")
+
+
+@query(ORACLES["p13_interpolate_bad"])
+def p13_interpolate_bad_by_tiles(spark, sf):
+    return _r(tiles.to_pixels(tiles.interpolate_bad(_tiles(_px(spark, sf).withColumnRenamed("w", "wt"), "v", "wt", "bad"), TILE), TILE, ["v", "wt"]).withColumnRenamed("wt", "w"), "v", "w")
+
+
+@query(ORACLES["p28_eroded_footprint"])
+def p28_eroded_by_tiles(spark, sf):
+    return tiles.to_pixels(tiles.erode(_tiles(_px(spark, sf), "v"), TILE, 2), TILE, ["ok"]).withColumn("ok", F.col("ok") == 1)
+
+
+@query(ORACLES["p28_shrunk_footprint"])
+def p28_shrunk_by_tiles(spark, sf):
+    d = _px(spark, sf)
+    masks = _tiles(d.select("frame", "y", "x", F.expr("v <> 0 OR (frame % 2 = 0 AND (y * 40 + x) % 97 <> 5)").alias("ok")), "ok")
+    deltas = d.select("frame").distinct().select("frame", ((F.col("frame") - 1) * 0.5).alias("delta"))
+    return tiles.to_pixels(tiles.shrink(masks, TILE, deltas), TILE, ["ok"]).withColumn("ok", F.col("ok") == 1)
+
+
+def _stacked(spark, sf, method):
+    d = _tiles(_px(spark, sf).withColumnRenamed("w", "wt"), "v", "wt").withColumn("f", 1 + F.col("frame") * 0.01)
+    rows = tiles.to_pixels(tiles.stack(d, method, budget=1000), TILE, ["v", "weight", "n"]).where("n > 0")
+    return _r(rows.select("y", "x", "v", "weight", F.col("n").cast("long").alias("n")), "v", "weight")
+
+
+@query(ORACLES["p4_weighted_coadd"])
+def p4_weighted_coadd_by_tiles(spark, sf):
+    return _stacked(spark, sf, "mean")
+
+
+@query(ORACLES["p5_p7_median_coadd"])
+def p5_median_coadd_by_tiles(spark, sf):
+    return _stacked(spark, sf, "median")
+
+
+@query(ORACLES["p6_clipped_coadd"])
+def p6_clipped_coadd_by_tiles(spark, sf):
+    return _stacked(spark, sf, "clipped")
