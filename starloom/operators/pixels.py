@@ -75,7 +75,7 @@ def clipped_coadd(frames: DataFrame, kappa: float = 3.0, slack: float = 0.1) ->
     """Weighted mean of what lies within kappa / sqrt(w') + slack |c| of the pixel's median c."""
     c = frames.groupBy(*XY).agg(F.median(F.when(valid() & (F.col("w") > 0), F.col("f") * F.col("v"))).alias("c"))
     j = frames.join(c, XY)
-    near = F.abs(F.col("f") * F.col("v") - F.col("c")) <= kappa * F.col("f") / F.sqrt("w") + slack * F.abs("c")
+    near = F.abs(F.col("f") * F.col("v") - F.col("c")) <= kappa * F.try_divide(F.col("f"), F.sqrt("w")) + slack * F.abs("c")
     return mean_coadd(j.where(near))
 
 

@@ -71,6 +71,14 @@ def r2_debounce(spark, sf):
     return arrivals.debounce(a, "600 seconds").select(F.date_format("start", "yyyyMMdd_HHmmss").alias("start"), "n")
 
 
+@query(EXPOSURES + """, g AS (SELECT unit, nightdate, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 600 SECONDS THEN 0 ELSE 1 END AS n FROM exposures WINDOW w AS (PARTITION BY unit, nightdate ORDER BY ts)), s AS (SELECT *, sum(n) OVER (PARTITION BY unit, nightdate ORDER BY ts) AS s FROM g)
+ SELECT unit, CAST(nightdate AS VARCHAR) AS nightdate, strftime(min(ts), '%Y%m%d_%H%M%S') AS start, count(*) AS n FROM s GROUP BY unit, nightdate, s""")
+def r2_debounce_by_night(spark, sf):
+    """Each unit and night by itself, so that tasks share the arrivals."""
+    a, _ = _sides(spark, sf)
+    return arrivals.debounce(a, "600 seconds", keys=("unit", "nightdate")).select("unit", "nightdate", F.date_format("start", "yyyyMMdd_HHmmss").alias("start"), "n")
+
+
 @query(ARR + """, g AS (SELECT ts, CASE WHEN ts - lag(ts) OVER (ORDER BY ts) < INTERVAL 600 SECONDS THEN 0 ELSE 1 END AS n FROM a), s AS (SELECT *, sum(n) OVER (ORDER BY ts) AS s FROM g)
  SELECT strftime(min(ts), '%Y%m%d_%H%M%S') AS start, count(*) AS n FROM s GROUP BY s HAVING max(ts) + INTERVAL 600 SECONDS <= (SELECT max(ts) FROM a) - INTERVAL 30 SECONDS""")
 def r2_debounce_stream(spark, sf):

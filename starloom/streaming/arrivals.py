@@ -23,12 +23,15 @@ def new_files(spark: SparkSession, folder: str, unit: str = UNIT) -> DataFrame:
     return files.select("path", F.col("modificationTime").alias("ts")).where(F.col("path").rlike(rf"/{unit}/.*\.fits$"))
 
 
-def debounce(events: DataFrame, gap: str = "5 seconds", watermark: str = "30 seconds") -> DataFrame:
-    """(start, end, n, paths): files that came with less than `gap` between them, once the gap has passed. Stream or batch."""
+def debounce(events: DataFrame, gap: str = "5 seconds", watermark: str = "30 seconds", keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, start, end, n, paths): files that came with less than `gap` between them, once the gap has passed. Stream or batch.
+
+    keys: columns that arrive apart, such as unit and night; without any, all files pass through one task."""
     df = events.withWatermark("ts", watermark) if events.isStreaming else events
     # streams need a key beside the window
-    g = df.groupBy(F.col("ts").isNull().alias("none"), F.session_window("ts", gap)).agg(F.count("*").alias("n"), F.sort_array(F.collect_set("path")).alias("paths"))
-    return g.select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "n", "paths")
+    by = [F.col(k) for k in keys] or [F.col("ts").isNull().alias("none")]
+    g = df.groupBy(*by, F.session_window("ts", gap)).agg(F.count("*").alias("n"), F.sort_array(F.collect_set("path")).alias("paths"))
+    return g.select(*keys, F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "n", "paths")
 
 
 def gate_batch(arrivals: DataFrame, manifest: DataFrame) -> DataFrame:
