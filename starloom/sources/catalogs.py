@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.functions import sky
+from starloom.functions import healpix, sky
 
-CELL = 10
-"""Degrees of declination, and of right ascension, of a cell."""
+NSIDE = 64
+"""Cells are nested equal-area pixels: 49,152 of 0.84 square degrees."""
 
 
 def clean_reference(df: DataFrame, pm: tuple[str, ...] = ("pmra", "pmdec"), must: tuple[str, ...] = ("ra", "dec", "mag", "bp_rp")) -> DataFrame:
@@ -26,24 +26,6 @@ def clean_reference(df: DataFrame, pm: tuple[str, ...] = ("pmra", "pmdec"), must
     return df.where(keep).withColumns({"touched": touched, "pm_err": 230 * F.col("mag_err") + 0.1, "ra_err": F.col("mag_err") * F.cos(F.radians("dec")), **{c: F.nanvl(F.coalesce(c, F.lit(0.0)), F.lit(0.0)) for c in pm}})
 
 
-def cell_of(ra: Column, dec: Column) -> Column:
-    return (F.least(F.floor((dec + 90) / CELL), F.lit(180 // CELL - 1)) * 1000 + F.floor(F.pmod(ra, F.lit(360.0)) / CELL)).cast("int")
-
-
-def cells_around(ra: float, dec: float, radius: float) -> list[int]:
-    """All cells that a cone may touch, in whole degrees of declination bands."""
-    low, high = max(-90.0, dec - radius), min(90.0, dec + radius)
-    out = set()
-    for band in range(int((low + 90) // CELL), min(int((high + 90) // CELL), 180 // CELL - 1) + 1):
-        worst = max(abs(low), abs(high))
-        if worst >= 90 - 1e-9 or math.sin(math.radians(radius)) >= math.cos(math.radians(dec)):
-            out |= {band * 1000 + k for k in range(360 // CELL)}
-            continue
-        half = math.degrees(math.asin(math.sin(math.radians(radius)) / math.cos(math.radians(dec))))
-        out |= {band * 1000 + int(((ra + x) % 360) // CELL) for x in [-half, half, *[-half + CELL * k for k in range(int(2 * half // CELL) + 1)]]}
-    return sorted(out)
-
-
 #: Columns of the survey's table that a reference catalog is made of.
 SOURCE_COLUMNS = {
     "source_id": "long", "ra": "double", "dec": "double", "ra_error": "double", "dec_error": "double", "pmra": "double", "pmdec": "double", "pmra_error": "double", "pmdec_error": "double", "phot_g_mean_flux": "double",
@@ -68,12 +50,12 @@ def build_reference(sources: DataFrame, ra: float, dec: float, a: float, b: floa
     return clean_reference(inside.drop("phot_g_mean_flux", "phot_g_mean_flux_error", "phot_g_mean_mag"), must=must).drop("pm_err", "ra_err")
 
 
-def write_cells(df: DataFrame, path: str) -> None:
-    """Parquet partitioned by cell."""
-    df.withColumn("cell", cell_of(F.col("ra"), F.col("dec"))).repartition("cell").write.mode("overwrite").partitionBy("cell").parquet(path)
+def write_cells(df: DataFrame, path: str, nside: int = NSIDE) -> None:
+    """Parquet partitioned by cell; a cell with many rows is split over several files and tasks."""
+    df.withColumn("cell", healpix.nested_pixel(F.col("ra"), F.col("dec"), nside)).hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(path)
 
 
-def load_cone(spark: SparkSession, path: str, ra: float, dec: float, radius: float, columns: list[str], key: str = "source_id") -> DataFrame:
-    """Rows within `radius` degrees, reading only the cells that the cone touches; unique by key."""
-    df = spark.read.parquet(path).where(F.col("cell").isin(cells_around(ra, dec, radius)))
+def load_cone(spark: SparkSession, path: str, ra: float, dec: float, radius: float, columns: list[str], key: str = "source_id", nside: int = NSIDE) -> DataFrame:
+    """Rows within `radius` degrees, reading only the cells that the cone touches; unique by key. nside: that of the writing."""
+    df = spark.read.parquet(path).where(F.col("cell").isin(healpix.disc_pixels(ra, dec, radius, nside)))
     return df.where(sky.in_cone(F.col("ra"), F.col("dec"), ra, dec, radius)).select(*columns).dropDuplicates([key])
