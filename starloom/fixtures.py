@@ -23,6 +23,9 @@ SQL: dict[str, str] = {
         concat('T', lpad(CAST(user_id % 20 AS VARCHAR(8)), 5, '0')) AS obj, (event_id * 7919 % 360000) / 1000e0 AS ra, (event_id * 104729 % 120000) / 1000e0 - 60 AS dec FROM {events}""",
     "solutions": """SELECT image_id, kind, crval1, crval2, crpix1, crpix2, turn * scale * cos(a) AS cd11, -turn * scale * sin(a) AS cd12, scale * sin(a) AS cd21, scale * cos(a) AS cd22, 9576 AS naxis1, 6388 AS naxis2 FROM
         (SELECT image_id, kind, ra AS crval1, dec AS crval2, 47885e-1 + image_id % 7 AS crpix1, 31945e-1 - image_id % 5 AS crpix2, CASE WHEN image_id % 2 = 0 THEN 1e0 ELSE -1e0 END AS turn, 505e-3 / 3600 AS scale, radians(image_id * 37 % 360) AS a FROM ({exposures}) x) y""",
+    "fields": """SELECT image_id, 'science' AS kind, crval1, crval2, 4788e0 AS crpix1, 3194e0 AS crpix2, turn * 15e0 / 3600 * cos(a) AS cd11, -turn * 15e0 / 3600 * sin(a) AS cd12, 15e0 / 3600 * sin(a) AS cd21, 15e0 / 3600 * cos(a) AS cd22, 9576 AS naxis1, 6388 AS naxis2 FROM
+        (SELECT image_id, 20e0 + 40 * (image_id // 4) AS crval1, -45e0 + 30 * (image_id % 4) AS crval2, CASE WHEN image_id % 2 = 0 THEN 1e0 ELSE -1e0 END AS turn, radians(image_id * 3) AS a FROM (SELECT DISTINCT event_id % 36 AS image_id FROM {events}) x) y""",
+    "seen": """SELECT det_id, CAST(floor((ra + 360) % 360 / 40) * 4 + least(floor((dec + 60) / 30), 3) AS BIGINT) AS image_id, ra, dec, mag_auto, CASE WHEN mag_auto < -13 OR det_id % 17 = 0 THEN 1 ELSE 0 END AS flags FROM ({det}) d""",
     "requests": """SELECT c_custkey AS request, CASE WHEN c_custkey % 4 = 1 THEN 'galactic' ELSE 'radec' END AS coord_sys, (c_custkey * 7919 % 360000) / 1000e0 + CASE WHEN c_custkey % 3 = 0 THEN 0e0 ELSE (c_custkey % 100) / 2e2 END AS lon,
         (c_custkey * 104729 % 120000) / 1000e0 - 60 + CASE WHEN c_custkey % 3 = 0 THEN 0e0 ELSE (c_custkey % 70) / 2e2 END AS lat FROM {customer}""",
     "image_qa": """SELECT o_orderkey AS id, o_custkey AS process_status_id, concat('img', CAST(o_orderkey AS VARCHAR(12))) AS image_name, CASE o_orderkey % 4 WHEN 0 THEN 'bias' WHEN 1 THEN 'dark' WHEN 2 THEN 'flat' ELSE 'science' END AS image_type,
@@ -47,7 +50,7 @@ SQL: dict[str, str] = {
         1 + (event_id % 10) / 10e0 AS flxscale, CASE WHEN event_id % 500 = 0 THEN NULL ELSE 50000 + event_id % 10000 END AS saturate FROM {events}""",
     "too": """SELECT event_id AS id, concat('T', lpad(CAST(user_id % 20 AS VARCHAR(8)), 5, '0')) AS objname, ts AS trigger_time FROM {events} WHERE event_type = 'signup'""",
 }
-NESTED = ("ref", "exposures", "edges", "image_qa", "process_status")
+NESTED = ("ref", "det", "exposures", "edges", "image_qa", "process_status")
 """Fixtures that others are built on."""
 FILT = "CASE event_type WHEN 'click' THEN 'g' WHEN 'view' THEN 'r' WHEN 'purchase' THEN 'i' WHEN 'signup' THEN 'm525' ELSE 'm650' END"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
@@ -56,7 +59,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def sql(name: str) -> str:
     """The fixture for DuckDB."""
     names = {t: t for t in TABLES} | {"filt": FILT, "n_orders": "(SELECT count(*) FROM orders)"}
-    return SQL[name].format(**names, **{n: SQL[n].format(**names) for n in NESTED})
+    return SQL[name].format(**names, **{n: SQL[n].format(**names, ref=SQL["ref"].format(**names)) for n in NESTED})
 
 
 def with_(*names: str) -> str:

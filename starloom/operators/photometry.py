@@ -7,9 +7,14 @@ import math
 import operator
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from starloom.functions import sky
 from starloom.operators import stats
+from starloom.operators.footprints import frames_at_points
+from starloom.operators.skyjoin import sky_pairs
+from starloom.storage import durable
 
 OPERATORS = {
     "lower": operator.gt, ">": operator.gt, ">=": operator.ge, "upper": operator.lt, "<": operator.lt, "<=": operator.le, "equal": operator.eq, "=": operator.eq, "==": operator.eq,
@@ -91,3 +96,28 @@ def flux_scale(zp: Column, on: bool = True) -> Column:
 def aperture_diameters(peeing: Column, pixel_scale: float, factors: dict[str, float], fixed: dict[str, float]) -> dict[str, Column]:
     """Diameters in pixels: factors of the seeing in pixels, and fixed arcsecs over the pixel scale."""
     return {k: peeing * v for k, v in factors.items()} | {k: F.lit(v / pixel_scale) for k, v in fixed.items()}
+
+
+def evaluation_sample(sources: DataFrame, reference: DataFrame, fields: DataFrame, radius: float, years: float, n_ref: int = 100, n_sci: int | None = None) -> DataFrame:
+    """(image_id, source_id, det_id, separation, flags, plateau) of what an image's astrometry is judged by.
+
+    sources: image_id, det_id, ra, dec, mag_auto, flags. reference: source_id, ra, dec, mag, pmra, pmdec. fields: image_id, shape (of
+    footprints.with_footprint). Of each image, in order of magnitude: the saturated end of its sources (saturated_end over the flags),
+    the brightest n_sci and as many more as that, and of the reference inside its footprint the brightest n_ref and as many more. Each
+    of these, moved by `years` of proper motion, gets the image's nearest source within `radius` arcsec; those matched to a flagged source go,
+    those without a match stay."""
+    plateau = stats.saturated_end(sources, ["image_id"], "mag_auto", "det_id", F.col("flags") != 0)
+
+    def top(rows: DataFrame, order: str, tie: str, n: int) -> DataFrame:
+        w = W.partitionBy("image_id").orderBy(order, tie)
+        return rows.where(F.col(order).isNotNull()).withColumn("_k", F.row_number().over(w)).join(plateau, "image_id").where(F.col("_k") <= n + F.col("plateau")).drop("_k")
+
+    inside = frames_at_points(reference.select("source_id", "ra", "dec", F.struct("ra", "dec", "mag", "pmra", "pmdec").alias("r")), fields.select("image_id", "shape"))
+    ref = top(inside.select("image_id", "source_id", "r.*"), "mag", "source_id", n_ref)
+    ra, dec = sky.moved(F.col("ra"), F.col("dec"), F.col("pmra"), F.col("pmdec"), years)
+    ref = durable(ref.select("image_id", "source_id", ra.alias("ra"), dec.alias("dec"), "plateau").withColumn("key", F.struct("image_id", "source_id")))
+    sci = top(sources, "mag_auto", "det_id", n_sci or n_ref)
+    pairs = sky_pairs(ref, sci.withColumn("key", F.struct("image_id", "det_id", "flags")), radius, "key", "key").where("a_id.image_id = b_id.image_id")
+    best = pairs.groupBy("a_id").agg(F.min(F.struct("separation", F.col("b_id.det_id").alias("det_id"), F.col("b_id.flags").alias("flags"))).alias("m"))
+    found = ref.join(best, F.col("key") == F.col("a_id"), "left").select("image_id", "source_id", "m.det_id", "m.separation", "m.flags", "plateau")
+    return found.where("flags = 0 OR det_id IS NULL")

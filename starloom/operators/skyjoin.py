@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.functions import sky
+from starloom.operators.stats import exact_quantiles
 
 CELL_RADII, LEAST_CELL = 6.0, 0.45
 """Width of a cell in match radii, and at least, in arcsec (a code has 20 bits for each axis)."""
@@ -141,6 +142,40 @@ def multi_match(cats: DataFrame, radius: float, checkpoint, join: str = "matched
     return rows.select("group", "pivot", "cat", "id", "separation", dra.alias("dra_cosdec"), ddec.alias("ddec"))
 
 
+def group_presence(match: DataFrame) -> DataFrame:
+    """(group, cats, size) of multi_match rows: the catalogs that each group has a row of, in order."""
+    g = match.groupBy("group").agg(F.sort_array(F.collect_set("cat")).alias("cats"))
+    return g.withColumn("size", F.size("cats"))
+
+
+def group_sizes(match: DataFrame) -> DataFrame:
+    """(size, n): how many groups have rows of so many catalogs."""
+    return group_presence(match).groupBy("size").agg(F.count("*").alias("n"))
+
+
+def recalls(match: DataFrame) -> DataFrame:
+    """(cat, given, n_given, n, recall): of the groups that have a row of catalog `given`, the share with one of cat as well; given null: of
+    those that have one of any catalog but cat. 0 of none is null."""
+    g = group_presence(match)
+    pairs = g.select(F.explode("cats").alias("given"), "cats").select("given", F.explode("cats").alias("cat")).where("cat <> given").groupBy("cat", "given").agg(F.count("*").alias("n"))
+    alone = g.select(F.explode("cats").alias("given"), "size").groupBy("given").agg(F.count("*").alias("n_given"), F.count_if(F.col("size") > 1).alias("n"))
+    names = alone.agg(F.collect_set("given").alias("names"))  # one row, a name per catalog
+    each = alone.select("given", "n_given").crossJoin(F.broadcast(names)).select("given", "n_given", F.explode("names").alias("cat")).where("cat <> given").join(pairs, ["cat", "given"], "left")
+    groups = g.agg(F.count("*").alias("groups"), F.count_if(F.col("size") == 1).alias("single"))  # one row
+    own = g.where("size = 1").select(F.col("cats")[0].alias("given")).groupBy("given").agg(F.count("*").alias("only"))
+    any_ = alone.join(own, "given", "left").crossJoin(F.broadcast(groups)).select(F.col("given").alias("cat"), F.lit(None).cast(dict(match.dtypes)["cat"]).alias("given"), (F.col("groups") - F.coalesce("only", F.lit(0))).alias("n_given"), "n")
+    both = each.select("cat", "given", "n_given", F.coalesce("n", F.lit(0)).alias("n")).unionByName(any_)
+    return both.withColumn("recall", F.try_divide(F.col("n"), F.col("n_given")))
+
+
+def catalog_rms(match: DataFrame) -> DataFrame:
+    """(cat, n, rms_x, rms_y, rms, least, q1, q2, q3, p95, p99, most) of the rows' separations from their group's reference."""
+    square = lambda c: F.sqrt(F.avg(F.col(c) * F.col(c)))
+    sums = match.groupBy("cat").agg(F.count("*").alias("n"), square("dra_cosdec").alias("rms_x"), square("ddec").alias("rms_y"), square("separation").alias("rms"), F.min("separation").alias("least"), F.max("separation").alias("most"))
+    q = exact_quantiles(match, ["cat"], "separation", [0.25, 0.5, 0.75, 0.95, 0.99]).select("cat", *(F.col("q")[i].alias(c) for i, c in enumerate(("q1", "q2", "q3", "p95", "p99"))))
+    return sums.join(q, "cat").select("cat", "n", "rms_x", "rms_y", "rms", "least", "q1", "q2", "q3", "p95", "p99", "most")
+
+
 def centroid(ra: Column, dec: Column) -> tuple[Column, Column]:
     """Aggregates: spherical mean position; the first by (ra, dec) where the mean vector vanishes."""
     x, y, z = (F.avg(c) for c in sky.xyz(ra, dec))

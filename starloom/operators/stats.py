@@ -145,6 +145,15 @@ def plateau_end(df: DataFrame, keys: list[str], order: str, value: str, width: i
     return inner.groupBy(*keys).agg((F.coalesce(F.min(F.when(F.col("_d") < -jump, F.col("_k"))), F.lit(1)) - 1).alias("plateau"))
 
 
+def saturated_end(df: DataFrame, keys: list[str], order: str, tie: str, flagged: Column, width: int = 15, share: float = 0.5) -> DataFrame:
+    """(keys, plateau): how many rows come, in order, before the share of flagged ones among the `width` around falls under `share`; 0 if it
+    never does. Rows beyond both ends count as not flagged."""
+    half = width // 2
+    w = W.partitionBy(*keys).orderBy(order, tie)
+    seen = df.where(F.col(order).isNotNull()).select(*keys, order, tie, F.when(flagged, 1).otherwise(0).alias("_f")).select(*keys, F.row_number().over(w).alias("_k"), (F.sum("_f").over(w.rowsBetween(-half, width - 1 - half)) / width).alias("_m"))
+    return seen.groupBy(*keys).agg((F.coalesce(F.min(F.when(F.col("_m") < share, F.col("_k"))), F.lit(1)) - 1).alias("plateau"))
+
+
 def brightest(df: DataFrame, keys: list[str], order: str, tie: str, n: int) -> DataFrame:
     """The n rows of least `order` in each group."""
     w = W.partitionBy(*keys).orderBy(order, tie)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from starloom.fixtures import table, with_
 from starloom.functions import sky, wcs
-from starloom.operators import footprints
+from starloom.operators import footprints, photometry
 from starloom.plans.registry import query
 from starloom.storage import durable
 
@@ -115,3 +115,26 @@ def f8_frames_in_polygon(spark, sf):
         corners.append(F.struct(F.when(far, ra).otherwise(lon).alias("ra"), F.when(far, dec).otherwise(lat).alias("dec")))
     asked = durable(footprints.with_footprint(durable(r.select("request", F.array(*corners).alias("corners")))).select("request", "shape"))
     return footprints.frames_meeting(asked, _stored(table(spark, sf, "solutions")))
+
+
+MOVED = "CASE WHEN pmra IS NULL OR pmdec IS NULL THEN 0e0 ELSE {0} * 8 * pi() / 648000000 END"
+
+
+@query(with_("ref", "fields", "seen") + CORNERS.replace("solutions", "fields") + SIDES + f""", rp AS (SELECT *, cos(radians(dec)) * cos(radians(ra)) AS px, cos(radians(dec)) * sin(radians(ra)) AS py, sin(radians(dec)) AS pz, {MOVED.format("pmra")} AS e, {MOVED.format("pmdec")} AS n FROM ref),
+ flag AS (SELECT image_id, det_id, mag_auto, row_number() OVER w AS k, sum(flags) OVER (PARTITION BY image_id ORDER BY mag_auto, det_id ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING) / 15e0 AS m FROM seen WINDOW w AS (PARTITION BY image_id ORDER BY mag_auto, det_id)),
+ sat AS (SELECT image_id, coalesce(min(CASE WHEN m < 0.5 THEN k END), 1) - 1 AS plateau FROM flag GROUP BY image_id),
+ inq AS (SELECT image_id, source_id, any_value(mag) AS mag FROM rp JOIN side ON px * cx + py * cy + pz * cz > 0.5 GROUP BY image_id, source_id HAVING min(px * sx + py * sy + pz * sz) >= -1e-12),
+ tr AS (SELECT image_id, source_id, plateau FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY mag, source_id) AS k FROM inq) JOIN sat USING (image_id) WHERE k <= 100 + plateau),
+ td AS (SELECT s.* FROM seen s JOIN flag USING (image_id, det_id) JOIN sat USING (image_id) WHERE k <= 100 + plateau),
+ mv AS (SELECT image_id, source_id, plateau, ux / r AS ux, uy / r AS uy, uz / r AS uz FROM (SELECT *, sqrt(ux * ux + uy * uy + uz * uz) AS r FROM (SELECT image_id, source_id, plateau, px - e * sin(radians(ra)) - n * sin(radians(dec)) * cos(radians(ra)) AS ux, py + e * cos(radians(ra)) - n * sin(radians(dec)) * sin(radians(ra)) AS uy, pz + n * cos(radians(dec)) AS uz FROM tr JOIN rp USING (source_id)))),
+ dv AS (SELECT *, cos(radians(dec)) * cos(radians(ra)) AS qx, cos(radians(dec)) * sin(radians(ra)) AS qy, sin(radians(dec)) AS qz FROM td),
+ j AS (SELECT mv.image_id, source_id, det_id, flags, 2 * asin(sqrt(power(ux - qx, 2) + power(uy - qy, 2) + power(uz - qz, 2)) / 2) * 648000 / pi() AS sep FROM mv JOIN dv ON dv.image_id = mv.image_id AND abs(uz - qz) < 1e-4),
+ b AS (SELECT image_id, source_id, arg_min(det_id, (sep, det_id)) AS det_id, arg_min(flags, (sep, det_id)) AS flags, min(sep) AS sep FROM j WHERE sep < 10 GROUP BY image_id, source_id)
+ SELECT image_id, source_id, det_id, round(sep, 4) AS separation, CAST(plateau AS BIGINT) AS plateau FROM mv LEFT JOIN b USING (image_id, source_id) WHERE flags = 0 OR det_id IS NULL""")
+def a12_evaluation_sample(spark, sf):
+    """Saturated end, brightest sources and reference inside the quad, and the match that keeps the reference, image by image."""
+    fields = table(spark, sf, "fields")
+    quads = durable(fields.select("image_id", wcs.quad(F.col("naxis1"), F.col("naxis2")).alias("corners")))
+    shapes = durable(footprints.with_footprint(quads).select("image_id", "shape"))
+    got = photometry.evaluation_sample(table(spark, sf, "seen"), table(spark, sf, "ref"), shapes, 10.0, 8.0)
+    return got.select("image_id", "source_id", "det_id", F.round("separation", 4).alias("separation"), F.col("plateau").cast("long").alias("plateau"))

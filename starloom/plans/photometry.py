@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.fixtures import table, with_
 from starloom.operators import photometry, skyjoin, stats
 from starloom.plans.registry import query
 from starloom.plans.sky import BASE
+from starloom.storage import durable
 
 JOINED = BASE + ", m AS (SELECT d.*, b.source_id, b.separation, r.mag AS ref_mag FROM det d LEFT JOIN best b USING (det_id) LEFT JOIN ref r ON r.source_id = b.source_id)"
 
@@ -142,8 +142,11 @@ RING = "CAST(least(floor((power(x - 4788, 2) + power(y - 3194, 2)) / (4788.0 * 4
 @query(JOINED + f" SELECT {RING} AS ring, count(*) AS n, round(1.4826 * median(abs(separation)), 5) AS mad, median(fwhm) AS fwhm, median(ellipticity) AS ellipticity FROM m GROUP BY 1")
 def a13_radial_bins(spark, sf):
     r = F.hypot(F.col("x") - 4788, F.col("y") - 3194)
-    m = matched(spark, sf).withColumn("ring", stats.radial_bin(r, float((4788**2 + 3194**2) ** 0.5), 5))
-    return m.groupBy("ring").agg(F.count("*").alias("n"), F.round(F.median(F.abs("separation")) * stats.NMAD, 5).alias("mad"), F.median("fwhm").alias("fwhm"), F.median("ellipticity").alias("ellipticity"))
+    m = durable(matched(spark, sf).select(stats.radial_bin(r, float((4788**2 + 3194**2) ** 0.5), 5).alias("ring"), F.abs("separation").alias("mad"), "fwhm", "ellipticity"))
+    out = m.groupBy("ring").agg(F.count("*").alias("n"))
+    for c in ("mad", "fwhm", "ellipticity"):
+        out = out.join(stats.exact_medians(m, ["ring"], c).select("ring", F.col("median").alias(c)), "ring", "left")
+    return out.withColumn("mad", F.round(F.col("mad") * stats.NMAD, 5))
 
 
 @query(with_("det") + " SELECT image_id, round(avg(fwhm) * 0.505 + 1e-9, 4) AS fwhm_mean, round(stddev_pop(fwhm) * 0.505 + 1e-9, 4) AS fwhm_std, round(avg(ellipticity) + 1e-9, 4) AS ell_mean, round(stddev_pop(ellipticity) + 1e-9, 4) AS ell_std FROM det GROUP BY image_id")
@@ -166,13 +169,6 @@ def a16_axial_alignment(spark, sf):
     return d.select("image_id", F.round("r", 6).alias("r"), F.round("axis", 4).alias("axis"), F.round("variance", 6).alias("variance"), F.round("sd", 4).alias("sd"))
 
 
-@query(JOINED + """, g AS (SELECT d.det_id, count(source_id) AS size FROM det d LEFT JOIN pairs p ON p.det_id = d.det_id AND p.sep < 1 GROUP BY d.det_id) SELECT size, count(*) AS n, round((SELECT count(source_id) * 1.0 / count(*) FROM m), 6) AS recall FROM g GROUP BY size""")
-def a17_joint_match_stats(spark, sf):
-    m = matched(spark, sf).withColumn("size", F.col("source_id").isNotNull().cast("long"))
-    all_sizes = W.partitionBy()  # a row per size
-    return m.groupBy("size").agg(F.count("*").alias("n")).withColumn("recall", F.round(F.sum(F.col("size") * F.col("n")).over(all_sizes) / F.sum("n").over(all_sizes), 6))
-
-
 @query(with_("det", "ref") + """, dp AS (SELECT 'g' AS filt, -8.5e0 AS depth UNION ALL SELECT 'r', -8e0 UNION ALL SELECT 'i', -9e0) SELECT filt, count(*) FILTER (WHERE mag_auto < depth AND snr > 5 AND x BETWEEN 5 AND 9571 AND y BETWEEN 5 AND 6383) AS n,
  round(count(*) FILTER (WHERE mag_auto < depth AND snr > 5 AND x BETWEEN 5 AND 9571 AND y BETWEEN 5 AND 6383) / (0.5e0 * (SELECT count(*) FROM ref)), 6) AS frac FROM det JOIN dp USING (filt) GROUP BY filt""")
 def a18_source_fraction(spark, sf):

@@ -107,6 +107,35 @@ def j6_multi_match_outer(spark, sf):
     return _multi(spark, sf, join="outer", pivot_cat=1)
 
 
+THREE = CATS + """, g AS (SELECT source_id, list_sort(list(cat)) AS cats, atan2(avg(cos(radians(dec)) * sin(radians(ra))), avg(cos(radians(dec)) * cos(radians(ra)))) AS a, atan2(avg(sin(radians(dec))), sqrt(power(avg(cos(radians(dec)) * sin(radians(ra))), 2) + power(avg(cos(radians(dec)) * cos(radians(ra))), 2))) AS d FROM cats GROUP BY source_id)"""
+
+
+def _joint(spark, sf):
+    return durable(skyjoin.multi_match(durable(_cats(spark, sf).drop("source_id")), RADIUS, durable, join="outer", reference="centroid"))
+
+
+@query(THREE + """, s AS (SELECT cat, 2 * asin(sqrt(power(sin((radians(dec) - d) / 2), 2) + cos(radians(dec)) * cos(d) * power(sin((radians(ra) - a) / 2), 2))) * 648000 / pi() AS r, atan2(cos(radians(dec)) * sin(radians(ra) - a), cos(radians(dec)) * cos(radians(ra) - a) * cos(d) + sin(radians(dec)) * sin(d)) * 648000 / pi() AS x,
+ (radians(dec) - d) * 648000 / pi() AS y FROM cats JOIN g USING (source_id)) SELECT cat, count(*) AS n, round(sqrt(avg(x * x)), 5) AS rms_x, round(sqrt(avg(y * y)), 5) AS rms_y, round(sqrt(avg(r * r)), 5) AS rms, round(min(r), 5) AS least, round(quantile_cont(r, 0.25), 5) AS q1, round(quantile_cont(r, 0.5), 5) AS q2,
+ round(quantile_cont(r, 0.75), 5) AS q3, round(quantile_cont(r, 0.95), 5) AS p95, round(quantile_cont(r, 0.99), 5) AS p99, round(max(r), 5) AS most FROM s GROUP BY cat""")
+def a17_catalog_rms(spark, sf):
+    """Scatter of each of three catalogs about the centroids of the joint groups."""
+    r = skyjoin.catalog_rms(_joint(spark, sf))
+    return r.select("cat", "n", *(F.round(c, 5).alias(c) for c in r.columns[2:]))
+
+
+@query(THREE + " SELECT len(cats) AS size, count(*) AS n FROM g GROUP BY 1")
+def a17_joint_match_stats(spark, sf):
+    """How many groups have a row of one, two and three catalogs."""
+    return skyjoin.group_sizes(_joint(spark, sf))
+
+
+@query(THREE + """, k AS (SELECT unnest([0, 1, 2]) AS cat) SELECT a.cat, b.cat AS given, count(*) FILTER (WHERE list_contains(cats, b.cat)) AS n_given, count(*) FILTER (WHERE list_contains(cats, b.cat) AND list_contains(cats, a.cat)) AS n, round(count(*) FILTER (WHERE list_contains(cats, b.cat) AND list_contains(cats, a.cat)) / count(*) FILTER (WHERE list_contains(cats, b.cat)), 8) AS recall FROM g, k a, k b WHERE a.cat <> b.cat GROUP BY a.cat, b.cat
+ UNION ALL SELECT cat, NULL, count(*) FILTER (WHERE len(cats) > 1 OR cats[1] <> cat), count(*) FILTER (WHERE len(cats) > 1 AND list_contains(cats, cat)), round(count(*) FILTER (WHERE len(cats) > 1 AND list_contains(cats, cat)) / count(*) FILTER (WHERE len(cats) > 1 OR cats[1] <> cat), 8) FROM g, k GROUP BY cat""")
+def a17_recalls(spark, sf):
+    """For each ordered pair of catalogs, and each against all others, the share of groups that it has as well."""
+    return skyjoin.recalls(_joint(spark, sf)).withColumn("recall", F.round("recall", 8))
+
+
 @query(with_("det") + """, v AS (SELECT image_id, avg(cos(radians(dec)) * cos(radians(ra))) AS x, avg(cos(radians(dec)) * sin(radians(ra))) AS y, avg(sin(radians(dec))) AS z FROM det GROUP BY image_id)
  SELECT image_id, round((degrees(atan2(y, x)) + 360) % 360, 6) AS ra, round(degrees(atan2(z, sqrt(x * x + y * y))), 6) AS dec FROM v""")
 def j7_centroid(spark, sf):
