@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from starloom.storage import durable
+
 #: Fewest raw calibration frames for a master.
 NUM_MIN_CALIB = 5
 #: Keys on which calibration frames must agree with science frames.
@@ -230,11 +232,46 @@ def upsert_by_path(old: DataFrame, new: DataFrame, order: str, key: str = "id",
     missing = F.when(F.col("_to").isNull(), F.when(F.col(name).isNull(), F.concat_ws(":", F.lit("r"), F.xxhash64("_new").cast("string"))).otherwise(F.concat_ws(":", F.lit("n"), name, F.coalesce(F.concat(F.lit("p"), path), F.lit("")))))
     both = both.withColumn("_added", missing)
     top = old.agg(F.coalesce(F.max(key), F.lit(0)).alias("_top"))  # one row
-    added = both.where("_added IS NOT NULL").groupBy("_added").agg(F.min("_new").alias("_first")).withColumn("_n", F.row_number().over(W.orderBy("_first"))).crossJoin(F.broadcast(top)).select("_added", (F.col("_n") + F.col("_top")).alias("_to3"))
+    added = both.where("_added IS NOT NULL").groupBy("_added").agg(F.min("_new").alias("_first")).transform(lambda d: numbered(d, "_first", "_n")).crossJoin(F.broadcast(top)).select("_added", (F.col("_n") + F.col("_top")).alias("_to3"))
     both = both.join(added, "_added", "left").withColumn(key, F.coalesce("_to", "_to3").cast(dict(old.dtypes)[key]))
     return upsert(old, both.select(*old.columns), key, order)
 
 
+def numbered(rows: DataFrame, order: str, name: str) -> DataFrame:
+    """rows with their number from 1 in `order`, whose values differ. Ranges of values are numbered side by side, from the counts of those
+    before, so no task sees all rows."""
+    laid = durable(rows.repartitionByRange(order).withColumn("_part", F.spark_partition_id()))
+    before = laid.groupBy("_part").agg(F.count("*").alias("_c")).withColumn("_before", F.coalesce(F.sum("_c").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # a row per range
+    return laid.join(F.broadcast(before.select("_part", "_before")), "_part").withColumn(name, F.row_number().over(W.partitionBy("_part").orderBy(order)) + F.col("_before")).drop("_part", "_before")
+
+
+def reference_image(nights: DataFrame, coadds: DataFrame, before: int = 3, after: int = 2) -> DataFrame:
+    """(obj, filt, nightdate, farthest, ref_night, base, paths) for nights (obj, filt, nightdate) and coadds (obj, filt, nightdate, base, path).
+
+    Of the other nights of an object and filter the farthest (of two as far the later), and of the nights from `before` days ahead of it to
+    `after` behind, the first, other than the night itself, that has coadds; of its bases the least. Null where none has, and no row
+    without another night."""
+    n = nights.select("obj", "filt", "nightdate").distinct()
+    # the farthest other night is the first or the last of the group, so no pairs are needed
+    ends = n.groupBy("obj", "filt").agg(F.min("nightdate").alias("_lo"), F.max("nightdate").alias("_hi")).where("_lo <> _hi")
+    far = F.when(F.datediff("_hi", "nightdate") >= F.datediff("nightdate", "_lo"), F.col("_hi")).otherwise(F.col("_lo"))
+    asked = n.join(ends, ["obj", "filt"]).select("obj", "filt", "nightdate", far.alias("farthest"))
+    days = asked.withColumn("_at", F.explode(F.transform(F.sequence(F.lit(-before), F.lit(after)), lambda i: F.date_add("farthest", i)))).where("_at <> nightdate")
+    have = coadds.groupBy("obj", "filt", F.col("nightdate").alias("_at"), "base").agg(F.sort_array(F.collect_list("path")).alias("paths"))  # the coadds of a night
+    best = days.join(have, ["obj", "filt", "_at"]).groupBy("obj", "filt", "nightdate").agg(F.min(F.struct(F.col("_at").alias("ref_night"), "base", "paths")).alias("b"))
+    return asked.join(best, ["obj", "filt", "nightdate"], "left").select("obj", "filt", "nightdate", "farthest", "b.ref_night", "b.base", "b.paths")
+
+
+def names_of_paths(wanted: DataFrame, frames: DataFrame, order: str = "pos") -> DataFrame:
+    """wanted (path) with the name of the frame (path, name, pos) of that path; the last in `order` of several, null if there is none.
+
+    If any of the wanted has no folder, all are looked up by file name alone."""
+    bare = not wanted.where(~F.contains("path", F.lit("/"))).isEmpty()
+    key = (lambda c: F.substring_index(c, "/", -1)) if bare else F.col
+    last = frames.groupBy(key("path").alias("_key")).agg(F.max_by("name", order).alias("name"))
+    return wanted.withColumn("_key", key("path")).join(last, "_key", "left").drop("_key")
+
+
 def backfill(rows: DataFrame, pairs: DataFrame, key: str, column: str, force: bool = False) -> DataFrame:
     """rows with `column` filled from pairs (key, column), where it is null unless forced."""
     p = pairs.select(key, F.col(column).alias("_new"))

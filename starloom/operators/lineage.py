@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.text import UNIT, type_tuple
 
-from starloom.storage import durable
+from starloom.storage import discard, durable
 
 
 def downstream(edges: DataFrame, seeds: DataFrame, max_depth: int = 12) -> DataFrame:
@@ -95,7 +95,8 @@ def flags_up(edges: DataFrame, images: DataFrame) -> DataFrame:
         extra = F.when(F.bool_or(F.col("sn") != F.col("night")), 1).otherwise(0).bitwiseOR(F.when(F.bool_or(~F.col("ok")), 4).otherwise(0)) if kind == "science" else F.lit(0)
         got = up.groupBy("derived").agg(F.bit_or("ppflag").bitwiseOR(extra).alias("ppflag"))
         level = mine.join(got, "derived", "left").select(F.col("derived").alias("id"), F.coalesce("ppflag", F.lit(0)).alias("ppflag"))
-        flags = durable(flags.unionByName(level))
+        before, flags = flags, durable(flags.unionByName(level))
+        discard(before)
     return flags
 
 

@@ -34,10 +34,10 @@ def master_combine(frames: DataFrame, subtract: DataFrame | None = None, normali
     return df.groupBy(*XY).agg((F.median if method == "median" else F.avg)("v").alias("v"), F.stddev_samp("v").alias("sd"))
 
 
-def outlier_mask(image: DataFrame, n_sigma: float = 5.0) -> DataFrame:
-    """Adds bad: |v - clipped median| beyond n clipped sigmas. One row of statistics is joined on."""
-    s = clipped_stats_fixed(image.withColumn("_all", F.lit(1)), ["_all"], "v").select("_all", "median", "std")
-    return image.withColumn("_all", F.lit(1)).join(F.broadcast(s), "_all").withColumn("bad", F.abs(F.col("v") - F.col("median")) > n_sigma * F.col("std")).drop("_all", "median", "std")
+def outlier_mask(images: DataFrame, n_sigma: float = 5.0, key: str = "frame") -> DataFrame:
+    """Adds bad to images (frame, y, x, v): |v - clipped median| beyond n clipped sigmas of the frame."""
+    s = clipped_stats_fixed(images, [key], "v").select(key, "median", "std")
+    return join_stats(images, s, [key]).withColumn("bad", F.abs(F.col("v") - F.col("median")) > n_sigma * F.col("std")).drop("median", "std")
 
 
 def reduce_science(raw: DataFrame, bias: DataFrame, dark: DataFrame, flat: DataFrame, scale: float = 1.0) -> DataFrame:
@@ -252,6 +252,28 @@ def source_mask(sources: DataFrame, grow: float, least: float, most: int, height
     return box.where(inside & F.col("tx").between(0, width - 1) & F.col("ty").between(0, height - 1)).select("image_id", F.col("ty").alias("y"), F.col("tx").alias("x")).distinct()
 
 
+def class_source_mask(sources: DataFrame, height: int, width: int, star_scale: float, galaxy_scale: float, class_star_cut: float, min_radius: float, bright_flux: float = 3.0e5, bright_radius_per_dex: float = 90.0) -> DataFrame:
+    """Distinct (image_id, y, x) inside the ellipses of sources (image_id, x, y counted from 1, a, b, theta, kron, class_star, flux).
+
+    An ellipse is a, b times the Kron radius (at least 1) times the scale of its class: extended sources, with class_star under the cut,
+    have their own. From bright_flux on, neither radius is less than min_radius and bright_radius_per_dex for each decade of flux
+    beyond, which makes a circle. Each source is copied to the pixels of its ellipse's box in the image."""
+    grow = F.greatest(F.coalesce("kron", F.lit(1.0)), F.lit(1.0)) * F.when(F.col("class_star") < class_star_cut, galaxy_scale).otherwise(star_scale)
+    wing = F.when((F.col("flux") > bright_flux) & ~F.isnan("flux") & (F.col("flux") < float("inf")), min_radius + bright_radius_per_dex * F.log10(F.col("flux") / bright_flux)).otherwise(0.0)
+    radius = lambda c: F.greatest(F.col(c) * grow, F.lit(min_radius), wing)
+    s = sources.select("image_id", (F.col("x") - 1).alias("_x"), (F.col("y") - 1).alias("_y"), radius("a").alias("_a"), radius("b").alias("_b"), F.radians("theta").alias("_t"))
+    dx, dy = F.hypot(F.col("_a") * F.cos("_t"), F.col("_b") * F.sin("_t")), F.hypot(F.col("_a") * F.sin("_t"), F.col("_b") * F.cos("_t"))
+
+    def span(at: Column, half: Column, size: int) -> Column:
+        low, high = F.greatest(F.lit(0), F.floor(at - half)).cast("long"), F.least(F.lit(size - 1), F.ceil(at + half)).cast("long")
+        return F.explode(F.when(low <= high, F.sequence(low, F.greatest(low, high))))
+
+    p = s.withColumns({"_dx": dx, "_dy": dy}).withColumn("y", span(F.col("_y"), F.col("_dy"), height)).withColumn("x", span(F.col("_x"), F.col("_dx"), width))
+    u = (F.col("x") - F.col("_x")) * F.cos("_t") + (F.col("y") - F.col("_y")) * F.sin("_t")
+    v = (F.col("y") - F.col("_y")) * F.cos("_t") - (F.col("x") - F.col("_x")) * F.sin("_t")
+    return p.where(F.pow(u / F.col("_a"), F.lit(2.0)) + F.pow(v / F.col("_b"), F.lit(2.0)) <= 1).select("image_id", "y", "x").distinct()
+
+
 def gaussian(frames: DataFrame, sigma: float, r: int) -> DataFrame:
     """Separable smoothing with zeros outside the image, kernel of 2 r + 1 taps that sums to 1. Images are whole rectangles.
 
@@ -313,11 +335,11 @@ def shrink(masks: DataFrame, deltas: DataFrame) -> DataFrame:
     # the nearest invalid pixel of a line before and after, then of the lines around: a square reaches n in both axes
     bad = m.withColumn("_bad", F.when(~F.col("ok"), F.col("x")))
     w = W.partitionBy("frame", "y").orderBy("x")
-    before, after = F.last("_bad", True).over(w), F.first("_bad", True).over(w.rowsBetween(0, W.unboundedFollowing))
+    before, after = F.last("_bad", True).over(w), F.last("_bad", True).over(W.partitionBy("frame", "y").orderBy(F.desc("x")))
     line = bad.withColumn("_d", F.least(F.coalesce(F.col("x") - before, F.lit(1 << 30)), F.coalesce(after - F.col("x"), F.lit(1 << 30))))
     line = line.withColumn("_hit", F.when(F.col("_d") <= F.col("_n"), F.col("y")))
     u = W.partitionBy("frame", "x").orderBy("y")
-    up, down = F.last("_hit", True).over(u), F.first("_hit", True).over(u.rowsBetween(0, W.unboundedFollowing))
+    up, down = F.last("_hit", True).over(u), F.last("_hit", True).over(W.partitionBy("frame", "x").orderBy(F.desc("y")))
     far = (F.coalesce(F.col("y") - up, F.lit(1 << 30)) > F.col("_n")) & (F.coalesce(down - F.col("y"), F.lit(1 << 30)) > F.col("_n"))
     inside = (F.least("y", F.col("_h") - F.col("y")) >= F.col("_n")) & (F.least("x", F.col("_w") - F.col("x")) >= F.col("_n"))
     return line.select("frame", *XY, F.when(F.col("_n") == 0, F.col("ok")).otherwise(far & inside).alias("ok"))

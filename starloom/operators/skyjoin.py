@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import sky
 from starloom.operators.stats import exact_quantiles
+from starloom.storage import discard
 
 CELL_RADII, LEAST_CELL = 6.0, 0.45
 """Width of a cell in match radii, and at least, in arcsec (a code has 20 bits for each axis)."""
@@ -86,15 +87,19 @@ def friends_edges(cats: DataFrame, radius: float) -> DataFrame:
 def propagate_min(edges: DataFrame, checkpoint, rounds: int = 60) -> DataFrame:
     """(id, group): connected components of (a_id, b_id) by the least id. checkpoint(df) cuts lineage. Fails after `rounds`."""
     both = checkpoint(edges.select("a_id", "b_id").unionByName(edges.select(F.col("b_id").alias("a_id"), F.col("a_id").alias("b_id"))))
-    label = checkpoint(both.groupBy("a_id").agg(F.least(F.min("b_id"), F.first("a_id")).alias("g")).withColumnRenamed("a_id", "id"))
+    first = checkpoint(both.groupBy("a_id").agg(F.least(F.min("b_id"), F.first("a_id")).alias("g")))
+    label, tables = first.withColumnRenamed("a_id", "id"), [first]
     for _ in range(rounds):
         near = both.join(label.withColumnsRenamed({"id": "b_id"}), "b_id").groupBy("a_id").agg(F.min("g").alias("m")).withColumnRenamed("a_id", "id")
         step = label.join(near, "id").select("id", F.least("g", "m").alias("h"), "g")
         jump = step.join(label.select(F.col("id").alias("h"), F.col("g").alias("j")), "h", "left").select("id", F.least("h", F.coalesce("j", "h")).alias("n"), "g")
         jump = checkpoint(jump)
+        discard(*tables)
+        tables = [jump]
         changed = jump.where("n <> g").limit(1).count()
         label = jump.select("id", F.col("n").alias("g"))
         if not changed:
+            discard(both)
             return label.withColumnRenamed("g", "group")
     raise RuntimeError("components did not settle")
 
@@ -197,14 +202,21 @@ def drop_close(rows: DataFrame, radius: float, checkpoint, key: str = "id", orde
     while left.limit(1).count():
         kept = left.select("early").distinct().join(left.select("late").distinct(), F.col("early") == F.col("late"), "left_anti")
         out = checkpoint(left.join(kept, "early", "left_semi").select("late").distinct())
+        old = dropped, left, out
         dropped = checkpoint(dropped.unionByName(out.withColumnRenamed("late", key)))
         left = checkpoint(left.join(out, "late", "left_anti").join(out.withColumnRenamed("late", "early"), "early", "left_anti"))
+        discard(*old)
     return rows.join(dropped, key, "left_anti")
 
 
 def nearest_pixels(points: DataFrame, targets: DataFrame, most: float) -> DataFrame:
-    """(image_id, target, det_id, dist): per image and target the nearest point by pixel distance if within `most`."""
-    j = points.join(targets.withColumnsRenamed({"x": "tx", "y": "ty"}), "image_id")
+    """(image_id, target, det_id, dist): per image and target the nearest point by pixel distance if within `most`.
+
+    A point has one cell of `most` pixels, a target the nine around it, so a target meets what lies near and no more."""
+    cell = lambda c, d=0: F.floor(F.col(c) / most).cast("long") + d
+    near = F.sequence(F.lit(-1), F.lit(1))
+    spread = targets.withColumnsRenamed({"x": "tx", "y": "ty"}).withColumn("_i", F.explode(near)).withColumn("_j", F.explode(near)).withColumns({"_cx": cell("tx", F.col("_i")), "_cy": cell("ty", F.col("_j"))}).drop("_i", "_j")
+    j = points.withColumns({"_cx": cell("x"), "_cy": cell("y")}).join(spread, ["image_id", "_cx", "_cy"])
     dist = F.sqrt((F.col("x") - F.col("tx")) ** 2 + (F.col("y") - F.col("ty")) ** 2)
     best = j.groupBy("image_id", "target").agg(F.min(F.struct(dist.alias("dist"), "det_id")).alias("m")).where(F.col("m.dist") <= most)
     return best.select("image_id", "target", F.col("m.det_id").alias("det_id"), F.col("m.dist").alias("dist"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starloom.storage import durable
+from starloom.storage import discard, durable
 
 NMAD = 1.4826
 """Fixed value: scale of the median absolute deviation of a normal distribution."""
@@ -84,8 +84,8 @@ def sigma_clip(df: DataFrame, keys: list[str], value: str, sigma: float, passes:
     """The rows of df that survive `passes` rounds of clipping at sigma standard deviations around the centre, per group.
 
     A round is a group aggregate joined back, so no group has to fit one task; each is written, as a round reads its
-    predecessor twice. strict keeps |v - c| < limit, else <=. Rows with a null value go."""
-    rows = df.where(F.col(value).isNotNull())
+    predecessor twice and is deleted after it. strict keeps |v - c| < limit, else <=. Rows with a null value go."""
+    rows, written = df.where(F.col(value).isNotNull()), None
     for _ in range(passes):
         s = F.coalesce((F.stddev_samp if ddof else F.stddev_pop)(value), F.lit(0.0)).alias("_s")
         if centre == "median":
@@ -94,7 +94,9 @@ def sigma_clip(df: DataFrame, keys: list[str], value: str, sigma: float, passes:
             stats = rows.groupBy(*keys).agg(F.avg(value).alias("_c"), s)
         off = F.abs(F.col(value) - F.col("_c"))
         rows = join_stats(rows, stats, keys).where(off < F.col("_s") * sigma if strict else off <= F.col("_s") * sigma).drop("_c", "_s")
-        rows = durable(rows)
+        before, rows = written, durable(rows)
+        written = rows
+        discard(*([before] if before is not None else []))
     return rows
 
 

@@ -8,6 +8,8 @@ from starloom.fixtures import table, with_
 from starloom.functions import text
 from starloom.operators import inventory
 from starloom.plans.registry import query
+from starloom.sources.files import export_table, write_csv
+from starloom.storage import new_folder
 
 EX = with_("exposures")
 D = "CAST(nightdate AS VARCHAR) AS nightdate"
@@ -166,31 +168,52 @@ def j24_too_observed(spark, sf):
     return table(spark, sf, "too").withColumn("day", F.to_date("trigger_time")).join(e, ["objname", "day"], "left").select("id", F.coalesce("hit", F.lit(False)).alias("observed"))
 
 
-@query(EX + ", s AS (SELECT DISTINCT obj, filt, nightdate FROM exposures WHERE kind = 'science'), p AS (SELECT a.obj, a.filt, a.nightdate, arg_max(b.nightdate, (abs(b.nightdate - a.nightdate), b.nightdate)) AS ref FROM s a JOIN s b ON a.obj = b.obj AND a.filt = b.filt AND a.nightdate <> b.nightdate WHERE a.nightdate < DATE '2024-01-04' GROUP BY ALL) SELECT obj, filt, CAST(nightdate AS VARCHAR) AS nightdate, CAST(ref AS VARCHAR) AS ref FROM p")
+COADDS = ", s AS (SELECT DISTINCT obj, filt, nightdate FROM exposures WHERE kind = 'science'), c AS (SELECT obj, filt, nightdate, CASE WHEN image_id % 3 = 0 THEN 'too' ELSE 'processed' END AS base, concat('/', image_id, '.fits') AS path FROM exposures WHERE kind = 'science' AND image_id % 2 = 0)"
+
+
+@query(EX + COADDS + """, f AS (SELECT a.obj, a.filt, a.nightdate, arg_max(b.nightdate, (abs(b.nightdate - a.nightdate), b.nightdate)) AS farthest FROM s a JOIN s b ON a.obj = b.obj AND a.filt = b.filt AND a.nightdate <> b.nightdate GROUP BY ALL),
+ h AS (SELECT obj, filt, nightdate, base, string_agg(path, ',' ORDER BY path) AS paths FROM c GROUP BY ALL), r AS (SELECT f.*, h.nightdate AS ref_night, h.base, h.paths, row_number() OVER (PARTITION BY f.obj, f.filt, f.nightdate ORDER BY h.nightdate, h.base) AS k FROM f LEFT JOIN h ON h.obj = f.obj AND h.filt = f.filt AND h.nightdate - f.farthest BETWEEN -3 AND 2 AND h.nightdate <> f.nightdate)
+ SELECT obj, filt, CAST(nightdate AS VARCHAR) AS nightdate, CAST(farthest AS VARCHAR) AS farthest, CAST(ref_night AS VARCHAR) AS ref_night, base, paths FROM r WHERE k = 1""")
 def j23_reference_image(spark, sf):
-    s = table(spark, sf, "exposures").where("kind = 'science'").select("obj", "filt", "nightdate").distinct()
-    # the farthest other night is the first or the last of the group, so no pairs are needed
-    ends = s.groupBy("obj", "filt").agg(F.min("nightdate").alias("lo"), F.max("nightdate").alias("hi"))
-    j = s.where(F.col("nightdate") < F.lit("2024-01-04").cast("date")).join(ends, ["obj", "filt"])
-    ref = F.when(F.datediff("hi", "nightdate") >= F.datediff("nightdate", "lo"), F.col("hi")).otherwise(F.col("lo"))
-    return j.where("lo <> hi").select("obj", "filt", _d(), ref.cast("string").alias("ref"))
+    """The farthest other night of an object and filter, and the coadds of the first night about it that has any."""
+    e = table(spark, sf, "exposures").where("kind = 'science'")
+    c = e.where("image_id % 2 = 0").select("obj", "filt", "nightdate", F.when(F.col("image_id") % 3 == 0, "too").otherwise("processed").alias("base"), F.concat(F.lit("/"), "image_id", F.lit(".fits")).alias("path"))
+    r = inventory.reference_image(e, c)
+    return r.select("obj", "filt", _d(), _d("farthest"), _d("ref_night"), "base", F.array_join("paths", ",").alias("paths"))
 
 
-@query(EX + ", f AS (SELECT image_id, concat('/d/', image_id, '.fits') AS path, image_id AS name FROM exposures UNION ALL SELECT image_id, concat('/e/', image_id, '.fits'), -image_id FROM exposures WHERE kind = 'bias'), w AS (SELECT event_id AS pos, CASE WHEN event_id % 3 = 0 THEN concat('/x/', event_id, '.gone') ELSE concat('/y/', event_id, '.fits') END AS path FROM events WHERE event_id % 4 = 0) SELECT pos, (SELECT arg_max(name, f.path) FROM f WHERE split_part(f.path, '/', 3) = split_part(w.path, '/', 3)) AS name FROM w")
-def j25_names_of_paths(spark, sf):
+FRAMES = ", f AS (SELECT concat('/d/', image_id, '.fits') AS path, image_id AS name, image_id AS pos FROM exposures UNION ALL SELECT concat('/e/', image_id, '.fits'), -image_id, image_id + 1000000 FROM exposures WHERE kind = 'bias' UNION ALL SELECT concat('/d/', image_id, '.fits'), image_id + 5, image_id - 1000000 FROM exposures WHERE kind = 'flat')"
+
+
+def _frames(spark, sf):
     e = table(spark, sf, "exposures")
-    file = F.concat("image_id", F.lit(".fits"))
-    f = e.select(F.concat(F.lit("/d/"), file).alias("path"), F.col("image_id").alias("name")).unionByName(e.where("kind = 'bias'").select(F.concat(F.lit("/e/"), file).alias("path"), (-F.col("image_id")).alias("name")))
-    last = f.groupBy(F.substring_index("path", "/", -1).alias("base")).agg(F.max_by("name", "path").alias("name"))
-    w = e.where("image_id % 4 = 0").select(F.col("image_id").alias("pos"), F.when(F.col("image_id") % 3 == 0, F.concat("image_id", F.lit(".gone"))).otherwise(file).alias("base"))
-    return w.join(last, "base", "left").select("pos", "name")
+    part = lambda rows, folder, name, pos: rows.select(F.concat(F.lit(folder), "image_id", F.lit(".fits")).alias("path"), name.alias("name"), pos.alias("pos"))
+    i = F.col("image_id")
+    return part(e, "/d/", i, i).unionByName(part(e.where("kind = 'bias'"), "/e/", -i, i + 1_000_000)).unionByName(part(e.where("kind = 'flat'"), "/d/", i + 5, i - 1_000_000))
+
 
+@query(EX + FRAMES + ", w AS (SELECT event_id AS pos, CASE WHEN event_id % 3 = 0 THEN concat('/x/', event_id, '.gone') WHEN event_id % 7 = 0 THEN concat(event_id, '.fits') ELSE concat('/y/', event_id, '.fits') END AS path FROM events), l AS (SELECT split_part(path, '/', 3) AS base, arg_max(name, pos) AS name FROM f GROUP BY 1) SELECT pos, name FROM w LEFT JOIN l ON base = split_part(path, '/', -1)")
+def j25_names_of_paths(spark, sf):
+    """One of the paths has no folder, so all are looked up by file name."""
+    i = F.col("event_id")
+    path = F.when(i % 3 == 0, F.concat(F.lit("/x/"), i, F.lit(".gone"))).when(i % 7 == 0, F.concat(i, F.lit(".fits"))).otherwise(F.concat(F.lit("/y/"), i, F.lit(".fits")))
+    w = spark.read.parquet(f"{sf}/events.parquet").select(i.alias("pos"), path.alias("path"))
+    return inventory.names_of_paths(w, _frames(spark, sf)).select("pos", "name")
+
+
+@query(EX + FRAMES + ", w AS (SELECT event_id AS pos, CASE WHEN event_id % 3 = 0 THEN concat('/e/', event_id, '.fits') ELSE concat('/d/', event_id, '.fits') END AS path FROM events), l AS (SELECT path, arg_max(name, pos) AS name FROM f GROUP BY 1) SELECT pos, name FROM w LEFT JOIN l USING (path)")
+def j25_names_of_whole_paths(spark, sf):
+    """All paths have a folder, so they must agree as they are."""
+    i = F.col("event_id")
+    w = spark.read.parquet(f"{sf}/events.parquet").select(i.alias("pos"), F.concat(F.when(i % 3 == 0, "/e/").otherwise("/d/"), i, F.lit(".fits")).alias("path"))
+    return inventory.names_of_paths(w, _frames(spark, sf)).select("pos", "name")
 
-@query(with_("headers") + """ SELECT stack, CASE WHEN count(DISTINCT exptime) = 1 THEN min(exptime) WHEN count(exptime) = count(*) THEN 'MIXED' END AS exptime, CASE WHEN count(DISTINCT seeing) = 1 THEN CAST(min(seeing) AS VARCHAR) ELSE 'mean' END AS seeing,
+
+@query(with_("headers") + """ SELECT stack, CASE WHEN count(DISTINCT exptime) = 1 THEN min(exptime) WHEN count(exptime) = count(*) THEN 'MIXED' END AS exptime, CASE WHEN count(DISTINCT seeing) = 1 THEN printf('%.4f', min(seeing)) ELSE printf('%.4f', avg(seeing)) END AS seeing,
  CASE WHEN count(DISTINCT object) = 1 THEN min(object) ELSE 'MIXED' END AS object FROM headers GROUP BY stack""")
 def a4_header_aggregate(spark, sf):
     h = inventory.header_aggregate(table(spark, sf, "headers"), ["stack"], ["exptime", "seeing", "object"], "image_id")
-    return h.withColumn("seeing", F.when(F.col("seeing").isNotNull(), "mean"))
+    return h.withColumn("seeing", F.format_string("%.4f", F.col("seeing").cast("double")))
 
 
 @query(with_("headers") + """ SELECT stack, sum(CAST(exptime AS BIGINT)) AS exptime, round(avg(coalesce(CAST(mjd AS DOUBLE), CAST(jd AS DOUBLE) - 2400000.5)), 6) AS mjd, CASE WHEN count(saturate) = count(*) THEN round(min(saturate * flxscale), 6) END AS saturate, round(sum(2.5e0 / flxscale), 6) AS egain,
@@ -217,6 +240,16 @@ def k4_first_time(spark, sf):
 QA = with_("image_qa")
 
 
+@query(QA + " SELECT id, image_name, CAST(nightdate AS VARCHAR) AS nightdate, unit, CASE WHEN id % 3 = 0 THEN 'a \"quoted\", word' END AS note FROM image_qa WHERE unit IN ('SU02', 'SU03') AND nightdate <= DATE '1997-12-31' ORDER BY nightdate DESC, id LIMIT 10000")
+def s9_export_to_csv(spark, sf):
+    """An export with its default limit, written as CSV and read back."""
+    q = table(spark, sf, "image_qa").withColumn("note", F.when(F.col("id") % 3 == 0, 'a "quoted", word').when(F.col("id") % 3 == 2, ""))
+    path = new_folder(spark)
+    rows = export_table(q, [F.desc("nightdate"), F.col("id")], nightdate=(None, "1997-12-31"), unit=["SU02", "SU03"], filt=None)
+    write_csv(rows.select("id", "image_name", _d(), "unit", "note"), path)
+    return spark.read.option("header", True).option("escape", '"').schema("id long, image_name string, nightdate string, unit string, note string").csv(path)
+
+
 @query(QA + " SELECT id, image_name, CAST(nightdate AS VARCHAR) AS nightdate FROM image_qa WHERE unit = 'SU02' AND filt IN ('g', 'r') AND nightdate >= DATE '1996-01-01' ORDER BY image_name LIMIT 500")
 def s9_table_export(spark, sf):
     q = table(spark, sf, "image_qa").where((F.col("unit") == "SU02") & F.col("filt").isin("g", "r") & (F.col("nightdate") >= F.lit("1996-01-01").cast("date")))

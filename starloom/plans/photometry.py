@@ -169,10 +169,10 @@ def a16_axial_alignment(spark, sf):
     return d.select("image_id", F.round("r", 6).alias("r"), F.round("axis", 4).alias("axis"), F.round("variance", 6).alias("variance"), F.round("sd", 4).alias("sd"))
 
 
-@query(with_("det", "ref") + """, dp AS (SELECT 'g' AS filt, -8.5e0 AS depth UNION ALL SELECT 'r', -8e0 UNION ALL SELECT 'i', -9e0) SELECT filt, count(*) FILTER (WHERE mag_auto < depth AND snr > 5 AND x BETWEEN 5 AND 9571 AND y BETWEEN 5 AND 6383) AS n,
+@query(with_("det", "ref") + """, dp AS (SELECT 'g' AS filt, -8.5e0 AS depth UNION ALL SELECT 'r', -8e0 UNION ALL SELECT 'i', -9e0 UNION ALL SELECT 'm525', -10e0 UNION ALL SELECT 'm650', -11e0) SELECT filt, count(*) FILTER (WHERE mag_auto < depth AND snr > 5 AND x BETWEEN 5 AND 9571 AND y BETWEEN 5 AND 6383) AS n,
  round(count(*) FILTER (WHERE mag_auto < depth AND snr > 5 AND x BETWEEN 5 AND 9571 AND y BETWEEN 5 AND 6383) / (0.5e0 * (SELECT count(*) FROM ref)), 6) AS frac FROM det JOIN dp USING (filt) GROUP BY filt""")
 def a18_source_fraction(spark, sf):
-    depth = F.when(F.col("filt") == "g", -8.5).when(F.col("filt") == "r", -8.0).when(F.col("filt") == "i", -9.0)
+    depth = F.when(F.col("filt") == "g", -8.5).when(F.col("filt") == "r", -8.0).when(F.col("filt") == "i", -9.0).when(F.col("filt") == "m525", -10.0).when(F.col("filt") == "m650", -11.0)
     good = (F.col("mag_auto") < depth) & (F.col("snr") > 5) & F.col("x").between(5, 9571) & F.col("y").between(5, 6383)
     total = table(spark, sf, "ref").agg(F.count("*").alias("total"))
     counts = table(spark, sf, "det").where(depth.isNotNull()).groupBy("filt").agg(F.count_if(good).alias("n"))

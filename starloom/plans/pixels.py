@@ -45,9 +45,9 @@ def p1_master_subtract_mean(spark, sf):
 CL = ", ".join(f"c{i} AS (SELECT c{i - 1}.* FROM c{i - 1} JOIN (SELECT {{k}}, avg(v) AS c, stddev_samp(v) AS s FROM c{i - 1} GROUP BY {{k}}) USING ({{k}}) WHERE abs(v - c) < 3.0 * s)" for i in range(1, 6))
 
 
-@query(PX + ", c0 AS (SELECT 1 AS k, y, x, v FROM pixels WHERE frame = 3), " + CL.format(k="k") + ", s AS (SELECT median(v) AS m, stddev_pop(v) AS s FROM c5) SELECT y, x, abs(v - m) > 0.8 * s AS bad FROM c0, s")
+@query(PX + ", c0 AS (SELECT frame, y, x, v FROM pixels), " + CL.format(k="frame") + ", s AS (SELECT frame, median(v) AS m, stddev_pop(v) AS s FROM c5 GROUP BY frame) SELECT frame, y, x, abs(v - m) > 0.8 * s AS bad FROM c0 JOIN s USING (frame)")
 def p2_outlier_mask(spark, sf):
-    return pixels.outlier_mask(_px(spark, sf).where("frame = 3"), 0.8).select("y", "x", "bad")
+    return pixels.outlier_mask(_px(spark, sf), 0.8).select("frame", "y", "x", "bad")
 
 
 @query(PX + ", m AS (SELECT a.y, a.x, a.v AS b, d.v AS d, f.v AS f FROM pixels a JOIN pixels d USING (y, x) JOIN pixels f USING (y, x) WHERE a.frame = 0 AND d.frame = 1 AND f.frame = 2) SELECT frame, p.y, p.x, round((v - b - d) / nullif(f, 0), 6) AS v FROM pixels p JOIN m USING (y, x) WHERE frame > 2")
@@ -205,6 +205,17 @@ def p23_source_mask(spark, sf):
     return pixels.source_mask(s, 1.2, 1.5, 6, *_size(_px(spark, sf)))
 
 
+@query(PX + DIMS + """, s AS (SELECT frame AS image_id, x + 0.25e0 AS sx, y + 0.5e0 AS sy, 1e0 + frame % 3 AS a, 1e0 AS b, radians(frame * 20e0) AS t, CASE WHEN x % 4 = 0 THEN 0e0 ELSE 1 + (x % 5) / 4e0 END AS kron, (x % 10) / 10e0 AS cs, CASE WHEN y % 5 = 0 THEN 6e5 WHEN y % 5 = 1 THEN NULL ELSE 2e5 END AS flux FROM pixels WHERE (x * 7 + y * 11) % 83 = 0),
+ g AS (SELECT *, greatest(kron, 1) * CASE WHEN cs < 0.5 THEN 1.5e0 ELSE 0.8e0 END AS k, CASE WHEN flux > 3e5 THEN 1.5e0 + 10 * log10(flux / 3e5) ELSE 0 END AS r FROM s),
+ c AS (SELECT y, x FROM (SELECT unnest(range((SELECT h FROM size))) AS y), (SELECT unnest(range((SELECT w FROM size))) AS x)),
+ e AS (SELECT image_id, c.y, c.x, (c.x - sx) * cos(t) + (c.y - sy) * sin(t) AS u, (c.y - sy) * cos(t) - (c.x - sx) * sin(t) AS v, greatest(a * k, 1.5, r) AS a, greatest(b * k, 1.5, r) AS b FROM g JOIN c ON abs(c.x - sx) <= 12 AND abs(c.y - sy) <= 12)
+ SELECT DISTINCT image_id, y, x FROM e WHERE power(u / a, 2) + power(v / b, 2) <= 1""")
+def p23_class_source_mask(spark, sf):
+    """Ellipses by class, and circles that grow with the flux of bright stars."""
+    s = _px(spark, sf).where("(x * 7 + y * 11) % 83 = 0").selectExpr("frame AS image_id", "x + 1.25e0 AS x", "y + 1.5e0 AS y", "1e0 + frame % 3 AS a", "1e0 AS b", "frame * 20e0 AS theta", "CASE WHEN x % 4 = 0 THEN 0e0 ELSE 1 + (x % 5) / 4e0 END AS kron", "(x % 10) / 10e0 AS class_star", "CASE WHEN y % 5 = 0 THEN 6e5 WHEN y % 5 = 1 THEN NULL ELSE 2e5 END AS flux")
+    return pixels.class_source_mask(s, *_size(_px(spark, sf)), 0.8, 1.5, 0.5, 1.5, 3e5, 10.0)
+
+
 SMOOTH = """, k AS (SELECT i, exp(-i * i / (2 * 1.5e0 * 1.5e0)) AS k FROM (SELECT unnest([-3, -2, -1, 0, 1, 2, 3]) AS i)), n AS (SELECT i, k / (SELECT sum(k) FROM k) AS k FROM k),
  sx AS (SELECT frame, y, x + i AS x, sum(v * k) AS v FROM {0} CROSS JOIN n GROUP BY ALL), sm AS (SELECT p.frame, p.y, p.x, sum(sx.v * n.k) AS v FROM pixels p CROSS JOIN n JOIN sx ON sx.frame = p.frame AND sx.x = p.x AND sx.y = p.y - n.i GROUP BY ALL)"""
 

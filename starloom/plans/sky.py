@@ -55,10 +55,10 @@ def j4_sky_offsets(spark, sf):
     return j.select("det_id", "source_id", (F.round(dra, 4) + 0.0).alias("dra_cosdec"), (F.round(ddec, 4) + 0.0).alias("ddec"))
 
 
-@query(with_("ref") + """ SELECT source_id, round(CASE WHEN pmra IS NULL OR pmdec IS NULL THEN ra ELSE ra + pmra * 24.5 / 3600000 / cos(radians(dec)) END, 6) AS ra_now,
- round(CASE WHEN pmra IS NULL OR pmdec IS NULL THEN dec ELSE dec + pmdec * 24.5 / 3600000 END, 6) AS dec_now FROM ref WHERE ra BETWEEN 1 AND 359""")
+@query(with_("ref") + """ SELECT source_id, round(CASE WHEN pmra IS NULL OR pmdec IS NULL THEN ra ELSE (ra + pmra * 24.5 / 3600000 / cos(radians(dec)) + 360) % 360 END, 6) AS ra_now,
+ round(CASE WHEN pmra IS NULL OR pmdec IS NULL THEN dec ELSE dec + pmdec * 24.5 / 3600000 END, 6) AS dec_now FROM ref""")
 def j5_proper_motion(spark, sf):
-    ref = table(spark, sf, "ref").where("ra BETWEEN 1 AND 359")
+    ref = table(spark, sf, "ref")
     ra, dec = sky.moved(F.col("ra"), F.col("dec"), F.col("pmra"), F.col("pmdec"), 24.5)
     return ref.select("source_id", F.round(ra, 6).alias("ra_now"), F.round(dec, 6).alias("dec_now"))
 

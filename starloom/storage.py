@@ -54,7 +54,9 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables that durable() returned, once everything that reads them has been written."""
+    """Delete tables that durable() returned, once everything that reads them has been written; others are left alone."""
     for table in tables:
+        if not hasattr(table, "_written_at"):
+            continue
         hadoop = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._written_at)
         hadoop.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
