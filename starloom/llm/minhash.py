@@ -7,10 +7,13 @@ probability of their (weighted) Jaccard similarity. Only darts below a rank that
 K ln K + 2 K of them; where a coordinate stays empty, the bound is doubled for that text.
 
 Bands of ROWS coordinates give buckets; exact copies are one node (by SHA-256) before that. In each bucket nodes are paired
-with a representative, and pairs are checked by the exact Jaccard similarity of the shingles. Nodes that share a bucket
-and are still in different components are compared in full in buckets of up to SMALL nodes, and meet DRAWS members drawn at
-random in larger ones; then those of up to MIDDLE nodes are compared in full too. A pair is checked only if its sketches allow it: sizes and parities of elements on 256 bits, of which no
-more can differ than the elements that only one of the texts has. Classes are the connected components. At similarity 0.8 a pair shares no bucket with a probability of 3e-6.
+with a representative, and pairs are checked by the exact Jaccard similarity of the shingles. Nodes of a bucket of over SMALL nodes
+that are still in different components meet DRAWS members drawn at random. Then every bucket that is still of several components and
+has up to GROUP elements is compared in full by one task, which gets the element hashes of each node once instead of two texts for each
+pair: nodes outside the bucket's largest component are held against all others of other components, and components merge as
+links are found. A pair is checked only if its sketches allow it: sizes and parities of elements on 256 bits, of which no
+more can differ than the elements that only one of the texts has. Classes are the connected components. At similarity 0.8 a pair
+shares no bucket with a probability of 3e-6.
 
 The exact rest of larger buckets. Their nodes are joined on rare elements instead of in pairs: elements are put in one order
 (those of a single component first, then by the nodes that hold them), and two texts of at least the wanted similarity
@@ -41,8 +44,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 5
 K = BANDS * ROWS
 DRAWS = 3
-SMALL, MIDDLE = 48, 1000
-"""Nodes of a bucket up to which it is compared in full at once, and after random members have met."""
+SMALL = 48
+"""Nodes of a bucket from which on random members meet before it is compared in full."""
+GROUP = 1 << 21
+"""Elements of a bucket up to which a task compares it in full; in larger buckets nodes are joined on rare elements."""
 COMMON = 1 << 19
 """Most common elements whose places every task holds."""
 _UNIT = 2.0**-53
@@ -185,6 +190,40 @@ def _check(threshold: float, weights: str):
     return run
 
 
+def _compare_bucket(threshold: float):
+    """Links (a, b) that join the components (label) of a bucket's nodes (node, label, n, m0 to m3, es)."""
+    def run(group: pa.Table) -> pa.Table:
+        label = group["label"].combine_chunks().dictionary_encode().indices.to_numpy().copy()
+        es = group["es"].combine_chunks()
+        ends = es.offsets.to_numpy() - es.offsets[0].as_py()
+        size = np.diff(ends)
+        words = np.stack([group[w].to_numpy() for w in WORDS], 1).view(np.uint64)
+        _, code = np.unique(es.flatten().to_numpy(), return_inverse=True)
+        order = np.argsort(code, kind="stable")
+        holder = np.repeat(np.arange(len(size)), size)[order]
+        first = np.concatenate(([0], np.cumsum(np.bincount(code))))
+        share = (1 - threshold) / (1 + threshold)
+        outside = np.flatnonzero(label != np.bincount(label).argmax())
+        a, b = [], []
+        for x in outside:
+            apart = np.bitwise_count(words ^ words[x]).sum(1)
+            may = (label != label[x]) & (np.minimum(size, size[x]) >= np.maximum(size, size[x]) * (threshold - 1e-6)) & (apart <= (size + size[x]) * share + 1e-6)
+            if not may.any():
+                continue
+            mine = code[ends[x]: ends[x + 1]]
+            lens = first[mine + 1] - first[mine]
+            at = np.repeat(first[mine] - np.concatenate(([0], np.cumsum(lens)[:-1])), lens) + np.arange(lens.sum())
+            common = np.bincount(holder[at], minlength=len(size))
+            for y in np.flatnonzero(may & (common >= (threshold - 1e-6) * np.maximum(1, size + size[x] - common))):
+                if label[y] != label[x] and common[y] / max(1, size[y] + size[x] - common[y]) >= threshold:
+                    a.append(x)
+                    b.append(y)
+                    label[label == label[y]] = label[x]
+        return pa.table({"a": group["node"].take(pa.array(a, pa.int64())), "b": group["node"].take(pa.array(b, pa.int64()))})
+
+    return run
+
+
 def _element_lists(weights: str):
     def run(batches):
         for batch in batches:
@@ -299,27 +338,25 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "co
             edges = edges.unionByName(more)
             found = durable(components(edges))
 
-    # buckets that are still of several components: small ones in full, the others by random members
+    # large buckets that are still of several components: random members
     mixed = durable(shared.select("bucket", "node", "k").join(found, "node", "left").select("bucket", "node", "k", F.coalesce("root", "node").alias("label")))
     draws = [F.max(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), F.col("node").alias("b"), F.col("label").alias("bl"), F.col("k").alias("bk"))) for i in range(DRAWS)]
-    still = durable(mixed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.array(*draws).alias("r")).where("lo <> hi").select("bucket", "n", "r"))
-    few = durable(mixed.join(still.where(F.col("n") <= SMALL).select("bucket"), "bucket", "left_semi"))
-    other = few.select("bucket", F.col("node").alias("x"), F.col("label").alias("xl"), F.col("k").alias("xk"))
-    full = other.join(few, "bucket").where((F.col("x") < F.col("node")) & (F.col("xl") != F.col("label")) & may_link(F.col("xk"), F.col("k"), threshold)).select(F.col("x").alias("a"), F.col("node").alias("b"))
-    drawn = mixed.join(still.where(F.col("n") > SMALL).select("bucket", "r"), "bucket").select("node", "label", "k", F.explode("r").alias("r")).where((F.col("label") != F.col("r.bl")) & may_link(F.col("k"), F.col("r.bk"), threshold))
-    compare(full.unionByName(drawn.select(F.least("node", "r.b").alias("a"), F.greatest("node", "r.b").alias("b"))))
-
-    # what is left of buckets up to MIDDLE: sketches are compared in full, a pair in the least bucket that it shares
-    sizes = durable(shared.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > SMALL))
-    mixed = shared.join(sizes.where(F.col("n") <= MIDDLE).select("bucket"), "bucket").join(found, "node", "left").select("bucket", "node", "k", F.coalesce("root", "node").alias("label"))
-    still = mixed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
-    left = durable(mixed.join(still, "bucket", "left_semi").join(nodes.select("node", "buckets"), "node"))
-    x, y = (left.select("bucket", *[F.col(c).alias(s + c) for c in ("node", "label", "k", "buckets")]) for s in "xy")
-    apart = F.expr("xnode < ynode AND xlabel <> ylabel") & may_link(F.col("xk"), F.col("yk"), threshold) & (F.array_min(F.array_intersect("xbuckets", "ybuckets")) == F.col("bucket"))
-    compare(x.join(y, "bucket").where(apart).select(F.col("xnode").alias("a"), F.col("ynode").alias("b")))
+    still = durable(mixed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.array(*draws).alias("r")).where((F.col("n") > SMALL) & (F.col("lo") != F.col("hi"))).select("bucket", "r"))
+    drawn = mixed.join(still, "bucket").select("node", "label", "k", F.explode("r").alias("r")).where((F.col("label") != F.col("r.bl")) & may_link(F.col("k"), F.col("r.bk"), threshold))
+    compare(drawn.select(F.least("node", "r.b").alias("a"), F.greatest("node", "r.b").alias("b")))
+
+    # every bucket that is still mixed, in full: the elements of a node go to a bucket once
+    mixed = durable(shared.select("bucket", "node", "k").join(found, "node", "left").select("bucket", "node", "k", F.coalesce("root", "node").alias("label")))
+    still = durable(mixed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum("k.n").alias("size"), F.count("*").alias("n")).where("lo <> hi AND n > 2").select("bucket", "size"))  # two have met
+    near = durable(mixed.join(still.where(F.col("size") <= GROUP).select("bucket"), "bucket"))
+    held = durable(texts.join(near.select("node").distinct(), "node", "left_semi").select("node", F.col("node").alias("label"), "text").mapInArrow(_element_lists(weights), "node binary, label binary, es array<long>").drop("label"))
+    more = durable(near.join(held, "node").select("bucket", "node", "label", "k.*", "es").groupBy("bucket").applyInArrow(_compare_bucket(threshold), "a binary, b binary").distinct())
+    if not more.isEmpty():
+        edges = edges.unionByName(more)
+        found = durable(components(edges))
 
     # the exact rest of larger buckets
-    many = sizes.where(F.col("n") > MIDDLE)
+    many = still.where(F.col("size") > GROUP)
     mixed = shared.join(many.select("bucket"), "bucket").join(found, "node", "left").select("bucket", "node", "k", F.coalesce("root", "node").alias("label"))
     still = mixed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
     rest = durable(mixed.join(still, "bucket", "left_semi").select("node", "k", "label").distinct())

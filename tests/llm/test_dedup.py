@@ -300,11 +300,11 @@ def test_prefixes_hold_every_link(spark, monkeypatch, common):
     assert linked > 20
 
 
-@pytest.mark.parametrize("middle", [minhash.MIDDLE, minhash.SMALL])
-def test_families_in_large_buckets(spark, monkeypatch, middle):
+@pytest.mark.parametrize("group", [minhash.GROUP, 0])
+def test_families_in_large_buckets(spark, monkeypatch, group):
     """Pages of one template at about 0.7, in buckets of hundreds, and pairs of them over 0.8: no pair may be lost, whether the
     buckets are compared in full or joined on rare elements."""
-    monkeypatch.setattr(minhash, "MIDDLE", middle)
+    monkeypatch.setattr(minhash, "GROUP", group)
     rng, rows = random.Random(3), []
     for family in range(600):
         own = [f"t{i}" for i in range(300)]
