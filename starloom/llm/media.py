@@ -27,6 +27,8 @@ KEY_EVERY = 30
 RATE = 25
 TIMESCALE = 600
 NESTED = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts", b"mvex", b"udta"}
+DEEPEST = 32
+"""Boxes inside one another; files have eight."""
 
 
 def _box(kind: bytes, *parts: bytes) -> bytes:
@@ -81,11 +83,19 @@ def write_media(payload: bytes) -> bytes:
     return b"".join((ftyp, moov(head + len(start)), start, payload))
 
 
-def boxes(data: bytes, lo: int = 0, hi: int | None = None, path: tuple[bytes, ...] = ()) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
-    """(path of box types, start and end of the content) of every box, parents before children."""
-    hi = len(data) if hi is None else hi
-    while lo < hi:
+def boxes(data: bytes) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
+    """(path of box types, start and end of the content) of every box, parents before children.
+
+    Boxes may be nested to any depth the file has room for. What is left of a box with under 8 bytes is an error, but for the end mark of
+    four zero bytes that user data may have."""
+    todo: list[tuple[int, int, tuple[bytes, ...]]] = [(0, len(data), ())]
+    while todo:
+        lo, hi, path = todo.pop()
+        if lo >= hi:
+            continue
         if hi - lo < 8:
+            if path[-1:] == (b"udta",) and not any(data[lo:hi]):
+                continue
             raise ValueError("truncated box header")
         size, kind = struct.unpack_from(">I4s", data, lo)
         body = lo + 8
@@ -96,10 +106,12 @@ def boxes(data: bytes, lo: int = 0, hi: int | None = None, path: tuple[bytes, ..
         end = hi if size == 0 else lo + size
         if end > hi or end < body:
             raise ValueError(f"box {kind!r} does not fit")
-        yield (*path, kind), body, end
+        todo.append((end, hi, path))
         if kind in NESTED:
-            yield from boxes(data, body, end, (*path, kind))
-        lo = end
+            if len(path) >= DEEPEST:
+                raise ValueError("boxes are nested too deeply")
+            todo.append((body, end, (*path, kind)))
+        yield (*path, kind), body, end
 
 
 def read_tracks(data: bytes) -> list[dict]:
@@ -112,7 +124,13 @@ def read_tracks(data: bytes) -> list[dict]:
         if not tracks or len(path) < 3 or path[1] != b"trak":
             continue
         t = tracks[-1]
-        u32 = lambda at, n: np.frombuffer(data, ">u4", n, lo + at).astype(np.int64)
+
+        def u32(at: int, n: int, kind_=">u4", lo=lo, hi=hi) -> np.ndarray:
+            """n numbers of a table, which must end within its box."""
+            if lo + at + n * np.dtype(kind_).itemsize > hi:
+                raise ValueError("beyond the box")
+            return np.frombuffer(data, kind_, n, lo + at).astype(np.int64)
+
         try:
             if kind == b"mdhd":
                 t["timescale"], t["duration"] = struct.unpack_from(">IQ", data, lo + 20) if data[lo] == 1 else struct.unpack_from(">II", data, lo + 12)
@@ -124,11 +142,13 @@ def read_tracks(data: bytes) -> list[dict]:
                 width = {b"stts": 2, b"stsc": 3, b"stss": 1}[kind]
                 t[kind] = u32(8, int(u32(4, 1)[0]) * width).reshape(-1, width)
             elif kind == b"stsz":
-                same, n = u32(4, 2)
-                t[kind] = np.full(n, same) if same else u32(12, int(n))
+                same, n = (int(x) for x in u32(4, 2))
+                if same * n > len(data):
+                    raise ValueError("more samples than bytes")
+                t[kind] = np.full(n, same) if same else u32(12, n)
             elif kind in (b"stco", b"co64"):
                 n = int(u32(4, 1)[0])
-                t[b"stco"] = np.frombuffer(data, ">u4" if kind == b"stco" else ">u8", n, lo + 8).astype(np.int64)
+                t[b"stco"] = u32(8, n, ">u4" if kind == b"stco" else ">u8")
         except (struct.error, ValueError, IndexError) as e:
             raise ValueError(f"truncated table {kind!r}") from e
     if not tracks:
@@ -138,7 +158,10 @@ def read_tracks(data: bytes) -> list[dict]:
         if missing:
             raise ValueError(f"a track without {missing[0]!r}")
         size, chunk, runs = t[b"stsz"], t[b"stco"], t[b"stsc"]
-        per = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0], len(chunk) + 1)))
+        spans = np.diff(np.append(runs[:, 0], len(chunk) + 1))
+        if (spans < 0).any() or len(runs) and runs[0, 0] != 1:
+            raise ValueError("chunks of stsc are out of order")
+        per = np.repeat(runs[:, 1], spans)
         if per.sum() != len(size):
             raise ValueError("sample counts of stsc and stsz differ")
         if b"stss" in t and len(t[b"stss"]) and not 1 <= t[b"stss"].min() <= t[b"stss"].max() <= len(size):
@@ -169,23 +192,31 @@ def describe(track: dict) -> str:
     return f"codec={track['codec']};handler={track['handler']};duration={track['duration']}/{track['timescale']};samples={len(track['size'])};keyframes={len(keys)};ranges={','.join(at)}"
 
 
+def keyframe_ranges(track: dict) -> list[dict]:
+    """start and bytes of each keyframe."""
+    return [{"start": int(track["offset"][k]), "bytes": int(track["size"][k])} for k in np.flatnonzero(track["key"])]
+
+
+_RANGES = pa.list_(pa.struct([("start", pa.int64()), ("bytes", pa.int64())]))
+
+
 def _media_rows(batches):
     for batch in batches:
-        columns: list[list] = [[] for _ in range(7)]
+        columns: list[list] = [[] for _ in range(8)]
         for text in batch.column(1):
             raw = (text.as_py() or "").encode()
             stored = write_media(pad(raw))
             track = read_tracks(stored)[0]
             back = payload_of(stored, track)
-            for c, v in zip(columns, (len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-SAMPLE:]), len(stored), hashlib.sha256(stored).hexdigest(), describe(track)), strict=True):
+            for c, v in zip(columns, (len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-SAMPLE:]), len(stored), hashlib.sha256(stored).hexdigest(), describe(track), keyframe_ranges(track)), strict=True):
                 c.append(v)
-        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)]],
-                                         ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), _RANGES), strict=True)]],
+                                         ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "keyframes"])
 
 
 def media_digests(docs: DataFrame) -> DataFrame:
     """Store each text of docs (doc_id, text) as a container, read it back, and describe it."""
-    return docs.select("doc_id", "text").mapInArrow(_media_rows, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return docs.select("doc_id", "text").mapInArrow(_media_rows, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, keyframes array<struct<start: long, bytes: long>>")
 
 
 def _encode(batches):
@@ -204,10 +235,9 @@ def _probe(frames):
         for i, data in zip(frame.iloc[:, 0], frame.iloc[:, 1], strict=True):
             try:
                 for k, t in enumerate(read_tracks(data)) if data is not None else ():
-                    keys = np.flatnonzero(t["key"])
-                    rows.append((i, k, t["codec"], t["handler"], t["duration"] / t["timescale"] if t["timescale"] else None, len(t["size"]), [{"start": int(t["offset"][j]), "bytes": int(t["size"][j])} for j in keys], None))
-            except ValueError as e:
-                rows.append((i, None, None, None, None, None, None, str(e)))
+                    rows.append((i, k, t["codec"], t["handler"], t["duration"] / t["timescale"] if t["timescale"] else None, len(t["size"]), keyframe_ranges(t), None))
+            except (ValueError, IndexError, OverflowError, MemoryError, struct.error) as e:
+                rows.append((i, None, None, None, None, None, None, str(e) or type(e).__name__))
         yield pd.DataFrame(rows, columns=["doc_id", "track", "codec", "handler", "seconds", "samples", "keyframes", "error"]).astype({c: "Int64" for c in ("doc_id", "track", "samples")})
 
 

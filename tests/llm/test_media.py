@@ -51,3 +51,38 @@ def test_damaged_among_sound(spark):
     d = spark.createDataFrame([(1, sound), (2, sound[:100]), (None, b"junk"), (4, None), (5, sound.replace(b"stsz", b"free")), (6, sound)], "doc_id long, media binary")
     rows = {r.doc_id: r for r in media.probe_media(d).collect()}
     assert set(rows) == {1, 2, None, 5, 6} and all((rows[i].error is None) == (i in (1, 6)) for i in rows) and rows[6].samples == 8 and rows[2].track is None
+
+
+def nested(depth):
+    body = b""
+    for _ in range(depth):
+        body = struct.pack(">I4s", len(body) + 8, b"moov") + body
+    return body
+
+
+def test_hostile_files_are_rows(spark):
+    """A sample count of billions, boxes in boxes in boxes, user data with its end mark, and a table beyond its box."""
+    stored = media.write_media(media.pad(b"x" * 500))
+    at = stored.index(b"stsz")
+    huge = stored[: at + 8] + struct.pack(">II", 64, 0xFFFFFFFF) + stored[at + 16:]
+    wide = stored[: at + 8] + struct.pack(">II", 0, 8) + stored[at + 16:]
+    mark = struct.pack(">I4s", 12, b"udta") + bytes(4)
+    odd = struct.pack(">I4s", 12, b"udta") + b"abcd"
+    d = spark.createDataFrame([(1, huge), (2, nested(5000)), (3, stored + mark), (4, wide), (5, stored + odd), (6, stored)], "doc_id long, media binary")
+    rows = {r.doc_id: r for r in media.probe_media(d).collect()}
+    assert {i for i, r in rows.items() if r.error is None} == {3, 6} and len(rows) == 6
+    assert "more samples" in rows[1].error or "truncated" in rows[1].error
+
+
+def test_feature_and_stored_form_from_the_layout(spark):
+    """Digest, duration and every keyframe range of a stored file, from its bytes and not from the operator's reader."""
+    text = "é" + "word " * 2000
+    d = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    r = media.media_digests(d).first()
+    raw = text.encode()
+    payload = raw + bytes(-len(raw) % 64)
+    stored = media.store_media(d).first().media
+    begin, frames = bytes(stored).index(payload), len(payload) // 64
+    assert r.media_sha256 == hashlib.sha256(stored).hexdigest() and r.media_bytes == len(stored)
+    assert [(k.start, k.bytes) for k in r.keyframes] == [(begin + 64 * i, 64) for i in range(0, frames, 30)]
+    assert r.feature == f"codec=raw ;handler=vide;duration={24 * frames}/600;samples={frames};keyframes={-(-frames // 30)};ranges={begin}+64,{begin + 64 * (30 * ((frames - 1) // 30))}+64"
