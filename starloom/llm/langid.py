@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import LOWER, id_mod, mix64, pieces
+from starloom.llm.common import LOWER, digest, id_mod, mix64, pieces
 
 SAMPLE = 4000
 BUCKETS = 1 << 14
@@ -113,11 +113,12 @@ def train(texts: list[str], langs: list[str], seed: int = 3) -> Model | None:
 
 
 def fit(docs: DataFrame, expected: int = SAMPLE) -> Model | None:
-    """Learn from text and non-null lang of docs (doc_id, text, lang): about `expected` rows, chosen by a hash of the id."""
+    """Learn from text and non-null lang of docs (doc_id, text, lang): about `expected` rows, chosen by a hash of the id. Of rows that share an id, or
+    have none, the one of least digest is learned from, so ids in many rows don't lengthen the sample."""
     labelled = docs.where("lang is not null and text is not null").select("doc_id", "text", "lang")
     n = labelled.count()
     share = int(min(1.0, expected / max(n, 1)) * (1 << 20))
-    rows = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20)) < share).select("text", "lang").collect()
+    rows = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20)) < share).groupBy("doc_id").agg(F.min_by(F.struct("text", "lang"), F.struct(digest(F.col("text")), "lang")).alias("x")).select("x.*").collect()
     return train([r.text for r in rows], [r.lang for r in rows])
 
 

@@ -178,3 +178,21 @@ def test_toxic_scores_by_brute_force(docs):
                 pool.append(max(0.0, *z))
         logit = sum(p * float(q) for p, q in zip(pool, m.top, strict=True)) + float(m.bias)
         assert abs(score - 1 / (1 + math.exp(-max(-30, min(30, logit * m.scale + m.shift))))) < 1e-4
+
+
+def test_samples_take_one_row_of_an_id(spark):
+    """Ids in many rows, and rows without an id, don't lengthen what is collected."""
+    from starloom.llm import langid, toxicity
+
+    rows = [(None, f"text {i} of none", "en") for i in range(300)] + [(7, f"text {i} of seven", "fr") for i in range(300)] + [(i, f"the text {i}", "en") for i in range(100, 160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    original = langid.train, toxicity.train
+    try:
+        langid.train = lambda texts, langs: seen.append(len(texts))
+        toxicity.train = lambda texts, *_: seen.append(len(texts))
+        langid.fit(docs)
+        toxicity.fit(docs, spark.createDataFrame([(7, 1), (7, 1), (7, 0), (None, 1), *((i, i % 2) for i in range(100, 160))], "doc_id long, toxic int"))
+    finally:
+        langid.train, toxicity.train = original
+    assert seen == [62, 61]
