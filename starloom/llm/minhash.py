@@ -7,8 +7,7 @@ probability of their (weighted) Jaccard similarity. Only darts below a rank that
 K ln K + 2 K of them; where a coordinate stays empty, the bound is doubled for that text.
 
 Bands of ROWS coordinates give buckets; exact copies are one node (by SHA-256) before that. In each bucket nodes are paired
-with a representative, and pairs are checked by the exact Jaccard similarity of the shingles. Nodes of a bucket of over SMALL nodes
-that are still in different components meet DRAWS members drawn at random. Then every bucket that is still of several components and
+with a representative, and pairs are checked by the exact Jaccard similarity of the shingles. Then every bucket that is still of several components and
 has up to GROUP elements is compared in full by one task, which gets the element hashes of each node once instead of two texts for each
 pair: nodes outside the bucket's largest component are held against all others of other components, and components merge as
 links are found. A pair is checked only if its sketches allow it: sizes and parities of elements on 256 bits, of which no
@@ -43,9 +42,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 5
 K = BANDS * ROWS
-DRAWS = 3
 SMALL = 48
-"""Nodes of a bucket from which on random members meet before it is compared in full."""
+"""Nodes that hold a rare element, from which on they are linked with one of them before they meet in pairs."""
 GROUP = 1 << 21
 """Elements of a bucket up to which a task compares it in full; in larger buckets nodes are joined on rare elements."""
 COMMON = 1 << 19
@@ -338,13 +336,6 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "co
             edges = edges.unionByName(more)
             found = durable(components(edges))
 
-    # large buckets that are still of several components: random members
-    mixed = durable(shared.select("bucket", "node", "k").join(found, "node", "left").select("bucket", "node", "k", F.coalesce("root", "node").alias("label")))
-    draws = [F.max(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), F.col("node").alias("b"), F.col("label").alias("bl"), F.col("k").alias("bk"))) for i in range(DRAWS)]
-    still = durable(mixed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.array(*draws).alias("r")).where((F.col("n") > SMALL) & (F.col("lo") != F.col("hi"))).select("bucket", "r"))
-    drawn = mixed.join(still, "bucket").select("node", "label", "k", F.explode("r").alias("r")).where((F.col("label") != F.col("r.bl")) & may_link(F.col("k"), F.col("r.bk"), threshold))
-    compare(drawn.select(F.least("node", "r.b").alias("a"), F.greatest("node", "r.b").alias("b")))
-
     # every bucket that is still mixed, in full: the elements of a node go to a bucket once
     mixed = durable(shared.select("bucket", "node", "k").join(found, "node", "left").select("bucket", "node", "k", F.coalesce("root", "node").alias("label")))
     still = durable(mixed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum("k.n").alias("size"), F.count("*").alias("n")).where("lo <> hi AND n > 2").select("bucket", "size"))  # two have met
