@@ -16,7 +16,7 @@ SQL: dict[str, str] = {
         (e.event_id * 37 % 9576) + 5e-1 AS x, (e.event_id * 53 % 6388) + 5e-1 AS y, r.mag - 25 + (e.event_id % 21 - 10) * 1e-2 + CASE WHEN e.event_id % 50 = 0 THEN 15e-1 ELSE 0e0 END AS mag_auto,
         1e-2 + (e.event_id % 13) * 2e-3 AS magerr_auto, CASE WHEN e.event_id % 17 = 0 THEN 1 ELSE 0 END AS flags, (e.event_id % 100) / 100e0 AS class_star, 2 + (e.event_id % 30) / 10e0 AS fwhm,
         (e.event_id % 40) / 100e0 AS ellipticity, CAST(e.event_id % 180 - 90 AS DOUBLE) AS theta, CAST(5 + e.event_id % 200 AS DOUBLE) AS snr, {filt} AS filt
-        FROM {events} e JOIN ({ref}) r ON r.source_id = (e.event_id * 13 + 7) % {n_orders}""",
+        FROM (SELECT e0.*, (e0.event_id * 13 + 7) % k.n AS sid FROM {events} e0 CROSS JOIN (SELECT {n_orders} AS n) k) e JOIN ({ref}) r ON r.source_id = e.sid""",
     "exposures": """SELECT event_id AS image_id, ts, CAST(ts - INTERVAL 15 HOURS AS DATE) AS nightdate, concat('SU0', CAST(user_id % 5 + 1 AS VARCHAR(2))) AS unit,
         CASE event_id % 8 WHEN 0 THEN 'bias' WHEN 1 THEN 'dark' WHEN 2 THEN 'flat' ELSE 'science' END AS kind, {filt} AS filt, CASE WHEN (event_id // 8) % 2 = 0 THEN 100 ELSE 60 END AS exptime,
         CASE WHEN (event_id // 8) % 11 = 0 THEN 0 ELSE 2750 END AS gain, 1 + (event_id // 16) % 2 AS n_binning, CAST(31000 + user_id % 5 AS VARCHAR(8)) AS camera,

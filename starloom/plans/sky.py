@@ -13,7 +13,7 @@ from starloom.storage import durable
 RADIUS = 1.0
 HAV = "2 * asin(sqrt(least(1.0, power(sin(radians({b}.dec - {a}.dec) / 2), 2) + cos(radians({a}.dec)) * cos(radians({b}.dec)) * power(sin(radians({b}.ra - {a}.ra) / 2), 2)))) * 648000 / pi()"
 SEP = HAV.format(a="d", b="r")
-PAIRS = f""", dc AS MATERIALIZED (SELECT det_id, ra, dec, floor(ra * 100) + i AS rc, floor(dec * 100) + j AS dd FROM det, (SELECT unnest([-1, 0, 1]) AS i), (SELECT unnest([-1, 0, 1]) AS j)), rc AS MATERIALIZED (SELECT source_id, ra, dec, floor(ra * 100) AS rc, floor(dec * 100) AS dd FROM ref),
+PAIRS = f""", dc AS MATERIALIZED (SELECT det_id, ra, dec, floor(ra * 1000) + i AS rc, floor(dec * 1000) + j AS dd FROM det, (SELECT unnest([-1, 0, 1]) AS i), (SELECT unnest([-1, 0, 1]) AS j)), rc AS MATERIALIZED (SELECT source_id, ra, dec, floor(ra * 1000) AS rc, floor(dec * 1000) AS dd FROM ref),
  pairs AS MATERIALIZED (SELECT d.det_id, r.source_id, {SEP} AS sep FROM dc d JOIN rc r USING (rc, dd) WHERE abs(r.dec - d.dec) <= 0.001 AND abs(r.ra - d.ra) * cos(radians(d.dec)) < 0.001),
  best AS MATERIALIZED (SELECT det_id, arg_min(source_id, sep) AS source_id, round(min(sep), 6) AS separation FROM pairs WHERE sep < 1 GROUP BY det_id)"""
 BASE = with_("ref", "det") + PAIRS
