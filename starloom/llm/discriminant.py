@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import SPACE, Rolling, durable, id_mod, pieces, word_spans
+from starloom.llm.common import Rolling, durable, id_mod, pieces, word_spans
 
 STATISTICS = ("words", "word length", "spread of word lengths", "short words", "capitals", "symbols", "digits", "words that end in a sign", "sentence ends", "distinct words", "commonest word", "distinct runs of 4 words", "lines", "repeated lines", "bytes beyond ASCII")
 POOL = (0.0, 0.1, 0.3, 0.6, 0.9)
