@@ -57,7 +57,7 @@ SIDES = """, side AS MATERIALIZED (SELECT image_id, kind, k, cx, cy, cz, (vy * w
 
 def _stored(solutions):
     """The table of footprints, written once, as an archive keeps it."""
-    quads = durable(solutions.where("kind = 'science'").select("image_id", wcs.quad(F.col("naxis1"), F.col("naxis2")).alias("corners")))
+    quads = solutions.where("kind = 'science'").select("image_id", wcs.quad(F.col("naxis1"), F.col("naxis2")).alias("corners"))
     return durable(footprints.with_footprint(quads).select("image_id", "shape"))
 
 
@@ -113,7 +113,7 @@ def f8_frames_in_polygon(spark, sf):
         ra, dec = sky.from_galactic(lon, lat)
         far = F.col("coord_sys") == "galactic"
         corners.append(F.struct(F.when(far, ra).otherwise(lon).alias("ra"), F.when(far, dec).otherwise(lat).alias("dec")))
-    asked = durable(footprints.with_footprint(durable(r.select("request", F.array(*corners).alias("corners")))).select("request", "shape"))
+    asked = durable(footprints.with_footprint(r.select("request", F.array(*corners).alias("corners"))).select("request", "shape"))
     return footprints.frames_meeting(asked, _stored(table(spark, sf, "solutions")))
 
 
