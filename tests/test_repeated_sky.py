@@ -9,7 +9,7 @@ from starloom.plans import ORACLES, QUERIES
 from starloom.storage import durable
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["a17_catalog_rms", "a17_joint_match_stats"]
+NAMES = ["a17_catalog_rms", "a17_joint_match_stats", "a17_recalls"]
 
 
 @pytest.fixture(scope="module")
