@@ -9,7 +9,7 @@ from starloom.plans import ORACLES, QUERIES
 from starloom.storage import durable
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["a17_catalog_rms", "a17_joint_match_stats", "a17_recalls", "j6_multi_match_inner", "j6_multi_match_left", "j6_multi_match_outer", "j8_drop_close"]
+NAMES = ["a17_catalog_rms", "a17_joint_match_stats", "a17_recalls", "j6_multi_match_inner", "j6_multi_match_left", "j6_multi_match_outer", "j8_drop_close", "j6_multi_match"]
 
 
 @pytest.fixture(scope="module")
