@@ -260,7 +260,7 @@ def s9_table_export(spark, sf):
 def s8_upsert(spark, sf):
     q = table(spark, sf, "image_qa").select("id", "seeing", "unit").withColumn("ver", F.lit(0))
     n = q.where("id % 3 = 0").select("id", F.when(F.col("id") % 4 != 0, 9.0).alias("seeing"), F.when(F.col("id") % 8 == 1, "None").when(F.col("id") % 8 != 2, "new").alias("unit"), F.lit(1).alias("ver"))
-    extra = q.where("id < 50").select((F.col("id") + 1_000_000).alias("id"), F.lit(1.0).alias("seeing"), F.lit("x").alias("unit"), F.lit(1).alias("ver"))
+    extra = q.where("id < 50").select((F.col("id") + 1_000_000).alias("id"), F.lit(1.0).alias("seeing"), F.lit("x").alias("unit"), F.lit(2).alias("ver"))
     return inventory.upsert(q, n.unionByName(extra), "id", "ver").drop("ver")
 
 
