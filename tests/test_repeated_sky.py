@@ -36,3 +36,12 @@ def test_without_by_equal_positions_are_one_group(spark):
     assert found() == {(0, 0), (0, 1)} and found(by="field") == {(0, 0), (0, 1), (2, 2), (2, 3)}
     kept = lambda **k: {r.id for r in skyjoin.drop_close(cats.withColumn("pos", F.col("id")), 1.0, durable, **k).collect()}
     assert kept() == {0} and kept(by="field") == {0, 2}
+
+
+@pytest.mark.parametrize("name", ["a17_catalog_rms"])
+def test_edges_grow_with_the_turns_not_their_square(spark, twice, monkeypatch, name):
+    seen, friends = [], skyjoin._friends
+    monkeypatch.setattr(skyjoin, "_friends", lambda *a: (e := friends(*a), seen.append(e.count()))[0])
+    for folder in (SF, twice):
+        QUERIES[name](spark, folder).collect()
+    assert seen[1] == 2 * seen[0] > 0
