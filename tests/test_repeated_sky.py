@@ -38,7 +38,7 @@ def test_without_by_equal_positions_are_one_group(spark):
     assert kept() == {0} and kept(by="field") == {0, 2}
 
 
-@pytest.mark.parametrize("name", ["a17_catalog_rms"])
+@pytest.mark.parametrize("name", ["a17_catalog_rms", "a17_joint_match_stats"])
 def test_edges_grow_with_the_turns_not_their_square(spark, twice, monkeypatch, name):
     seen, friends = [], skyjoin._friends
     monkeypatch.setattr(skyjoin, "_friends", lambda *a: (e := friends(*a), seen.append(e.count()))[0])
